@@ -173,10 +173,10 @@ def reissued_keys(batch: DataFrame, target: DataFrame, key: str) -> DataFrame:
     """Rows of a new batch whose key was already accepted earlier, or comes twice in it."""
     seen = target.where(F.col(key).isNotNull()).select(key).distinct()
     seen = seen.withColumn("__seen", F.lit(1))
-    per_key = batch.where(F.col(key).isNotNull()).groupBy(key).agg(F.count(F.lit(1)).alias("rows"))
+    per_key = batch.where(F.col(key).isNotNull()).groupBy(key).agg(F.count(F.lit(1)).alias("row_count"))
     return (
         per_key.join(seen, key, "left")
-        .where((F.col("rows") > 1) | F.col("__seen").isNotNull())
-        .select(key, "rows", F.col("__seen").isNotNull().alias("in_target"))
+        .where((F.col("row_count") > 1) | F.col("__seen").isNotNull())
+        .select(key, "row_count", F.col("__seen").isNotNull().alias("in_target"))
     )
 

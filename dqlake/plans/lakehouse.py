@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from dqlake.functions import stamp
 from dqlake.operators import Layers, reissued_keys
-from dqlake.sources import RESCUED, ingest_feed, ingest_snapshot, text_schema
+from dqlake.sources import ingest_feed, ingest_snapshot, text_schema
 from dqlake.streaming import apply_changes, read_history, read_quarantine, read_valid, route_feed
 
 from . import gold, schemas as s, silver
@@ -101,7 +101,7 @@ class Lakehouse:
         apply_changes(
             self.spark, changes, ["subject_id"], log=self.path("silver", "subject_changes"),
             history=self.path("silver", "subjects"), checkpoint=self._checkpoint("subject_history"),
-            drop=(RESCUED,), **silver.SUBJECT_HISTORY,
+            **silver.SUBJECT_HISTORY,
         )
 
     def route_facts(self) -> None:
