@@ -136,8 +136,8 @@ def missing_patterns(
     df: DataFrame, cols: Sequence[str], by: Sequence[str] = (), only_incomplete: bool = False
 ) -> DataFrame:
     """Which columns are missing together, optionally per dimension."""
-    gaps = F.array_compact(F.array(*[F.when(is_missing(c), F.lit(c)) for c in cols]))
-    pattern = F.when(F.size(gaps) == 0, "complete").otherwise(F.array_join(gaps, "+"))
+    gaps = F.concat_ws("+", *[F.when(is_missing(c), F.lit(c)) for c in cols])
+    pattern = F.when(gaps == "", "complete").otherwise(gaps)
     out = df.groupBy(*by, pattern.alias("pattern")).agg(n().alias("row_count"))
     return out.where("pattern <> 'complete'") if only_incomplete else out
 
@@ -177,13 +177,14 @@ class Relation(NamedTuple):
     parent: DataFrame
     on: Mapping[str, str]
     mismatch: Mapping[str, str] = {}
+    spread_nulls: Sequence[str] = ()
 
 
 def relation_profile(child: DataFrame, relations: Sequence[Relation]) -> DataFrame:
     """Missing, unknown and mismatching references of each relation, in one pass."""
     joined, aggs = child, []
     for r in relations:
-        joined = lookup(joined, r.parent, r.on, spread_nulls=True)
+        joined = lookup(joined, r.parent, r.on, r.spread_nulls)
         present = F.lit(True)
         for c in r.on:
             present = present & F.col(c).isNotNull()

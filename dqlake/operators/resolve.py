@@ -87,28 +87,29 @@ def key_set(df: DataFrame, keys: Mapping[str, Column]) -> DataFrame:
     return reference(df, keys)
 
 
-def _spread_null(key: Column, salt_from: Sequence[str]) -> Column:
+def _spread_null(key: Column, by: Sequence[str]) -> Column:
     """A join key in which NULL becomes one of many texts that match nothing.
 
     Shuffled by hash, rows without a key would all meet in one task; this
-    spreads them and still leaves them unmatched.
+    spreads them by other columns and still leaves them unmatched: keys are
+    trimmed, so none starts with a blank.
     """
-    piece = F.pmod(F.xxhash64(*salt_from), F.lit(NULL_SPREAD)).cast("string")
-    return F.coalesce(key, F.concat(F.lit("\x00null-"), piece))
+    piece = F.pmod(F.xxhash64(*by), F.lit(NULL_SPREAD)).cast("string")
+    return F.when(key.isNotNull(), key).otherwise(F.concat(F.lit(" null-"), piece))
 
 
 def lookup(
-    df: DataFrame, ref: DataFrame, on: Mapping[str, str], spread_nulls: bool = False
+    df: DataFrame, ref: DataFrame, on: Mapping[str, str], spread_nulls: Sequence[str] = ()
 ) -> DataFrame:
     """Left join to a reference that is unique per key: never adds or drops rows.
 
-    ``on`` maps a column of ``df`` to a column of ``ref``. Set ``spread_nulls``
-    for references too large to broadcast whose text keys may be missing often.
+    ``on`` maps a column of ``df`` to a column of ``ref``. For references too
+    large to broadcast whose text keys are often missing, ``spread_nulls``
+    names columns that tell such rows apart.
     """
     pairs = [(df[l], ref[r]) for l, r in on.items()]
     if spread_nulls:
-        first = _spread_null(pairs[0][0], _sortable(df))
-        pairs[0] = (first, pairs[0][1])
+        pairs[0] = (_spread_null(pairs[0][0], spread_nulls), pairs[0][1])
     cond = pairs[0][0] == pairs[0][1]
     for left, right in pairs[1:]:
         cond = cond & (left == right)
@@ -130,13 +131,16 @@ def lookup_fallback(
     return joined.select(*keep, F.coalesce(*values, F.lit(default)).alias(out))
 
 
-def inherit(df: DataFrame, parent: DataFrame, key: str, cols: Sequence[str]) -> DataFrame:
+def inherit(
+    df: DataFrame, parent: DataFrame, key: str, cols: Sequence[str],
+    spread_nulls: Sequence[str] = (),
+) -> DataFrame:
     """Bring ``cols`` of the parent entity onto each child row.
 
     ``parent`` must hold one row per ``key``.
     """
     slim = parent.select(F.col(key).alias("__parent_key"), *cols)
-    return lookup(df, slim, {key: "__parent_key"}, spread_nulls=True).drop("__parent_key")
+    return lookup(df, slim, {key: "__parent_key"}, spread_nulls).drop("__parent_key")
 
 
 def combine_rollups(base: DataFrame, *rollups: DataFrame, on: Sequence[str]) -> DataFrame:

@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from functools import reduce
+from operator import or_
 from typing import NamedTuple
 
 from pyspark.sql import Column, DataFrame, functions as F
@@ -64,9 +66,18 @@ def bad_range(name: str, present: str, low: str, high: str) -> Rule:
 
 
 def validate(df: DataFrame, rules: Sequence[Rule]) -> DataFrame:
-    """Add every failed rule name in rule order, and whether the row is valid."""
-    failed = F.array_compact(F.array(*[F.when(r.fails, F.lit(r.name)) for r in rules]))
-    return df.withColumn(FAILURES, failed).withColumn(VALID, F.size(FAILURES) == 0)
+    """Add every failed rule name in rule order, and whether the row is valid.
+
+    The conditions of all rules compile into one test; the names are collected
+    only for rows that fail it. ``array_compact`` also keeps this projection
+    out of the fused stage of the lookups before it: together they would pass
+    the size (8000 bytes of code) above which the JVM no longer compiles a
+    method, and run several times slower.
+    """
+    broken = reduce(or_, [F.coalesce(r.fails, F.lit(False)) for r in rules])
+    names = F.array_compact(F.array(*[F.when(r.fails, F.lit(r.name)) for r in rules]))
+    none = F.array().cast("array<string>")
+    return df.withColumns({FAILURES: F.when(broken, names).otherwise(none), VALID: ~broken})
 
 
 def warn(df: DataFrame, warnings: Mapping[str, Column]) -> DataFrame:

@@ -300,7 +300,8 @@ def data_quality_metrics(
     for entity, df in rejected.items():
         if "site_id" not in df.columns:
             slim = df.select("subject_id", "study_id", RECORD_KEYS[entity], FAILURES)
-            df = inherit(slim, _sites(history), "subject_id", ["site_id"])
+            # Rejected rows often lack the subject: spread those by record.
+            df = inherit(slim, _sites(history), "subject_id", ["site_id"], [RECORD_KEYS[entity]])
         parts.append(df.select(
             F.lit(entity).alias("source_entity"),
             *[F.coalesce(c, F.lit("UNKNOWN")).alias(c) for c in SITE],

@@ -230,7 +230,8 @@ def validate_visits(raw: DataFrame, t: Tables, history: DataFrame) -> DataFrame:
     clean = typed(clean, {"visit_number": "int", "days_from_baseline": "int", "visit_date": "date"})
     found = lookup(clean, study_keys(t), {"study_id": "_study_key"})
     found = lookup(found, site_ref(t), {"site_id": "_site_key"})
-    found = lookup(found, trusted_subjects(history), {"subject_id": "_subject_key"}, spread_nulls=True)
+    found = lookup(found, trusted_subjects(history), {"subject_id": "_subject_key"},
+                   spread_nulls=["visit_id", "visit_date", "_source_file_name"])
     return validate(found, visit_rules()).select(
         *s.FEEDS["visits"].columns, RESCUED, *LINEAGE, *ROUTING
     )
@@ -293,7 +294,8 @@ def validate_adverse_events(raw: DataFrame, t: Tables, history: DataFrame) -> Da
     })
     found = lookup(clean, severity_ref(t), {"_severity": "_severity_key"})
     found = lookup(found, site_ref(t), {"site_id": "_site_key"})
-    found = lookup(found, trusted_subjects(history), {"subject_id": "_subject_key"}, spread_nulls=True)
+    found = lookup(found, trusted_subjects(history), {"subject_id": "_subject_key"},
+                   spread_nulls=["ae_id", "onset_date", "_source_file_name"])
     found = found.withColumns({"standard_severity": F.col("_standard_severity"),
                                "severity_rank": F.col("_severity_rank")})
     warnings = adverse_event_warnings()
@@ -352,8 +354,9 @@ def validate_labs(raw: DataFrame, t: Tables, history: DataFrame, visits: DataFra
     })
     found = lookup(clean, lab_test_ref(t), {"lab_test_code": "_test_key"})
     found = lookup(found, unit_ref(t), {"lab_test_code": "_unit_test", "_unit": "_unit_key"})
-    found = lookup(found, trusted_subjects(history), {"subject_id": "_subject_key"}, spread_nulls=True)
-    found = lookup(found, trusted_visits(visits), {"visit_id": "_visit_key"}, spread_nulls=True)
+    spread = ["lab_result_id", "lab_test_code", "collection_date", "_source_file_name"]
+    found = lookup(found, trusted_subjects(history), {"subject_id": "_subject_key"}, spread)
+    found = lookup(found, trusted_visits(visits), {"visit_id": "_visit_key"}, spread)
     found = standardise(found, "result_value", "_factor", "_unit_standard", "_test_unit",
                         "_test_low", "_test_high", "source_abnormal_flag")
     return validate(found, lab_rules()).select(*LAB_COLUMNS, RESCUED, *LINEAGE, *ROUTING)

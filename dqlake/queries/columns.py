@@ -13,7 +13,7 @@ from dqlake.functions import (
 from dqlake.operators import conversion_coverage, crosstab, parse_coverage
 from dqlake.plans import schemas as s
 
-from .feeds import feed, table
+from .feeds import table
 from .oracle import b2n, nk, with_tables
 from .registry import query
 from .silver_store import store
@@ -24,7 +24,7 @@ from .silver_store import store
            {nk('subject_id')} AS subject_key, {nk('visit_name')} AS visit_name FROM f_visits""",
     "f_visits"))
 def normalize_keys(spark: SparkSession, sf: str) -> DataFrame:
-    return feed(spark, sf, "visits").select(
+    return store(spark, sf).feed("visits").select(
         F.col("subject_id").alias("raw_subject_id"),
         blank_to_null("subject_id").alias("subject_text"),
         normalize_key("subject_id").alias("subject_key"),
@@ -39,7 +39,7 @@ def normalize_keys(spark: SparkSession, sf: str) -> DataFrame:
                         '%Y%m%d') AS DATE) AS delivered
     FROM f_subjects""", "f_subjects"))
 def typed_parse(spark: SparkSession, sf: str) -> DataFrame:
-    out = typed(feed(spark, sf, "subjects"),
+    out = typed(store(spark, sf).feed("subjects"),
                 {"age": "int", "screening_date": "date", "enrollment_date": "date"})
     return out.select("age", "screening_date", "enrollment_date",
                       delivery_date("_source_file_name", "subjects").alias("delivered"))
@@ -49,7 +49,7 @@ def typed_parse(spark: SparkSession, sf: str) -> DataFrame:
     SELECT collection_date AS raw, CAST(try_strptime({b2n('collection_date')}, '%d-%b-%Y') AS DATE)
       AS collection_date, count(*) AS row_count FROM f_labs GROUP BY 1, 2""", "f_labs"))
 def parse_dates(spark: SparkSession, sf: str) -> DataFrame:
-    return (feed(spark, sf, "labs")
+    return (store(spark, sf).feed("labs")
             .groupBy(F.col("collection_date").alias("raw"),
                      parse_date("collection_date", s.LAB_DATE_FORMAT).alias("collection_date"))
             .agg(n().alias("row_count")))
@@ -68,12 +68,12 @@ def _coverage(fmt: str) -> str:
 
 @query(_coverage("%Y-%m-%d"), name="parse_coverage")
 def parse_coverage_iso(spark: SparkSession, sf: str) -> DataFrame:
-    return parse_coverage(feed(spark, sf, "adverse_events"), "onset_date", "yyyy-MM-dd")
+    return parse_coverage(store(spark, sf).feed("adverse_events"), "onset_date", "yyyy-MM-dd")
 
 
 @query(_coverage("%d-%b-%Y"))
 def parse_coverage_month_name(spark: SparkSession, sf: str) -> DataFrame:
-    return parse_coverage(feed(spark, sf, "adverse_events"), "onset_date", s.LAB_DATE_FORMAT)
+    return parse_coverage(store(spark, sf).feed("adverse_events"), "onset_date", s.LAB_DATE_FORMAT)
 
 
 @query(with_tables(f"""
@@ -88,7 +88,7 @@ def map_status(spark: SparkSession, sf: str) -> DataFrame:
     status = map_values("visit_status", s.VISIT_STATUS_WORDS, null_as="UNKNOWN")
     held = map_values("visit_status", {"HELD": s.VISIT_STATUS_WORDS["COMPLETED"]}, null_as="NONE",
                       default="OTHER")
-    return (feed(spark, sf, "visits")
+    return (store(spark, sf).feed("visits")
             .groupBy(F.col("visit_status").alias("source_status"), status.alias("visit_status"),
                      held.alias("attendance"))
             .agg(n().alias("row_count")))
@@ -101,7 +101,7 @@ def map_status(spark: SparkSession, sf: str) -> DataFrame:
       count(*) AS row_count FROM f_adverse_events GROUP BY 1, 2""", "f_adverse_events"),
     name="map_flag")
 def map_flags(spark: SparkSession, sf: str) -> DataFrame:
-    return (feed(spark, sf, "adverse_events")
+    return (store(spark, sf).feed("adverse_events")
             .groupBy(F.col("serious_flag").alias("source_serious_flag"),
                      map_flag("serious_flag").alias("serious_flag"))
             .agg(n().alias("row_count")))

@@ -12,7 +12,7 @@ from dqlake.sources import (
 )
 from dqlake.streaming import apply_changes, read_history, read_quarantine, read_valid, route_feed
 
-from .feeds import AS_OF, feed, table
+from .feeds import AS_OF, table
 from .oracle import with_tables
 from .registry import query
 from .quality import _ORDER_HISTORY
@@ -24,7 +24,7 @@ from .silver_store import as_of, store
       DATE '{AS_OF}' AS first_day, DATE '{AS_OF}' AS last_day FROM f_visits GROUP BY 1""", "f_visits"),
     name="feed_inventory")
 def visit_files(spark: SparkSession, sf: str) -> DataFrame:
-    out = feed_inventory(feed(spark, sf, "visits"), "subject_id")
+    out = feed_inventory(store(spark, sf).feed("visits"), "subject_id")
     return out.select("_source_file_name", "row_count", "distinct_keys",
                       F.col("first_ingestion").cast("date").alias("first_day"),
                       F.col("last_ingestion").cast("date").alias("last_day"))
@@ -45,7 +45,7 @@ def data_folder(spark: SparkSession, sf: str) -> DataFrame:
             reference_low IS NOT NULL AND TRY_CAST(reference_low AS DOUBLE) IS NULL AS bad_low
           FROM f_labs)""", "f_labs"))
 def rescue_columns(spark: SparkSession, sf: str) -> DataFrame:
-    rows = feed(spark, sf, "labs").select("lab_result_id", "result_value", "reference_low")
+    rows = store(spark, sf).feed("labs").select("lab_result_id", "result_value", "reference_low")
     return rescue(rows, {"result_value": "double", "reference_low": "double"})
 
 

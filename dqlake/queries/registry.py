@@ -6,6 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from dqlake.session import configure
+
 Query = Callable[[SparkSession, str], DataFrame]
 
 QUERIES: dict[str, Query] = {}
@@ -17,7 +19,7 @@ def query(sql: str | None = None, name: str | None = None) -> Callable[[Query],
 
     def add(fn: Query) -> Query:
         key = name or fn.__name__
-        QUERIES[key] = fn
+        QUERIES[key] = lambda spark, sf: fn(configure(spark), sf)
         if sql is not None:
             ORACLES[key] = sql
         return fn

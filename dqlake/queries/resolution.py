@@ -11,7 +11,7 @@ from dqlake.operators import (
 )
 from dqlake.plans import silver
 
-from .feeds import feed, table
+from .feeds import table
 from .oracle import nk, with_tables
 from .registry import query
 from .silver_store import store
@@ -108,7 +108,7 @@ def lookup_large(spark: SparkSession, sf: str) -> DataFrame:
     rows = st.feed("labs").select(normalize_key("visit_id").alias("visit_id"),
                                   normalize_key("lab_test_code").alias("lab_test_code"))
     found = lookup(rows, silver.trusted_visits(st.valid("visits")), {"visit_id": "_visit_key"},
-                   spread_nulls=True)
+                   spread_nulls=["lab_test_code"])
     return (found.groupBy("visit_id", "lab_test_code", F.col("_visit_subject").alias("visit_subject"),
                           F.col("_visit_key").isNotNull().alias("found"))
             .agg(n().alias("row_count")))
@@ -156,8 +156,8 @@ def inherit_site(spark: SparkSession, sf: str) -> DataFrame:
       AND NOT EXISTS (SELECT 1 FROM f_visits v WHERE {nk('v.visit_id')} = {nk('f_labs.visit_id')})
     GROUP BY 1""", "f_labs", "f_visits"), name="orphans")
 def lab_orphans(spark: SparkSession, sf: str) -> DataFrame:
-    labs = feed(spark, sf, "labs").select(normalize_key("visit_id").alias("visit_id"))
-    visits = feed(spark, sf, "visits").select(normalize_key("visit_id").alias("visit_id"))
+    labs = store(spark, sf).feed("labs").select(normalize_key("visit_id").alias("visit_id"))
+    visits = store(spark, sf).feed("visits").select(normalize_key("visit_id").alias("visit_id"))
     return orphans(labs, visits, {"visit_id": "visit_id"}).groupBy("visit_id").agg(n().alias("row_count"))
 
 
@@ -231,7 +231,7 @@ _LATE = "_source_file_name >= 'adverse_events_20240116.csv'"
     GROUP BY 1 HAVING count(*) > 1 OR bool_or(seen)""", "f_adverse_events"), name="reissued_keys")
 def reissued_events(spark: SparkSession, sf: str) -> DataFrame:
     """The deliveries from mid January on against those before."""
-    rows = feed(spark, sf, "adverse_events").select(normalize_key("ae_id").alias("ae_id"),
+    rows = store(spark, sf).feed("adverse_events").select(normalize_key("ae_id").alias("ae_id"),
                                                     "_source_file_name")
     late = F.col("_source_file_name") >= "adverse_events_20240116.csv"
     return reissued_keys(rows.where(late), rows.where(~late), "ae_id")

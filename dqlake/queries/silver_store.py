@@ -1,8 +1,8 @@
-"""Written trusted tables of the derived feeds.
+"""Written raw and trusted tables of the derived feeds.
 
-The metric queries read trusted tables, as in a real installation, and not one
-long plan from raw text. Each table is written once per session and data
-folder, under the shared folder of the session.
+Queries read the tables of the layer before, as in a real installation, and
+not one long plan from the test tables. Each table is written once per session
+and data folder, under the shared folder of the session.
 """
 
 from __future__ import annotations
@@ -22,7 +22,7 @@ _stores: dict[tuple[str, str], Store] = {}
 
 
 class Store:
-    """Validated, trusted and spine tables of one data folder."""
+    """Raw, validated, trusted and spine tables of one data folder."""
 
     def __init__(self, spark: SparkSession, sf: str):
         self.spark, self.sf = spark, sf
@@ -37,7 +37,8 @@ class Store:
         return self.spark.read.parquet(path)
 
     def feed(self, name: str) -> DataFrame:
-        return feed(self.spark, self.sf, name)
+        """The raw table of a feed."""
+        return self._table(f"raw_{name}", lambda: feed(self.spark, self.sf, name))
 
     def references(self) -> dict[str, DataFrame]:
         return references(self.spark, self.sf)

@@ -13,7 +13,7 @@ from dqlake.operators import (
 )
 from dqlake.plans import silver
 
-from .feeds import TABLES, feed, table
+from .feeds import TABLES, table
 from .oracle import b2n, nk, with_tables
 from .registry import query
 from .silver_store import store
@@ -36,7 +36,7 @@ def _missing_sql(cols, source: str, extra: str = "") -> str:
 
 @query(with_tables(_missing_sql(_VISIT_KEYS, "f_visits"), "f_visits"), name="key_completeness")
 def visit_key_completeness(spark: SparkSession, sf: str) -> DataFrame:
-    return key_completeness(feed(spark, sf, "visits"), _VISIT_KEYS)
+    return key_completeness(store(spark, sf).feed("visits"), _VISIT_KEYS)
 
 
 _LAB_COLS = ("result_value", "result_unit", "reference_low", "reference_high", "abnormal_flag")
@@ -46,7 +46,7 @@ _LAB_COLS = ("result_value", "result_unit", "reference_low", "reference_high", "
                                 ", (count(*) FILTER (WHERE {c} IS NULL)) / count(*) AS missing_rate"),
                    "f_labs"), name="missing_values")
 def lab_missing_values(spark: SparkSession, sf: str) -> DataFrame:
-    return missing_values(feed(spark, sf, "labs"), _LAB_COLS)
+    return missing_values(store(spark, sf).feed("labs"), _LAB_COLS)
 
 
 @query(with_tables(f"""
@@ -54,7 +54,7 @@ def lab_missing_values(spark: SparkSession, sf: str) -> DataFrame:
     WHERE {nk('lab_result_id')} IS NOT NULL GROUP BY 1 HAVING count(*) > 1""", "f_labs"),
     name="duplicate_groups")
 def duplicate_labs(spark: SparkSession, sf: str) -> DataFrame:
-    return duplicate_groups(feed(spark, sf, "labs"), {"lab_result_id": normalize_key("lab_result_id")})
+    return duplicate_groups(store(spark, sf).feed("labs"), {"lab_result_id": normalize_key("lab_result_id")})
 
 
 @query("""
@@ -134,7 +134,7 @@ def mapping_coverage_severity(spark: SparkSession, sf: str) -> DataFrame:
       0 AS rescued_rows, count(DISTINCT _source_file_name) AS source_files FROM f_visits""", "f_visits"),
     name="profile")
 def visit_profile(spark: SparkSession, sf: str) -> DataFrame:
-    return profile(feed(spark, sf, "visits"), "visit_id", _VISIT_KEYS, "_source_file_name",
+    return profile(store(spark, sf).feed("visits"), "visit_id", _VISIT_KEYS, "_source_file_name",
                    "_rescued_data")
 
 
@@ -146,14 +146,14 @@ _PATTERN = f"""CASE WHEN {b2n('result_value')} IS NULL AND {b2n('result_unit')}
 @query(with_tables(f"SELECT {_PATTERN} AS pattern, count(*) AS row_count FROM f_labs GROUP BY 1", "f_labs"),
        name="missing_patterns")
 def lab_missing_patterns(spark: SparkSession, sf: str) -> DataFrame:
-    return missing_patterns(feed(spark, sf, "labs"), ["result_value", "result_unit"])
+    return missing_patterns(store(spark, sf).feed("labs"), ["result_value", "result_unit"])
 
 
 @query(with_tables(f"""
     SELECT lab_vendor, {_PATTERN} AS pattern, count(*) AS row_count FROM f_labs
     WHERE {_PATTERN} <> 'complete' GROUP BY 1, 2""", "f_labs"))
 def missing_patterns_by_vendor(spark: SparkSession, sf: str) -> DataFrame:
-    return missing_patterns(feed(spark, sf, "labs"), ["result_value", "result_unit"],
+    return missing_patterns(store(spark, sf).feed("labs"), ["result_value", "result_unit"],
                             by=["lab_vendor"], only_incomplete=True)
 
 

@@ -13,10 +13,20 @@ SETTINGS = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
+    # Wide projections can pass the size above which the JVM stops compiling a
+    # method; Spark then had better not fuse the stage.
+    "spark.sql.codegen.hugeMethodLimit": "8000",
     "spark.sql.session.timeZone": "UTC",
 }
 
 
+def configure(spark: SparkSession) -> SparkSession:
+    """Apply the settings to a running session; all can be changed at run time."""
+    for key, value in SETTINGS.items():
+        spark.conf.set(key, value)
+    return spark
+
+
 def local_session(cpus: str | int | None = None, memory: str = "8g") -> SparkSession:
     cpus = cpus or os.environ.get("BENCH_CPUS", "8")
     builder = (
