@@ -63,12 +63,17 @@ def sum_constraint(
 def orphan_counts(
     relations: Mapping[str, tuple[DataFrame, DataFrame, Mapping[str, str]]]
 ) -> DataFrame:
-    """Orphan rows per named relationship ``(child, parent, {child col: parent col})``."""
-    return stack(*[
-        orphans(child, parent, on).agg(n().alias("orphan_rows"))
-        .select(F.lit(name).alias("relationship"), "orphan_rows")
-        for name, (child, parent, on) in relations.items()
-    ])
+    """Orphan rows per named relationship ``(child, parent, {child col: parent col})``.
+
+    The child is counted per key first: the join then sees each key once,
+    however many rows share it.
+    """
+    counted = []
+    for name, (child, parent, on) in relations.items():
+        per_key = child.groupBy(*on).agg(n().alias("__n"))
+        lost = orphans(per_key, parent, on).agg(F.coalesce(F.sum("__n"), F.lit(0)).alias("orphan_rows"))
+        counted.append(lost.select(F.lit(name).alias("relationship"), "orphan_rows"))
+    return stack(*counted)
 
 
 def lineage_completeness(df: DataFrame, cols: Sequence[str] = LINEAGE) -> DataFrame:

@@ -86,6 +86,7 @@ def scd2(
     track_except: Sequence[str] = (),
     drop: Sequence[str] = (),
     hot_rows: int | None = HOT_ROWS,
+    unique: bool = False,
 ) -> DataFrame:
     """Type 2 history of an upsert-only change feed.
 
@@ -93,7 +94,8 @@ def scd2(
     ``sequence`` columns; the current version has a NULL end. A change only in
     ``track_except`` columns opens no version but updates the open one. ``drop``
     columns are used for nothing but the sequence. Rows equal in key and
-    sequence count once (the greatest row wins).
+    sequence count once (the greatest row wins); ``unique`` states that there
+    are none and saves the shuffle that looks for them.
 
     Keys above ``hot_rows`` rows go through two levels: versions within each
     value of the first sequence column, then across those values, of which only
@@ -111,13 +113,13 @@ def scd2(
                      _struct(sequence).alias("__start"), _struct(tracked).alias("__state"),
                      _struct(untracked).alias("__tail"))
     seq_cols = [f"__seq_{s}" for s in sequence]
-    one = Window.partitionBy(*keys, *seq_cols).orderBy(F.desc("__state"), F.desc("__tail"))
-    rows = (
-        rows.withColumn("__rn", F.row_number().over(one)).where("__rn = 1")
-        .withColumns({"__end": F.lit(None).cast(rows.schema["__start"].dataType),
-                      "__forced": F.lit(False), "__chunk": F.col(seq_cols[0])})
-        .drop("__rn", *seq_cols)
-    )
+    if not unique:
+        one = Window.partitionBy(*keys, *seq_cols).orderBy(F.desc("__state"), F.desc("__tail"))
+        rows = rows.withColumn("__rn", F.row_number().over(one)).where("__rn = 1").drop("__rn")
+    rows = rows.withColumns({
+        "__end": F.lit(None).cast(rows.schema["__start"].dataType),
+        "__forced": F.lit(False), "__chunk": F.col(seq_cols[0]),
+    }).drop(*seq_cols)
 
     if hot_rows is None:
         versions = _merge_runs(rows, keys, sequence)

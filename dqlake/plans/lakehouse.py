@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from dqlake.functions import stamp
 from dqlake.operators import Layers, reissued_keys
+from dqlake.session import configure
 from dqlake.sources import ingest_feed, ingest_snapshot, text_schema
 from dqlake.streaming import apply_changes, read_history, read_quarantine, read_valid, route_feed
 
@@ -32,7 +33,8 @@ class Lakehouse:
     """
 
     def __init__(self, spark: SparkSession, landing: str, root: str, as_of: date):
-        self.spark, self.landing, self.root = spark, landing.rstrip("/"), root.rstrip("/")
+        self.spark = configure(spark)
+        self.landing, self.root = landing.rstrip("/"), root.rstrip("/")
         self.as_of = F.lit(as_of)
 
     def path(self, layer: str, name: str) -> str:

@@ -104,13 +104,14 @@ def release_gate(spark: SparkSession, sf: str) -> DataFrame:
       CASE WHEN k IS NULL THEN 'UNMAPPED' WHEN cnt > 1 THEN 'AMBIGUOUS' ELSE 'MAPPED' END AS mapping_status
     FROM (SELECT {nk('p_name')} AS raw_value, count(*) AS record_count FROM part
           WHERE {nk('p_name')} IS NOT NULL GROUP BY 1)
-    LEFT JOIN (SELECT {nk('p_name')} AS k, string_agg(DISTINCT p_type, ',' ORDER BY p_type) AS vals,
-                 count(DISTINCT p_type) AS cnt FROM part WHERE p_size >= 40 GROUP BY 1) ON raw_value = k""",
+    LEFT JOIN (SELECT CASE WHEN p_size >= 40 THEN {nk('p_name')} END AS k,
+                 string_agg(DISTINCT p_type, ',' ORDER BY p_type) AS vals,
+                 count(DISTINCT p_type) AS cnt FROM part GROUP BY 1) ON raw_value = k""",
     name="mapping_coverage")
 def part_mapping(spark: SparkSession, sf: str) -> DataFrame:
-    """Part names against a reference made of the large parts."""
+    """Part names against a reference in which the smaller parts have no name."""
     part = table(spark, sf, "part")
-    ref = part.where("p_size >= 40").select(normalize_key("p_name").alias("name"), "p_type")
+    ref = part.select(F.when(F.col("p_size") >= 40, normalize_key("p_name")).alias("name"), "p_type")
     return mapping_coverage(part, normalize_key("p_name"), ref, "name", "p_type")
 
 

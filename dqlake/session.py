@@ -16,7 +16,6 @@ SETTINGS = {
     # Wide projections can pass the size above which the JVM stops compiling a
     # method; Spark then had better not fuse the stage.
     "spark.sql.codegen.hugeMethodLimit": "8000",
-    "spark.sql.session.timeZone": "UTC",
 }
 
 
@@ -35,6 +34,7 @@ def local_session(cpus: str | int | None = None, memory: str = "8g") -> SparkSes
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
         .config("spark.driver.memory", memory)
+        .config("spark.sql.session.timeZone", "UTC")
     )
     for key, value in SETTINGS.items():
         builder = builder.config(key, value)

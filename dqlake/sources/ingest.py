@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Mapping
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
@@ -105,9 +106,9 @@ def landing_inventory(spark: SparkSession, root: str) -> DataFrame:
         spark.read.format("binaryFile").option("recursiveFileLookup", True).load(root)
         .select("path", "modificationTime", "length")
     )
-    base = root.rstrip("/").split("://")[-1].split("/")
-    depth = len([p for p in base if p])
-    inner = F.filter(F.split(F.regexp_replace("path", r"^[a-z0-9]+:/+", ""), "/"), lambda p: p != "")
+    scheme = r"^[a-z0-9]+:/+"
+    depth = len([p for p in re.sub(scheme, "", root).split("/") if p])
+    inner = F.filter(F.split(F.regexp_replace("path", scheme, ""), "/"), lambda p: p != "")
     inner = F.slice(inner, depth + 1, F.size(inner) - depth)
     parts = files.withColumn("__p", inner)
     nested = F.size("__p") > 1
