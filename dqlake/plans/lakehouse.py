@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Mapping
 from datetime import date
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
@@ -28,14 +29,21 @@ class Lakehouse:
     """Paths and steps of one installation.
 
     ``landing`` holds the delivered files, ``root`` the tables and checkpoints;
-    both must be visible to every executor. ``run`` does the steps in order.
-    Each step can be repeated and takes only what is new.
+    both must be visible to every executor. ``folders`` overrides where below
+    ``landing`` a table's files lie. ``run`` does the steps in order. Each step
+    can be repeated and takes only what is new.
     """
 
-    def __init__(self, spark: SparkSession, landing: str, root: str, as_of: date):
+    def __init__(self, spark: SparkSession, landing: str, root: str, as_of: date,
+                 folders: Mapping[str, str] | None = None):
         self.spark = configure(spark)
         self.landing, self.root = landing.rstrip("/"), root.rstrip("/")
         self.as_of = F.lit(as_of)
+        self.folders = dict(folders or {})
+
+    def _source(self, name: str) -> str:
+        spec = s.MASTERS.get(name) or s.FEEDS[name]
+        return f"{self.landing}/{self.folders.get(name, spec.folder)}"
 
     def path(self, layer: str, name: str) -> str:
         return f"{self.root}/{layer}/{name}"
@@ -52,11 +60,11 @@ class Lakehouse:
     def ingest(self) -> None:
         """Masters are read whole, feeds file by file, each file once."""
         for name, spec in s.MASTERS.items():
-            ingest_snapshot(self.spark, f"{self.landing}/{spec.folder}", text_schema(spec.columns),
+            ingest_snapshot(self.spark, self._source(name), text_schema(spec.columns),
                             self.path("bronze", s.BRONZE_NAMES[name]), self.as_of)
         for name, feed in s.FEEDS.items():
             table = s.BRONZE_NAMES[name]
-            ingest_feed(self.spark, f"{self.landing}/{feed.folder}", text_schema(feed.columns),
+            ingest_feed(self.spark, self._source(name), text_schema(feed.columns),
                         self.path("bronze", table), self._checkpoint(f"bronze_{table}"),
                         self.as_of, RAW_TYPES[name])
 

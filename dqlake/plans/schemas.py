@@ -36,8 +36,9 @@ FEEDS = {
 class Master(NamedTuple):
     """A full-refresh table and how its trusted form is made.
 
-    ``keys`` identify a row after normalising; ``upper`` columns are
-    categories; ``types`` are safe casts.
+    ``keys`` identify a row by their trimmed text, without regard to case if
+    ``fold``; mapping tables keep case variants, which their use collapses.
+    ``upper`` columns are categories; ``types`` are safe casts.
     """
 
     folder: str
@@ -45,6 +46,7 @@ class Master(NamedTuple):
     keys: tuple[str, ...]
     upper: tuple[str, ...] = ()
     types: dict[str, str] = {}
+    fold: bool = False
 
 
 # Column names as delivered, business keys and types.
@@ -56,9 +58,10 @@ MASTERS = {
     "dim_product": Master("master/products", (
         "product_id", "sponsor_id", "product_code", "product_name", "active_ingredient",
         "modality", "mechanism_of_action", "product_status"), ("product_id",)),
-    "ref_country_region": Master("reference/country_region", ("country", "region"), ("country",)),
-    "ref_geography": Master("reference/geography", ("city", "country", "region"),
-                            ("city", "country")),
+    "ref_country_region": Master("reference/country_region.csv", ("country", "region"), ("country",),
+                                 fold=True),
+    "ref_geography": Master("reference/geography.csv", ("city", "country", "region"),
+                            ("city", "country"), fold=True),
     "dim_site": Master("ctms/sites", (
         "site_id", "study_id", "institution_id", "site_name", "country", "city",
         "principal_investigator", "target_subjects", "activation_date", "site_status"),
@@ -73,17 +76,16 @@ MASTERS = {
         "study_id", "arm_code", "arm_label", "product_id", "product_role", "dose", "dose_unit",
         "dosing_schedule", "planned_allocation_pct"), ("study_id", "arm_code"), (),
         {"dose": "int", "planned_allocation_pct": "int"}),
-    "ref_diagnosis": Master("reference/diagnosis_mapping", (
+    "ref_diagnosis": Master("reference/diagnosis_mapping.csv", (
         "diagnosis_code", "diagnosis_description"), ("diagnosis_code",)),
-    "ref_lab_test": Master("reference/lab_test_reference", (
+    "ref_lab_test": Master("reference/lab_test_reference.csv", (
         "lab_test_code", "lab_test_name", "standard_unit", "reference_low", "reference_high"),
         ("lab_test_code",), (), {"reference_low": "double", "reference_high": "double"}),
-    "ref_severity": Master("reference/severity_mapping", (
-        "raw_severity", "standard_severity", "severity_rank"), ("raw_severity",),
-        ("standard_severity",), {"severity_rank": "int"}),
-    "ref_sex": Master("reference/sex_mapping", ("raw_sex", "standard_sex"), ("raw_sex",),
-                      ("standard_sex",)),
-    "ref_unit": Master("reference/unit_mapping", (
+    "ref_severity": Master("reference/severity_mapping.csv", (
+        "raw_severity", "standard_severity", "severity_rank"), ("raw_severity",), (),
+        {"severity_rank": "int"}),
+    "ref_sex": Master("reference/sex_mapping.csv", ("raw_sex", "standard_sex"), ("raw_sex",)),
+    "ref_unit": Master("reference/unit_mapping.csv", (
         "lab_test_code", "raw_unit", "standard_unit", "conversion_factor"),
         ("lab_test_code", "raw_unit"), (), {"conversion_factor": "double"}),
 }

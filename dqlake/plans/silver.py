@@ -32,15 +32,15 @@ Tables = Mapping[str, DataFrame]
 # --- dimensions and references -------------------------------------------------
 
 def dimension(raw: DataFrame, spec: s.Master) -> DataFrame:
-    """Latest row per normalised key, trimmed and typed.
+    """Latest row per key, trimmed and typed; placeholders in keys and ids are NULL.
 
     A refresh stamps all its rows alike, so the file name decides before the
     remaining columns do.
     """
-    clean = raw.withColumns({c: blank_to_null(c) for c in spec.columns})
-    latest = dedupe_latest(
-        clean, {k: normalize_key(k) for k in spec.keys}, ["_ingestion_ts", "_source_file_name"]
-    )
+    ids = {c for c in spec.columns if c in spec.keys or c.endswith("_id")}
+    clean = raw.withColumns({c: blank_to_null(c) if c in ids else F.trim(c) for c in spec.columns})
+    keys = {k: F.upper(k) if spec.fold else F.col(k) for k in spec.keys}
+    latest = dedupe_latest(clean, keys, ["_ingestion_ts", "_source_file_name"])
     latest = latest.withColumns({c: F.upper(c) for c in spec.upper})
     return typed(latest, spec.types).select(*spec.columns, *LINEAGE)
 

@@ -98,9 +98,9 @@ def landing_inventory(spark: SparkSession, root: str) -> DataFrame:
     """File counts, sizes and modification times per family and dataset.
 
     Only file metadata is read. Below ``root`` the first folder is the family
-    and the last one the dataset; files right under ``root`` are their own
-    dataset of the family ``.``. The name list grows with the deliveries of one
-    dataset, not with their rows.
+    and a folder below that the dataset; a file right in a family is a dataset
+    by itself, and one right under ``root`` belongs to the family ``.``. The
+    name list grows with the deliveries of one dataset, not with their rows.
     """
     files = (
         spark.read.format("binaryFile").option("recursiveFileLookup", True).load(root)
@@ -111,12 +111,12 @@ def landing_inventory(spark: SparkSession, root: str) -> DataFrame:
     inner = F.filter(F.split(F.regexp_replace("path", scheme, ""), "/"), lambda p: p != "")
     inner = F.slice(inner, depth + 1, F.size(inner) - depth)
     parts = files.withColumn("__p", inner)
-    nested = F.size("__p") > 1
+    depth_left = F.size("__p")
     name = F.element_at("__p", -1)
     return (
         parts.select(
-            F.when(nested, F.element_at("__p", 1)).otherwise(".").alias("family"),
-            F.when(nested, F.element_at("__p", -2))
+            F.when(depth_left > 1, F.element_at("__p", 1)).otherwise(".").alias("family"),
+            F.when(depth_left > 2, F.element_at("__p", -2))
             .otherwise(F.regexp_extract(name, r"^([^.]+)", 1)).alias("dataset"),
             name.alias("file_name"), "length", "modificationTime",
         )

@@ -96,6 +96,9 @@ def deliver(root: Path, feed: str, stamp: str, data) -> None:
 def write_landing(root: Path) -> None:
     for name, data in MASTER_ROWS.items():
         spec = MASTERS[name]
-        write_csv(root, spec.folder, f"{spec.folder.split('/')[-1]}_20260907.csv", spec.columns, data)
+        folder, name = spec.folder.rsplit("/", 1)
+        if not name.endswith(".csv"):
+            folder, name = spec.folder, f"{name}_20260907.csv"
+        write_csv(root, folder, name, spec.columns, data)
     for (feed, stamp), data in FEED_ROWS.items():
         deliver(root, feed, stamp, data)

@@ -5,7 +5,8 @@ from datetime import date
 import pytest
 from pyspark.sql import functions as F
 
-from dqlake.operators import END, START, Layers, gate, reconcile, scd2_check
+from dqlake.functions import normalize_key
+from dqlake.operators import END, START, gate, reconcile, reference_conflicts, scd2_check
 from dqlake.plans import Lakehouse, silver
 from dqlake.sources import landing_inventory
 
@@ -80,6 +81,13 @@ def test_dimensions(lake):
     assert lake.read("silver", "ref_geography").count() == 1
     site = lake.read("silver", "dim_site").where("site_id = '102-001'").first()
     assert (site.target_subjects, site.site_status) == (None, "CLOSED")
+    placebo = lake.read("silver", "dim_product").where("product_id = 'PRD-999'").first()
+    assert (placebo.sponsor_id, placebo.modality) == (None, "-")
+    # Case variants of a raw value stay apart in the mapping and agree in their meaning.
+    assert lake.read("silver", "ref_sex").count() == len(landing.MASTER_ROWS["ref_sex"])
+    for name, key, value in (("ref_sex", "raw_sex", "standard_sex"), ("ref_severity", "raw_severity", "severity_rank")):
+        conflicts = reference_conflicts(lake.read("silver", name), {key: normalize_key(key)}, [F.col(value)])
+        assert conflicts.count() == 0
 
 
 def test_gold(lake):
@@ -100,7 +108,8 @@ def test_gold(lake):
 
 def test_landing_inventory(spark, lake):
     got = {(r.family, r.dataset): r.file_count for r in landing_inventory(spark, lake.landing).collect()}
-    assert got[("edc", "subjects")] == 3 and len(got) == 17
+    assert got[("edc", "subjects")] == 3 and got[("reference", "sex_mapping")] == 1
+    assert len(got) == 17 and sum(got.values()) == 19
 
 
 def test_next_deliveries(spark, lake):

@@ -142,3 +142,34 @@ def test_calendar_and_running_sum(spark):
 def test_profile_top(rows):
     df = rows("k string", ("a",), ("b",), ("b",), ("c",), ("c",))
     assert tuples(o.profile_top(df, "k", 2, {"c": n()})) == [("b", 2), ("c", 2)]
+
+
+def test_hot_key_is_split_in_large_lookups(spark):
+    """A third of the rows share one key: the join reads their partition in pieces."""
+    conf = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+            "spark.sql.shuffle.partitions": "32",
+            "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "50KB",
+            "spark.sql.adaptive.advisoryPartitionSizeInBytes": "50KB"}
+    old = {k: spark.conf.get(k, None) for k in conf}
+    for k, v in conf.items():
+        spark.conf.set(k, v)
+    try:
+        facts = spark.range(0, 200_000, 1, 8).select(
+            "id", F.when(F.col("id") % 3 == 0, "HOT").otherwise(F.concat(F.lit("K"), F.col("id") % 997)).alias("k"),
+            F.sha2(F.col("id").cast("string"), 256).alias("payload"))
+        ref = spark.range(997).select(F.concat(F.lit("K"), "id").alias("_k"), F.col("id").alias("_v"))
+        ref = ref.union(spark.createDataFrame([("HOT", -1)], "_k string, _v bigint"))
+        got = o.lookup(facts, ref, {"k": "_k"})
+        per_group = got.groupBy("_v").agg(n().alias("c"), F.max("payload"))
+        counts = {x["_v"]: x.c for x in per_group.collect()}
+        assert counts[-1] == 66_667 and sum(counts.values()) == 200_000 and None not in counts
+        assert "skew=true" in per_group._jdf.queryExecution().executedPlan().toString()
+    finally:
+        for k, v in old.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+
+
+def test_orphan_counts_with_a_hot_key(rows):
+    child = rows("k string", *[("gone",)] * 50, ("a",), (None,))
+    parent = rows("p string", ("a",))
+    assert tuples(o.orphan_counts({"r": (child, parent, {"k": "p"}), "s": (child, child, {"k": "k"})})) == [("r", 50), ("s", 0)]
