@@ -87,6 +87,7 @@ def scd2(
     drop: Sequence[str] = (),
     hot_rows: int | None = HOT_ROWS,
     unique: bool = False,
+    chunk: Column | None = None,
 ) -> DataFrame:
     """Type 2 history of an upsert-only change feed.
 
@@ -98,10 +99,12 @@ def scd2(
     are none and saves the shuffle that looks for them.
 
     Keys above ``hot_rows`` rows go through two levels: versions within each
-    value of the first sequence column, then across those values, of which only
-    the first and last version take part. So no task has to sort a whole hot
-    key. The input is read once to count keys and once per branch: pass a
-    written table, not a long plan. None skips the split.
+    chunk, then across the chunks, of which only the first and last version
+    take part. So no task has to sort a whole hot key. A chunk is one value of
+    the first sequence column, or of ``chunk``: any expression that never falls
+    along the sequence, for deliveries that need finer or coarser cuts. The
+    input is read once to count keys and once per branch: pass a written table,
+    not a long plan. None skips the split.
     """
     fixed = {*keys, *sequence, *track_except, *drop}
     tracked = [c for c in df.columns if c not in fixed]
@@ -109,7 +112,8 @@ def scd2(
     if not tracked:
         raise ValueError("scd2 needs at least one tracked column")
 
-    rows = df.select(*keys, *[F.col(s).alias(f"__seq_{s}") for s in sequence],
+    cut = F.col(sequence[0]) if chunk is None else chunk
+    rows = df.select(*keys, *[F.col(s).alias(f"__seq_{s}") for s in sequence], cut.alias("__chunk"),
                      _struct(sequence).alias("__start"), _struct(tracked).alias("__state"),
                      _struct(untracked).alias("__tail"))
     seq_cols = [f"__seq_{s}" for s in sequence]
@@ -118,7 +122,7 @@ def scd2(
         rows = rows.withColumn("__rn", F.row_number().over(one)).where("__rn = 1").drop("__rn")
     rows = rows.withColumns({
         "__end": F.lit(None).cast(rows.schema["__start"].dataType),
-        "__forced": F.lit(False), "__chunk": F.col(seq_cols[0]),
+        "__forced": F.lit(False),
     }).drop(*seq_cols)
 
     if hot_rows is None:

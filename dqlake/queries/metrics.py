@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from dqlake.operators import Layers
 from dqlake.plans import gold
 
-from .oracle import DAY, big, nk, ratio, with_tables
+from .oracle import DAY, big, ratio, with_tables
 from .registry import query
 from .silver_store import as_of, store
 
@@ -115,11 +115,13 @@ def enrollment_timeseries(spark: SparkSession, sf: str) -> DataFrame:
     return _plain(gold.enrollment_timeseries(store(spark, sf).spine(), as_of()))
 
 
+_FIRST = "first_screening_date"
+_WHOLE = f"((year({DAY}) - year({_FIRST})) * 12 + month({DAY}) - month({_FIRST}))"
+# Months between two dates: whole between equal days or two month ends, else 31sts.
 _MONTHS = f"""
-    CASE WHEN day({DAY}) = day(d) OR ({DAY} = last_day({DAY}) AND d = last_day(d)) THEN
-      CAST((year({DAY}) - year(d)) * 12 + month({DAY}) - month(d) AS DOUBLE)
-    ELSE round((year({DAY}) - year(d)) * 12 + month({DAY}) - month(d)
-               + (day({DAY}) - day(d)) / CAST(31 AS DOUBLE), 8) END""".replace(" d)", " first_screening_date)").replace("(d)", "(first_screening_date)").replace("AND d =", "AND first_screening_date =")
+    CASE WHEN day({DAY}) = day({_FIRST}) OR ({DAY} = last_day({DAY}) AND {_FIRST} = last_day({_FIRST}))
+      THEN CAST({_WHOLE} AS DOUBLE)
+      ELSE round({_WHOLE} + (day({DAY}) - day({_FIRST})) / CAST(31 AS DOUBLE), 8) END"""
 
 
 @query(with_tables(f"""

@@ -63,7 +63,7 @@ def validate_labs(spark: SparkSession, sf: str) -> DataFrame:
     return rows.select(*LAB_COLUMNS, *_outcome())
 
 
-def _over(name: str, cte: str, select: str) -> str:
+def _over(cte: str, select: str) -> str:
     return with_tables(select.format(v=cte), cte)
 
 
@@ -77,17 +77,17 @@ _IMPACT = """
           FROM {v})"""
 
 
-@query(_over("subjects", "subjects_v", _IMPACT), name="dq_impact")
+@query(_over("subjects_v", _IMPACT), name="dq_impact")
 def subjects_impact(spark: SparkSession, sf: str) -> DataFrame:
     return dq_impact(store(spark, sf).subjects())
 
 
-@query(_over("labs", "labs_v", _IMPACT))
+@query(_over("labs_v", _IMPACT))
 def dq_impact_labs(spark: SparkSession, sf: str) -> DataFrame:
     return dq_impact(store(spark, sf).labs())
 
 
-@query(_over("subjects", "subjects_v", """
+@query(_over("subjects_v", """
     SELECT failure_reason, count(*) AS failed_records FROM (
       SELECT unnest(string_split(why, ';')) AS failure_reason FROM {v} WHERE why <> '') GROUP BY 1"""),
     name="dq_breakdown")
@@ -95,7 +95,7 @@ def subjects_breakdown(spark: SparkSession, sf: str) -> DataFrame:
     return dq_breakdown(store(spark, sf).subjects())
 
 
-@query(_over("labs", "labs_v", """
+@query(_over("labs_v", """
     SELECT why AS failure_combination, count(*) AS failed_records FROM {v} WHERE why <> '' GROUP BY 1"""),
     name="dq_combinations")
 def labs_combinations(spark: SparkSession, sf: str) -> DataFrame:
@@ -136,7 +136,7 @@ def subjects_domain(spark: SparkSession, sf: str) -> DataFrame:
         r.missing("arm_missing", "arm_code"), r.Rule("unmapped_sex", F.col("sex") == "UNMAPPED")])
 
 
-@query(with_tables(f"""
+@query(with_tables("""
     SELECT 'now valid' AS outcome, count(*) AS row_count FROM visits_v
       WHERE why <> '' AND replace(replace(why, 'invalid_visit_status', ''), ';', '') = ''
     UNION ALL SELECT 'still rejected', count(*) FROM visits_v

@@ -106,6 +106,19 @@ def test_gold(lake):
     assert rules.where("source_entity = 'lab_results' and dq_rule = 'unknown_silver_visit'").first().site_id == "101-001"
 
 
+def test_validation_runs_inside_a_stream(spark, lake):
+    """Stream-static joins and rules without a micro-batch function give the routed rows."""
+    bronze = lake.path("bronze", "edc_visits")
+    stream = spark.readStream.schema(spark.read.parquet(bronze).schema).parquet(bronze)
+    checked = silver.validate_visits(stream, lake.dimensions(), lake.history())
+    query = (checked.writeStream.format("memory").queryName("checked_visits").outputMode("append")
+             .trigger(availableNow=True).start())
+    query.awaitTermination()
+    got = spark.table("checked_visits").where("not _is_valid")
+    got = {r.visit_id: ";".join(r._dq_failures) for r in got.collect()}
+    assert got == reasons(lake.quarantine("visits"), "visit_id")
+
+
 def test_landing_inventory(spark, lake):
     got = {(r.family, r.dataset): r.file_count for r in landing_inventory(spark, lake.landing).collect()}
     assert got[("edc", "subjects")] == 3 and got[("reference", "sex_mapping")] == 1

@@ -63,6 +63,19 @@ def test_hot_split_many_feeds(rows):
         assert as_set(scd2(rows(SCHEMA, *feed), ["k"], hot_rows=0, **OPTIONS)) == expected(feed)
 
 
+def test_other_chunks_give_the_same(rows):
+    feed = random_feed(11)
+    for chunk in (F.floor(F.col("day") / 5), F.struct("day", "file"), F.lit(0)):
+        assert as_set(scd2(rows(SCHEMA, *feed), ["k"], hot_rows=0, chunk=chunk, **OPTIONS)) == expected(feed)
+
+
+def test_unique_sequence_needs_no_dedupe(rows):
+    feed = [("k", d, "f", s, f"n{d}") for d, s in enumerate("aabbca")]
+    for hot_rows in (None, 0):
+        got = scd2(rows(SCHEMA, *feed), ["k"], hot_rows=hot_rows, unique=True, **OPTIONS)
+        assert as_set(got) == expected(feed)
+
+
 def test_missing_key_is_kept(rows):
     feed = [(None, 1, "f", "a", "x"), (None, 2, "f", "b", "y"), ("k", 1, "f", "a", "z")]
     for hot_rows in (None, 0):
