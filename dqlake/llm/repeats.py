@@ -151,9 +151,10 @@ def _longer_keys(length: int, parts: int | None):
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, 500):
-            out: list[list[np.ndarray]] = [[] for _ in range(5)]
-            cols = [batch.column(batch.schema.get_field_index(k)).to_pylist() for k in ("w1", "w2", "pos", "low", "bytes")]
-            for w1, w2, pos, low, raw in zip(*cols, strict=True):
+            out: list[list[np.ndarray]] = [[] for _ in range(8)]
+            cols = [batch.column(batch.schema.get_field_index(k)).to_pylist()
+                    for k in ("w1", "w2", "rid", "pos", "low", "bytes", "many")]
+            for w1, w2, rid, pos, low, raw, many in zip(*cols, strict=True):
                 roll, a = Rolling(np.frombuffer(raw, np.uint8)), pos - low
                 if parts:
                     # a string that starts at a - o holds the stretch from the last step before o
@@ -165,9 +166,11 @@ def _longer_keys(length: int, parts: int | None):
                 ok = (begin >= 0) & (end <= len(raw))
                 begin, end = begin[ok], end[ok]
                 for o, v in zip(out, (np.full(len(begin), w1), np.full(len(begin), w2), roll.of(begin, end).view(np.int64),
-                                      roll.of(begin, end, 1).view(np.int64), begin - a), strict=True):
+                                      roll.of(begin, end, 1).view(np.int64), begin - a,
+                                      np.full(len(begin), rid), begin + low, np.full(len(begin), int(many))), strict=True):
                     o.append(v)
-            yield pa.RecordBatch.from_arrays([pa.array(flat(o, np.int64)) for o in out], ["w1", "w2", "key", "key2", "at"])
+            yield pa.RecordBatch.from_arrays([pa.array(flat(o, np.int64)) for o in out],
+                                             ["w1", "w2", "key", "key2", "at", "rid", "start", "many"])
 
     return run
 
@@ -401,13 +404,16 @@ def repeated_spans(docs: DataFrame, length: int = 400, id_col: str = "doc_id", t
     if not crowd.isEmpty():
         for level in LONGER:
             longer = windows.join(crowd, ["w1", "w2"]).mapInArrow(
-                _longer_keys(length, level), "w1 long, w2 long, key long, key2 long, at long")
-            longer = keep(longer, "longer")
-            size = longer.groupBy("key", "key2").agg(F.count("*").alias("kinds")).where("kinds > 1")
+                _longer_keys(length, level), "w1 long, w2 long, key long, key2 long, at long, rid long, start long, many long")
+            longer = keep(longer.withColumn("place", F.struct("rid", "start")), "longer")
+            # windows of one text overlap, so the same place may come more than once
+            size = (longer.groupBy("key", "key2")
+                    .agg(F.count("*").alias("kinds"), F.min("place").alias("lo"), F.max("place").alias("hi"), F.max("many").alias("many"))
+                    .where("lo <> hi or many = 1").drop("lo", "hi", "many"))
             if level is None:
                 found.append(longer.join(size, ["key", "key2"]).select("w1", "w2", F.col("at").alias("low"), F.col("at").alias("high")))
                 break
-            sized = longer.join(size, ["key", "key2"]).select("key", "w1", "w2", "kinds")
+            sized = longer.join(size.where("kinds > 1"), ["key", "key2"]).select("key", "w1", "w2", "kinds")
             parts.append((sized.where(f"kinds <= {CROWD}").select("key", "w1", "w2").distinct(), None))
             crowd = keep(sized.where(f"kinds > {CROWD}").select("w1", "w2").distinct(), "crowd")
             if crowd.isEmpty():
