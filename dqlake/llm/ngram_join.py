@@ -12,7 +12,9 @@ rounds. In the first, each set meets only the smallest set of its prefix n-gram
 the verified pairs give provisional components. In the second, the trees join everything that
 shares a prefix n-gram *across* provisional components, so that no link that could change a
 component is missed. N-grams shared by very many sets are split into square cells of bounded
-size. Every candidate pair is verified on the whole sets.
+size. A candidate pair is first held against
+the sets' counts in hash bins, which bound their overlap from above, and is then verified on the
+whole sets.
 """
 
 from __future__ import annotations
@@ -36,6 +38,8 @@ SLOTS = 1 << 16
 HOT = 4096
 #: Side of a cell in which a tree joins sets. Any value gives the same result.
 CELL = 1024
+#: Ids that a join may send to every task (16 bytes each); more are shuffled.
+LISTED = 1_000_000
 #: N-grams after the shared one that go into the trees. Any value gives the same result.
 WINDOW = 12
 
@@ -127,16 +131,68 @@ def _shared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield from table.select(["token", "s1", "s2", "n", "pos"]).filter(pa.array(take)).to_batches()
 
 
-def _token_lists(size: int, order):
-    """The whole set of each row's text, in the global order."""
+def _described(size: int, percent: int, order):
+    """For each row its set's counts in bins, and what follows the listed n-grams in the set. A row
+    that does not have them stands under the id of another text and is left out."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words, hits = WordHashes(), order.value
+        item = pa.struct([("token", pa.int64()), ("pos", pa.int32()), ("window", pa.list_(pa.int32()))])
         for batch in slices(batches, 500):
-            sets = [_ordered(shingle_set(words.of(t), size), hits) for t in batch.column(1).to_pylist()]
+            out = []
+            for node, text, at in zip(*(batch.column(i).to_pylist() for i in range(3)), strict=True):
+                h = _ordered(shingle_set(words.of(text), size), hits)
+                t, short = signed(h), h.astype(np.uint32).view(np.int32)
+                if any(x["pos"] >= len(t) or t[x["pos"]] != x["token"] for x in at):
+                    continue
+                out.append((node, len(h), _bins(h), [x | {"window": short[x["pos"] + 1:x["pos"] + 1 + WINDOW].tolist()} for x in at]))
+            kinds = (pa.int64(), pa.int32(), pa.binary(), pa.list_(item))
+            yield pa.RecordBatch.from_arrays([pa.array([o[i] for o in out], k) for i, k in enumerate(kinds)], ["node", "n", "bins", "at"])
+
+    return run
+
+
+def _bins(h: np.ndarray) -> bytes:
+    """How many n-grams fall into each of about n / 2 bins, a power of two; 255 means that or more."""
+    n = 1 << max(6, min(16, (len(h) // 2).bit_length()))
+    return np.minimum(np.bincount((h & np.uint64(n - 1)).astype(np.int64), minlength=n), 255).astype(np.uint8).tobytes()
+
+
+def overlap_bound(a: bytes, b: bytes) -> int | None:
+    """No two sets with these bins share more n-grams; None: can't tell."""
+    x, y = np.frombuffer(a, np.uint8).astype(np.int64), np.frombuffer(b, np.uint8).astype(np.int64)
+    if (x == 255).any() or (y == 255).any():
+        return None
+    n = min(len(x), len(y))
+    return int(np.minimum(x.reshape(-1, n).sum(0), y.reshape(-1, n).sum(0)).sum())
+
+
+def _within_bound(percent: int):
+    """The pairs that their bins leave possible."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in slices(batches):
+            col = {k: batch.column(batch.schema.get_field_index(k)) for k in ("na", "nb", "bins_a", "bins_b")}
+            ok = []
+            for na, nb, x, y in zip(*(col[k].to_pylist() for k in ("na", "nb", "bins_a", "bins_b")), strict=True):
+                most = overlap_bound(x, y)
+                ok.append(most is None or (100 + percent) * most >= percent * (na + nb))
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1)], ["a", "b"]).filter(pa.array(ok, pa.bool_()))
+
+    return run
+
+
+def _token_lists(size: int):
+    """The whole set of each row's text."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        words = WordHashes()
+        for batch in slices(batches, 500):
+            sets = [shingle_set(words.of(t), size) for t in batch.column(1).to_pylist()]
+            sig = [_signature(h) for h in sets]
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0).cast(pa.int64()), lists(signed(flat(sets, np.uint64)), [len(x) for x in sets])],
-                ["node", "tokens"])
+                [batch.column(0).cast(pa.int64()), lists(signed(flat(sets, np.uint64)), [len(x) for x in sets]),
+                 pa.array([s[0] for s in sig], pa.int64())], ["node", "tokens", "s1"])
 
     return run
 
@@ -256,14 +312,25 @@ def jaccard_components(docs: DataFrame, size: int = 4, percent: int = 85, id_col
     shared = dealt(rows, ["token", "salt"], ["s1", "s2"]).mapInArrow(
         _shared, "token long, s1 long, s2 long, n int, pos int")
     prefix = keep(shared.distinct().join(classes, ["s1", "s2"]).select("token", "node", "n", "pos"), "prefix")
-    tokens = keep(given.join(prefix.select(F.col("node").alias("id")).distinct(), "id", "left_semi")
-                  .mapInArrow(_token_lists(size, order), "node long, tokens array<long>")
-                  .dropDuplicates(["node"]), "tokens")
+    by_node = prefix.groupBy(F.col("node").alias("id")).agg(F.collect_list(F.struct("token", "pos")).alias("at"))
+    described = keep(given.join(by_node, "id").select("id", "text", "at").mapInArrow(
+        _described(size, percent, order),
+        "node long, n int, bins binary, at array<struct<token: long, pos: int, window: array<int>>>"), "described")
 
     def verified(pairs: DataFrame) -> DataFrame:
-        first = pairs.join(tokens.select(F.col("node").alias("b"), F.col("tokens").alias("tb")), "b")
-        both = first.join(tokens.select(F.col("node").alias("a"), F.col("tokens").alias("ta")), "a")
-        return keep(both.select("a", "b", "ta", "tb").mapInArrow(_verified(percent), "a long, b long"), "links")
+        """First by the bins, then those left by their whole sets."""
+        first = pairs.join(described.select(F.col("node").alias("b"), F.col("n").alias("nb"), F.col("bins").alias("bins_b")), "b")
+        both = first.join(described.select(F.col("node").alias("a"), F.col("n").alias("na"), F.col("bins").alias("bins_a")), "a")
+        likely = keep(both.select("a", "b", "na", "nb", "bins_a", "bins_b").mapInArrow(
+            _within_bound(percent), "a long, b long").distinct(), "likely")
+        nodes = likely.select(F.col("a").alias("id")).unionByName(likely.select(F.col("b").alias("id"))).distinct()
+        few = nodes.limit(LISTED + 1).count() <= LISTED
+        sets = keep(given.join(F.broadcast(nodes) if few else nodes, "id", "left_semi").mapInArrow(
+            _token_lists(size), "node long, tokens array<long>, s1 long"), "tokens")
+        sets = sets.join(classes.select("node", "s1"), ["node", "s1"], "left_semi")
+        first = likely.join(sets.select(F.col("node").alias("b"), F.col("tokens").alias("tb")), "b")
+        both = first.join(sets.select(F.col("node").alias("a"), F.col("tokens").alias("ta")), "a")
+        return keep(both.select("a", "b", "ta", "tb").mapInArrow(_verified(percent), "a long, b long").distinct(), "links")
 
     band = F.floor(F.log(F.col("n").cast("double")) / -math.log(percent / 100)) if percent < 100 else F.col("n")
     banded = prefix.withColumn("band", band.cast("long"))
@@ -278,10 +345,8 @@ def jaccard_components(docs: DataFrame, size: int = 4, percent: int = 85, id_col
     across = (placed.groupBy("token").agg(F.min("component").alias("lo"), F.max("component").alias("hi"),
                                           F.count("*").alias("m")).where("lo < hi")
               .select("token", F.ceil(F.col("m") / CELL).cast("int").alias("side_cells")))
-    left = keep(placed.join(across, "token"), "across")
-    by_node = left.groupBy("node").agg(F.collect_list(F.struct("token", "component", "n", "pos", "side_cells")).alias("at"))
-    following = (by_node.join(tokens, "node").select("node", "tokens", F.explode("at").alias("x"))
-                 .select("node", "x.*", F.slice("tokens", F.col("x.pos") + 2, WINDOW).alias("window")))
+    following = (described.join(first, "node", "left").withColumn("component", F.coalesce("component", "node"))
+                 .select("node", "n", "component", F.inline("at")).join(across, "token"))
     g, mine = F.col("side_cells"), F.pmod(F.xxhash64("node"), F.col("side_cells")).cast("int")
     cells = (following.withColumn("mine", mine)
              .withColumn("other", F.explode(F.sequence(F.lit(0), g - 1)))
