@@ -5,7 +5,8 @@ slot of a fixed-size count table is hit in the corpus, rare first, then by hash.
 reach the similarity share an n-gram among the first ``n - ceil(t * n) + 1`` of either
 (the prefix), so only prefixes are shuffled. The texts that share a prefix n-gram put what
 follows it into a prefix tree; a walk down the tree carries the overlap found so far for all
-texts below and leaves a subtree when the lengths left cannot reach the needed overlap.
+texts below and leaves a subtree when the lengths left cannot reach the needed overlap. A pair is
+taken where its sets first meet.
 
 A group of near copies would make a pair of any two members. The join therefore goes in two
 rounds. In the first, each set meets only the smallest set of its prefix n-gram and length band;
@@ -38,6 +39,8 @@ SLOTS = 1 << 16
 HOT = 4096
 #: Side of a cell in which a tree joins sets. Any value gives the same result.
 CELL = 1024
+#: Bins whose counts bound the overlap of two sets where they first meet. Any value gives the same result.
+COARSE = 64
 #: Ids that a join may send to every task (16 bytes each); more are shuffled.
 LISTED = 1_000_000
 #: N-grams after the shared one that go into the trees. Any value gives the same result.
@@ -137,7 +140,8 @@ def _described(size: int, percent: int, order):
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words, hits = WordHashes(), order.value
-        item = pa.struct([("token", pa.int64()), ("pos", pa.int32()), ("window", pa.list_(pa.int32()))])
+        near = pa.list_(pa.int32())
+        item = pa.struct([("token", pa.int64()), ("pos", pa.int32()), ("before", near), ("window", near)])
         for batch in slices(batches, 500):
             out = []
             for node, text, at in zip(*(batch.column(i).to_pylist() for i in range(3)), strict=True):
@@ -145,9 +149,14 @@ def _described(size: int, percent: int, order):
                 t, short = signed(h), h.astype(np.uint32).view(np.int32)
                 if any(x["pos"] >= len(t) or t[x["pos"]] != x["token"] for x in at):
                     continue
-                out.append((node, len(h), _bins(h), [x | {"window": short[x["pos"] + 1:x["pos"] + 1 + WINDOW].tolist()} for x in at]))
-            kinds = (pa.int64(), pa.int32(), pa.binary(), pa.list_(item))
-            yield pa.RecordBatch.from_arrays([pa.array([o[i] for o in out], k) for i, k in enumerate(kinds)], ["node", "n", "bins", "at"])
+                coarse = np.bincount((h & np.uint64(COARSE - 1)).astype(np.int64), minlength=COARSE)
+                coarse[:] = coarse if coarse.max() < 32767 else 32767  # too many to count: may be anything
+                out.append((node, len(h), _bins(h), coarse.tolist(), [
+                    x | {"before": short[max(0, x["pos"] - WINDOW):x["pos"]].tolist(), "window": short[x["pos"] + 1:x["pos"] + 1 + WINDOW].tolist()}
+                    for x in at]))
+            kinds = (pa.int64(), pa.int32(), pa.binary(), pa.list_(pa.int16()), pa.list_(item))
+            yield pa.RecordBatch.from_arrays([pa.array([o[i] for o in out], k) for i, k in enumerate(kinds)],
+                                             ["node", "n", "bins", "coarse", "at"])
 
     return run
 
@@ -261,7 +270,8 @@ def _tree_pairs(percent: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for table, starts in sorted_groups(batches, ["token", "cell"]):
             col = {k: table.column(k).to_numpy() for k in ("node", "component", "n", "pos", "side")}
-            windows = table.column("window").combine_chunks() if starts[-1] else None
+            windows, befores = (table.column(k).combine_chunks() for k in ("window", "before"))
+            coarse = table.column("coarse").combine_chunks().values.to_numpy().reshape(-1, COARSE)
             a, b = [], []
             for lo, hi in zip(starts[:-1].tolist(), starts[1:].tolist(), strict=True):
                 if (col["component"][lo:hi] == col["component"][lo]).all():
@@ -272,6 +282,13 @@ def _tree_pairs(percent: int):
                     left, window = n - int(col["pos"][i]) - 1, windows[i].as_py()
                     if side:
                         found = list(tree.partners(window, n, left, comp, percent))
+                        if found:
+                            at = np.array(found)
+                            most = np.minimum(coarse[at], coarse[i]).sum(1, dtype=np.int64)
+                            earlier = set(befores[i].as_py())
+                            # a pair that shares an earlier n-gram was met there
+                            found = [j for j in at[(100 + percent) * most >= percent * (n + col["n"][at].astype(np.int64))].tolist()
+                                     if earlier.isdisjoint(befores[j].as_py())]
                         a += [int(col["node"][i])] * len(found)
                         b += [int(col["node"][j]) for j in found]
                     if side != 1:
@@ -315,7 +332,9 @@ def jaccard_components(docs: DataFrame, size: int = 4, percent: int = 85, id_col
     by_node = prefix.groupBy(F.col("node").alias("id")).agg(F.collect_list(F.struct("token", "pos")).alias("at"))
     described = keep(given.join(by_node, "id").select("id", "text", "at").mapInArrow(
         _described(size, percent, order),
-        "node long, n int, bins binary, at array<struct<token: long, pos: int, window: array<int>>>"), "described")
+        "node long, n int, bins binary, coarse array<smallint>, "
+        "at array<struct<token: long, pos: int, before: array<int>, window: array<int>>>"), "described")
+    placed = described.select("node", "n", "coarse", F.inline("at"))
 
     def verified(pairs: DataFrame) -> DataFrame:
         """First by the bins, then those left by their whole sets."""
@@ -333,27 +352,29 @@ def jaccard_components(docs: DataFrame, size: int = 4, percent: int = 85, id_col
         return keep(both.select("a", "b", "ta", "tb").mapInArrow(_verified(percent), "a long, b long").distinct(), "links")
 
     band = F.floor(F.log(F.col("n").cast("double")) / -math.log(percent / 100)) if percent < 100 else F.col("n")
-    banded = prefix.withColumn("band", band.cast("long"))
-    leaders = (banded.groupBy("token", "band").agg(F.min(F.struct("n", "node")).alias("leader"), F.count("*").alias("m"))
-               .where("m > 1").select("token", "band", F.col("leader.node").alias("b"), F.col("leader.n").alias("nb")))
-    stars = (banded.join(leaders, ["token", "band"]).where(f"node <> b and 100 * nb >= {percent} * n")
+    banded = placed.select("token", "node", "n", "coarse", band.cast("long").alias("band"))
+    leaders = (banded.groupBy("token", "band").agg(F.min(F.struct("n", "node", "coarse")).alias("leader"), F.count("*").alias("m"))
+               .where("m > 1").select(F.col("token").alias("t"), F.col("band").alias("bb"), F.col("leader.node").alias("b"),
+                                      F.col("leader.n").alias("nb"), F.col("leader.coarse").alias("other")))
+    most = F.aggregate(F.zip_with("coarse", "other", lambda x, y: F.least(x, y)), F.lit(0), lambda x, y: x + y)
+    stars = (banded.join(leaders, (F.col("token") == F.col("t")) & (F.col("band") == F.col("bb")) & F.expr(f"node <> b and 100 * nb >= {percent} * n")
+                         & ((100 + percent) * most >= percent * (F.col("n") + F.col("nb"))))
              .select(F.col("node").alias("a"), "b").distinct())
     links = verified(stars)
     first = components(links)
 
-    placed = prefix.join(first, "node", "left").withColumn("component", F.coalesce("component", "node"))
+    placed = placed.join(first, "node", "left").withColumn("component", F.coalesce("component", "node"))
     across = (placed.groupBy("token").agg(F.min("component").alias("lo"), F.max("component").alias("hi"),
                                           F.count("*").alias("m")).where("lo < hi")
               .select("token", F.ceil(F.col("m") / CELL).cast("int").alias("side_cells")))
-    following = (described.join(first, "node", "left").withColumn("component", F.coalesce("component", "node"))
-                 .select("node", "n", "component", F.inline("at")).join(across, "token"))
+    following = placed.join(across, "token")
     g, mine = F.col("side_cells"), F.pmod(F.xxhash64("node"), F.col("side_cells")).cast("int")
     cells = (following.withColumn("mine", mine)
              .withColumn("other", F.explode(F.sequence(F.lit(0), g - 1)))
              .withColumn("cell", F.least("mine", "other") * g + F.greatest("mine", "other"))
              .withColumn("side", F.when(F.col("mine") == F.col("other"), 2)
                          .when(F.col("mine") < F.col("other"), 0).otherwise(1)))
-    pairs = (dealt(cells.select("token", "cell", "side", "node", "component", "n", "pos", "window"),
+    pairs = (dealt(cells.select("token", "cell", "side", "node", "component", "n", "pos", "coarse", "before", "window"),
                    ["token", "cell"], ["side", "node"])
              .mapInArrow(_tree_pairs(percent), "a long, b long").distinct())
     more = verified(pairs)
