@@ -34,39 +34,44 @@ NAMES = tuple(n for names in GIVEN.values() for n in names)
 PUNCTUATION = ".,;:!?\"'()[]{}<>«»„“”‘’…*_|"
 
 
-def canonical(text: Column) -> tuple[Column, Column]:
-    """Canonical words of a text, and the values of those that are placeholders (null elsewhere)."""
-    raw = F.filter(F.split(text, r"[\x20\x09-\x0D]+"), lambda x: F.translate(x, PUNCTUATION, "") != "")
-    before = F.concat(F.array(F.lit(".")), F.slice(raw, 1, F.greatest(F.lit(0), F.size(raw) - 1)))
-
-    def typed(x: Column, previous: Column) -> Column:
-        bare = F.translate(x, PUNCTUATION, "")
-        head = F.substring(bare, 1, 1)
-        capital = (head != F.lower(head)) & (bare != F.upper(bare)) & ~F.substring(previous, -1, 1).isin(".", "!", "?", ":")
-        number = F.substring(F.ltrim(F.translate(bare, "+-$€£#", "")), 1, 1).between("0", "9") | F.lower(bare).isin(*NUMBER_WORDS)
-        word = F.lower(bare)
-        return (F.when(number, F.struct(F.lit("<number>").alias("c"), bare.alias("v")))
-                .when(bare.isin(*NAMES) | capital, F.struct(F.lit("<name>").alias("c"), word.alias("v")))
-                .when(word.isin(*UNITS), F.struct(F.lit("<unit>").alias("c"), word.alias("v")))
-                .otherwise(F.struct(word.alias("c"), F.lit(None).cast("string").alias("v"))))
-
-    both = F.zip_with(raw, before, typed)
-    return both
+def canonical(rows: DataFrame, text_col: str) -> DataFrame:
+    """``rows`` with the canonical words ``c`` of a text and the values ``v`` of placeholders (null
+    elsewhere) in place of the text. One step a projection, so that none is computed twice."""
+    others = [c for c in rows.columns if c != text_col]
+    split = rows.select(*others, F.split(text_col, r"[\x20\x09-\x0D]+").alias("x"))
+    bare = split.select(*others, F.filter(F.transform("x", lambda x: F.struct(
+        F.translate(x, PUNCTUATION, "").alias("b"), F.substring(x, -1, 1).isin(".", "!", "?", ":").alias("ends"))),
+        lambda x: x["b"] != "").alias("x"))
+    cased = bare.select(*others, F.transform("x", lambda x: F.struct(x["b"].alias("b"), F.lower(x["b"]).alias("w"), x["ends"].alias("ends"))).alias("x"))
+    first = F.array(F.struct(F.lit("").alias("b"), F.lit("").alias("w"), F.lit(True).alias("ends")))
+    moved = cased.select(*others, "x", F.slice(F.concat(first, F.col("x")), 1, F.size("x")).alias("before"))
+
+    def kind(x: Column, previous: Column) -> Column:
+        b, w = x["b"], x["w"]
+        head = F.substring(b, 1, 1)
+        number = head.between("0", "9") | (head.isin("+", "-", "$", "€", "£", "#") & F.substring(b, 2, 1).between("0", "9"))
+        # a capital at the head only, and not where a sentence begins
+        capital = ~previous["ends"] & (head != F.substring(w, 1, 1)) & (F.substring(b, 2, 1) == F.substring(w, 2, 1))
+        return (F.when(number | w.isin(*NUMBER_WORDS), "<number>").when((b != w) & (b.isin(*NAMES) | capital), "<name>")
+                .when(w.isin(*UNITS), "<unit>"))
+
+    typed = moved.select(*others, "x", F.zip_with("x", "before", kind).alias("kind"))
+    return typed.select(*others, F.zip_with("x", "kind", lambda x, k: F.coalesce(k, x["w"])).alias("c"),
+                        F.zip_with("x", "kind", lambda x, k: F.when(k.isNotNull(), x["w"])).alias("v"),
+                        F.exists("kind", lambda k: k.isNotNull()).alias("some"))
 
 
 def windows(rows: DataFrame, id_col: str, text_col: str, sizes: list[int]) -> DataFrame:
     """(id_col, h, pos, slots): the windows of each text; ``slots`` holds the values in placeholders."""
-    words = rows.select(id_col, canonical(F.col(text_col)).alias("both")).where(F.size("both") >= min(sizes))
-    parts = words.select(id_col, F.transform("both", lambda x: F.xxhash64(x["c"])).alias("c"),
-                         F.transform("both", lambda x: x["v"]).alias("v"))
-    some = F.exists("v", lambda x: x.isNotNull())
+    parts = canonical(rows.select(id_col, text_col), text_col).select(id_col, F.transform("c", lambda x: F.xxhash64(x)).alias("c"), "v", "some")
 
     def of_size(n: int) -> Column:
-        def one(i: Column) -> Column:
-            slots = F.when(some, F.filter(F.slice("v", i, n), lambda x: x.isNotNull()))
-            return F.struct(F.xxhash64(F.slice("c", i, n)).alias("h"), slots.alias("slots"))
-
-        return F.when(F.size("c") >= n, F.transform(F.sequence(F.lit(1), F.size("c") - n + 1), one))
+        at = F.sequence(F.lit(1), F.size("c") - n + 1)
+        none = F.lit(None).cast("array<string>")
+        plain = F.transform(at, lambda i: F.struct(F.xxhash64(F.slice("c", i, n)).alias("h"), none.alias("slots")))
+        slotted = F.transform(at, lambda i: F.struct(
+            F.xxhash64(F.slice("c", i, n)).alias("h"), F.filter(F.slice("v", i, n), lambda x: x.isNotNull()).alias("slots")))
+        return F.when(F.size("c") >= n, F.when(F.col("some"), slotted).otherwise(plain))
 
     each = [parts.select(id_col, F.posexplode(of_size(n)).alias("pos", "w")).select(id_col, "pos", F.lit(n).alias("n"), "w.h", "w.slots")
             for n in sizes]
@@ -87,11 +92,11 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, co
     id, items of one id count as one. Extra columns are not read. Empty tables give an empty result.
     """
     items = benchmark.select(F.col(item_col).alias("item"), F.col(item_text).alias("item_text")).where("item is not null")
-    length = F.size(canonical(F.col("item_text")))
-    sizes = [r.n for r in items.select(F.least(F.lit(window), length).alias("n")).distinct().collect() if r.n > 0]  # at most ``window``
-    sizes = sizes or [window]
-    own = items.withColumn("size", F.least(F.lit(window), length))
-    parts = windows(own.withColumn("key", F.struct("item", "size")), "key", "item_text", sorted(sizes))
+    sized = (items.join(canonical(items, "item_text").groupBy("item").agg(F.max(F.size("c")).alias("words")), "item")
+             .select(F.struct("item", F.least(F.lit(window), "words").alias("size")).alias("key"), "item_text"))
+    # at most ``window`` different ones
+    sizes = [r.n for r in sized.select(F.col("key.size").alias("n")).distinct().collect() if r.n and r.n > 0] or [window]
+    parts = windows(sized, "key", "item_text", sorted(sizes))
     probes = keep(parts.where("n = key.size and coalesce(size(slots), 0) * 2 <= n")
                   .select(F.col("key.item").alias("item"), "n", "h", F.col("pos").alias("at"), F.col("slots").alias("item_slots"))
                   .dropDuplicates(["item", "n", "at", "h"]), "probes")
