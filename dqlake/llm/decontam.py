@@ -66,11 +66,13 @@ def windows(rows: DataFrame, id_col: str, text_col: str, sizes: list[int]) -> Da
     parts = canonical(rows.select(id_col, text_col), text_col).select(id_col, F.transform("c", lambda x: F.xxhash64(x)).alias("c"), "v", "some")
 
     def of_size(n: int) -> Column:
-        at = F.sequence(F.lit(1), F.size("c") - n + 1)
+        # by position: cutting a slice would copy the whole text's array for each window
+        at = F.sequence(F.lit(0), F.size("c") - n)
         none = F.lit(None).cast("array<string>")
-        plain = F.transform(at, lambda i: F.struct(F.xxhash64(F.slice("c", i, n)).alias("h"), none.alias("slots")))
+        plain = F.transform(at, lambda i: F.struct(F.xxhash64(*(F.get("c", i + k) for k in range(n))).alias("h"), none.alias("slots")))
         slotted = F.transform(at, lambda i: F.struct(
-            F.xxhash64(F.slice("c", i, n)).alias("h"), F.filter(F.slice("v", i, n), lambda x: x.isNotNull()).alias("slots")))
+            F.xxhash64(*(F.get("c", i + k) for k in range(n))).alias("h"),
+            F.array_compact(F.array(*(F.get("v", i + k) for k in range(n)))).alias("slots")))
         return F.when(F.size("c") >= n, F.when(F.col("some"), slotted).otherwise(plain))
 
     each = [parts.select(id_col, F.posexplode(of_size(n)).alias("pos", "w")).select(id_col, "pos", F.lit(n).alias("n"), "w.h", "w.slots")
