@@ -82,19 +82,30 @@ def license_scan(docs: DataFrame, templates: dict[str, str] | None = None, conta
     # word pairs of the text, null where no template has them
     pairs = tokens.select("rid", F.zip_with(F.slice("w", 1, F.size("w") - 1), F.slice("w", 2, F.size("w") - 1),
                                             lambda a, b: F.concat_ws(" ", a, b)).alias("p"))
-    seeds = pairs.where(F.exists("p", lambda x: x.isin(all_pairs)))
-    hits = seeds.select("rid", "p", F.filter(F.transform("p", lambda x, i: F.when(x.isin(all_pairs), i)),
-                                             lambda i: i.isNotNull()).alias("at"))
-    size = F.explode(F.array(*map(F.lit, sizes))).alias("n")
-    by_size = hits.select("rid", "p", "at", size).withColumn("step", F.greatest(F.lit(1), F.floor(F.col("n") / 8)).cast("int"))
+    marked = pairs.select("rid", "p", F.transform("p", lambda x: x.isin(all_pairs)).alias("known"))
+    at = F.filter(F.transform("known", lambda x, i: F.when(x, i)), lambda i: i.isNotNull())
+    hits = marked.where(F.exists("known", lambda x: x)).select("rid", "p", "known", at.alias("at"), F.explode(F.array(*map(F.lit, sizes))).alias("n"))
+    by_size = hits.select("rid", "p", "known", "at", F.greatest(F.lit(1), F.floor(F.col("n") / 8)).cast("int").alias("step"), "n")
     # numbers of the windows that hold a hit: those that start up to n - 2 words before it
     numbers = F.array_distinct(F.flatten(F.transform("at", lambda i: F.sequence(
         F.ceil(F.greatest(F.lit(0), i - F.col("n") + 2) / F.col("step")).cast("int"), F.floor(i / F.col("step")).cast("int")))))
-    windows = (by_size.withColumn("k", F.explode(numbers)).withColumn("start", F.col("k") * F.col("step"))
-               .select("rid", "n", "start",
-                       F.array_distinct(F.slice("p", F.col("start") + 1, F.col("n") - 1)).alias("own"),
-                       F.array_distinct(F.slice("p", F.greatest(F.lit(1), F.col("start") + 1 - F.col("step")),
-                                                F.least(F.col("start"), F.col("step")) + F.col("n") - 1 + F.col("step"))).alias("around")))
+
+    def window(k: Column) -> Column:
+        """By position: cutting slices would copy the whole text's array for each window."""
+        start, n, step = k * F.col("step"), F.col("n"), F.col("step")
+        own = F.sequence(start, F.least(start + n - 2, F.size("p") - 1))
+        around = F.sequence(F.greatest(F.lit(0), start - step), F.least(start + n - 2 + step, F.size("p") - 1))
+        return F.struct(start.alias("start"), F.array_distinct(F.transform(own, lambda j: F.get("p", j))).alias("own"),
+                        F.array_distinct(F.transform(around, lambda j: F.get("p", j))).alias("around"))
+
+    # a window that is to contain enough of a template can't hold fewer of the templates' word pairs
+    def enough(k: Column) -> Column:
+        start = k * F.col("step")
+        own = F.sequence(start, F.least(start + F.col("n") - 2, F.size("p") - 1))
+        return F.size(F.filter(own, lambda j: F.get("known", j))) >= F.floor((contained - 0.3) * (F.col("n") - 1))
+
+    chosen = by_size.select("rid", "p", "known", "n", "step", F.filter(numbers, enough).alias("numbers")).where(F.size("numbers") > 0)
+    windows = chosen.select("rid", "n", F.inline(F.transform("numbers", window)))
     probes = windows.where(F.size("own") > 0).withColumn("b", F.explode(_bands(F.col("own"))))
     bands = table.select("license", F.col("n_words").alias("n"), "t_pairs", F.explode("bands").alias("b"))
     bands = bands.select("license", "n", "t_pairs", "b.band", "b.least")
