@@ -114,12 +114,15 @@ def fit(own: list[np.ndarray], other: list[np.ndarray], label: np.ndarray, weigh
 
     x = Rows(cut(own), len(kept))
     with_other = [i for i, r in enumerate(other) if len(r)]
-    x_own, x_other = (Rows(cut([rows[i] for i in with_other]), len(kept)) for rows in (own, other))
+    # slots that a swap takes away and brings; the others cancel
+    x_own = Rows(cut([np.setdiff1d(own[i], other[i]) for i in with_other]), len(kept))
+    x_other = Rows(cut([np.setdiff1d(other[i], own[i]) for i in with_other]), len(kept))
+    swapped = np.bincount(x_own.row, minlength=len(with_other)) + np.bincount(x_other.row, minlength=len(with_other))
     part = weight / weight.sum()
     fair = FAIR / max(1, len(with_other))
     w = z = np.zeros(len(kept) + 1)
     # a step by column: rare slots move as fast as frequent ones
-    rate = 1 / (0.25 * x.back(part) * 8 + fair * 2 * (x_own.back(np.ones(x_own.n)) + x_other.back(np.ones(x_other.n))) * 2 + 2e-4)
+    rate = 1 / (0.25 * x.back(part) * 8 + 2 * fair * (x_own.back(swapped) + x_other.back(swapped)) + 2e-4)
     rate = np.append(rate, 0.5)
     t = 1.0
     for _ in range(STEPS):
