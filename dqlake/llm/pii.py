@@ -35,7 +35,7 @@ TITLES = {
 }
 # Common given names by gender.
 GIVEN = {
-    "f": ("Alice", "Anna", "Barbara", "Carmen", "Claudia", "Elena", "Elizabeth", "Emily", "Emma", "Hannah", "Isabel", "Jennifer", "Julia", "Karen", "Laura", "Linda", "Lucía", "María", "Mary", "Monika", "Olivia", "Patricia", "Sarah", "Sophie", "Susan", "Анна", "Елена", "Мария", "Ольга"),
+    "f": ("Alice", "Anna", "Barbara", "Carmen", "Claudia", "Elena", "Elizabeth", "Emily", "Emma", "Hannah", "Isabel", "Jennifer", "Julia", "Karen", "Laura", "Linda", "Lucía", "Maria", "María", "Mary", "Monika", "Olivia", "Patricia", "Sarah", "Sophie", "Susan", "Анна", "Елена", "Мария", "Ольга"),
     "m": ("Alejandro", "Andreas", "Carlos", "Charles", "Daniel", "David", "Fernando", "Hans", "James", "Javier", "Jean", "John", "José", "Jürgen", "Klaus", "Louis", "Manuel", "Michael", "Pablo", "Paul", "Peter", "Pierre", "Robert", "Stefan", "Thomas", "William", "Александр", "Иван", "Сергей"),
 }
 GENDER = {n.lower(): g for g, names in GIVEN.items() for n in names}
