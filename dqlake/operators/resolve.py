@@ -165,8 +165,8 @@ def orphans(child: DataFrame, parent: DataFrame, on: Mapping[str, str]) -> DataF
 def profile_top(
     df: DataFrame, key: str, n: int, metrics: Mapping[str, Column]
 ) -> DataFrame:
-    """Metrics of the ``n`` most frequent keys (ties by key)."""
-    counts = df.groupBy(key).agg(F.count(F.lit(1)).alias("__n"))
+    """Metrics of the ``n`` most frequent keys (ties by key); rows without a key take no place."""
+    counts = df.where(F.col(key).isNotNull()).groupBy(key).agg(F.count(F.lit(1)).alias("__n"))
     top = counts.orderBy(F.desc("__n"), F.col(key).asc_nulls_last()).limit(n).select(key)
     return df.join(top, key, "left_semi").groupBy(key).agg(
         *[m.alias(name) for name, m in metrics.items()]

@@ -128,7 +128,7 @@ def scd2(
     if hot_rows is None:
         versions = _merge_runs(rows, keys, sequence)
     else:
-        hot = F.broadcast(hot_keys(df, keys, hot_rows))
+        hot = hot_keys(df, keys, hot_rows)
         cold = rows.join(hot, _same_key(rows, hot, keys), "left_anti")
         busy = rows.join(hot, _same_key(rows, hot, keys), "left_semi")
         local = _merge_runs(busy, [*keys, "__chunk"], sequence)
@@ -167,10 +167,11 @@ def scd2_refresh(
     """History after a batch: only the touched keys are rebuilt, from their full log.
 
     ``log`` holds every accepted change row including the batch, ``touched``
-    the distinct keys of the batch.
+    the distinct keys of the batch. A NULL key is a key like any other, as in ``scd2``.
     """
-    kept = history.join(touched, list(keys), "left_anti")
-    rebuilt = scd2(log.join(touched, list(keys), "left_semi"), keys, **options)
+    marked = touched.select(*[F.col(k).alias(f"__hot_{k}") for k in keys])
+    kept = history.join(marked, _same_key(history, marked, keys), "left_anti")
+    rebuilt = scd2(log.join(marked, _same_key(log, marked, keys), "left_semi"), keys, **options)
     return kept.unionByName(rebuilt)
 
 

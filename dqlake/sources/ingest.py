@@ -33,14 +33,17 @@ def with_lineage(df: DataFrame, as_of: Column) -> DataFrame:
 
 
 def read_feed(spark: SparkSession, path: str, schema: StructType, as_of: Column) -> DataFrame:
-    """Stream of the CSV files of a folder, each file once, with lineage."""
-    raw = spark.readStream.schema(schema).option("header", True).csv(path)
+    """Stream of the CSV files of a folder, each file once, with lineage.
+
+    A file whose header differs from the schema fails the read; it is never bound by position.
+    """
+    raw = spark.readStream.schema(schema).option("header", True).option("enforceSchema", False).csv(path)
     return with_lineage(raw, as_of)
 
 
 def read_snapshot(spark: SparkSession, path: str, schema: StructType, as_of: Column) -> DataFrame:
-    """All CSV files of a folder, with lineage."""
-    raw = spark.read.schema(schema).option("header", True).csv(path)
+    """All CSV files of a folder, with lineage; a header that differs from the schema fails the read."""
+    raw = spark.read.schema(schema).option("header", True).option("enforceSchema", False).csv(path)
     return with_lineage(raw, as_of)
 
 

@@ -83,8 +83,16 @@ def apply_changes(
     from the log, so changes may arrive in any order. ``history`` is stored by
     key bucket and only the buckets of the batch are rewritten. A replayed
     batch may follow a half-done swap of buckets, so it trusts the log alone
-    and rebuilds its buckets whole.
+    and rebuilds its buckets whole. The number of buckets is kept beside the
+    history, and a call with another one is refused: rows filed under the old
+    number would be missed.
     """
+    layout = f"{history.rstrip('/')}-layout"
+    known = _read_if_there(spark, layout)
+    if known is None:
+        spark.range(1).select(F.lit(buckets).alias("buckets")).write.parquet(layout)
+    elif known.first().buckets != buckets:
+        raise ValueError(f"{history} is stored in {known.first().buckets} buckets, not {buckets}")
     options = dict(sequence=list(sequence), track_except=track_except, drop=drop, hot_rows=hot_rows)
 
     def each(batch: DataFrame, batch_id: int) -> None:

@@ -90,6 +90,23 @@ def test_refresh_equals_rebuild(rows):
     assert as_set(got) == expected(feed)
 
 
+def test_refresh_keeps_changes_of_a_missing_key(rows):
+    feed = [(None, 1, "f", "a", "x"), ("k", 1, "f", "a", "z"), (None, 2, "f", "b", "y"), (None, 3, "f", "c", "y")]
+    log, batch = rows(SCHEMA, *feed), rows(SCHEMA, *feed[2:])
+    old = scd2(rows(SCHEMA, *feed[:2]), ["k"], **OPTIONS)
+    got = scd2_refresh(old, log, batch.select("k").distinct(), ["k"], **OPTIONS)
+    assert as_set(got) == as_set(scd2(log, ["k"], **OPTIONS)) and got.count() == 4
+
+
+def test_another_number_of_buckets_is_refused(spark, rows, tmp_path):
+    source, paths = str(tmp_path / "in"), [str(tmp_path / p) for p in ("log", "history", "offsets")]
+    rows(SCHEMA, ("k", 1, "f", "a", "x")).write.parquet(source)
+    stream = spark.readStream.schema(SCHEMA).parquet(source)
+    apply_changes(spark, stream, ["k"], ["day", "file"], *paths, buckets=3)
+    with pytest.raises(ValueError, match="3 buckets"):
+        apply_changes(spark, stream, ["k"], ["day", "file"], *paths, buckets=5)
+
+
 def test_stream_in_any_order(spark, rows, tmp_path):
     feed = random_feed(8, rows=60)
     random.Random(0).shuffle(feed)
