@@ -78,7 +78,7 @@ ORACLES: dict[str, str] = {
     "op3_ngram_jaccard": r"""
         WITH RECURSIVE w AS (
             SELECT doc_id, list_filter(string_split_regex(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
-                   'abcdefghijklmnopqrstuvwxyz'), '[\x20\x09-\x0D]+'), x -> x <> '') AS w FROM documents),
+                   'abcdefghijklmnopqrstuvwxyz'), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS w FROM documents),
         s AS (SELECT DISTINCT doc_id, array_to_string(w[i:least(i + 3, len(w))], ' ') AS g
               FROM w, unnest(range(1, greatest(len(w) - 3, least(len(w), 1)) + 1)) t(i)),
         n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
@@ -88,8 +88,8 @@ ORACLES: dict[str, str] = {
         SELECT d.doc_id, coalesce(n.n, 0) AS n_shingles, c.root AS component_id FROM documents d LEFT JOIN n USING (doc_id)
         JOIN (SELECT doc_id, min(root) AS root FROM r GROUP BY doc_id) c USING (doc_id)""",
     "op4_exact_topk": """
-        WITH v AS (SELECT vec_id, list_transform(embedding, x -> floor(256 * CAST(x AS DOUBLE))) AS e FROM embeddings
-                   WHERE len(embedding) > 0 AND len(list_filter(embedding, x -> x IS NULL OR NOT isfinite(x))) = 0),
+        WITH v AS (SELECT vec_id, list_transform(embedding, lambda x: floor(256 * CAST(x AS DOUBLE))) AS e FROM embeddings
+                   WHERE len(embedding) > 0 AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
         s AS (SELECT q.vec_id AS query_id, v.vec_id, CAST(list_inner_product(q.e, v.e) AS BIGINT) AS score
               FROM v q JOIN v ON q.vec_id <> v.vec_id AND len(q.e) = len(v.e) WHERE q.vec_id % 50 = 0),
         r AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS place FROM s)
