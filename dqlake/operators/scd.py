@@ -66,11 +66,7 @@ def _merge_runs(rows: DataFrame, parts: Sequence[str], sequence: Sequence[str])
 
 
 def hot_keys(df: DataFrame, keys: Sequence[str], hot_rows: int) -> DataFrame:
-    """Keys with more than ``hot_rows`` rows: fewer than rows / hot_rows of them.
-
-    That bound, a few thousand keys per billion rows at the default, is why
-    the callers may broadcast it.
-    """
+    """Keys with more than ``hot_rows`` rows: fewer than rows / hot_rows of them."""
     return (
         df.groupBy(*keys)
         .agg(F.count(F.lit(1)).alias("__n"))
@@ -79,6 +75,30 @@ def hot_keys(df: DataFrame, keys: Sequence[str], hot_rows: int) -> DataFrame:
     )
 
 
+def _pieces(rows: DataFrame, hot: DataFrame, keys: Sequence[str], hot_rows: int) -> DataFrame:
+    """Rows of hot keys with ``__chunk``, the piece of the key's history they are in.
+
+    A piece begins at each sequence whose hash falls into a fixed share, so
+    pieces hold ``hot_rows`` / 4 rows on average, whatever the sequence looks
+    like, and a recomputed task cuts at the same places.
+    """
+    share = float(1 << 32) / max(1, hot_rows // 4)
+    begins = F.pmod(F.xxhash64(*keys, "__start"), F.lit(1 << 32)) < F.lit(share)
+    bounds = (
+        rows.where(begins).join(hot, _same_key(rows, hot, keys), "left_semi")
+        .groupBy(*keys).agg(F.sort_array(F.collect_list("__start")).alias("__bounds"))
+        .withColumnsRenamed({k: f"__hot_{k}" for k in keys})
+    )
+    busy = rows.join(hot, _same_key(rows, hot, keys), "left_semi")
+    busy = busy.join(bounds, _same_key(busy, bounds, keys), "left").drop(*[f"__hot_{k}" for k in keys])
+    # bounds up to the row's sequence, by halving steps
+    steps = F.array(*[F.lit(1 << i) for i in range(30, -1, -1)])
+    count = F.aggregate(steps, F.lit(0), lambda at, step: F.when(
+        (at <= F.size("__bounds") - step) & (F.get("__bounds", at + step - 1) <= F.col("__start")), at + step
+    ).otherwise(at))
+    return busy.withColumn("__chunk", F.when(F.col("__bounds").isNull(), 0).otherwise(count)).drop("__bounds")
+
+
 def scd2(
     df: DataFrame,
     keys: Sequence[str],
@@ -100,11 +120,11 @@ def scd2(
 
     Keys above ``hot_rows`` rows go through two levels: versions within each
     chunk, then across the chunks, of which only the first and last version
-    take part. So no task has to sort a whole hot key. A chunk is one value of
-    the first sequence column, or of ``chunk``: any expression that never falls
-    along the sequence, for deliveries that need finer or coarser cuts. The
-    input is read once to count keys and once per branch: pass a written table,
-    not a long plan. None skips the split.
+    take part. So no task has to sort a whole hot key. Chunks are pieces of
+    about ``hot_rows`` / 4 rows, or the values of ``chunk``: any expression that
+    never falls along the sequence. The input is read once to count keys and
+    once or twice per branch: pass a written table, not a long plan. None skips
+    the split.
     """
     fixed = {*keys, *sequence, *track_except, *drop}
     tracked = [c for c in df.columns if c not in fixed]
@@ -112,8 +132,8 @@ def scd2(
     if not tracked:
         raise ValueError("scd2 needs at least one tracked column")
 
-    cut = F.col(sequence[0]) if chunk is None else chunk
-    rows = df.select(*keys, *[F.col(s).alias(f"__seq_{s}") for s in sequence], cut.alias("__chunk"),
+    given = [] if chunk is None else [chunk.alias("__chunk")]
+    rows = df.select(*keys, *[F.col(s).alias(f"__seq_{s}") for s in sequence], *given,
                      _struct(sequence).alias("__start"), _struct(tracked).alias("__state"),
                      _struct(untracked).alias("__tail"))
     seq_cols = [f"__seq_{s}" for s in sequence]
@@ -130,14 +150,15 @@ def scd2(
     else:
         hot = hot_keys(df, keys, hot_rows)
         cold = rows.join(hot, _same_key(rows, hot, keys), "left_anti")
-        busy = rows.join(hot, _same_key(rows, hot, keys), "left_semi")
-        local = _merge_runs(busy, [*keys, "__chunk"], sequence)
+        busy = (_pieces(rows, hot, keys, hot_rows) if chunk is None
+                else rows.join(hot, _same_key(rows, hot, keys), "left_semi"))
+        local = _merge_runs(busy, [*keys, "__chunk"], sequence).drop("__chunk")
         outer = F.col("__first") | F.col("__end").isNull()
         # A chunk's last version, unless it is also its first, follows another
         # version of the same chunk and so is a change by itself.
         seams = local.where(outer).withColumn("__forced", ~F.col("__first") & F.col("__end").isNull())
         versions = (
-            _merge_runs(cold, keys, sequence)
+            _merge_runs(cold.drop("__chunk"), keys, sequence)
             .unionByName(local.where(~outer))
             .unionByName(_merge_runs(seams, keys, sequence))
         )

@@ -6,6 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from dqlake.operators import END, START, scd2, scd2_check, scd2_from_snapshots, scd2_refresh
+from dqlake.operators.scd import _pieces, hot_keys
 from dqlake.streaming import apply_changes, read_history
 
 SCHEMA = "k string, day int, file string, status string, note string"
@@ -69,6 +70,17 @@ def test_other_chunks_give_the_same(rows):
         assert as_set(scd2(rows(SCHEMA, *feed), ["k"], hot_rows=0, chunk=chunk, **OPTIONS)) == expected(feed)
 
 
+@pytest.mark.parametrize("fine", ["day", "file"])
+def test_hot_key_is_cut_into_bounded_pieces(rows, fine):
+    """Many deliveries of a row each, or one delivery of many rows: pieces stay small and few."""
+    feed = [("hot", *((i, "f") if fine == "day" else (0, f"f{i:05}")), "ab"[i // 7 % 2], "n") for i in range(2000)]
+    df = rows(SCHEMA, *feed)
+    given = df.select("k", F.struct("day", "file").alias("__start"))
+    sizes = [r["count"] for r in _pieces(given, hot_keys(df, ["k"], 400), ["k"], 400).groupBy("__chunk").count().collect()]
+    assert sum(sizes) == 2000 and max(sizes) <= 1000 and 5 <= len(sizes) <= 60
+    assert as_set(scd2(df, ["k"], hot_rows=400, **OPTIONS)) == expected(feed)
+
+
 def test_unique_sequence_needs_no_dedupe(rows):
     feed = [("k", d, "f", s, f"n{d}") for d, s in enumerate("aabbca")]
     for hot_rows in (None, 0):
