@@ -97,6 +97,7 @@ def _anchor_rows(length: int):
             out: list[list[np.ndarray]] = [[] for _ in range(6)]
             for rid, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
                 raw = (text or "").encode("utf-8", "surrogatepass")
+                last = -1
                 for begin in range(0, max(1, len(raw) - length + 1), PIECE):
                     # the anchors of strings that start in this piece, with all that their windows hold
                     low = max(0, begin - length)
@@ -106,6 +107,9 @@ def _anchor_rows(length: int):
                         continue
                     roll = Rolling(data)
                     a = anchors(Rolling(mine) if low < begin else roll, len(mine), length) + begin - low
+                    # anchors rise with the strings they serve, so only the piece before can have given one of these
+                    a = a[a + low > last]
+                    last = max(last, low + int(a[-1])) if len(a) else last
                     left, right = a - (length - GRAM), a + length
                     whole = np.maximum(left, 0), np.minimum(right, len(data))
                     keys = []

@@ -89,6 +89,18 @@ def test_repeated_spans(spark, monkeypatch, crowd):
     assert [(r.n_bytes, r.n_removed, r.n_spans, r.kept_sha256) for r in got] == _without_repeats(texts, 400)
 
 
+@pytest.mark.parametrize("piece", [150, 700])
+def test_repeated_spans_of_texts_in_pieces(spark, monkeypatch, piece):
+    monkeypatch.setattr(repeats, "PIECE", piece)
+    rng = random.Random(9)
+    noise = lambda n: "".join(rng.choice("abcdefgh é") for _ in range(n))
+    shared = noise(900)
+    texts = [noise(2900), noise(700) + shared + noise(1500), noise(333) + shared[100:600] + noise(900), noise(450) + "a" * 900]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = repeats.repeated_spans(df).orderBy("doc_id").collect()
+    assert [(r.n_bytes, r.n_removed, r.n_spans, r.kept_sha256) for r in got] == _without_repeats(texts, 400)
+
+
 def test_suffix_array_order_and_prefixes():
     rng = random.Random(1)
     for n, k in ((1, 1), (5, 1), (300, 2), (2000, 4), (2000, 200)):
