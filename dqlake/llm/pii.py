@@ -16,7 +16,10 @@ from __future__ import annotations
 
 import hashlib
 import re
+import string
+import unicodedata
 from collections.abc import Iterator
+from functools import lru_cache
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -128,6 +131,43 @@ def _check_digit(digits: str) -> str:
     return str(-total % 10)
 
 
+#: What a character of a secret may become if it is neither a letter nor a digit.
+SYMBOLS = "".join(c for c in string.punctuation if c not in "\"'")
+
+
+@lru_cache(4096)
+def _alike(block: int, category: str) -> str:
+    """Characters of a category (letters with their case, digits, symbols) in a block of 256."""
+    block_chars = map(chr, range(block << 8, block + 1 << 8))
+    return "".join(c for c in block_chars if unicodedata.category(c) == category and not c.isspace() and c not in "\"'")
+
+
+def _secret(draw: Draws, canon: str, attempt: int) -> str:
+    """Every character is drawn, but the mark of a known format and single separators between
+    letters or digits; further attempts grow, so that they never run out."""
+    known = re.match(r"AKIA(?=[0-9A-Z]{16}$)", canon)
+    head = len(known.group()) if known else 0
+    if re.fullmatch(r"[0-9a-f]+", canon):
+        return "".join("0123456789abcdef"[draw.below(16)] for _ in range(len(canon) + attempt // 2))
+    out = [canon[:head]]
+    for i in range(head, len(canon)):
+        c = canon[i]
+        if c in "-_." and canon[i - 1:i].isalnum() and canon[i + 1:i + 2].isalnum():
+            out.append(c)
+        elif c.isascii() and not c.isalnum():
+            out.append(SYMBOLS[draw.below(len(SYMBOLS))])
+        elif c.isascii():
+            of = string.digits if c.isdigit() else string.ascii_lowercase if c.islower() else string.ascii_uppercase
+            # the first of several digits stays a digit other than 0
+            out.append(str(1 + draw.below(9)) if i == 0 and c.isdigit() and c != "0" else of[draw.below(len(of))])
+        else:
+            of = _alike(ord(c) >> 8, unicodedata.category(c))
+            of = of if len(of) > 1 else string.ascii_lowercase
+            out.append(of[draw.below(len(of))])
+    out += [string.ascii_lowercase[draw.below(26)] for _ in range(attempt // 2)]
+    return "".join(out)
+
+
 def surrogate(key: bytes, kind: str, canon: str, attempt: int) -> str:
     """The replacement of an entity, in canonical form."""
     draw = Draws(key, kind, canon, attempt)
@@ -157,12 +197,11 @@ def surrogate(key: bytes, kind: str, canon: str, attempt: int) -> str:
         out = ["".join(str(d.below(10)) if c.isdigit() else chr(97 + d.below(26)) if c.isalpha() else c for c in s) for s, d in shape]
         extra = "".join(chr(97 + draw.below(26)) for _ in range(attempt // 4))
         return f"{out[0]}{extra}@{out[1]}{dot}{top}"
-    hexes = kind == "secret" and re.fullmatch(r"[0-9a-f]+", canon)
+    if kind == "secret":
+        return _secret(draw, canon, attempt)
     out = []
     for i, c in enumerate(canon):
-        if hexes:
-            out.append("0123456789abcdef"[draw.below(16)])
-        elif kind == "secret" and canon.startswith("AKIA") and i < 4 or kind == "account" and i < 2:
+        if kind == "account" and i < 2:
             out.append(c)
         elif c.isdigit():
             out.append(digit(c, i == 0))

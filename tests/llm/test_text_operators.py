@@ -192,6 +192,21 @@ def test_surrogates_keep_type_distinctness_and_coreference(spark, monkeypatch):
     assert len(set(made)) == 9 and not set(made) & {f"10.0.0.{i}" for i in range(9)}
 
 
+def test_secrets_of_any_characters_get_surrogates(spark, monkeypatch):
+    secrets = ["****", "{}", "*", "----", "пароль", "密码密码密码", "a密b*9", "AKIA", "%%%%%%%%", "😀", *"0123456789", *"abcdef"]
+    docs = spark.createDataFrame([(i, f"password={s} end") for i, s in enumerate(secrets)], "doc_id long, text string")
+    steps = []
+    monkeypatch.setattr(pii, "keep", lambda df, name, real=pii.keep: steps.append(name) or (
+        real(df, name) if len(steps) < 60 else pytest.fail("does not end")))
+    out = {r.doc_id: r for r in pii.pseudonymise(docs, b"k").collect()}
+    made = [re.fullmatch(r"password=([^\s\"']+) end", out[i].text)[1] for i in range(len(secrets))]
+    assert len(set(made)) == len(secrets) and not set(made) & set(secrets)
+    assert all(out[i].n_entities == 1 for i in out)
+    for s in ("пароль", "a密b*9", "密码密码密码"):
+        drawn = [pii.surrogate(b"k", "secret", s, n) for n in range(60)]
+        assert all(len({d[i] for d in drawn}) > 3 for i in range(len(s)))
+
+
 @pytest.mark.parametrize("listed", [50_000, -1])
 def test_pseudonymise_joined_or_listed(spark, monkeypatch, listed):
     monkeypatch.setattr(pii, "LISTED", listed)
