@@ -127,6 +127,13 @@ def test_packing_is_whole_and_gapless(spark):
     assert got.sequence_id.nunique() <= 1.02 * got.length.sum() / 512 + 1
 
 
+def test_words_are_cut_at_the_tokenizers_white_space():
+    words = packing.WordTokens(packing.public_tokenizers.path("word_bpe_49k.json"))
+    texts = ["a\x1cb \x1d c\x1e\x1f\nd", "\x1f", "plain\x85text\u00a0with\u2028gaps\u3000here\x0b\x0c.", " \x1c "]
+    for t, ids in zip(texts, words.of(texts)):
+        assert ids.tolist() == words.tokenizer.encode(t, add_special_tokens=False).ids
+
+
 def test_packing_plan_covers_every_piece_once():
     counts = {300: 1000, 700: 900, 1500: 400, 2048: 7, 12: 5000}
     placed = Counter()
