@@ -17,17 +17,21 @@ MIX_1 = np.uint64(0xBF58476D1CE4E5B9)
 MIX_2 = np.uint64(0x94D049BB133111EB)
 #: Words one Python worker remembers at most before it starts afresh.
 CACHE_WORDS = 400_000
+#: Folders of local sessions that name no shared one, by application.
+_LOCAL: dict[str, str] = {}
 
 
 def shared_root(spark: SparkSession) -> str:
     """The folder of ``spark.checkpoint.dir``; a local session (tests) without one gets its own."""
     root = spark.conf.get("spark.checkpoint.dir", None)
-    if not root:
-        if not spark.sparkContext.master.startswith("local"):
-            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
-        root = f"file://{tempfile.mkdtemp(prefix='dqlake-llm-')}"
-        spark.conf.set("spark.checkpoint.dir", root)
-    return root.rstrip("/")
+    if root:
+        return root.rstrip("/")
+    context = spark.sparkContext
+    if not context.master.startswith("local"):
+        raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
+    if context.applicationId not in _LOCAL:
+        _LOCAL[context.applicationId] = f"file://{tempfile.mkdtemp(prefix='dqlake-llm-')}"
+    return _LOCAL[context.applicationId]
 
 
 def keep(df: DataFrame, name: str) -> DataFrame:
@@ -45,14 +49,14 @@ def partitions(spark: SparkSession) -> int:
 def with_row_id(docs: DataFrame, id_col: str, name: str, *cols: str) -> DataFrame:
     """``docs`` cut to ``cols`` plus a long column ``rid`` that tells rows apart.
 
-    Where the id column is unique and without nulls it serves itself; otherwise rows are
-    numbered once and written, so that a recomputed task can't number them differently.
+    Where the id column holds integers, unique and without nulls, it serves itself; otherwise rows
+    are numbered once and written, so that a recomputed task can't number them differently.
     """
-    ids = docs.select(id_col)
-    n, known, distinct = ids.agg(F.count("*"), F.count(id_col), F.count_distinct(id_col)).first()
     kept = docs.select(*dict.fromkeys([id_col, *cols]))
-    if n == known == distinct:
-        return kept.withColumn("rid", F.col(id_col).cast("long"))
+    if dict(kept.dtypes)[id_col] in ("bigint", "int", "smallint", "tinyint"):
+        n, known, distinct = kept.agg(F.count("*"), F.count(id_col), F.count_distinct(id_col)).first()
+        if n == known == distinct:
+            return kept.withColumn("rid", F.col(id_col).cast("long"))
     return keep(kept.withColumn("rid", F.monotonically_increasing_id()), name)
 
 

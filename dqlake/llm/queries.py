@@ -7,7 +7,10 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import brown_lm, decontam, licenses, ngram_join, packing, pii, quality, repeats, topk, toxicity
+from . import (
+    brown_lm, decontam, hard_negatives, licenses, line_dedup, merkle, ngram_join, packing, pii, quality, repeats, topk,
+    toxicity,
+)
 
 #: Only for the registered query: real surrogates need a key of one's own.
 DEMO_KEY = b"a key for the registered query"
@@ -70,9 +73,67 @@ def op10_class_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", fold(7).alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score", "perplexity")
 
 
+def op11_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    kept = line_dedup.drop_common_lines(table(spark, sf_dir, "documents"), 10)
+    return kept.select("doc_id", "n_lines", "n_dropped", F.sha2(F.col("text").cast("binary"), 256).alias("kept_sha256"))
+
+
+def op12_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return hard_negatives.hard_negatives(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0, label)
+
+
+def op13_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every row is proven against the root; rows of an even crc32 are first tampered with."""
+    columns = ["doc_id", "source", "lang", "n_chars", "text"]
+    tampered = merkle.leaf_hash(*[F.replace("text", F.lit("\n"), F.lit("")) if c == "text" else F.col(c) for c in columns])
+    even = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 2 == 0
+    given = F.when(even, tampered).otherwise(merkle.leaf_hash(*[F.col(c) for c in columns]))
+    made = merkle.Manifest(table(spark, sf_dir, "documents"), columns, carry={"given": given})
+    return merkle.folded(made.proven().select("id", "leaf", "subroot", "root", "given", "path"), "given").select(
+        F.col("id").alias("doc_id"), "leaf", "subroot", "root", "proof_sha256", "folded_root",
+        (F.col("folded_root") == F.col("root")).alias("verified"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (
     op1_license_scan, op2_pii_surrogates, op3_ngram_jaccard, op4_exact_topk, op5_best_fit_packing, op6_toxicity,
-    op7_suffix_array_dedup, op8_decontamination, op9_quality, op10_class_lm)}
+    op7_suffix_array_dedup, op8_decontamination, op9_quality, op10_class_lm, op11_line_dedup, op12_hard_negatives,
+    op13_merkle_manifest)}
+
+def merkle_sql(deep: int, high: int) -> str:
+    """Twin of op13: trees of at most ``deep`` levels below and ``high`` above the sources' roots, level by
+    level; a tree that has reached its root stays as it is. crc32 is written out, bit by bit."""
+    field = "CASE WHEN {0} IS NULL THEN '-' ELSE strlen(CAST({0} AS VARCHAR)) || ':' || CAST({0} AS VARCHAR) END"
+    row = " || ".join(field.format(c) for c in ("doc_id", "source", "lang", "n_chars", "text"))
+    bare = row.replace(" text ", " replace(text, chr(10), '') ").replace("(text AS", "(replace(text, chr(10), '') AS")
+    crc = """list_reduce(list_prepend(4294967295, flatten(list_transform(string_split(CAST(doc_id AS VARCHAR), ''),
+        lambda c: [CAST(ord(c) AS BIGINT), -1, -1, -1, -1, -1, -1, -1, -1]))), lambda c, x: CASE WHEN x >= 0 THEN xor(c, x)
+        ELSE xor(c >> 1, CASE WHEN c & 1 = 1 THEN 3988292384 ELSE 0 END) END)"""
+    # the last step of crc32 turns every bit round: even where the register is odd
+    steps = [f"""
+        a AS (SELECT *, sha256({row}) AS leaf, sha256(CASE WHEN ({crc}) & 1 = 1 THEN {bare} ELSE {row} END) AS given,
+                     coalesce('=' || source, '-') AS g FROM documents),
+        d0 AS (SELECT doc_id, g, leaf, given AS fold, '' AS proof, row_number() OVER (PARTITION BY g ORDER BY doc_id NULLS FIRST, leaf) - 1 AS i FROM a),
+        t0 AS (SELECT g, i, leaf AS h, count(*) OVER (PARTITION BY g) AS n FROM d0)"""]
+    lift = """
+        {t}{l} AS MATERIALIZED (SELECT g, j AS i, CASE WHEN min(n) = 1 THEN min(h) ELSE sha256(string_agg(h, '' ORDER BY i)) END AS h,
+                     count(*) OVER (PARTITION BY g) AS n FROM (SELECT *, i // 3 AS j FROM {t}{k}) GROUP BY g, j),
+        {d}{l} AS MATERIALIZED (SELECT doc_id, s.g, leaf, s.i // 3 AS i, subroot, proof || coalesce(b, '') || coalesce(e, '') AS proof,
+                     CASE WHEN s.n = 1 THEN fold ELSE sha256(coalesce(b, '') || fold || coalesce(e, '')) END AS fold
+              FROM (SELECT d.*, t.n FROM {d}{k} d JOIN {t}{k} t ON d.g = t.g AND d.i = t.i) s
+              LEFT JOIN (SELECT x.g, x.i, string_agg(y.h, '' ORDER BY y.i) FILTER (WHERE y.i < x.i) AS b,
+                                string_agg(y.h, '' ORDER BY y.i) FILTER (WHERE y.i > x.i) AS e
+                         FROM {t}{k} x JOIN {t}{k} y ON x.g = y.g AND x.i // 3 = y.i // 3 AND x.i <> y.i GROUP BY x.g, x.i) o
+              ON s.g = o.g AND s.i = o.i)"""
+    steps += [lift.format(t="t", d="d", k=k, l=k + 1).replace("subroot,", "") for k in range(deep)]
+    steps.append(f"""
+        u0 AS (SELECT '' AS g, row_number() OVER (ORDER BY g) - 1 AS i, h, count(*) OVER () AS n, g AS tree FROM t{deep}),
+        e0 AS (SELECT doc_id, u0.g, leaf, u0.i, u0.h AS subroot, proof, fold FROM d{deep} d JOIN u0 ON d.g = u0.tree)""")
+    steps += [lift.format(t="u", d="e", k=k, l=k + 1) for k in range(high)]
+    return f"""WITH {", ".join(steps)}
+        SELECT doc_id, leaf, subroot, h AS root, sha256(proof) AS proof_sha256, fold AS folded_root, fold = h AS verified
+        FROM e{high} CROSS JOIN (SELECT h FROM u{high})"""
+
 
 ORACLES: dict[str, str] = {
     "op3_ngram_jaccard": r"""
@@ -108,4 +169,27 @@ ORACLES: dict[str, str] = {
                CAST(coalesce(n_spans, 0) AS BIGINT) AS n_spans,
                sha256(unhex(CASE WHEN last IS NULL THEN h ELSE kept || substr(h, 2 * last + 1) END)) AS kept_sha256
         FROM d LEFT JOIN k USING (doc_id)""",
+    "op11_line_dedup": """
+        WITH d AS (SELECT doc_id, string_split(coalesce(text, ''), chr(10)) AS s FROM documents),
+        l AS (SELECT doc_id, unnest(s) AS line, generate_subscripts(s, 1) AS i FROM d),
+        k AS (SELECT *, translate(trim(line, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)),
+                     'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS key FROM l),
+        c AS (SELECT key FROM k WHERE key <> '' GROUP BY key HAVING count(DISTINCT doc_id) >= 10)
+        SELECT doc_id, count(*) AS n_lines, count(c.key) AS n_dropped,
+               sha256(coalesce(string_agg(line, chr(10) ORDER BY i) FILTER (WHERE c.key IS NULL), '')) AS kept_sha256
+        FROM k LEFT JOIN c ON k.key = c.key GROUP BY doc_id""",
+    "op12_hard_negatives": """
+        WITH v AS (SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+                          list_transform(embedding, lambda x: floor(256 * CAST(x AS DOUBLE))) AS e FROM embeddings
+                   WHERE vec_id IS NOT NULL AND label IS NOT NULL AND len(embedding) > 0
+                     AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+        s AS (SELECT a.vec_id AS anchor_id, b.vec_id, a.label = b.label AS same, CAST(list_inner_product(a.e, b.e) AS BIGINT) AS score
+              FROM v a JOIN v b ON a.vec_id <> b.vec_id AND len(a.e) = len(b.e) WHERE a.vec_id % 50 = 0),
+        p AS (SELECT anchor_id, vec_id AS positive_id, score AS positive_score FROM s WHERE same
+              QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, vec_id) <= 5),
+        n AS (SELECT p.*, s.vec_id AS negative_id, s.score AS negative_score,
+                     row_number() OVER (PARTITION BY anchor_id, positive_id ORDER BY s.score DESC, s.vec_id) AS place
+              FROM p JOIN s USING (anchor_id) WHERE NOT s.same AND 50 * positive_score <= 100 * s.score AND 100 * s.score <= 95 * positive_score)
+        SELECT anchor_id, positive_id, CAST(place AS INTEGER) AS rank, negative_id, positive_score, negative_score FROM n WHERE place <= 3""",
+    "op13_merkle_manifest": merkle_sql(14, 6),
 }
