@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from dqlake.functions import stamp
 from dqlake.operators import Layers, reissued_keys
 from dqlake.session import configure
-from dqlake.sources import ingest_feed, ingest_snapshot, text_schema
+from dqlake.sources import ingest_feed, ingest_snapshot, read_feed
 from dqlake.streaming import apply_changes, read_history, read_quarantine, read_valid, route_feed
 
 from . import gold, schemas as s, silver
@@ -55,16 +55,18 @@ class Lakehouse:
         return f"{self.root}/_checkpoints/{name}"
 
     def bronze(self, name: str) -> DataFrame:
-        return self.read("bronze", s.BRONZE_NAMES[name])
+        if name in s.MASTERS:
+            return self.read("bronze", s.BRONZE_NAMES[name])
+        return read_feed(self.spark, self.path("bronze", s.BRONZE_NAMES[name]), s.FEEDS[name].columns, RAW_TYPES[name])
 
     def ingest(self) -> None:
         """Masters are read whole, feeds file by file, each file once."""
         for name, spec in s.MASTERS.items():
-            ingest_snapshot(self.spark, self._source(name), text_schema(spec.columns),
+            ingest_snapshot(self.spark, self._source(name), spec.columns,
                             self.path("bronze", s.BRONZE_NAMES[name]), self.as_of)
         for name, feed in s.FEEDS.items():
             table = s.BRONZE_NAMES[name]
-            ingest_feed(self.spark, self._source(name), text_schema(feed.columns),
+            ingest_feed(self.spark, self._source(name), feed.columns,
                         self.path("bronze", table), self._checkpoint(f"bronze_{table}"),
                         self.as_of, RAW_TYPES[name])
 
@@ -78,8 +80,7 @@ class Lakehouse:
 
     def _route(self, name: str, validated) -> None:
         table = self.path("bronze", s.BRONZE_NAMES[name])
-        schema = self.spark.read.parquet(table).schema
-        stream = self.spark.readStream.schema(schema).parquet(table)
+        stream = self.spark.readStream.schema(self.bronze(name).schema).parquet(f"{table}/batch_id=*")
         route_feed(stream, validated, self.path("routed", name), self._checkpoint(f"route_{name}"))
 
     def valid(self, name: str) -> DataFrame:

@@ -7,7 +7,8 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from dqlake.operators import END, START
 from dqlake.plans import silver
 from dqlake.sources import (
-    feed_inventory, ingest_feed, ingest_snapshot, landing_inventory, new_folder, rescue, text_schema,
+    bindings, feed_inventory, header_drift, header_lines, ingest_feed, ingest_snapshot, landing_inventory, new_folder,
+    observe_types, read_feed, read_lines, rescue, type_drift,
 )
 from dqlake.streaming import apply_changes, read_history, read_quarantine, read_valid, route_feed
 
@@ -34,57 +35,140 @@ def data_folder(spark: SparkSession, sf: str) -> DataFrame:
     return landing_inventory(spark, sf)
 
 
-@query(with_tables(r"""
-    SELECT lab_result_id, TRY_CAST(result_value AS DOUBLE) AS result_value,
-      TRY_CAST(reference_low AS DOUBLE) AS reference_low,
-      CASE WHEN bad_value OR bad_low THEN concat('{', concat_ws(',',
-        CASE WHEN bad_value THEN concat('"result_value":"', result_value, '"') END,
-        CASE WHEN bad_low THEN concat('"reference_low":"', reference_low, '"') END), '}') END AS _rescued_data
-    FROM (SELECT *, result_value IS NOT NULL AND TRY_CAST(result_value AS DOUBLE) IS NULL AS bad_value,
-            reference_low IS NOT NULL AND TRY_CAST(reference_low AS DOUBLE) IS NULL AS bad_low
-          FROM f_labs)""", "f_labs"))
-def rescue_columns(spark: SparkSession, sf: str) -> DataFrame:
-    rows = store(spark, sf).feed("labs").select("lab_result_id", "result_value", "reference_low")
-    return rescue(rows, {"result_value": "double", "reference_low": "double"})
-
-
-_CSV_COLUMNS = ("c_custkey", "c_name", "c_mktsegment")
+_LAB_NUMBERS = ("result_value", "reference_low", "reference_high")
 
 
-def _deliver(spark: SparkSession, sf: str) -> str:
-    """The customer table as delivered CSV files, one folder per market segment."""
-    landing = new_folder(spark, "landing")
-    rows = table(spark, sf, "customer").selectExpr("CAST(c_custkey AS STRING) AS c_custkey", "c_name",
-                                                   "c_mktsegment")
-    rows.write.option("header", True).csv(f"{landing}/ctms/customers")
-    return f"{landing}/ctms/customers"
-
-
-_DELIVERED = """
-    SELECT CAST(c_custkey AS STRING) AS c_custkey, c_name, c_mktsegment, true AS has_file,
-      DATE '2024-06-30' AS _ingestion_date FROM customer"""
+@query(with_tables(f"""
+    SELECT lab_result_id, {", ".join(f"TRY_CAST({c} AS DOUBLE) AS {c}" for c in _LAB_NUMBERS)},
+      nullif(concat('{{', concat_ws(',', {", ".join(f"""CASE WHEN {c} IS NOT NULL AND TRY_CAST({c} AS DOUBLE) IS NULL
+        THEN concat('"{c}":"', {c}, '"') END""" for c in _LAB_NUMBERS)}), '}}'), '{{}}') AS _rescued_data
+    FROM f_labs""", "f_labs"))
+def rescue_columns(spark: SparkSession, sf: str) -> DataFrame:
+    rows = store(spark, sf).feed("labs").select("lab_result_id", *_LAB_NUMBERS)
+    return rescue(rows, dict.fromkeys(_LAB_NUMBERS, "double"))
+
+
+_CUSTOMER = ("c_custkey", "c_name", "c_nationkey", "c_acctbal", "c_mktsegment")
+_CUSTOMER_TYPES = {"c_custkey": "bigint", "c_nationkey": "int", "c_acctbal": "double"}
+
+# Three kinds of delivery of the customer table, by key: as the table is; in another order, quoted; with an
+# unknown column, surplus fields and lines that break off. The expressions are SQL of both engines.
+_KEY, _BALANCE = "CAST(c_custkey AS STRING)", "CASE WHEN c_custkey % 97 = 0 THEN 'n/a' ELSE CAST(c_acctbal AS STRING) END"
+_QUOTED = """concat(c_name, ', "', c_mktsegment, '"')"""
+_OPEN = f"""concat('"', c_name, ',', {_KEY}, ',L', CAST(c_nationkey AS STRING))"""
+_PLAIN = (f"concat(c_name, ',', {_KEY}, ',L', CAST(c_nationkey AS STRING), ',', CAST(c_nationkey AS STRING), ',', {_BALANCE}, "
+          "',', c_mktsegment, CASE WHEN c_custkey % 101 = 0 THEN ',a b,' ELSE '' END)")
+
+
+def _deliver(spark: SparkSession, sf: str, kind: int, landing: str) -> None:
+    """One kind of delivery of the customer table as CSV files."""
+    rows = table(spark, sf, "customer").where(F.col("c_custkey") % 3 == kind)
+    if kind == 0:
+        rows.selectExpr(f"{_KEY} AS c_custkey", "c_name", "c_nationkey", f"{_BALANCE} AS C_AcctBal", "c_mktsegment").write.mode(
+            "append").option("header", True).csv(landing)
+    elif kind == 1:
+        rows.selectExpr("c_mktsegment", f"{_BALANCE} AS c_acctbal", "c_nationkey", f"{_QUOTED} AS c_name", f"{_KEY} AS c_custkey").write.mode(
+            "append").option("header", True).option("quoteAll", True).option("escape", '"').csv(landing)
+    else:
+        lines = rows.selectExpr(f"CASE WHEN c_custkey % 103 = 0 THEN {_OPEN} ELSE {_PLAIN} END AS "
+                                "`c_name,c_custkey,loyalty,c_nationkey,c_acctbal,c_mktsegment`")
+        # lines as they are: no separator and no quote that could occur in them
+        lines.write.mode("append").option("header", True).option("sep", "\u0001").option("quote", "\u0002").option(
+            "ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False).csv(landing)
+
+
+def _delivered_sql(typed: bool) -> str:
+    """Without the types a balance is text and nothing but lines and surplus is rescued."""
+    def cast(x: str, kind: str) -> str:
+        return f"TRY_CAST({x} AS {kind})" if typed else f"CAST({x} AS STRING)"
+
+    lost = f"""CASE WHEN {str(typed).lower()} AND c_custkey % 97 = 0 THEN '"c_acctbal":"n/a"' END"""
+    return f"""
+    SELECT {cast("key", "BIGINT")} AS c_custkey, name AS c_name, {cast("nation", "INT")} AS c_nationkey,
+      {cast("balance", "DOUBLE")} AS c_acctbal, segment AS c_mktsegment, true AS has_file,
+      DATE '{AS_OF}' AS _ingestion_date, _rescued_data
+    FROM (
+      SELECT {_KEY} AS key, CASE WHEN c_custkey % 3 = 1 THEN {_QUOTED} ELSE c_name END AS name, CAST(c_nationkey AS STRING) AS nation,
+        {_BALANCE} AS balance, c_mktsegment AS segment,
+        CASE WHEN c_custkey % 3 = 2 THEN concat('{{', concat_ws(',', concat('"loyalty":"L', CAST(c_nationkey AS STRING), '"'),
+               CASE WHEN c_custkey % 101 = 0 THEN '"#7":"a b","#8":""' END, {lost}), '}}')
+             WHEN {lost} IS NOT NULL THEN concat('{{', {lost}, '}}') END AS _rescued_data
+      FROM customer WHERE c_custkey % 3 <> 2 OR c_custkey % 103 <> 0
+      UNION ALL SELECT NULL, NULL, NULL, NULL, NULL, concat('{{"_line":"', replace({_OPEN}, '"', chr(92) || '"'), '"}}')
+      FROM customer WHERE c_custkey % 3 = 2 AND c_custkey % 103 = 0)"""
 
 
 def _delivered(df: DataFrame) -> DataFrame:
     lineage = (F.col("_source_file_name").endswith(".csv") & F.col("_source_file").contains("/ctms/")
                & F.col("_source_file_modification_ts").isNotNull() & F.col("_ingestion_ts").isNotNull())
-    return df.select(*_CSV_COLUMNS, lineage.alias("has_file"), "_ingestion_date")
+    return df.select(*_CUSTOMER, lineage.alias("has_file"), "_ingestion_date", "_rescued_data")
+
+
+def _landing(spark: SparkSession) -> str:
+    return f"{new_folder(spark, 'landing')}/ctms/customers"
 
 
-@query(_DELIVERED, name="ingest_snapshot")
+@query(_delivered_sql(False), name="ingest_snapshot")
 def customer_snapshot(spark: SparkSession, sf: str) -> DataFrame:
-    path = _deliver(spark, sf)
-    return _delivered(ingest_snapshot(spark, path, text_schema(_CSV_COLUMNS),
-                                      new_folder(spark, "bronze"), as_of()))
+    """Files of three layouts in one folder, all columns as text."""
+    path = _landing(spark)
+    for kind in range(3):
+        _deliver(spark, sf, kind, path)
+    return _delivered(ingest_snapshot(spark, path, _CUSTOMER, new_folder(spark, "bronze"), as_of()))
 
 
-@query(_DELIVERED, name="ingest_feed")
+@query(_delivered_sql(True), name="ingest_feed")
 def customer_feed(spark: SparkSession, sf: str) -> DataFrame:
-    """Run twice: the second run finds no new file and must add nothing."""
-    path, sink, checkpoint = _deliver(spark, sf), new_folder(spark, "bronze"), new_folder(spark, "offsets")
-    for _ in range(2):
-        ingest_feed(spark, path, text_schema(_CSV_COLUMNS), sink, checkpoint, as_of())
-    return _delivered(spark.read.parquet(sink))
+    """A run after each delivery and one without: every file is taken once, by its own header."""
+    path, sink, checkpoint = _landing(spark), new_folder(spark, "bronze"), new_folder(spark, "offsets")
+    for kind in (0, 1, 2, None):
+        if kind is not None:
+            _deliver(spark, sf, kind, path)
+        ingest_feed(spark, path, _CUSTOMER, sink, checkpoint, as_of(), _CUSTOMER_TYPES)
+    return _delivered(read_feed(spark, sink, _CUSTOMER, _CUSTOMER_TYPES))
+
+
+@query("""
+    SELECT '' AS missing_columns, CASE WHEN c_custkey % 3 = 2 THEN 'loyalty' ELSE '' END AS unknown_columns, true AS reordered,
+      count(*) AS row_count FROM customer WHERE c_custkey % 3 > 0 GROUP BY 1, 2""", name="header_drift")
+def customer_drift(spark: SparkSession, sf: str) -> DataFrame:
+    """Rows under a header other than the table's columns, by what is different."""
+    path = _landing(spark)
+    for kind in range(3):
+        _deliver(spark, sf, kind, path)
+    drift = header_drift(bindings(header_lines(spark, path), _CUSTOMER), _CUSTOMER)
+    per_file = read_lines(spark.read, path).groupBy(F.col("_metadata.file_path").alias("_source_file")).count()
+    return drift.join(per_file, "_source_file").groupBy("missing_columns", "unknown_columns", "reordered").agg(
+        F.sum("count").alias("row_count"))
+
+
+_LAB_TYPED = ("result_value", "reference_low", "reference_high", "collection_date", "visit_id")
+_MISFITS = {
+    "boolean": "NOT regexp_full_match({v}, '(?i)true|false')",
+    "int": "NOT (regexp_full_match({v}, '[+-]?[0-9]+') AND TRY_CAST({v} AS INT) IS NOT NULL)",
+    "bigint": "NOT (regexp_full_match({v}, '[+-]?[0-9]+') AND TRY_CAST({v} AS BIGINT) IS NOT NULL)",
+    "double": r"NOT regexp_full_match({v}, '[+-]?([0-9]+\.?[0-9]*|\.[0-9]+)([eE][+-]?[0-9]+)?')",
+    "date": "NOT (regexp_full_match({v}, '[0-9]{{4}}-[0-9]{{2}}-[0-9]{{2}}') AND TRY_CAST({v} AS DATE) IS NOT NULL)",
+}
+_FIRST = ("CASE WHEN coalesce(sum(n) {o}, 0) = 0 THEN 'void' "
+          + " ".join(f"WHEN sum(no_{k}) {{o}} = 0 THEN '{k}'" for k in _MISFITS) + " ELSE 'string' END")
+_PER_FILE = " UNION ALL ".join(
+    f"SELECT _source_file_name AS file, '{c}' AS column_name, count({c}) AS n, "
+    + ", ".join(f"count(*) FILTER (WHERE {m.format(v=c)}) AS no_{k}" for k, m in _MISFITS.items())
+    + " FROM f_labs GROUP BY 1" for c in _LAB_TYPED)
+
+
+@query(with_tables(f"""
+    SELECT file AS _source_file_name, column_name, n AS value_count, own AS delivery_type, past AS known_type, upto AS merged_type,
+      CAST(CASE past {" ".join(f"WHEN '{k}' THEN no_{k}" for k in _MISFITS)} ELSE 0 END AS BIGINT) AS contradictions
+    FROM (SELECT *, {_FIRST.format(o="OVER (PARTITION BY column_name, file)")} AS own,
+            {_FIRST.format(o="OVER (PARTITION BY column_name ORDER BY file ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)")} AS past,
+            {_FIRST.format(o="OVER (PARTITION BY column_name ORDER BY file ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)")} AS upto
+          FROM ({_PER_FILE}))""", "f_labs"), name="type_drift")
+def lab_type_drift(spark: SparkSession, sf: str) -> DataFrame:
+    """Types of the lab columns, delivery after delivery: numbers meet text, dates meet other formats."""
+    seen = observe_types(store(spark, sf).feed("labs"), _LAB_TYPED, "_source_file_name")
+    return type_drift(seen, "_source_file_name")
 
 
 @query(with_tables("""

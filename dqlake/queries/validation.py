@@ -132,7 +132,9 @@ def mapping_coverage_severity(spark: SparkSession, sf: str) -> DataFrame:
 @query(with_tables(f"""
     SELECT count(*) AS total_rows, count(DISTINCT visit_id) AS distinct_keys,
       {', '.join(f'count(*) FILTER (WHERE {b2n(c)} IS NULL) AS missing_{c}' for c in _VISIT_KEYS)},
-      0 AS rescued_rows, count(DISTINCT _source_file_name) AS source_files FROM f_visits""", "f_visits"),
+      count(*) FILTER (WHERE (visit_number IS NOT NULL AND TRY_CAST(visit_number AS INT) IS NULL)
+        OR (days_from_baseline IS NOT NULL AND TRY_CAST(days_from_baseline AS INT) IS NULL)) AS rescued_rows,
+      count(DISTINCT _source_file_name) AS source_files FROM f_visits""", "f_visits"),
     name="profile")
 def visit_profile(spark: SparkSession, sf: str) -> DataFrame:
     return profile(store(spark, sf).feed("visits"), "visit_id", _VISIT_KEYS, "_source_file_name",

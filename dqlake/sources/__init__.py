@@ -1,5 +1,7 @@
+from .delimited import RESCUED, bind, bindings, header_drift, header_lines, read_lines
 from .ingest import (
-    RESCUED, feed_inventory, ingest_feed, ingest_snapshot, landing_inventory, read_feed,
-    read_snapshot, rescue, text_schema, with_lineage,
+    feed_inventory, ingest_feed, ingest_snapshot, known_types, landing_inventory, read_feed,
+    read_snapshot, rescue, rescued_values, text_schema, typed_feed, with_lineage,
 )
+from .types import merged_types, observe_types, type_drift
 from .workspace import new_folder, work_root

@@ -3,17 +3,23 @@
 from __future__ import annotations
 
 import re
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
 from dqlake.functions import n, n_distinct, variants
 
-RESCUED = "_rescued_data"
+from .delimited import FILE, RESCUED, bind, bindings, header_lines, read_lines
+from .types import merged_types, observe_types
 
+BATCH = "batch_id"
+# New files a batch takes at most: their names and headers pass the driver.
+MAX_FILES = 1000
 
-def text_schema(columns: list[str] | tuple[str, ...]) -> StructType:
+
+def text_schema(columns: Sequence[str]) -> StructType:
     """All-text schema: raw layers keep every value as delivered."""
     return StructType([StructField(c, StringType()) for c in columns])
 
@@ -24,7 +30,7 @@ def with_lineage(df: DataFrame, as_of: Column) -> DataFrame:
     at = as_of.cast("timestamp")
     return df.select(
         "*",
-        F.col("_metadata.file_path").alias("_source_file"),
+        F.col("_metadata.file_path").alias(FILE),
         F.col("_metadata.file_name").alias("_source_file_name"),
         F.col("_metadata.file_modification_time").alias("_source_file_modification_ts"),
         at.alias("_ingestion_ts"),
@@ -32,60 +38,105 @@ def with_lineage(df: DataFrame, as_of: Column) -> DataFrame:
     )
 
 
-def read_feed(spark: SparkSession, path: str, schema: StructType, as_of: Column) -> DataFrame:
-    """Stream of the CSV files of a folder, each file once, with lineage.
-
-    A file whose header differs from the schema fails the read; it is never bound by position.
-    """
-    raw = spark.readStream.schema(schema).option("header", True).option("enforceSchema", False).csv(path)
-    return with_lineage(raw, as_of)
+def _laid_out(rows: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """Data columns, lineage, rescue column."""
+    lineage = [c for c in rows.columns if c not in columns and c != RESCUED]
+    return rows.select(*columns, *lineage, RESCUED)
 
 
-def read_snapshot(spark: SparkSession, path: str, schema: StructType, as_of: Column) -> DataFrame:
-    """All CSV files of a folder, with lineage; a header that differs from the schema fails the read."""
-    raw = spark.read.schema(schema).option("header", True).option("enforceSchema", False).csv(path)
-    return with_lineage(raw, as_of)
+def read_snapshot(spark: SparkSession, path: str, columns: Sequence[str], as_of: Column) -> DataFrame:
+    """All CSV files of a folder as text columns, with lineage; each file is bound by its own header,
+    and what has no column is in ``_rescued_data`` (see ``bind``)."""
+    lines = with_lineage(read_lines(spark.read, path), as_of)
+    return _laid_out(bind(lines, bindings(header_lines(spark, path), columns), columns), columns)
 
 
 def ingest_feed(
-    spark: SparkSession, path: str, schema: StructType, sink: str, checkpoint: str, as_of: Column,
-    types: Mapping[str, str] | None = None,
+    spark: SparkSession, path: str, columns: Sequence[str], sink: str, checkpoint: str, as_of: Column,
+    types: Mapping[str, str] | None = None, observe: str | None = None, max_files: int = MAX_FILES,
 ) -> None:
     """Append the files not yet seen to ``sink``, typing the ``types`` columns.
 
-    Source offsets and the file sink's commit log in ``checkpoint`` make a
-    restart after any failure pick up each file exactly once.
+    The checkpoint names each file once, and a batch writes under its own number with overwrite: a
+    batch replayed after a failure replaces itself. ``observe`` is the folder in which the types seen
+    in the untyped columns are kept, batch by batch, see ``known_types``.
     """
-    rows = rescue(read_feed(spark, path, schema, as_of), types or {})
+    lines = with_lineage(read_lines(spark.readStream.option("maxFilesPerTrigger", max_files), path), as_of)
+    free = [c for c in columns if c not in (types or {})]
+
+    def each(batch: DataFrame, batch_id: int) -> None:
+        files = [r[0] for r in batch.select(FILE).distinct().collect()]  # at most max_files
+        if not files:
+            return
+        bound = bindings(header_lines(spark, path, files), columns)
+        own = f"{sink}/{BATCH}={batch_id}"
+        _laid_out(rescue(bind(batch, bound, columns), types or {}), columns).write.mode("overwrite").parquet(own)
+        if observe and free:
+            seen = observe_types(spark.read.parquet(own), free, "_source_file_name")
+            seen.write.mode("overwrite").parquet(f"{observe}/{BATCH}={batch_id}")
+
     query = (
-        rows.writeStream.format("parquet")
-        .option("path", sink).option("checkpointLocation", checkpoint)
+        lines.writeStream.foreachBatch(each).option("checkpointLocation", checkpoint)
         .trigger(availableNow=True).start()
     )
     query.awaitTermination()
 
 
+def read_feed(spark: SparkSession, sink: str, columns: Sequence[str], types: Mapping[str, str] | None = None) -> DataFrame:
+    """The table a feed was ingested to; without rows where nothing was delivered yet."""
+    try:
+        return spark.read.parquet(sink).drop(BATCH)
+    except AnalysisException as e:
+        if e.getCondition() not in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
+            raise
+    fields = [f"`{c}` {(types or {}).get(c, 'string')}" for c in columns]
+    lineage = [f"{FILE} string", "_source_file_name string", "_source_file_modification_ts timestamp",
+               "_ingestion_ts timestamp", "_ingestion_date date", f"{RESCUED} string"]
+    return spark.createDataFrame([], ", ".join([*fields, *lineage]))
+
+
+def known_types(spark: SparkSession, observe: str) -> dict[str, str]:
+    """The narrowest types that hold every value delivered so far, one entry per column."""
+    merged = merged_types(spark.read.parquet(observe))
+    return {r["column_name"]: "string" if r["type"] == "void" else r["type"] for r in merged.collect()}
+
+
+def typed_feed(spark: SparkSession, sink: str, observe: str) -> DataFrame:
+    """An ingested table with its text columns in the types of ``known_types``. As types only widen,
+    every value fits; a value delivered while this runs is rescued."""
+    types = {c: t for c, t in known_types(spark, observe).items() if t != "string"}
+    return rescue(spark.read.parquet(sink).drop(BATCH), types)
+
+
 def ingest_snapshot(
-    spark: SparkSession, path: str, schema: StructType, sink: str, as_of: Column
+    spark: SparkSession, path: str, columns: Sequence[str], sink: str, as_of: Column
 ) -> DataFrame:
     """Full refresh of a master or reference folder; returns the written table."""
-    read_snapshot(spark, path, schema, as_of).write.mode("overwrite").parquet(sink)
+    read_snapshot(spark, path, columns, as_of).write.mode("overwrite").parquet(sink)
     return spark.read.parquet(sink)
 
 
+def rescued_values(types: Mapping[str, str]) -> Column:
+    """JSON of the text values that do not fit their type; NULL when all do."""
+    lost = {c: F.when(F.col(c).isNotNull() & F.col(c).try_cast(t).isNull(), F.col(c)) for c, t in types.items()}
+    if not lost:
+        return F.lit(None).cast("string")
+    as_json = F.to_json(F.struct(*[raw.alias(c) for c, raw in lost.items()]))
+    return F.when(F.coalesce(*lost.values()).isNotNull(), as_json)
+
+
 def rescue(df: DataFrame, types: Mapping[str, str]) -> DataFrame:
     """Type text columns; values that do not fit go to ``_rescued_data`` as JSON.
 
     No value is lost: what the typed column cannot hold is in the rescue
-    column, which is NULL when everything fitted. Other columns pass unchanged.
+    column, after what it held before. Other columns pass unchanged.
     """
-    casts = {c: F.col(c).try_cast(t) for c, t in types.items()}
-    lost = {c: F.when(F.col(c).isNotNull() & cast.isNull(), F.col(c)) for c, cast in casts.items()}
-    if not lost:
-        return df.withColumn(RESCUED, F.lit(None).cast("string"))
-    as_json = F.to_json(F.struct(*[raw.alias(c) for c, raw in lost.items()]))
-    any_lost = F.coalesce(*lost.values()).isNotNull()
-    return df.withColumns({RESCUED: F.when(any_lost, as_json), **casts})
+    lost = rescued_values(types)
+    if RESCUED in df.columns:
+        had = F.col(RESCUED)
+        both = F.concat(F.substr(had, F.lit(1), F.length(had) - 1), F.lit(","), F.substr(lost, F.lit(2)))
+        lost = F.coalesce(both, had, lost)
+    return df.withColumns({RESCUED: lost, **{c: F.col(c).try_cast(t) for c, t in types.items()}})
 
 
 def feed_inventory(df: DataFrame, key: str, file: str = "_source_file_name",
