@@ -15,5 +15,6 @@ from .rules import (
     warn,
 )
 from .scd import (
-    END, START, current, hot_keys, scd1, scd2, scd2_check, scd2_from_snapshots, scd2_refresh,
+    END, LAST, START, current, hot_keys, late_keys, late_stretches, scd1, scd2, scd2_check, scd2_from_snapshots,
+    scd2_refresh, scd2_splice, snapshot_step, touched_versions, with_last, without,
 )

@@ -14,6 +14,8 @@ from .resolve import dedupe_latest
 
 START = "__START_AT"
 END = "__END_AT"
+# Sequence of the last row that agreed with a version; only in stored histories.
+LAST = "__LAST_AT"
 
 # Keys with more change rows than this are cut into ordered chunks.
 HOT_ROWS = 1_000_000
@@ -178,8 +180,8 @@ def current(df: DataFrame) -> DataFrame:
 
 
 def scd1(df: DataFrame, keys: Sequence[str], sequence: Sequence[str]) -> DataFrame:
-    """Latest row per key by the delivery sequence."""
-    return dedupe_latest(df, keys, sequence)
+    """Latest row per key by the delivery sequence; a NULL key is a key like any other, as in ``scd2``."""
+    return dedupe_latest(df, keys, sequence, drop_missing=False)
 
 
 def scd2_refresh(
@@ -196,6 +198,96 @@ def scd2_refresh(
     return kept.unionByName(rebuilt)
 
 
+def _keyed(df: DataFrame, keys: Sequence[str], *more: Column) -> DataFrame:
+    """Keys under the names that ``_same_key`` expects on its right side."""
+    return df.select(*[F.col(k).alias(f"__hot_{k}") for k in keys], *more)
+
+
+def batch_span(batch: DataFrame, keys: Sequence[str], sequence: Sequence[str]) -> DataFrame:
+    """First and last sequence of the batch per key, as ``__low`` and ``__high``."""
+    at = _struct(sequence)
+    return batch.groupBy(*keys).agg(F.min(at).alias("__low"), F.max(at).alias("__high"))
+
+
+def late_keys(history: DataFrame, batch: DataFrame, keys: Sequence[str], sequence: Sequence[str]) -> DataFrame:
+    """Keys of the batch with a row that does not follow the last row of their open version."""
+    span = _keyed(batch_span(batch, keys, sequence), keys, F.col("__low"))
+    heads = history.where(F.col(END).isNull())
+    return heads.join(span, _same_key(heads, span, keys)).where(F.col("__low") <= F.col(LAST)).select(*keys)
+
+
+def touched_versions(history: DataFrame, batch: DataFrame, keys: Sequence[str], sequence: Sequence[str]) -> DataFrame:
+    """Versions that the rows of a batch fall into, meet the end of or come right before.
+
+    ``history`` must carry ``LAST`` (see ``with_last``) and hold the keys of the batch: their open
+    versions where every row of the batch follows them, all versions where one is late. Added are the first
+    sequence of the batch, and ``__behind``: the open version that all rows of the key follow.
+    """
+    span = _keyed(batch_span(batch, keys, sequence), keys, F.col("__low"), F.col("__high"))
+    names = [f"__hot_{k}" for k in keys]
+    own = history.join(span, _same_key(history, span, keys)).drop(*names)
+    # the first version after the batch's rows may continue what they end with
+    later = F.min(F.when(F.col(START) > F.col("__high"), F.col(START)))
+    after = _keyed(own.groupBy(*keys).agg(later.alias("__after")), keys, F.col("__after"))
+    met = own.join(after, _same_key(own, after, keys)).drop(*names)
+    around = (F.col(START) <= F.col("__high")) & (F.col(END).isNull() | (F.col(END) >= F.col("__low")))
+    behind = F.col(END).isNull() & (F.col(LAST) < F.col("__low"))
+    near = met.where(around | F.coalesce(F.col(START) == F.col("__after"), F.lit(False)))
+    return near.withColumn("__behind", behind).drop("__high", "__after")
+
+
+def late_stretches(touched: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """The sequences between which the versions of late keys change: from ``__from`` up to, without,
+    ``__to`` (NULL: no end)."""
+    each = touched.groupBy(*keys).agg(
+        F.min(F.least(START, "__low")).alias("__from"), F.max(END).alias("__to"),
+        F.bool_or(F.col(END).isNull()).alias("__open"), F.bool_and("__behind").alias("__behind"))
+    return each.where("not __behind").select(*keys, "__from", F.when(~F.col("__open"), F.col("__to")).alias("__to"))
+
+
+def scd2_splice(
+    touched: DataFrame, log: DataFrame, batch: DataFrame, keys: Sequence[str], sequence: Sequence[str],
+    track_except: Sequence[str] = (), drop: Sequence[str] = (), hot_rows: int | None = HOT_ROWS,
+) -> DataFrame:
+    """The versions that stand in place of the ``touched_versions`` of a history; all others stay.
+
+    A key whose rows all come after its open version is carried on from that version alone. For a late
+    key the stretch is formed from ``log`` (the accepted changes, this batch included) between the version
+    before its first row and the end of the one after its last: the log is read within those sequences, and
+    what lies outside can't change. The result equals a rebuild from the whole log. ``touched`` is used
+    several times: pass a written table.
+    """
+    late = late_stretches(touched, keys)
+    stretch = _keyed(late, keys, F.col("__from"), F.col("__to"))
+    at, cols = _struct(sequence), batch.columns
+    rows = log.select(*cols)
+    rows = rows.join(stretch, _same_key(rows, stretch, keys)).where(
+        (at >= F.col("__from")) & (F.col("__to").isNull() | (at < F.col("__to")))).select(*cols)
+    # the rows of all other keys, and the open versions they follow as a row at their start
+    fresh = batch.join(stretch, _same_key(batch, stretch, keys), "left_anti")
+    given = {s: F.col(f"{START}.{s}") for s in sequence}
+    none = {c: F.lit(None).cast(batch.schema[c].dataType) for c in cols if c not in touched.columns}
+    heads = touched.where("__behind").select(*[given.get(c, none.get(c, F.col(c))).alias(c) for c in cols], F.col(LAST))
+    points = with_last(rows.unionByName(fresh), sequence).unionByName(heads)
+    made = scd2(points, keys, sequence, [*track_except, LAST], drop, hot_rows)
+    ends = _keyed(late, keys, F.col("__to"))
+    made = made.join(ends, _same_key(made, ends, keys), "left")
+    names = [c for c in touched.columns if c not in ("__low", "__behind")]
+    return made.withColumn(END, F.coalesce(END, "__to")).select(*names)
+
+
+def with_last(df: DataFrame, sequence: Sequence[str]) -> DataFrame:
+    """Change rows with their sequence as ``LAST``: kept as an untracked column, a version then says
+    which row was the last that agreed with it."""
+    return df.withColumn(LAST, _struct(sequence))
+
+
+def without(history: DataFrame, gone: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """``history`` without the versions a splice replaces."""
+    names = _keyed(gone, keys, F.col(START).alias("__gone"))
+    return history.join(names, _same_key(history, names, keys) & (history[START] == names["__gone"]), "left_anti")
+
+
 def scd2_from_snapshots(
     df: DataFrame, keys: Sequence[str], snapshot: str, track_except: Sequence[str] = ()
 ) -> DataFrame:
@@ -203,15 +295,18 @@ def scd2_from_snapshots(
 
     Wrong for feeds of changes only, where every key not in the last delivery
     would count as deleted. A key has at most one row per snapshot after
-    deduplication, so a group is no larger than the number of deliveries.
+    deduplication, so a group is no larger than the number of deliveries. A NULL
+    key is a key like any other; rows without a snapshot date belong to no delivery.
+    To take in a newest snapshot alone, see ``snapshot_step``.
     """
     tracked = [c for c in df.columns if c not in (*keys, snapshot, *track_except)]
-    rows = dedupe_latest(df, [*keys, snapshot], [], drop_missing=True)
-    # The delivery calendar: one row per snapshot, a few thousand at most.
-    calendar = df.select(F.col(snapshot).alias("__at")).where("__at is not null").distinct()
-    calendar = calendar.withColumn("__next", F.lead("__at").over(Window.orderBy("__at")))
+    rows = dedupe_latest(df.where(F.col(snapshot).isNotNull()), [*keys, snapshot], [], drop_missing=False)
+    # The delivery calendar is one array: a value per delivery, a few thousand at most.
+    days = df.agg(F.array_sort(F.collect_set(snapshot)).alias("__days"))
+    calendar = days.select(F.posexplode("__days").alias("__i", "__at"), "__days").select(
+        "__at", F.get("__days", F.col("__i") + 1).alias("__next"))
     rows = (
-        rows.join(calendar, rows[snapshot] == calendar["__at"], "left")
+        rows.join(calendar, rows[snapshot] == calendar["__at"])
         .withColumn("__state", _struct(tracked))
     )
     w = Window.partitionBy(*keys).orderBy("__at")
@@ -231,6 +326,36 @@ def scd2_from_snapshots(
     )
 
 
+def snapshot_step(
+    open_versions: DataFrame, snapshot_rows: DataFrame, keys: Sequence[str], at: Column, track_except: Sequence[str] = ()
+) -> tuple[DataFrame, DataFrame]:
+    """``(still open, closed now)`` after the newest full snapshot, delivered ``at``.
+
+    Only open versions take part, in one join by key. Rows of equal tracked columns carry on and take
+    the snapshot's untracked ones; changed keys close and open anew; keys not in the snapshot close; new
+    keys open. NULL keys and NULL values compare as values. Of rows equal in key the greatest counts.
+    ``open_versions`` has the columns that ``scd2_from_snapshots`` gives.
+    """
+    tracked = [c for c in open_versions.columns if c not in (*keys, START, END, *track_except)]
+    untracked = [c for c in open_versions.columns if c in track_except]
+    rows = dedupe_latest(snapshot_rows.select(*keys, *tracked, *untracked), keys, [], drop_missing=False)
+    old = open_versions.select(*keys, _struct(tracked).alias("__was"), _struct(untracked).alias("__tail"), F.col(START))
+    new = _keyed(rows, keys, _struct(tracked).alias("__is"), _struct(untracked).alias("__now"))
+    met = old.join(new, _same_key(old, new, keys), "full_outer")
+    same = F.col("__was").isNotNull() & F.col("__is").isNotNull() & F.col("__was").eqNullSafe(F.col("__is"))
+    at = at.cast(open_versions.schema[START].dataType)
+
+    def version(key: str, state: str, tail: str, start: Column, end: Column) -> list[Column]:
+        return [*[F.col(f"{key}{k}").alias(k) for k in keys], *[F.col(f"{state}.{c}").alias(c) for c in tracked],
+                *[F.col(f"{tail}.{c}").alias(c) for c in untracked], start.alias(START), end.alias(END)]
+
+    none = F.lit(None).cast(open_versions.schema[END].dataType)
+    here = met.where(F.col("__is").isNotNull())
+    carried = here.select(*version("__hot_", "__is", "__now", F.when(same, F.col(START)).otherwise(at), none))
+    closed = met.where(F.col("__was").isNotNull() & ~same).select(*version("", "__was", "__tail", F.col(START), at))
+    return carried, closed
+
+
 def scd2_check(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     """One row of integrity counts of a type 2 history; the defects must be 0."""
     is_current = F.col(END).isNull()

@@ -12,10 +12,13 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from dqlake.operators.rules import VALID, quarantine, valid_rows
-from dqlake.operators.scd import HOT_ROWS, scd2, scd2_refresh
+from dqlake.operators.scd import (
+    END, HOT_ROWS, LAST, START, late_keys, late_stretches, scd2, scd2_splice, touched_versions, with_last, without,
+)
 
 BATCH = "batch_id"
 BUCKET = "bucket"
+PART = "part"
 
 
 def run_once(stream: DataFrame, checkpoint: str, each: Callable[[DataFrame, int], None]) -> None:
@@ -75,17 +78,20 @@ def _read_if_there(spark: SparkSession, path: str) -> DataFrame | None:
 def apply_changes(
     spark: SparkSession, stream: DataFrame, keys: Sequence[str], sequence: Sequence[str], log: str,
     history: str, checkpoint: str, buckets: int = 64, track_except: Sequence[str] = (),
-    drop: Sequence[str] = (), hot_rows: int | None = HOT_ROWS,
+    drop: Sequence[str] = (), hot_rows: int | None = HOT_ROWS, compact_every: int = 32,
 ) -> None:
-    """Keep a type 2 history of a stream of accepted changes.
-
-    The rows are appended to ``log``; then the keys of the batch are rebuilt
-    from the log, so changes may arrive in any order. ``history`` is stored by
-    key bucket and only the buckets of the batch are rewritten. A replayed
-    batch may follow a half-done swap of buckets, so it trusts the log alone
-    and rebuilds its buckets whole. The number of buckets is kept beside the
-    history, and a call with another one is refused: rows filed under the old
-    number would be missed.
+    """Keep a type 2 history of a stream of accepted changes, which may arrive in any order.
+
+    The rows are appended to ``log``. Open and closed versions are stored apart, each by key bucket. A
+    batch that follows what is known reads and rewrites the open versions of its buckets only, and
+    appends the versions it closes. Late rows splice: their buckets' closed versions are read and
+    rewritten, and the log is read between the neighbours of the late rows (see ``scd2_splice``). Every
+    ``compact_every``-th batch rewrites the closed versions of its buckets, which the appends
+    have left in many files. Limit a batch where the stream is read, e.g. by ``maxFilesPerTrigger``.
+
+    A replayed batch may follow a half-done swap of buckets, so it trusts the log alone and rebuilds its
+    buckets whole. The number of buckets is kept beside the history, and a call with another one is
+    refused: rows filed under the old number would be missed.
     """
     layout = f"{history.rstrip('/')}-layout"
     known = _read_if_there(spark, layout)
@@ -93,36 +99,75 @@ def apply_changes(
         spark.range(1).select(F.lit(buckets).alias("buckets")).write.parquet(layout)
     elif known.first().buckets != buckets:
         raise ValueError(f"{history} is stored in {known.first().buckets} buckets, not {buckets}")
-    options = dict(sequence=list(sequence), track_except=track_except, drop=drop, hot_rows=hot_rows)
+    options = dict(track_except=track_except, drop=drop, hot_rows=hot_rows)
+    base = history.rstrip("/")
+
+    def read(part: str) -> DataFrame | None:
+        stored = _read_if_there(spark, f"{base}/{PART}={part}")
+        return None if stored is None else stored.where(F.col(START).isNotNull())
+
+    def write(df: DataFrame, part: str, mode: str, swapped: Sequence[int] = ()) -> None:
+        rows = df.withColumn(BUCKET, _bucket(keys, buckets))
+        if swapped:
+            # A bucket left without versions keeps a row that is none, or its old files would stay.
+            rows = rows.unionByName(spark.createDataFrame([(b,) for b in swapped], f"{BUCKET} int"), allowMissingColumns=True)
+        (
+            # AQE sizes the files: small buckets share a task, a big one is split.
+            rows.hint("rebalance", BUCKET).write.mode(mode).option("partitionOverwriteMode", "dynamic")
+            .partitionBy(BUCKET).parquet(f"{base}/{PART}={part}")
+        )
+
+    def kept(df: DataFrame, name: str) -> DataFrame:
+        df.write.mode("overwrite").parquet(f"{base}-{name}")
+        return spark.read.parquet(f"{base}-{name}")
+
+    def rebuild(changes: DataFrame, numbers: Sequence[int]) -> None:
+        whole = kept(scd2(with_last(changes, sequence), keys, sequence, [*track_except, LAST], drop, hot_rows), "formed")
+        write(whole.where(F.col(END).isNotNull()), "closed", "overwrite", numbers)
+        write(whole.where(F.col(END).isNull()), "open", "overwrite")
+
+    def splice(batch_id: int, rows: DataFrame, changes: DataFrame, heads: DataFrame, numbers: Sequence[int]) -> None:
+        late = late_keys(heads, rows, keys, sequence).select(_bucket(keys, buckets).alias(BUCKET)).distinct()
+        late_buckets = [r[0] for r in late.collect()]
+        swapped = numbers if (batch_id + 1) % compact_every == 0 else late_buckets
+        closed = read("closed").where(F.col(BUCKET).isin(swapped)) if swapped else None
+        near, past = heads.drop(BUCKET), changes.where(F.lit(False))
+        if late_buckets:
+            near = near.unionByName(closed.where(F.col(BUCKET).isin(late_buckets)).drop(BUCKET))
+        touched = kept(touched_versions(near, rows, keys, sequence), "touched")
+        if late_buckets:
+            past = changes.where(F.col(BUCKET).isin(late_buckets))
+            first = late_stretches(touched, keys).agg(F.min("__from").alias("at")).first()["at"]
+            if first[0] is not None:
+                # the log's files are those of deliveries, so the earliest sequence leaves most of them unread
+                past = past.where(F.col(sequence[0]) >= F.lit(first[0]))
+        formed = kept(scd2_splice(touched, past.select(*rows.columns), rows, keys, sequence, **options), "formed")
+        gone, done, open_ = touched.select(*keys, START), formed.where(F.col(END).isNotNull()), formed.where(F.col(END).isNull())
+        in_swapped = _bucket(keys, buckets).isin(swapped)
+        if swapped:
+            write(without(closed.drop(BUCKET), gone, keys).unionByName(done.where(in_swapped)), "closed", "overwrite", swapped)
+        if len(swapped) < len(numbers):
+            write(done.where(~in_swapped), "closed", "append")
+        write(without(heads.drop(BUCKET), gone, keys).unionByName(open_), "open", "overwrite")
 
     def each(batch: DataFrame, batch_id: int) -> None:
         own = f"{log}/{BATCH}={batch_id}"
         replayed = _read_if_there(spark, own) is not None
-        rows = batch.withColumn(BUCKET, _bucket(keys, buckets))
-        rows.write.mode("overwrite").partitionBy(BUCKET).parquet(own)
+        batch.withColumn(BUCKET, _bucket(keys, buckets)).write.mode("overwrite").partitionBy(BUCKET).parquet(own)
         written = _read_if_there(spark, own)
         if written is None:
             return
         # At most ``buckets`` small integers.
         numbers = [r[0] for r in written.select(BUCKET).distinct().collect()]
-        in_batch = F.col(BUCKET).isin(numbers)
-        changes = spark.read.parquet(log).where(in_batch).select(*batch.columns)
-        old = None if replayed else _read_if_there(spark, history)
-        if old is None:
-            new = scd2(changes, keys, **options)
+        changes, heads = spark.read.parquet(log), read("open")
+        if replayed or heads is None:
+            rebuild(changes.where(F.col(BUCKET).isin(numbers)).select(*batch.columns), numbers)
         else:
-            touched = written.select(*keys).distinct()
-            new = scd2_refresh(old.where(in_batch).drop(BUCKET), changes, touched, keys, **options)
-        (
-            new.withColumn(BUCKET, _bucket(keys, buckets))
-            # AQE sizes the files: small buckets share a task, a big one is split.
-            .hint("rebalance", BUCKET)
-            .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-            .partitionBy(BUCKET).parquet(history)
-        )
+            splice(batch_id, written.select(*batch.columns), changes, heads.where(F.col(BUCKET).isin(numbers)), numbers)
 
     run_once(stream, checkpoint, each)
 
 
 def read_history(spark: SparkSession, history: str) -> DataFrame:
-    return spark.read.parquet(history).drop(BUCKET)
+    stored = spark.read.parquet(history).where(F.col(START).isNotNull())
+    return stored.drop(PART, BUCKET, LAST)

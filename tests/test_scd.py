@@ -5,7 +5,10 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from dqlake.operators import END, START, scd2, scd2_check, scd2_from_snapshots, scd2_refresh
+from dqlake.operators import (
+    END, LAST, START, late_keys, scd1, scd2, scd2_check, scd2_from_snapshots, scd2_refresh, scd2_splice, snapshot_step,
+    touched_versions, with_last, without,
+)
 from dqlake.operators.scd import _pieces, hot_keys
 from dqlake.streaming import apply_changes, read_history
 
@@ -162,3 +165,118 @@ def test_change_feed_as_snapshots_loses_keys(rows):
 def test_needs_tracked_columns(rows):
     with pytest.raises(ValueError):
         scd2(rows("k string, day int", ("a", 1)), ["k"], ["day"])
+
+
+LASTING = {**OPTIONS, "track_except": ["note", LAST], "hot_rows": None}
+
+
+def lasting(rows, feed):
+    return scd2(with_last(rows(SCHEMA, *feed), OPTIONS["sequence"]), ["k"], **LASTING)
+
+
+def spliced(rows, old, new):
+    """History after ``new``, formed from ``old``'s versions and no more of the log than the splice asks for."""
+    history, log, batch = lasting(rows, old), rows(SCHEMA, *old, *new), rows(SCHEMA, *new)
+    gone = touched_versions(history, batch, ["k"], OPTIONS["sequence"])
+    formed = scd2_splice(gone, log, batch, ["k"], hot_rows=None, **OPTIONS)
+    return without(history, gone, ["k"]).unionByName(formed), gone, formed
+
+
+@pytest.mark.parametrize("seed", range(5))
+def test_splice_equals_rebuild(rows, seed):
+    """Late rows, repeats, equal sequences, new keys, missing keys, states that come to agree."""
+    rnd = random.Random(seed)
+    feed = [(rnd.choice(["a", "b", None]), rnd.randrange(20), f"f{rnd.randrange(2)}", rnd.choice("ab"), f"n{i}") for i in range(60)]
+    cut = rnd.choice([1, 20, 45, 57])
+    got, _, _ = spliced(rows, feed[:cut], feed[cut:])
+    assert sorted(map(str, got.collect())) == sorted(map(str, lasting(rows, feed).collect()))
+
+
+def test_splice_touches_neighbours_only(rows):
+    old = [("k", d, "f", "ab"[d // 5 % 2], f"n{d}") for d in range(100)]
+    late = [("k", 52, "g", "z", "late")]
+    got, gone, formed = spliced(rows, old, late)
+    assert {r[START].day for r in gone.collect()} == {50, 55}
+    assert {(r[START].day, r[START].file, r.status) for r in formed.collect()} == {(50, "f", "a"), (52, "g", "z"), (53, "f", "a"), (55, "f", "b")}
+    assert as_set(got) == expected(old + late)
+
+
+def test_batch_in_order_needs_no_log(rows):
+    old, new = [("k", d, "f", "a", "x") for d in range(5)], [("k", 5, "f", "a", "y"), ("k", 6, "f", "b", "z"), ("new", 1, "f", "a", "q")]
+    heads = lasting(rows, old).where(F.col(END).isNull())
+    assert late_keys(heads, rows(SCHEMA, *new), ["k"], ["day", "file"]).count() == 0
+    gone = touched_versions(heads, rows(SCHEMA, *new), ["k"], ["day", "file"])
+    formed = scd2_splice(gone, rows(SCHEMA), rows(SCHEMA, *new), ["k"], hot_rows=None, **OPTIONS)
+    assert as_set(without(heads, gone, ["k"]).unionByName(formed).drop(LAST)) == expected(old + new)
+
+
+def files(folder):
+    return {str(p): p.stat().st_mtime_ns for p in folder.rglob("part-*.parquet")}
+
+
+def test_work_of_a_batch_grows_with_the_batch(spark, rows, tmp_path):
+    """In order: only open versions of the batch's buckets are rewritten, closed ones added. Late: the
+    closed versions of the late key's bucket as well."""
+    source, log, history, offsets = (str(tmp_path / p) for p in ("in", "log", "history", "offsets"))
+
+    def deliver(feed):
+        rows(SCHEMA, *feed).coalesce(1).write.mode("append").parquet(source)
+        before = files(tmp_path / "history")
+        apply_changes(spark, spark.readStream.schema(SCHEMA).parquet(source), ["k"], ["day", "file"], log, history, offsets,
+                      buckets=16, track_except=["note"], hot_rows=None)
+        after = files(tmp_path / "history")
+        kept = {f for f in before if after.get(f) == before[f]}
+        return {f.split("/history/")[1].rsplit("/", 1)[0] for f in after if f not in kept}, {
+            f.split("/history/")[1].rsplit("/", 1)[0] for f in before if f not in kept}
+
+    first = [(f"k{i}", d, "f", "ab"[d % 2], "x") for i in range(200) for d in range(3)]
+    written, _ = deliver(first)
+    assert len([f for f in written if f.startswith("part=open")]) == 16
+    written, gone = deliver([("k7", 3, "f", "b", "y")])
+    assert len(written) == 2 and len(gone) == 1 and all(f.startswith("part=open") for f in gone)
+    written, gone = deliver([("k7", 1, "g", "c", "late")])
+    assert len(written) == 2 and len(gone) == 2
+    feed = [*first, ("k7", 3, "f", "b", "y"), ("k7", 1, "g", "c", "late")]
+    assert as_set(read_history(spark, history)) == expected(feed)
+
+
+def test_a_bucket_may_lose_its_closed_versions(spark, rows, tmp_path):
+    """A late row of equal key and sequence wins and makes all rows agree: nothing closed is left."""
+    source, paths = str(tmp_path / "in"), [str(tmp_path / p) for p in ("log", "history", "offsets")]
+    feed = [("k", 1, "f", "a", "x"), ("k", 2, "f", "b", "y"), ("k", 1, "f", "b", "z")]
+    for i in (0, 2):
+        rows(SCHEMA, *feed[i:i + 2]).coalesce(1).write.mode("append").parquet(source)
+        apply_changes(spark, spark.readStream.schema(SCHEMA).parquet(source), ["k"], ["day", "file"], *paths, buckets=1, track_except=["note"], hot_rows=None)
+    got = as_set(read_history(spark, paths[1]))
+    assert got == expected(feed) and len(got) == 1
+
+
+def test_stream_in_any_order_with_compaction(spark, rows, tmp_path):
+    feed = random_feed(21, rows=60)
+    source, paths = str(tmp_path / "in"), [str(tmp_path / p) for p in ("log", "history", "offsets")]
+    for i in range(0, 60, 15):
+        rows(SCHEMA, *feed[i:i + 15]).coalesce(1).write.mode("append").parquet(source)
+        apply_changes(spark, spark.readStream.schema(SCHEMA).parquet(source), ["k"], ["day", "file"], *paths, buckets=3,
+                      track_except=["note"], compact_every=2, hot_rows=None)
+    assert as_set(read_history(spark, paths[1])) == expected(feed)
+
+
+@pytest.mark.parametrize("seed", range(2))
+def test_snapshot_steps_equal_the_whole(rows, seed):
+    """Newest snapshots one by one against all at once; null keys and null values are values."""
+    rnd = random.Random(seed)
+    data = [(rnd.choice(["a", "b", "c", None]), day, rnd.choice(["x", "y", None]), f"n{day}") for day in range(4) for _ in range(3)]
+    df = rows("k string, day int, status string, note string", *data)
+    whole = scd2_from_snapshots(df, ["k"], "day", ["note"])
+    open_ = scd2_from_snapshots(df.where("day = 0"), ["k"], "day", ["note"])
+    done = open_.limit(0)
+    for day in range(1, 4):
+        open_, closed = snapshot_step(open_, df.where(F.col("day") == day), ["k"], F.lit(day), ["note"])
+        done = done.unionByName(closed)
+    want = sorted(map(str, whole.collect()))
+    assert sorted(map(str, done.unionByName(open_).collect())) == want and any("k=None" in r for r in want)
+
+
+def test_latest_row_of_a_missing_key_is_kept(rows):
+    df = rows("k string, day int, v string", (None, 1, "a"), (None, 2, "b"), ("k", 1, "c"))
+    assert {tuple(r) for r in scd1(df, ["k"], ["day"]).collect()} == {(None, 2, "b"), ("k", 1, "c")}
