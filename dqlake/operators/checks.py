@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from functools import reduce
+from operator import and_
 from typing import NamedTuple
 
 from pyspark.sql import Column, DataFrame, functions as F
@@ -12,6 +14,7 @@ from dqlake.functions import is_missing, n, n_distinct, n_if, parse_date, rate,
 from .resolve import lookup, orphans
 from .rollup import stack
 from .rules import FAILURES, Rule
+from .scd import END, HOT_ROWS, START, scd2
 
 LINEAGE = (
     "_source_file", "_source_file_name", "_source_file_modification_ts", "_ingestion_ts",
@@ -77,8 +80,11 @@ def orphan_counts(
 
 
 def lineage_completeness(df: DataFrame, cols: Sequence[str] = LINEAGE) -> DataFrame:
-    row = df.agg(*[n_if(F.col(c).isNull()).alias(c) for c in cols])
-    return _long(row, cols, "column_name", "missing_rows")
+    """Rows without each lineage column, beside all rows; one pass."""
+    row = df.agg(n().alias("__all"), *[n_if(F.col(c).isNull()).alias(c) for c in cols])
+    pairs = F.array(*[F.struct(F.lit(c).alias("column_name"), F.col(c).alias("missing_rows"), F.col("__all").alias("total_rows"))
+                      for c in cols])
+    return row.select(F.explode(pairs).alias("p")).select("p.*")
 
 
 def gate(checks: Mapping[str, DataFrame]) -> DataFrame:
@@ -167,6 +173,7 @@ def key_history_summary(df: DataFrame, key: str, file: str) -> DataFrame:
         n_if(F.col("rows") > 1).alias("repeated_keys"),
         n_if(F.col("files") > 1).alias("keys_in_many_files"),
         F.max("rows").alias("max_rows_per_key"),
+        F.max("files").alias("max_files_per_key"),
     )
 
 
@@ -182,14 +189,14 @@ class Relation(NamedTuple):
     parent: DataFrame
     on: Mapping[str, str]
     mismatch: Mapping[str, str] = {}
-    spread_nulls: Sequence[str] = ()
+    split_nulls: bool = False
 
 
 def relation_profile(child: DataFrame, relations: Sequence[Relation]) -> DataFrame:
     """Missing, unknown and mismatching references of each relation, in one pass."""
     joined, aggs = child, []
     for r in relations:
-        joined = lookup(joined, r.parent, r.on, r.spread_nulls)
+        joined = lookup(joined, r.parent, r.on, r.split_nulls)
         present = F.lit(True)
         for c in r.on:
             present = present & F.col(c).isNotNull()
@@ -263,41 +270,111 @@ def quarantine_check(rejected: DataFrame, file: str = "_source_file_name") -> Da
 
 
 class Layers(NamedTuple):
-    """The frames of one entity; ``history`` only for type 2 entities."""
+    """The frames of one entity; ``log`` (accepted changes) and ``kept`` only for type 2 entities:
+    ``kept`` is what ``conservation`` found for them."""
 
     bronze: DataFrame
     silver: DataFrame
     quarantine: DataFrame
-    valid: DataFrame | None = None
+    kept: DataFrame | None = None
+
 
+def conservation(history: DataFrame, log: DataFrame, keys: Sequence[str], sequence: Sequence[str],
+                 track_except: Sequence[str] = (), drop: Sequence[str] = (), hot_rows: int | None = HOT_ROWS) -> DataFrame:
+    """One row: what became of every accepted change, counted without trusting the history.
 
-def reconcile(entities: Mapping[str, Layers]) -> DataFrame:
+    The log is reduced to a digest of each row's tracked columns, and the versions it must give are formed
+    from the digests alone. Per key, their number and an order-independent digest over (start, state) must
+    be those of the history. ``repeated_rows`` came again under the same sequence, ``unchanged_rows``
+    agreed with what was known, ``expected_versions`` opened one.
+    """
+    tracked = [c for c in log.columns if c not in {*keys, *sequence, *track_except, *drop}]
+
+    def digests(df: DataFrame, start: Column) -> DataFrame:
+        each = F.xxhash64(start, F.col("__state"))
+        return df.groupBy(*keys).agg(n().alias("__n"), F.bit_xor(each).alias("__x"), F.sum(each.cast("decimal(38,0)")).alias("__s"))
+
+    # with its place in the hash, a NULL is told from the next column's
+    state = F.xxhash64(*[x for c in tracked for x in (F.col(c), F.col(c).isNull())]).alias("__state")
+    slim = log.select(*keys, *sequence, state)
+    given = history.select(*keys, state, F.col(START))
+    want = digests(scd2(slim, keys, sequence, hot_rows=hot_rows), F.col(START))
+    have = digests(given, F.col(START)).toDF(*[f"__h_{k}" for k in keys], "__hn", "__hx", "__hs")
+    same = reduce(and_, [want[k].eqNullSafe(have[f"__h_{k}"]) for k in keys])
+    both = want.join(have, same, "full_outer")
+    agree = (F.col("__n") == F.col("__hn")) & (F.col("__x") == F.col("__hx")) & (F.col("__s") == F.col("__hs"))
+    found = both.agg(
+        F.coalesce(F.sum("__n"), F.lit(0)).alias("expected_versions"),
+        n_if(F.col("__hn").isNull()).alias("lost_keys"), n_if(F.col("__n").isNull()).alias("unknown_keys"),
+        n_if(F.col("__n").isNotNull() & F.col("__hn").isNotNull() & ~agree).alias("changed_keys"))
+    rows = slim.groupBy(*keys, *sequence).agg(n().alias("__n")).agg(
+        F.coalesce(F.sum("__n"), F.lit(0)).alias("accepted_rows"), n().alias("__distinct"))
+    out = rows.withColumn("__one", F.lit(1)).join(found.withColumn("__one", F.lit(1)), "__one")
+    return out.select(
+        "accepted_rows", (F.col("accepted_rows") - F.col("__distinct")).alias("repeated_rows"),
+        (F.col("__distinct") - F.col("expected_versions")).alias("unchanged_rows"),
+        "expected_versions", "lost_keys", "unknown_keys", "changed_keys")
+
+
+def reconcile(entities: Mapping[str, Layers], key: str = "subject_id") -> DataFrame:
     """Bronze against silver plus quarantine per entity.
 
-    ``valid`` is the accepted change log of a type 2 entity: what it holds
-    beyond the history was collapsed as no-op, which ``balanced_flag`` allows
-    and ``reconciled_flag`` does not.
+    A type 2 history rightly holds fewer rows than were accepted: ``collapsed_records`` are the accepted
+    changes that open no version, counted from the change log (see ``conservation``). ``balanced_flag``
+    allows them, and fails where the history lacks a version the log gives or has another;
+    ``reconciled_flag`` allows none. ``current_records`` and ``distinct_keys`` (of ``key``) describe the history.
     """
     rows = []
     for name, e in entities.items():
         tagged = [("bronze_records", e.bronze), ("silver_records", e.silver),
-                  ("quarantined_records", e.quarantine),
-                  ("accepted_records", e.silver if e.valid is None else e.valid)]
-        rows += [df.agg(n().alias("__n")).select(F.lit(name).alias("source_entity"),
-                                                 F.lit(layer).alias("__layer"), "__n")
-                 for layer, df in tagged]
-    layers = ("bronze_records", "silver_records", "quarantined_records", "accepted_records")
+                  ("quarantined_records", e.quarantine)]
+        counts = [df.agg(n().alias("__n")).select(F.lit(layer).alias("__layer"), "__n") for layer, df in tagged]
+        if e.kept is not None:
+            wrong = F.col("lost_keys") + F.col("unknown_keys") + F.col("changed_keys")
+            values = {"collapsed_records": F.col("repeated_rows") + F.col("unchanged_rows"), "__wrong": wrong}
+            counts.append(e.kept.select(F.explode(F.array(*[F.struct(F.lit(k).alias("__layer"), v.alias("__n"))
+                                                            for k, v in values.items()])).alias("p")).select("p.*"))
+            current = e.silver.agg(n_if(F.col(END).isNull()).alias("current_records"), n_distinct(key).alias("distinct_keys"))
+            counts.append(_long(current, ["current_records", "distinct_keys"], "__layer", "__n"))
+        rows += [df.withColumn("source_entity", F.lit(name)) for df in counts]
+    layers = ("bronze_records", "silver_records", "quarantined_records", "collapsed_records", "current_records", "distinct_keys",
+              "__wrong")
     wide = stack(*rows).groupBy("source_entity").agg(
         *[F.sum(F.when(F.col("__layer") == layer, F.col("__n"))).alias(layer) for layer in layers]
     )
-    return wide.withColumn(
-        "collapsed_records", F.col("accepted_records") - F.col("silver_records")
-    ).drop("accepted_records").withColumns({
+    wide = wide.withColumn("collapsed_records", F.coalesce("collapsed_records", F.lit(0)))
+    return wide.withColumns({
         "quarantine_rate": rate("quarantined_records", "bronze_records"),
         "reconciled_flag": F.col("bronze_records") == F.col("silver_records") + F.col("quarantined_records"),
-        "balanced_flag": F.col("bronze_records")
-        == F.col("silver_records") + F.col("quarantined_records") + F.col("collapsed_records"),
-    })
+        "balanced_flag": (F.col("bronze_records")
+                          == F.col("silver_records") + F.col("quarantined_records") + F.col("collapsed_records"))
+        & (F.coalesce("__wrong", F.lit(0)) == 0),
+    }).drop("__wrong")
+
+
+def layer_changes(
+    before: Mapping[str, DataFrame], after: Mapping[str, DataFrame], key: str, delivery: str | None = None
+) -> DataFrame:
+    """What a delivery changed: the multiset difference of two states of each layer by key.
+
+    One row per layer and key whose number of rows is not what it was, with both numbers; ``change``
+    is ``new``, ``lost`` or ``more`` / ``fewer`` where both states have some. ``moved_from`` names the
+    layers that lost rows of the key as this one gained some. ``delivery`` is a column told apart as well,
+    such as the source file. Rows are counted per key before the states meet.
+    """
+    by = [key] if delivery is None else [key, delivery]
+    counted = [df.groupBy(*by).agg(n().alias("rows")).select(F.lit(layer).alias("layer"), *by, F.lit(when).alias("__when"), "rows")
+               for when, state in (("before", before), ("after", after)) for layer, df in state.items()]
+    wide = stack(*counted).groupBy("layer", *by).agg(
+        *[F.coalesce(F.sum(F.when(F.col("__when") == w, F.col("rows"))), F.lit(0)).alias(f"rows_{w}") for w in ("before", "after")])
+    was, now = F.col("rows_before"), F.col("rows_after")
+    change = F.when(was == 0, "new").when(now == 0, "lost").when(now > was, "more").otherwise("fewer")
+    changed = wide.where(was != now).withColumn("change", change)
+    left = changed.where(now < was).groupBy(*[F.col(c).alias(f"__{c}") for c in by]).agg(
+        F.concat_ws(",", F.array_sort(F.collect_set("layer"))).alias("__left"))
+    same = reduce(and_, [changed[c].eqNullSafe(left[f"__{c}"]) for c in by])
+    return changed.join(left, same, "left").select(
+        "layer", *by, "rows_before", "rows_after", "change", F.when(now > was, F.col("__left")).alias("moved_from"))
 
 
 def assert_domain(df: DataFrame, rules: Sequence[Rule]) -> DataFrame:

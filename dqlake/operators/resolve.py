@@ -8,12 +8,11 @@ falls back to a shuffle otherwise.
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from functools import reduce
+from operator import and_
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-# Number of pieces that rows without a key are spread over in a shuffle join.
-NULL_SPREAD = 1024
-
 Keys = Sequence[str] | Mapping[str, Column]
 
 
@@ -87,33 +86,22 @@ def key_set(df: DataFrame, keys: Mapping[str, Column]) -> DataFrame:
     return reference(df, keys)
 
 
-def _spread_null(key: Column, by: Sequence[str]) -> Column:
-    """A join key in which NULL becomes one of many texts that match nothing.
-
-    Shuffled by hash, rows without a key would all meet in one task; this
-    spreads them by other columns and still leaves them unmatched: keys are
-    trimmed, so none starts with a blank.
-    """
-    piece = F.pmod(F.xxhash64(*by), F.lit(NULL_SPREAD)).cast("string")
-    return F.when(key.isNotNull(), key).otherwise(F.concat(F.lit(" null-"), piece))
-
-
-def lookup(
-    df: DataFrame, ref: DataFrame, on: Mapping[str, str], spread_nulls: Sequence[str] = ()
-) -> DataFrame:
+def lookup(df: DataFrame, ref: DataFrame, on: Mapping[str, str], split_nulls: bool = False) -> DataFrame:
     """Left join to a reference that is unique per key: never adds or drops rows.
 
-    ``on`` maps a column of ``df`` to a column of ``ref``. For references too
-    large to broadcast whose text keys are often missing, ``spread_nulls``
-    names columns that tell such rows apart.
+    ``on`` maps a column of ``df`` to a column of ``ref``. For references too large to broadcast,
+    ``split_nulls`` keeps rows with a NULL in their key out of the join, which would bring all of them
+    to one task: they can match nothing, and are added after it. ``df`` is then read twice.
     """
-    pairs = [(df[l], ref[r]) for l, r in on.items()]
-    if spread_nulls:
-        pairs[0] = (_spread_null(pairs[0][0], spread_nulls), pairs[0][1])
-    cond = pairs[0][0] == pairs[0][1]
-    for left, right in pairs[1:]:
-        cond = cond & (left == right)
-    return df.join(ref, cond, "left")
+    def joined(rows: DataFrame) -> DataFrame:
+        cond = reduce(and_, [rows[left] == ref[right] for left, right in on.items()])
+        return rows.join(ref, cond, "left")
+
+    if not split_nulls:
+        return joined(df)
+    keyed = reduce(and_, [F.col(c).isNotNull() for c in on])
+    bare = df.where(~keyed).select("*", *[F.lit(None).cast(f.dataType).alias(f.name) for f in ref.schema.fields])
+    return joined(df.where(keyed)).union(bare)
 
 
 def lookup_fallback(
@@ -132,15 +120,14 @@ def lookup_fallback(
 
 
 def inherit(
-    df: DataFrame, parent: DataFrame, key: str, cols: Sequence[str],
-    spread_nulls: Sequence[str] = (),
+    df: DataFrame, parent: DataFrame, key: str, cols: Sequence[str], split_nulls: bool = False,
 ) -> DataFrame:
     """Bring ``cols`` of the parent entity onto each child row.
 
     ``parent`` must hold one row per ``key``.
     """
     slim = parent.select(F.col(key).alias("__parent_key"), *cols)
-    return lookup(df, slim, {key: "__parent_key"}, spread_nulls).drop("__parent_key")
+    return lookup(df, slim, {key: "__parent_key"}, split_nulls).drop("__parent_key")
 
 
 def combine_rollups(base: DataFrame, *rollups: DataFrame, on: Sequence[str]) -> DataFrame:

@@ -1,10 +1,9 @@
 """Metric tables over the trusted clinical tables.
 
 All take ``as_of`` (a DATE column, normally a literal) instead of the clock,
-so a rerun gives the same numbers. Facts are rolled up per subject before they
-meet another table or are counted distinct: that keeps a subject or site with
-very many rows from landing whole in one task, and avoids the row blow-up of
-several distinct counts in one aggregate.
+so a rerun gives the same numbers. Every fact is scanned once per metric table.
+Subjects are counted distinct on the map side first, so a subject or site with
+very many rows does not land whole in one task.
 """
 
 from __future__ import annotations
@@ -14,7 +13,8 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, functions as F
 
 from dqlake.functions import (
-    band, elapsed_days, ever, hi, lo, median, n, n_distinct, n_if, rate, stamp, total,
+    band, elapsed_days, ever, hi, lo, median, n, n_distinct, n_distinct_if, n_if, rate, stamp,
+    total,
 )
 from dqlake.operators import (
     END, START, Layers, calendar, combine_rollups, inherit, reconcile, rollup, running_sum, stack,
@@ -39,16 +39,6 @@ def _rates(df: DataFrame, rates: Mapping[str, tuple[str, str]]) -> DataFrame:
     return df.withColumns({name: rate(num, den) for name, (num, den) in rates.items()})
 
 
-def _join_groups(left: DataFrame, right: DataFrame, by: Sequence[str]) -> DataFrame:
-    """Join two rollups of the same groups; a NULL group meets its like."""
-    other = right.select(*[F.col(c).alias(f"__r_{c}") for c in by],
-                         *[c for c in right.columns if c not in by])
-    cond = F.lit(True)
-    for c in by:
-        cond = cond & left[c].eqNullSafe(other[f"__r_{c}"])
-    return left.join(other, cond, "left").drop(*[f"__r_{c}" for c in by])
-
-
 def _direction(*words: str) -> Column:
     return F.col("derived_direction").isin(*words)
 
@@ -226,11 +216,9 @@ def visit_compliance(visits: DataFrame, as_of: Column) -> DataFrame:
     counts = {"eligible_visits": n_if(status.isin(*s.VISIT_STATUSES)),
               **{f"{w.lower()}_visits": n_if(status == w) for w in s.VISIT_STATUSES},
               "unknown_status_visits": n_if(~status.isin(*s.VISIT_STATUSES))}
-    per_subject = rollup(visits, [*by, "subject_id"], counts)
-    out = rollup(per_subject, by, {"subjects_with_visit": F.count("subject_id"),
-                                   **{c: total(c) for c in counts}})
-    middle = rollup(visits, by, {"median_days_from_baseline": median("days_from_baseline")})
-    out = _rates(_join_groups(out, middle, by), {
+    out = rollup(visits, by, {"subjects_with_visit": n_distinct("subject_id"), **counts,
+                              "median_days_from_baseline": median("days_from_baseline")})
+    out = _rates(out, {
         "visit_completion_rate": ("completed_visits", "eligible_visits"),
         "missed_visit_rate": ("missed_visits", "eligible_visits"),
     })
@@ -255,31 +243,20 @@ def safety_metrics(adverse_events: DataFrame, spine: DataFrame, as_of: Column) -
 
 def lab_monitoring(labs: DataFrame, history: DataFrame, as_of: Column) -> DataFrame:
     """Lab results per study, site, test and unit; the site comes through the subject."""
-    test = ["lab_test_code", "lab_test_name", "standard_unit"]
-    by = [*SITE, *test]
-    sites = _sites(history)
-    per_subject = rollup(labs, ["study_id", "subject_id", *test], {
-        "total_results": n(),
+    by = [*SITE, "lab_test_code", "lab_test_name", "standard_unit"]
+    abnormal, value = _direction("LOW", "HIGH"), "standardized_result_value"
+    slim = labs.select("study_id", "subject_id", *by[2:], "derived_direction", "abnormal_flag_discrepancy", value)
+    # one scan, one join, one aggregate: the distinct counts are formed per subject on the map side
+    out = rollup(inherit(slim, _sites(history), "subject_id", ["site_id"]), by, {
+        "subjects_tested": n_distinct("subject_id"), "total_results": n(),
         "normal_count": n_if(_direction("NORMAL")), "low_count": n_if(_direction("LOW")),
-        "high_count": n_if(_direction("HIGH")), "abnormal_count": n_if(_direction("LOW", "HIGH")),
-        "subjects_with_abnormal": ever(_direction("LOW", "HIGH")),
+        "high_count": n_if(_direction("HIGH")), "abnormal_count": n_if(abnormal),
+        "subjects_with_abnormal": n_distinct_if(abnormal, "subject_id"),
         "source_derived_discrepancy_count": n_if(F.col("abnormal_flag_discrepancy")),
-        "min_standardized_value": lo("standardized_result_value"),
-        "max_standardized_value": hi("standardized_result_value"),
+        "min_standardized_value": lo(value), "max_standardized_value": hi(value),
+        "median_standardized_value": median(value),
     })
-    sums = ("total_results", "normal_count", "low_count", "high_count", "abnormal_count",
-            "subjects_with_abnormal", "source_derived_discrepancy_count")
-    out = rollup(inherit(per_subject, sites, "subject_id", ["site_id"]), by, {
-        # One row per subject here, as its site depends on it.
-        "subjects_tested": F.count("subject_id"),
-        **{c: total(c) for c in sums},
-        "min_standardized_value": lo("min_standardized_value"),
-        "max_standardized_value": hi("max_standardized_value"),
-    })
-    values = labs.select("study_id", "subject_id", *test, "standardized_result_value")
-    middle = rollup(inherit(values, sites, "subject_id", ["site_id"]), by,
-                    {"median_standardized_value": median("standardized_result_value")})
-    out = _rates(_join_groups(out, middle, by), {
+    out = _rates(out, {
         "abnormal_rate": ("abnormal_count", "total_results"),
         "discrepancy_rate": ("source_derived_discrepancy_count", "total_results"),
     })
@@ -300,8 +277,8 @@ def data_quality_metrics(
     for entity, df in rejected.items():
         if "site_id" not in df.columns:
             slim = df.select("subject_id", "study_id", RECORD_KEYS[entity], FAILURES)
-            # Rejected rows often lack the subject: spread those by record.
-            df = inherit(slim, _sites(history), "subject_id", ["site_id"], [RECORD_KEYS[entity]])
+            # Rejected rows often lack the subject.
+            df = inherit(slim, _sites(history), "subject_id", ["site_id"], split_nulls=True)
         parts.append(df.select(
             F.lit(entity).alias("source_entity"),
             *[F.coalesce(c, F.lit("UNKNOWN")).alias(c) for c in SITE],

@@ -8,10 +8,12 @@ from datetime import date
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from dqlake.functions import stamp
-from dqlake.operators import Layers, reissued_keys
+from dqlake.operators import Layers, conservation
 from dqlake.session import configure
 from dqlake.sources import ingest_feed, ingest_snapshot, read_feed
-from dqlake.streaming import apply_changes, read_history, read_quarantine, read_valid, route_feed
+from dqlake.streaming import (
+    apply_changes, read_history, read_quarantine, read_reissued, read_valid, release, route_feed,
+)
 
 from . import gold, schemas as s, silver
 
@@ -25,6 +27,14 @@ RAW_TYPES = {
 }
 
 
+# Id of each fact feed, and the rules that fail while a parent is missing.
+FACTS = {
+    "visits": ("visit_id", {"unknown_silver_subject": "subject_id"}),
+    "adverse_events": ("ae_id", {"unknown_silver_subject": "subject_id"}),
+    "lab_results": ("lab_result_id", {"unknown_silver_subject": "subject_id", "unknown_silver_visit": "visit_id"}),
+}
+
+
 class Lakehouse:
     """Paths and steps of one installation.
 
@@ -78,10 +88,10 @@ class Lakehouse:
     def dimensions(self) -> dict[str, DataFrame]:
         return {name: self.read("silver", name) for name in s.MASTERS}
 
-    def _route(self, name: str, validated) -> None:
+    def _route(self, name: str, validated, **options) -> None:
         table = self.path("bronze", s.BRONZE_NAMES[name])
         stream = self.spark.readStream.schema(self.bronze(name).schema).parquet(f"{table}/batch_id=*")
-        route_feed(stream, validated, self.path("routed", name), self._checkpoint(f"route_{name}"))
+        route_feed(stream, validated, self.path("routed", name), self._checkpoint(f"route_{name}"), **options)
 
     def valid(self, name: str) -> DataFrame:
         """Accepted rows of a feed."""
@@ -115,23 +125,32 @@ class Lakehouse:
             **silver.SUBJECT_HISTORY,
         )
 
+    def _checked(self, name: str):
+        """The validation of a fact feed against what is trusted now."""
+        if name == "visits":
+            return lambda b: silver.validate_visits(b, self.dimensions(), self.history())
+        if name == "adverse_events":
+            return lambda b: silver.validate_adverse_events(b, self.dimensions(), self.history())
+        return lambda b: silver.validate_labs(b, self.dimensions(), self.history(), self.valid("visits"))
+
     def route_facts(self) -> None:
-        """Facts after subjects, labs after visits: each trusts what came before."""
-        self._route("visits", lambda b: silver.validate_visits(b, self.dimensions(), self.history()))
-        self._route("adverse_events",
-                    lambda b: silver.validate_adverse_events(b, self.dimensions(), self.history()))
-        self._route("lab_results", lambda b: silver.validate_labs(
-            b, self.dimensions(), self.history(), self.valid("visits")))
-
-    def reissued_events(self) -> DataFrame:
-        """Accepted adverse events whose id came more than once."""
-        events = self.valid("adverse_events")
-        return reissued_keys(events, events.limit(0), "ae_id")
+        """Facts after subjects, labs after visits: each trusts what came before. First what waited
+        for a subject or visit that has come since is tested again."""
+        for name, (key, waits) in FACTS.items():
+            keys = {"unknown_silver_subject": self.history().select("subject_id")}
+            if "unknown_silver_visit" in waits:
+                keys["unknown_silver_visit"] = self.valid("visits").select("visit_id")
+            release(self.spark, self.path("routed", name), self.bronze(name), keys, self._checked(name))
+            self._route(name, self._checked(name), key=key, waits=waits)
+
+    def reissued(self, name: str) -> DataFrame:
+        """Accepted rows of a fact feed whose id was accepted before, by batch."""
+        return read_reissued(self.spark, self.path("routed", name))
 
     def layers(self) -> dict[str, Layers]:
+        kept = conservation(self.history(), self.valid("subjects"), ["subject_id"], **silver.SUBJECT_HISTORY)
         return {
-            name: Layers(self.bronze(name), self.silver(name), self.quarantine(name),
-                         self.valid(name) if name == "subjects" else None)
+            name: Layers(self.bronze(name), self.silver(name), self.quarantine(name), kept if name == "subjects" else None)
             for name in s.FEEDS
         }
 

@@ -18,6 +18,7 @@ from dqlake.operators import (
     dedupe_latest, key_set, lookup, lookup_fallback, reference, scd2, validate, warn,
 )
 from dqlake.operators import rules as r
+from dqlake.operators.waiting import ROW_ID
 from dqlake.sources import RESCUED
 
 from . import schemas as s
@@ -29,16 +30,23 @@ ROUTING = ["_dq_failures", "_is_valid"]
 Tables = Mapping[str, DataFrame]
 
 
+def _identity(raw: DataFrame) -> list[str]:
+    """The column that tells raw rows apart, where a routed feed has added it."""
+    return [c for c in raw.columns if c == ROW_ID]
+
+
 # --- dimensions and references -------------------------------------------------
 
 def dimension(raw: DataFrame, spec: s.Master) -> DataFrame:
-    """Latest row per key, trimmed and typed; placeholders in keys and ids are NULL.
+    """Latest row per key, trimmed and typed. Keys and ids are normalised as facts normalise them;
+    raw values of a mapping keep their case variants, which its use collapses.
 
     A refresh stamps all its rows alike, so the file name decides before the
     remaining columns do.
     """
-    ids = {c for c in spec.columns if c in spec.keys or c.endswith("_id")}
-    clean = raw.withColumns({c: blank_to_null(c) if c in ids else F.trim(c) for c in spec.columns})
+    ids = {c for c in spec.columns if c.endswith("_id") or (c in spec.keys and not spec.fold and not c.startswith("raw_"))}
+    clean = raw.withColumns({c: normalize_key(c) if c in ids else blank_to_null(c) if c in spec.keys else F.trim(c)
+                             for c in spec.columns})
     keys = {k: F.upper(k) if spec.fold else F.col(k) for k in spec.keys}
     latest = dedupe_latest(clean, keys, ["_ingestion_ts", "_source_file_name"])
     latest = latest.withColumns({c: F.upper(c) for c in spec.upper})
@@ -230,10 +238,9 @@ def validate_visits(raw: DataFrame, t: Tables, history: DataFrame) -> DataFrame:
     clean = typed(clean, {"visit_number": "int", "days_from_baseline": "int", "visit_date": "date"})
     found = lookup(clean, study_keys(t), {"study_id": "_study_key"})
     found = lookup(found, site_ref(t), {"site_id": "_site_key"})
-    found = lookup(found, trusted_subjects(history), {"subject_id": "_subject_key"},
-                   spread_nulls=["visit_id", "visit_date", "_source_file_name"])
+    found = lookup(found, trusted_subjects(history), {"subject_id": "_subject_key"}, split_nulls=True)
     return validate(found, visit_rules()).select(
-        *s.FEEDS["visits"].columns, RESCUED, *LINEAGE, *ROUTING
+        *s.FEEDS["visits"].columns, RESCUED, *LINEAGE, *ROUTING, *_identity(raw)
     )
 
 
@@ -294,13 +301,12 @@ def validate_adverse_events(raw: DataFrame, t: Tables, history: DataFrame) -> Da
     })
     found = lookup(clean, severity_ref(t), {"_severity": "_severity_key"})
     found = lookup(found, site_ref(t), {"site_id": "_site_key"})
-    found = lookup(found, trusted_subjects(history), {"subject_id": "_subject_key"},
-                   spread_nulls=["ae_id", "onset_date", "_source_file_name"])
+    found = lookup(found, trusted_subjects(history), {"subject_id": "_subject_key"}, split_nulls=True)
     found = found.withColumns({"standard_severity": F.col("_standard_severity"),
                                "severity_rank": F.col("_severity_rank")})
     warnings = adverse_event_warnings()
     return validate(warn(found, warnings), adverse_event_rules()).select(
-        *ADVERSE_EVENT_COLUMNS, *warnings, RESCUED, *LINEAGE, *ROUTING
+        *ADVERSE_EVENT_COLUMNS, *warnings, RESCUED, *LINEAGE, *ROUTING, *_identity(raw)
     )
 
 
@@ -354,9 +360,8 @@ def validate_labs(raw: DataFrame, t: Tables, history: DataFrame, visits: DataFra
     })
     found = lookup(clean, lab_test_ref(t), {"lab_test_code": "_test_key"})
     found = lookup(found, unit_ref(t), {"lab_test_code": "_unit_test", "_unit": "_unit_key"})
-    spread = ["lab_result_id", "lab_test_code", "collection_date", "_source_file_name"]
-    found = lookup(found, trusted_subjects(history), {"subject_id": "_subject_key"}, spread)
-    found = lookup(found, trusted_visits(visits), {"visit_id": "_visit_key"}, spread)
+    found = lookup(found, trusted_subjects(history), {"subject_id": "_subject_key"}, split_nulls=True)
+    found = lookup(found, trusted_visits(visits), {"visit_id": "_visit_key"}, split_nulls=True)
     found = standardise(found, "result_value", "_factor", "_unit_standard", "_test_unit",
                         "_test_low", "_test_high", "source_abnormal_flag")
-    return validate(found, lab_rules()).select(*LAB_COLUMNS, RESCUED, *LINEAGE, *ROUTING)
+    return validate(found, lab_rules()).select(*LAB_COLUMNS, RESCUED, *LINEAGE, *ROUTING, *_identity(raw))

@@ -4,8 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from dqlake.operators import Layers
-from dqlake.plans import gold
+from dqlake.operators import Layers, conservation
+from dqlake.plans import gold, silver
 
 from .oracle import DAY, big, ratio, with_tables
 from .registry import query
@@ -236,11 +236,13 @@ def data_quality_metrics(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def _balance(entity: str, raw: str, checked: str, silver: str) -> str:
+    extra = ("(SELECT count(*) FROM now) AS current_records, (SELECT count(DISTINCT subject_id) FROM hist) AS distinct_keys"
+             if entity == "subjects" else "CAST(NULL AS BIGINT) AS current_records, CAST(NULL AS BIGINT) AS distinct_keys")
     return (f"SELECT '{entity}' AS source_entity, (SELECT count(*) FROM {raw}) AS bronze_records, "
             f"(SELECT count(*) FROM {silver}) AS silver_records, "
             f"(SELECT count(*) FROM {checked} WHERE why <> '') AS quarantined_records, "
             f"(SELECT count(*) FROM {checked} WHERE why = '') - (SELECT count(*) FROM {silver}) "
-            "AS collapsed_records")
+            f"AS collapsed_records, {extra}")
 
 
 @query(with_tables(f"""
@@ -251,12 +253,13 @@ def _balance(entity: str, raw: str, checked: str, silver: str) -> str:
           UNION ALL {_balance('visits', 'f_visits', 'visits_v', 'visits_ok')}
           UNION ALL {_balance('lab_results', 'f_labs', 'labs_v', 'labs_ok')}
           UNION ALL {_balance('adverse_events', 'f_adverse_events', 'events_v', 'events_ok')})""",
-    "f_subjects", "f_visits", "f_labs", "f_adverse_events", "hist", "visits_ok", "labs_ok", "events_ok"))
+    "f_subjects", "f_visits", "f_labs", "f_adverse_events", "hist", "now", "visits_ok", "labs_ok", "events_ok"))
 def reconciliation(spark: SparkSession, sf: str) -> DataFrame:
     st = store(spark, sf)
+    kept = conservation(st.history(), st.valid("subjects"), ["subject_id"], **silver.SUBJECT_HISTORY)
     layers = {
         entity: Layers(st.feed(feed), st.history() if feed == "subjects" else st.valid(feed),
-                       st.rejected(feed), st.valid(feed) if feed == "subjects" else None)
+                       st.rejected(feed), kept if feed == "subjects" else None)
         for feed, entity in ENTITIES.items()
     }
     return _plain(gold.reconciliation(layers, as_of()))

@@ -7,7 +7,8 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from dqlake.functions import n
 from dqlake.operators import (
     END, START, assert_domain, current, dedupe_latest, dq_breakdown, dq_combinations, dq_impact,
-    requarantine, scd1, scd2, scd2_check, scd2_from_snapshots, scd2_refresh, stack,
+    ROW_ID, arrived, quarantine, retest, route, scd1, scd2, scd2_check, scd2_from_snapshots, scd2_refresh, snapshot_step,
+    stack, waiting_index, with_row_id,
 )
 from dqlake.operators import rules as r
 from dqlake.plans import schemas as s, silver
@@ -15,7 +16,7 @@ from dqlake.plans.silver import ADVERSE_EVENT_COLUMNS, LAB_COLUMNS, SUBJECT_COLU
 
 from .feeds import table
 from .oracle import TRACKED, with_tables
-from .registry import query
+from .registry import ORACLES, query
 from .silver_store import as_of, store
 
 
@@ -136,24 +137,32 @@ def subjects_domain(spark: SparkSession, sf: str) -> DataFrame:
         r.missing("arm_missing", "arm_code"), r.Rule("unmapped_sex", F.col("sex") == "UNMAPPED")])
 
 
-@query(with_tables("""
-    SELECT 'now valid' AS outcome, count(*) AS row_count FROM visits_v
-      WHERE why <> '' AND replace(replace(why, 'invalid_visit_status', ''), ';', '') = ''
-    UNION ALL SELECT 'still rejected', count(*) FROM visits_v
-      WHERE why <> '' AND replace(replace(why, 'invalid_visit_status', ''), ';', '') <> ''""",
-    "visits_v"), name="requarantine")
-def retest_visits(spark: SparkSession, sf: str) -> DataFrame:
-    """Rejected visits tested again after their unknown statuses were put right."""
-    st = store(spark, sf)
+# Subjects that are not known yet when the visits come; the visits of nobody else change.
+_LATE_PARENT = "substr(subject_id, length(subject_id), 1) IN ('3', '7')"
+_WAITS = {"unknown_silver_subject": "subject_id"}
 
-    def revalidate(rows: DataFrame) -> DataFrame:
-        known = F.col("visit_status").isin(*s.VISIT_STATUSES)
-        rows = rows.withColumn("visit_status", F.when(known, F.col("visit_status")).otherwise("MISSED"))
-        return silver.validate_visits(rows, st.references(), st.history())
 
-    good, bad = requarantine(st.rejected("visits"), revalidate, as_of())
-    return stack(*[df.agg(n().alias("row_count")).select(F.lit(k).alias("outcome"), "row_count")
-                   for k, df in (("now valid", good), ("still rejected", bad))])
+@query(with_tables(f"""
+    SELECT CASE WHEN NOT known THEN 'not waiting for them' WHEN why = '' THEN 'released' ELSE 'still rejected' END AS outcome,
+      why AS dq_failure_reasons, count(*) AS row_count
+    FROM (SELECT v.*, n.subject_id IS NOT NULL AND {_LATE_PARENT.replace("subject_id", "v.subject_id")} AS known
+          FROM visits_v v LEFT JOIN now n ON v.subject_id = n.subject_id
+          WHERE why <> '' OR {_LATE_PARENT.replace("subject_id", "v.subject_id")})
+    WHERE why <> '' OR known GROUP BY 1, 2""", "visits_v", "now"), name="requarantine")
+def late_subjects(spark: SparkSession, sf: str) -> DataFrame:
+    """Visits that came before their subject are rejected, wait for it, and alone are tested when it comes."""
+    st = store(spark, sf)
+    raw, refs, history = with_row_id(st.feed("visits")), st.references(), st.history()
+    early = history.where(f"NOT ({_LATE_PARENT})")
+    first = st.kept("visits_before_subjects", lambda: silver.validate_visits(raw, refs, early))
+    rejected = quarantine(first, as_of())
+    ids = arrived(waiting_index(rejected, _WAITS), {"unknown_silver_subject": history.select("subject_id")})
+    good, bad = route(retest(raw, ids, lambda rows: silver.validate_visits(rows, refs, history)), as_of())
+    left = rejected.join(ids.select(ROW_ID).distinct(), ROW_ID, "left_anti").withColumn("outcome", F.lit("not waiting for them"))
+    out = stack(good.select(F.lit("released").alias("outcome"), F.lit("").alias("dq_failure_reasons")),
+                bad.select(F.lit("still rejected").alias("outcome"), "dq_failure_reasons"),
+                left.select("outcome", "dq_failure_reasons"))
+    return out.groupBy("outcome", "dq_failure_reasons").agg(n().alias("row_count"))
 
 
 # --- change history
@@ -275,3 +284,20 @@ def scd2_snapshots(spark: SparkSession, sf: str) -> DataFrame:
     return scd2_from_snapshots(monthly, ["o_custkey"], "snap", ["o_totalprice"]).select(
         "o_custkey", "o_orderstatus", "o_totalprice", F.col(START).alias("start_date"),
         F.col(END).alias("end_date"))
+
+
+@query(ORACLES["scd2_snapshots"])
+def scd2_snapshot_steps(spark: SparkSession, sf: str) -> DataFrame:
+    """The last three months taken in one by one, each against the open versions only."""
+    orders = table(spark, sf, "orders").withColumn("snap", F.trunc("o_orderdate", "month"))
+    monthly = dedupe_latest(orders, ["o_custkey", "snap"], ["o_orderdate", "o_orderkey"]).select(
+        "o_custkey", "snap", "o_orderstatus", "o_totalprice")
+    days = [r[0] for r in monthly.select("snap").distinct().orderBy(F.desc("snap")).limit(3).collect()][::-1]
+    history = scd2_from_snapshots(monthly.where(F.col("snap") < days[0]), ["o_custkey"], "snap", ["o_totalprice"])
+    # the last of these earlier months is the newest delivery: versions it closed are closed
+    open_, done = current(history), [history.where(F.col(END).isNotNull())]
+    for day in days:
+        open_, closed = snapshot_step(open_, monthly.where(F.col("snap") == day), ["o_custkey"], F.lit(day), ["o_totalprice"])
+        done.append(closed)
+    return stack(open_, *done).select("o_custkey", "o_orderstatus", "o_totalprice", F.col(START).alias("start_date"),
+                                      F.col(END).alias("end_date"))

@@ -107,8 +107,7 @@ def lookup_large(spark: SparkSession, sf: str) -> DataFrame:
     st = store(spark, sf)
     rows = st.feed("labs").select(normalize_key("visit_id").alias("visit_id"),
                                   normalize_key("lab_test_code").alias("lab_test_code"))
-    found = lookup(rows, silver.trusted_visits(st.valid("visits")), {"visit_id": "_visit_key"},
-                   spread_nulls=["lab_test_code"])
+    found = lookup(rows, silver.trusted_visits(st.valid("visits")), {"visit_id": "_visit_key"}, split_nulls=True)
     return (found.groupBy("visit_id", "lab_test_code", F.col("_visit_subject").alias("visit_subject"),
                           F.col("_visit_key").isNotNull().alias("found"))
             .agg(n().alias("row_count")))

@@ -36,6 +36,10 @@ class Store:
             self._done.add(name)
         return self.spark.read.parquet(path)
 
+    def kept(self, name: str, build: Callable[[], DataFrame]) -> DataFrame:
+        """A table that one query alone needs written."""
+        return self._table(name, build)
+
     def feed(self, name: str) -> DataFrame:
         """The raw table of a feed."""
         return self._table(f"raw_{name}", lambda: feed(self.spark, self.sf, name))

@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from dqlake.functions import normalize_category, normalize_key
 from dqlake.operators import (
     END, START, Relation, domain, duplicate_groups, gate, key_completeness, key_history,
-    key_history_summary, lineage_completeness, mapping_coverage, missing_patterns, missing_values,
+    key_history_summary, layer_changes, lineage_completeness, mapping_coverage, missing_patterns, missing_values,
     order_profile, profile, quarantine_check, relation_profile, row_counts,
     sequence_duplicates, sum_constraint, trace,
 )
@@ -64,14 +64,21 @@ def line_number_sums(spark: SparkSession, sf: str) -> DataFrame:
     return sum_constraint(table(spark, sf, "lineitem"), ["l_orderkey"], "l_linenumber", 16, 2.5)
 
 
-@query(with_tables("""
-    SELECT '_source_file' AS column_name, count(*) FILTER (WHERE _source_file IS NULL) AS missing_rows FROM hist
-    UNION ALL SELECT '_ingestion_date', 0 UNION ALL SELECT 'discontinuation_reason',
-      count(*) FILTER (WHERE discontinuation_reason IS NULL) FROM hist""", "hist"),
+_NO_TIME = "_source_file_name LIKE '%7.csv'"
+
+
+@query(with_tables(f"""
+    SELECT column_name, CAST(CASE column_name WHEN '_source_file' THEN no_file WHEN '_source_file_name' THEN no_name
+        WHEN '_source_file_modification_ts' THEN no_time ELSE 0 END AS BIGINT) AS missing_rows, total_rows
+    FROM (SELECT unnest(['_source_file', '_source_file_name', '_source_file_modification_ts', '_ingestion_ts', '_ingestion_date'])
+            AS column_name, * FROM (
+          SELECT count(*) AS total_rows, count(*) FILTER (WHERE _source_file_name IS NULL) AS no_name,
+            count(*) FILTER (WHERE concat('landing/', _source_file_name) IS NULL) AS no_file,
+            count(*) FILTER (WHERE {_NO_TIME}) AS no_time FROM events_v))""", "events_v"),
     name="lineage_completeness")
-def subject_lineage(spark: SparkSession, sf: str) -> DataFrame:
-    return lineage_completeness(store(spark, sf).history(),
-                                ["_source_file", "_ingestion_date", "discontinuation_reason"])
+def event_lineage(spark: SparkSession, sf: str) -> DataFrame:
+    """All five lineage columns; files of some days came without a modification time."""
+    return lineage_completeness(store(spark, sf).adverse_events())
 
 
 @query(with_tables(f"""
@@ -172,7 +179,8 @@ def subject_key_history(spark: SparkSession, sf: str) -> DataFrame:
 
 @query(with_tables("""
     SELECT count(*) AS distinct_keys, count(*) FILTER (WHERE r > 1) AS repeated_keys,
-      count(*) FILTER (WHERE f > 1) AS keys_in_many_files, max(r) AS max_rows_per_key
+      count(*) FILTER (WHERE f > 1) AS keys_in_many_files, max(r) AS max_rows_per_key,
+      max(f) AS max_files_per_key
     FROM (SELECT lab_result_id, count(*) AS r, count(DISTINCT _source_file_name) AS f FROM labs_v
           WHERE lab_result_id IS NOT NULL GROUP BY 1)""", "labs_v"), name="key_history_summary")
 def lab_key_summary(spark: SparkSession, sf: str) -> DataFrame:
@@ -230,7 +238,7 @@ def event_domains(spark: SparkSession, sf: str) -> DataFrame:
 
 
 @query(with_tables("""
-    SELECT count(*) AS quarantine_rows, 0 AS missing_reason_rows,
+    SELECT count(*) AS quarantine_rows, count(*) FILTER (WHERE trim(why) = '') AS missing_reason_rows,
       count(DISTINCT _source_file_name) AS affected_files FROM visits_v WHERE why <> ''""", "visits_v"),
     name="quarantine_check")
 def visit_quarantine_check(spark: SparkSession, sf: str) -> DataFrame:
@@ -255,3 +263,38 @@ def trace_unmappable(spark: SparkSession, sf: str) -> DataFrame:
     bronze = st.feed("subjects").select(normalize_key("subject_id").alias("subject_id"))
     return trace(wanted, {"bronze": bronze, "silver": st.history(), "quarantine": rejected,
                           "gold": st.spine()}, "subject_id")
+
+
+# The controlled delivery: five new subjects, of which two must be rejected, each by its own rule.
+_DEMO = [("DEMO06", "ENROLLED", "33"), ("DEMO07", "ENROLLED", "46"), ("DEMO08", "SCREENING", "31"), ("DEMO09", "ENROLLED", "16"),
+         ("DEMO10", "ACTIVE", "50")]
+_DEMO_FILE = "subjects_20240620.csv"
+
+
+@query(with_tables(f"""
+    SELECT layer, subject_id, '{_DEMO_FILE}' AS _source_file_name, CAST(0 AS BIGINT) AS rows_before, CAST(1 AS BIGINT) AS rows_after,
+      'new' AS change, CAST(NULL AS STRING) AS moved_from
+    FROM (SELECT unnest(['DEMO06', 'DEMO07', 'DEMO08', 'DEMO09', 'DEMO10']) AS subject_id) d
+    JOIN (SELECT 'bronze' AS layer UNION ALL SELECT 'silver' UNION ALL SELECT 'quarantine') l
+      ON layer = 'bronze' OR (layer = 'quarantine') = (subject_id IN ('DEMO09', 'DEMO10'))
+    WHERE (SELECT count(*) FROM f_subjects) > 0""", "f_subjects"), name="layer_changes")
+def controlled_delivery(spark: SparkSession, sf: str) -> DataFrame:
+    """All three layers before and after the controlled file: three rows go through, two do not, none else moves."""
+    st = store(spark, sf)
+    site, arm = (st.references()[k] for k in ("dim_site", "dim_study_arm"))
+    given = arm.join(site, "study_id").select("site_id", "study_id", "arm_code").orderBy("site_id", "arm_code").limit(1)
+    demo = given.select("site_id", "study_id", "arm_code", F.explode(F.array(*[
+        F.struct(F.lit(i).alias("subject_id"), F.lit(w).alias("subject_status"), F.lit(a).alias("age")) for i, w, a in _DEMO])).alias("d"))
+    demo = demo.select("d.*", "site_id", "study_id", "arm_code", F.lit("F").alias("sex"), F.lit("2024-05-01").alias("screening_date"),
+                       F.lit("2024-05-01").alias("informed_consent_date"), F.lit("2024-05-10").alias("enrollment_date"),
+                       F.lit("2024-05-11").alias("randomization_date"), F.lit(_DEMO_FILE).alias("_source_file_name"))
+    raw = st.feed("subjects")
+    grown = raw.unionByName(demo, allowMissingColumns=True)
+    checked = st.kept("subjects_with_demo", lambda: silver.validate_subjects(grown, st.references()))
+
+    def layers(bronze: DataFrame, validated: DataFrame) -> dict[str, DataFrame]:
+        return {"bronze": bronze.select(normalize_key("subject_id").alias("subject_id"), "_source_file_name"),
+                "silver": validated.where("_is_valid"), "quarantine": validated.where("not _is_valid")}
+
+    return layer_changes(layers(raw, st.subjects()), layers(grown, checked), "subject_id", "_source_file_name")
+

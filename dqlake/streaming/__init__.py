@@ -1,3 +1,3 @@
 from .jobs import (
-    apply_changes, read_history, read_quarantine, read_valid, route_feed, run_once,
+    apply_changes, read_history, read_quarantine, read_reissued, read_valid, release, route_feed, run_once,
 )

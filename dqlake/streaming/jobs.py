@@ -6,15 +6,16 @@ batch replayed after a failure replaces itself.
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
+from collections.abc import Callable, Mapping, Sequence
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 from dqlake.operators.rules import VALID, quarantine, valid_rows
 from dqlake.operators.scd import (
     END, HOT_ROWS, LAST, START, late_keys, late_stretches, scd2, scd2_splice, touched_versions, with_last, without,
 )
+from dqlake.operators.waiting import ROW_ID, arrived, retest, waiting_index, with_row_id
 
 BATCH = "batch_id"
 BUCKET = "bucket"
@@ -30,36 +31,131 @@ def run_once(stream: DataFrame, checkpoint: str, each: Callable[[DataFrame, int]
     query.awaitTermination()
 
 
+def _beside(sink: str, what: str) -> str:
+    return f"{sink.rstrip('/')}-{what}"
+
+
 def route_feed(
-    stream: DataFrame, validated: Callable[[DataFrame], DataFrame], sink: str, checkpoint: str
+    stream: DataFrame, validated: Callable[[DataFrame], DataFrame], sink: str, checkpoint: str,
+    key: str | None = None, waits: Mapping[str, str] | None = None, buckets: int = 64,
 ) -> None:
     """Validate a feed and append it to ``sink``, split by validity.
 
     ``validated`` turns raw rows into validated rows. It runs inside the batch,
     so joins to static tables are planned by AQE from the current table sizes,
     and once: one write, partitioned by the outcome, serves both sides.
+
+    With ``key``, hashes of the accepted keys are kept beside the sink, and accepted rows whose key an
+    earlier batch accepted, or that comes twice in theirs, are listed for ``read_reissued``. With
+    ``waits`` (rule name to key column), rejected rows are indexed by the parent they lack, for
+    ``release``; ``validated`` must then pass ``_row_id`` through.
     """
 
     def each(batch: DataFrame, batch_id: int) -> None:
-        out = validated(batch)
+        out = validated(with_row_id(batch) if waits else batch)
         out.write.mode("overwrite").partitionBy(VALID).parquet(f"{sink}/{BATCH}={batch_id}")
+        written = _read_if_there(batch.sparkSession, f"{sink}/{BATCH}={batch_id}")
+        if written is None:
+            return
+        written = written.withColumn(VALID, F.col(VALID).cast("boolean"))
+        if waits:
+            index = waiting_index(written.where(~F.col(VALID)), waits)
+            index.write.mode("overwrite").parquet(f"{_beside(sink, 'waiting')}/{BATCH}={batch_id}")
+        if key:
+            _note_keys(written.where(F.col(VALID)), key, sink, batch_id, buckets)
 
     run_once(stream, checkpoint, each)
 
 
+def _note_keys(accepted: DataFrame, key: str, sink: str, batch_id: int, buckets: int) -> None:
+    """Keep the hashes of a batch's keys and list the keys that were there before.
+
+    The hashes of earlier batches are read for the batch's buckets only, and narrow; rows accepted
+    earlier are read only where a hash is known, to compare the key itself.
+    """
+    spark, store, found = accepted.sparkSession, _beside(sink, "keys"), f"{_beside(sink, 'reissued')}/{BATCH}={batch_id}"
+    own = accepted.where(F.col(key).isNotNull()).groupBy(key).agg(F.count(F.lit(1)).alias("row_count"))
+    own = own.withColumn("__hash", F.xxhash64(key)).withColumn(BUCKET, _bucket([key], buckets))
+    own.write.mode("overwrite").partitionBy(BUCKET).parquet(f"{store}/{BATCH}={batch_id}")
+    keys = _read_if_there(spark, f"{store}/{BATCH}={batch_id}")
+    if keys is None:
+        return
+    # at most ``buckets`` small integers
+    numbers = [r[0] for r in keys.select(BUCKET).distinct().collect()]
+    earlier = spark.read.parquet(store).where((F.col(BATCH) < batch_id) & F.col(BUCKET).isin(numbers)).select("__hash")
+    maybe = keys.join(earlier, "__hash", "left_semi").select(key)
+    if maybe.isEmpty():
+        seen = maybe
+    else:
+        before = spark.read.parquet(sink).where((F.col(BATCH) < batch_id) & (F.col(VALID).cast("boolean")))
+        seen = before.select(key).join(maybe, key, "left_semi").distinct()
+    marked = keys.select(key, "row_count").join(seen.withColumn("__seen", F.lit(True)), key, "left")
+    marked = marked.select(key, "row_count", F.coalesce("__seen", F.lit(False)).alias("in_target"))
+    marked.where("row_count > 1 OR in_target").write.mode("overwrite").parquet(found)
+
+
+def read_reissued(spark: SparkSession, sink: str) -> DataFrame:
+    """(batch_id, key, row_count, in_target): keys that were accepted again."""
+    return spark.read.parquet(_beside(sink, "reissued"))
+
+
+def release(
+    spark: SparkSession, sink: str, raw: DataFrame, parents: Mapping[str, DataFrame],
+    revalidate: Callable[[DataFrame], DataFrame],
+) -> int:
+    """Test the rejected rows again whose missing parent has come; their outcome replaces the old one.
+
+    ``raw`` is the feed's raw table, ``parents`` holds the keys there now for each rule of ``waits``.
+    The index is joined to the keys; only the rows it gives are read and tested, once for each parent
+    that comes. Returns how many entries were answered; repeating a run finds none.
+    """
+    index = _read_if_there(spark, _beside(sink, "waiting"))
+    if index is None:
+        return 0
+    answered = _read_if_there(spark, _beside(sink, "answered"))
+    entry = ["reason", "parent_key", ROW_ID]
+    open_ = index.select(*entry)
+    if answered is not None:
+        open_ = open_.join(answered.select(*entry).distinct(), entry, "left_anti")
+    # answers are noted last, so that a run that broke off is done again under the same number
+    number = 0 if answered is None else answered.agg(F.coalesce(F.max("run"), F.lit(-1))).first()[0] + 1
+    fresh = f"{_beside(sink, 'arrived')}"
+    arrived(open_, parents).write.mode("overwrite").parquet(fresh)
+    entries = spark.read.parquet(fresh)
+    found = entries.count()
+    if found:
+        rows = retest(with_row_id(raw), entries, revalidate)
+        rows.write.mode("overwrite").parquet(f"{_beside(sink, 'retested')}/run={number}")
+        entries.write.mode("overwrite").parquet(f"{_beside(sink, 'answered')}/run={number}")
+    return found
+
+
 def _read_routed(spark: SparkSession, sink: str) -> DataFrame:
     df = spark.read.option("mergeSchema", False).parquet(sink).drop(BATCH)
     return df.withColumn(VALID, F.col(VALID).cast("boolean"))
 
 
+def _retested(spark: SparkSession, sink: str) -> DataFrame | None:
+    """The last outcome of each row that was tested again."""
+    rows = _read_if_there(spark, _beside(sink, "retested"))
+    if rows is None:
+        return None
+    last = F.max("run").over(Window.partitionBy(ROW_ID))
+    return rows.withColumn("__last", last).where("run = __last").drop("run", "__last")
+
+
 def read_valid(spark: SparkSession, sink: str) -> DataFrame:
-    """Accepted rows of a routed feed; reads only their partitions."""
-    return valid_rows(_read_routed(spark, sink))
+    """Accepted rows of a routed feed, those accepted by a later test included; reads only their partitions."""
+    rows, again = valid_rows(_read_routed(spark, sink)), _retested(spark, sink)
+    return rows.drop(ROW_ID) if again is None else rows.unionByName(valid_rows(again)).drop(ROW_ID)
 
 
 def read_quarantine(spark: SparkSession, sink: str, as_of: Column) -> DataFrame:
-    """Rejected rows of a routed feed with their reasons."""
-    return quarantine(_read_routed(spark, sink), as_of)
+    """Rejected rows of a routed feed with the reasons of their last test."""
+    rows, again = quarantine(_read_routed(spark, sink), as_of), _retested(spark, sink)
+    if again is not None:
+        rows = rows.join(again.select(ROW_ID).distinct(), ROW_ID, "left_anti").unionByName(quarantine(again, as_of))
+    return rows.drop(ROW_ID)
 
 
 def _bucket(keys: Sequence[str], buckets: int) -> Column:
