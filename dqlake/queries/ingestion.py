@@ -10,7 +10,7 @@ from dqlake.sources import (
     bindings, feed_inventory, header_drift, header_lines, ingest_feed, ingest_snapshot, landing_inventory, new_folder,
     observe_types, read_feed, read_lines, rescue, type_drift,
 )
-from dqlake.streaming import apply_changes, read_history, read_quarantine, read_valid, route_feed
+from dqlake.streaming import apply_changes, read_history, read_quarantine, read_reissued, read_valid, route_feed
 
 from .feeds import AS_OF, table
 from .oracle import with_tables
@@ -30,9 +30,22 @@ def visit_files(spark: SparkSession, sf: str) -> DataFrame:
                       F.col("last_ingestion").cast("date").alias("last_day"))
 
 
-@query(name="landing_inventory")
-def data_folder(spark: SparkSession, sf: str) -> DataFrame:
-    return landing_inventory(spark, sf)
+@query("""
+    SELECT 'ctms' AS family, 'customers_' || c_mktsegment AS dataset, count(*) AS row_count, true AS has_files, true AS has_times
+    FROM customer GROUP BY 2""", name="landing_inventory")
+def delivered_segments(spark: SparkSession, sf: str) -> DataFrame:
+    """The customer table delivered as a dataset a segment: what the inventory finds, beside the rows it stands for."""
+    landing = new_folder(spark, "landing")
+    rows = table(spark, sf, "customer")
+    for (segment,) in rows.select("c_mktsegment").distinct().collect():  # a handful of segments
+        rows.where(F.col("c_mktsegment") == segment).write.option("header", True).csv(f"{landing}/ctms/customers_{segment}")
+    found = landing_inventory(spark, landing).where(F.size(F.filter("file_names", lambda f: f.endswith(".csv"))) > 0)
+    lines = spark.read.option("header", True).option("recursiveFileLookup", True).csv(landing)
+    lines = lines.groupBy(F.regexp_extract(F.col("_metadata.file_path"), "/([^/]+)/[^/]+$", 1).alias("dataset")).count()
+    lines = lines.withColumn("dataset", F.url_decode("dataset"))
+    return found.join(lines, "dataset").select("family", "dataset", F.col("count").alias("row_count"), (
+        (F.col("file_count") > 0) & (F.col("total_bytes") > 0)).alias("has_files"), (
+        F.col("first_modified") <= F.col("last_modified")).alias("has_times"))
 
 
 _LAB_NUMBERS = ("result_value", "reference_low", "reference_high")
@@ -205,3 +218,26 @@ def scd2_stream(spark: SparkSession, sf: str) -> DataFrame:
     return read_history(spark, history).select(
         "o_custkey", "o_orderstatus", "o_totalprice",
         F.col(f"{START}.o_orderdate").alias("start_date"), F.col(f"{END}.o_orderdate").alias("end_date"))
+
+
+_HALF = "_source_file_name < 'adverse_events_20240116.csv'"
+
+
+@query(with_tables(f"""
+    SELECT CAST(b AS BIGINT) AS batch, ae_id, count(*) AS row_count, bool_or(before) AS in_target
+    FROM (SELECT ae_id, CASE WHEN {_HALF} THEN 0 ELSE 1 END AS b,
+            NOT ({_HALF}) AND ae_id IN (SELECT ae_id FROM events_v WHERE why = '' AND ae_id IS NOT NULL AND {_HALF}) AS before
+          FROM events_v WHERE why = '' AND ae_id IS NOT NULL) GROUP BY 1, 2 HAVING count(*) > 1 OR bool_or(before)""",
+    "events_v"), name="reissued_keys_stream")
+def reissued_in_stream(spark: SparkSession, sf: str) -> DataFrame:
+    """Adverse events in two deliveries: ids accepted in the first come again in the second."""
+    st = store(spark, sf)
+    raw, sink, checkpoint = new_folder(spark, "raw"), new_folder(spark, "routed"), new_folder(spark, "offsets")
+    events = st.feed("adverse_events")
+    for early in (_HALF, f"NOT ({_HALF})"):
+        events.where(early).write.mode("append").parquet(raw)
+        # every file of the delivery in one batch
+        stream = spark.readStream.schema(events.schema).option("maxFilesPerTrigger", 100_000).parquet(raw)
+        route_feed(stream, lambda b: silver.validate_adverse_events(b, st.references(), st.history()), sink, checkpoint,
+                   key="ae_id")
+    return read_reissued(spark, sink).select(F.col("batch_id").cast("long").alias("batch"), "ae_id", "row_count", "in_target")

@@ -152,3 +152,36 @@ def test_next_deliveries(spark, lake):
     assert gate({"UNMAPPED": lake.history().where("sex = 'UNMAPPED'"),
                  "NO_KEY": lake.history().where(F.col("subject_id").isNull())}).count() == 0
     assert all(r.balanced_flag for r in reconcile(lake.layers()).collect())
+
+
+def test_late_parents_and_reissued_ids(spark, lake):
+    """Comes after the next deliveries: S-404 appears at last, AE-1 and L-1 come again, a new lab waits for a visit."""
+    from pathlib import Path
+    root = Path(lake.landing)
+    assert "V-4" in reasons(lake.quarantine("visits"), "visit_id")
+    before = lake.valid("visits").count()
+    landing.deliver(root, "subjects", "20260914", [landing.subject("S-404")])
+    landing.deliver(root, "visits", "20260914", [("V-9", "S-405", "101", "101-001", "Baseline", "1", "2026-01-20", "Done", "0")])
+    again = landing.FEED_ROWS[("adverse_events", "20260826")][0]
+    landing.deliver(root, "adverse_events", "20260914", [again, ("AE-9", *again[1:])])
+    lab = landing.FEED_ROWS[("lab_results", "20260826")][0]
+    landing.deliver(root, "lab_results", "20260914", [lab, ("L-9", "S-405", "101", "V-9", *lab[4:])])
+    lake.run()
+    # V-4 also has a status that is none: tested again, and rejected for that alone
+    assert reasons(lake.quarantine("visits"), "visit_id")["V-4"] == "invalid_visit_status"
+    assert reasons(lake.quarantine("visits"), "visit_id")["V-9"] == "unknown_silver_subject"
+    assert lake.valid("visits").count() == before
+    assert {r.ae_id: (r.row_count, r.in_target) for r in lake.reissued("adverse_events").collect()} == {"AE-1": (1, True)}
+    assert {r.lab_result_id: (r.row_count, r.in_target) for r in lake.reissued("lab_results").collect()} == {"L-1": (1, True)}
+    assert reasons(lake.quarantine("lab_results"), "lab_result_id")["L-9"] == "unknown_silver_subject;unknown_silver_visit"
+
+    landing.deliver(root, "subjects", "20260915", [landing.subject("S-405")])
+    lake.run()
+    assert "V-9" not in reasons(lake.quarantine("visits"), "visit_id")
+    assert lake.valid("visits").where("visit_id = 'V-9'").count() == 1
+    # the lab is tested after its visit was accepted
+    assert "L-9" not in reasons(lake.quarantine("lab_results"), "lab_result_id")
+    assert lake.valid("lab_results").where("lab_result_id = 'L-9'").count() == 1
+    for name in ("visits", "lab_results", "adverse_events"):
+        assert lake.bronze(name).count() == lake.valid(name).count() + lake.quarantine(name).count()
+    assert all(r.balanced_flag for r in reconcile(lake.layers()).collect())

@@ -173,3 +173,75 @@ def test_orphan_counts_with_a_hot_key(rows):
     child = rows("k string", *[("gone",)] * 50, ("a",), (None,))
     parent = rows("p string", ("a",))
     assert tuples(o.orphan_counts({"r": (child, parent, {"k": "p"}), "s": (child, child, {"k": "k"})})) == [("r", 50), ("s", 0)]
+
+
+def test_lookup_keeps_rows_without_a_key_out_of_the_join(rows):
+    """All of them equal, so that no other column could spread them."""
+    df = rows("k string, j string, v int", *[(None, None, None)] * 50, ("a", "x", 1), ("b", None, 2), ("c", "x", 3))
+    ref = rows("rk string, rj string, name string", ("a", "x", "A"), ("c", "y", "C"))
+    for on in ({"k": "rk"}, {"k": "rk", "j": "rj"}):
+        split = o.lookup(df, ref, on, split_nulls=True)
+        assert split.columns == [*df.columns, *ref.columns]
+        assert sorted(map(str, split.collect())) == sorted(map(str, o.lookup(df, ref, on).collect()))
+        joins = split._jdf.queryExecution().optimizedPlan().toString().split("Join")
+        assert "isnotnull(k" in joins[1].replace("IsNotNull", "isnotnull")
+
+
+LOG = [("a", 1, "x"), ("a", 2, "x"), ("a", 3, "y"), ("a", 3, "y"), ("b", 1, None), ("b", 2, "x"), (None, 1, "q")]
+
+
+def kept(rows, history, log=LOG):
+    df = rows("k string, day int, v string", *log)
+    return o.conservation(history, df, ["k"], ["day"], hot_rows=None).first().asDict()
+
+
+def test_conservation_counts_what_opened_no_version(rows):
+    history = o.scd2(rows("k string, day int, v string", *LOG), ["k"], ["day"])
+    assert kept(rows, history) == {"accepted_rows": 7, "repeated_rows": 1, "unchanged_rows": 1, "expected_versions": 5,
+                                   "lost_keys": 0, "unknown_keys": 0, "changed_keys": 0}
+
+
+def test_conservation_sees_a_cut_history(rows):
+    history = o.scd2(rows("k string, day int, v string", *LOG), ["k"], ["day"])
+    assert kept(rows, history.where("NOT (k <=> 'a' AND v = 'y')"))["changed_keys"] == 1
+    assert kept(rows, history.where("k IS NOT NULL"))["lost_keys"] == 1
+    assert kept(rows, history, LOG[:-1])["unknown_keys"] == 1
+    changed = history.withColumn("v", F.when(F.col("k") == "b", F.lit("x")).otherwise(F.col("v")))
+    assert kept(rows, changed)["changed_keys"] == 1
+    balance = {}
+    for name, h in (("whole", history), ("cut", history.where("NOT (k <=> 'a' AND v = 'y')"))):
+        df = rows("k string, day int, v string", *LOG)
+        check = o.conservation(h, df, ["k"], ["day"], hot_rows=None)
+        balance[name] = o.reconcile({"s": o.Layers(df, h, df.where("false"), check)}, "k").first()
+    assert balance["whole"].balanced_flag and not balance["cut"].balanced_flag
+    assert (balance["whole"].collapsed_records, balance["whole"].current_records, balance["whole"].distinct_keys) == (2, 3, 2)
+
+
+def test_layer_changes(rows):
+    def state(*keys):
+        return rows("k string, f string", *keys)
+    before = {"silver": state(("a", "1"), ("b", "1")), "quarantine": state(("c", "1"), ("d", "1"), ("d", "1"))}
+    after = {"silver": state(("a", "1"), ("b", "1"), ("c", "1"), ("e", "2"), (None, "2")), "quarantine": state(("d", "1"), ("f", "2"))}
+    got = {(r.layer, r.k): (r.rows_before, r.rows_after, r.change, r.moved_from) for r in o.layer_changes(before, after, "k", "f").collect()}
+    assert got == {("silver", "c"): (0, 1, "new", "quarantine"), ("silver", "e"): (0, 1, "new", None), ("silver", None): (0, 1, "new", None),
+                   ("quarantine", "c"): (1, 0, "lost", None), ("quarantine", "d"): (2, 1, "fewer", None), ("quarantine", "f"): (0, 1, "new", None)}
+    assert o.layer_changes(before, before, "k").count() == 0
+
+
+def test_only_rows_of_the_new_parent_are_tested(rows):
+    raw = o.with_row_id(rows("id int, p string", (1, "x"), (2, "y"), (2, "y"), (3, None), (4, "z")))
+    known = {"x"}
+
+    def check(df):
+        return o.validate(df, [r.Rule("unknown_p", F.col("p").isNotNull() & ~F.col("p").isin(*known)), r.missing("missing_p", "p")])
+    index = o.waiting_index(o.quarantine(check(raw), F.lit("2026-01-01")), {"unknown_p": "p"})
+    assert sorted(x.parent_key for x in index.collect()) == ["y", "y", "z"]
+    known.add("y")
+    tested = o.retest(raw, o.arrived(index, {"unknown_p": rows("k string", ("x",), ("y",), (None,))}), check)
+    assert [(x.id, x._is_valid) for x in tested.collect()] == [(2, True), (2, True)]
+
+
+def test_lineage_and_files_per_key(rows):
+    df = rows("_source_file string, k string, f string", ("a", "1", "x"), (None, "1", "y"), (None, "1", "y"), (None, "2", "x"))
+    assert tuples(o.lineage_completeness(df, ["_source_file", "k"])) == [("_source_file", 3, 4), ("k", 0, 4)]
+    assert o.key_history_summary(df, "k", "f").first().max_files_per_key == 2
