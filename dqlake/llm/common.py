@@ -8,6 +8,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -93,6 +94,35 @@ def shingle_set(words: np.ndarray, size: int) -> np.ndarray:
     return np.unique(h)
 
 
+def batch_words(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes of the words ``[^\\x20\\x09-\\x0D]+`` of all texts, A-Z in lower case, and where each text's
+    begin (and the end). Each different word of the batch is hashed once; nothing is remembered."""
+    split = pc.ascii_split_whitespace(pc.ascii_lower(pc.fill_null(texts, "")))
+    ends, words = split.offsets.to_numpy().astype(np.int64), split.values.dictionary_encode()
+    names = words.dictionary.to_pylist()
+    hashes = np.fromiter((xxhash.xxh3_64_intdigest(w.encode("utf-8", "surrogatepass")) for w in names), np.uint64, len(names))
+    at = words.indices.to_numpy()
+    real = np.ones(len(at), bool) if "" not in names else at != names.index("")
+    before = np.concatenate([[0], np.cumsum(real)])
+    return hashes[at[real]], before[ends - ends[0]]
+
+
+def shingle_sets(texts: pa.Array, size: int) -> list[np.ndarray]:
+    """``shingle_set`` of every text, the words mixed for all texts at once."""
+    words, starts = batch_words(texts)
+    mixed = np.full(max(0, len(words) - size + 1), size, np.uint64)
+    for i in range(size):
+        mixed = mix(mixed * GOLDEN + words[i:len(mixed) + i])
+    out = []
+    for start, end in zip(starts[:-1].tolist(), starts[1:].tolist(), strict=True):
+        if end - start < size:
+            out.append(shingle_set(words[start:end], size))
+            continue
+        h = np.sort(mixed[start:end - size + 1])
+        out.append(h[np.concatenate([[True], h[1:] != h[:-1]])])
+    return out
+
+
 def signed(x: np.ndarray) -> np.ndarray:
     return np.ascontiguousarray(x).view(np.int64)
 

@@ -8,11 +8,11 @@ follows it into a prefix tree; a walk down the tree carries the overlap found so
 texts below and leaves a subtree when the lengths left cannot reach the needed overlap. A pair is
 taken where its sets first meet.
 
-A group of near copies would make a pair of any two members. The join therefore goes in two
+A group of near copies would make a pair of any two members. The join therefore goes in
 rounds. In the first, each set meets only the smallest set of its prefix n-gram and length band;
-the verified pairs give provisional components. In the second, the trees join everything that
-shares a prefix n-gram *across* provisional components, so that no link that could change a
-component is missed. N-grams shared by very many sets are split into square cells of bounded
+the verified pairs give provisional components. Then the trees join what shares a prefix n-gram
+*across* provisional components: a row gives a few likeliest partners, more in each round, until no
+candidate is left untried. So no link that could change a component is missed. N-grams shared by very many sets are split into square cells of bounded
 size. A candidate pair is first held against
 the sets' counts in hash bins, which bound their overlap from above, and is then verified on the
 whole sets.
@@ -29,7 +29,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import GOLDEN, WordHashes, flat, keep, lists, mix, shingle_set, signed, slices
+from .common import GOLDEN, flat, keep, lists, mix, shingle_sets, signed, slices, with_row_id
 from .components import components
 from .runs import dealt, sorted_groups
 
@@ -43,6 +43,10 @@ CELL = 1024
 COARSE = 64
 #: Ids that a join may send to every task (16 bytes each); more are shuffled.
 LISTED = 1_000_000
+#: Signatures a task remembers to drop copies early (under 200 bytes each); all are found later anyway.
+SEEN = 100_000
+#: Candidates of other components that a row gives in a round of a cell, and how much more in the next.
+FIRST, MORE = 2, 16
 #: N-grams after the shared one that go into the trees. Any value gives the same result.
 WINDOW = 12
 
@@ -65,11 +69,10 @@ def _sets(size: int):
     """Per row its set's size and signature; at the end of the task its slot counts."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words, counts = WordHashes(), np.zeros(SLOTS, np.int64)
+        counts = np.zeros(SLOTS, np.int64)
         for batch in slices(batches):
             n, s1, s2, hit = [], [], [], []
-            for text in batch.column(1).to_pylist():
-                h = shingle_set(words.of(text), size)
+            for h in shingle_sets(batch.column(1), size):
                 a, b = _signature(h)
                 n.append(len(h)), s1.append(a), s2.append(b), hit.append(_slot(h))
             counts += np.bincount(flat(hit, np.int64), minlength=SLOTS)
@@ -93,14 +96,13 @@ def _prefixes(size: int, percent: int, order, typical: int):
     """A row for each prefix n-gram of a set; copies within the task count once."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words, hits, seen = WordHashes(), order.value, set()
+        hits, seen = order.value, set()
         for batch in slices(batches):
             tokens, sig, n = [], [], []
-            for text in batch.column(0).to_pylist():
-                h = shingle_set(words.of(text), size)
+            for h in shingle_sets(batch.column(0), size):
                 if not len(h) or (s := _signature(h)) in seen:
                     continue
-                if len(seen) < 500_000:
+                if len(seen) < SEEN:
                     seen.add(s)
                 tokens.append(_ordered(h, hits)[:len(h) - _need(len(h), percent) + 1])
                 sig.append(s), n.append(len(h))
@@ -135,24 +137,22 @@ def _shared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _described(size: int, percent: int, order):
-    """For each row its set's counts in bins, and what follows the listed n-grams in the set. A row
-    that does not have them stands under the id of another text and is left out."""
+    """For each row its set's counts in bins, and what follows the listed n-grams in the set."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words, hits = WordHashes(), order.value
-        near = pa.list_(pa.int32())
+        hits = order.value
+        near = pa.list_(pa.int64())
         item = pa.struct([("token", pa.int64()), ("pos", pa.int32()), ("before", near), ("window", near)])
         for batch in slices(batches, 500):
             out = []
-            for node, text, at in zip(*(batch.column(i).to_pylist() for i in range(3)), strict=True):
-                h = _ordered(shingle_set(words.of(text), size), hits)
-                t, short = signed(h), h.astype(np.uint32).view(np.int32)
-                if any(x["pos"] >= len(t) or t[x["pos"]] != x["token"] for x in at):
-                    continue
+            sets = shingle_sets(batch.column(1), size)
+            for node, h, at in zip(batch.column(0).to_pylist(), sets, batch.column(2).to_pylist(), strict=True):
+                h = _ordered(h, hits)
+                t = signed(h)
                 coarse = np.bincount((h & np.uint64(COARSE - 1)).astype(np.int64), minlength=COARSE)
                 coarse[:] = coarse if coarse.max() < 32767 else 32767  # too many to count: may be anything
                 out.append((node, len(h), _bins(h), coarse.tolist(), [
-                    x | {"before": short[max(0, x["pos"] - WINDOW):x["pos"]].tolist(), "window": short[x["pos"] + 1:x["pos"] + 1 + WINDOW].tolist()}
+                    x | {"before": t[max(0, x["pos"] - WINDOW):x["pos"]].tolist(), "window": t[x["pos"] + 1:x["pos"] + 1 + WINDOW].tolist()}
                     for x in at]))
             kinds = (pa.int64(), pa.int32(), pa.binary(), pa.list_(pa.int16()), pa.list_(item))
             yield pa.RecordBatch.from_arrays([pa.array([o[i] for o in out], k) for i, k in enumerate(kinds)],
@@ -195,13 +195,10 @@ def _token_lists(size: int):
     """The whole set of each row's text."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words = WordHashes()
         for batch in slices(batches, 500):
-            sets = [shingle_set(words.of(t), size) for t in batch.column(1).to_pylist()]
-            sig = [_signature(h) for h in sets]
+            sets = shingle_sets(batch.column(1), size)
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0).cast(pa.int64()), lists(signed(flat(sets, np.uint64)), [len(x) for x in sets]),
-                 pa.array([s[0] for s in sig], pa.int64())], ["node", "tokens", "s1"])
+                [batch.column(0), lists(signed(flat(sets, np.uint64)), [len(x) for x in sets])], ["node", "tokens"])
 
     return run
 
@@ -263,16 +260,19 @@ class PrefixTree:
                 stack.append((child, overlap, passed) if i is None else (child, overlap + 1, max(passed, i + 1)))
 
 
-def _tree_pairs(percent: int):
+def _tree_pairs(percent: int, most_each: int):
     """Candidate pairs of each (token, cell). Rows of ``side`` 0 are put into the tree, rows of
-    side 1 only probe it; in a cell on the diagonal (side 2) every row does both."""
+    side 1 only probe it; in a cell on the diagonal (side 2) every row does both. A row gives its
+    likeliest partners only, ``most_each`` of them and in the first round one of a component; a row
+    with ``cut`` names a node that has more."""
+    one = most_each == FIRST
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for table, starts in sorted_groups(batches, ["token", "cell"]):
             col = {k: table.column(k).to_numpy() for k in ("node", "component", "n", "pos", "side")}
             windows, befores = (table.column(k).combine_chunks() for k in ("window", "before"))
             coarse = table.column("coarse").combine_chunks().values.to_numpy().reshape(-1, COARSE)
-            a, b = [], []
+            a, b, more = [], [], []
             for lo, hi in zip(starts[:-1].tolist(), starts[1:].tolist(), strict=True):
                 if (col["component"][lo:hi] == col["component"][lo]).all():
                     continue
@@ -286,17 +286,34 @@ def _tree_pairs(percent: int):
                             at = np.array(found)
                             most = np.minimum(coarse[at], coarse[i]).sum(1, dtype=np.int64)
                             earlier = set(befores[i].as_py())
-                            # a pair that shares an earlier n-gram was met there
-                            found = [j for j in at[(100 + percent) * most >= percent * (n + col["n"][at].astype(np.int64))].tolist()
-                                     if earlier.isdisjoint(befores[j].as_py())]
+                            sizes = n + col["n"][at].astype(np.int64)
+                            likely = np.flatnonzero((100 + percent) * most >= percent * sizes)
+                            likely = likely[np.argsort(-most[likely] / sizes[likely], kind="stable")]
+                            found, met, cut = [], set(), False
+                            for j in at[likely].tolist():
+                                # a pair that shares an earlier n-gram was met there
+                                if not earlier.isdisjoint(befores[j].as_py()):
+                                    continue
+                                other = int(col["component"][j])
+                                if len(found) == most_each or (one and other in met):
+                                    cut = True
+                                    if len(found) == most_each:
+                                        break
+                                    continue
+                                found.append(j)
+                                met.add(other)
+                            if cut:
+                                more.append(int(col["node"][i]))
                         a += [int(col["node"][i])] * len(found)
                         b += [int(col["node"][j]) for j in found]
                     if side != 1:
                         tree.add(window, i, n, left, comp)
             a, b = np.array(a, np.int64), np.array(b, np.int64)
             pairs = np.unique(np.stack([np.minimum(a, b), np.maximum(a, b)]), axis=1)
-            if pairs.shape[1]:
-                yield pa.RecordBatch.from_arrays([pa.array(pairs[0]), pa.array(pairs[1])], ["a", "b"])
+            late = np.unique(np.array(more, np.int64))
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(np.concatenate([pairs[0], late])), pa.array(np.concatenate([pairs[1], late])),
+                 pa.array(np.arange(pairs.shape[1] + len(late)) >= pairs.shape[1])], ["a", "b", "cut"])
 
     return run
 
@@ -308,22 +325,25 @@ def jaccard_components(docs: DataFrame, size: int = 4, percent: int = 85, id_col
     Two rows link when ``100 * |x & y| >= percent * |x | y|`` over their distinct runs of ``size``
     words (a shorter text is one run). ``component_id`` is the smallest id reachable by links, the
     own included. Null or blank texts have no n-grams and link with nothing. A row without an id
-    takes no part; its component is null. A repeated id is one node for the rows of a text; each
-    row gets the component of its own text. Other columns of ``docs`` are not read. An empty table
-    gives an empty result. n-grams are compared by 64-bit hashes, whole sets by 128-bit ones.
+    takes no part; its component is null. Rows of equal sets are one node, whatever their ids; with a
+    repeated id each row gets the component of its own text. Ids may be of any type that has an order.
+    Other columns of ``docs`` are not read. An empty table gives an empty result. Texts of any length are
+    sets like any other. n-grams are compared by 64-bit hashes, whole sets by 128-bit ones.
     """
     spark = docs.sparkSession
-    given = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
-    scanned = keep(given.mapInArrow(
+    numbered = with_row_id(docs, id_col, "jaccard-docs", text_col)
+    given = numbered.where(F.col(id_col).isNotNull()).select(F.col("rid").alias("id"), F.col(text_col).alias("text"))
+    scanned = keep(numbered.select(F.col("rid").alias("id"), F.col(text_col).alias("text")).mapInArrow(
         _sets(size), "id long, n long, s1 long, s2 long, slot int, hits long"), "sets")
-    own = scanned.where("n is not null").select("id", "n", "s1", "s2")
+    own = scanned.where("n is not null").select("id", "n", "s1", "s2").join(numbered.select(F.col("rid").alias("id"), F.col(id_col).alias("name")), "id")
     hits = np.zeros(SLOTS, np.int64)
     for row in scanned.where("slot is not null").groupBy("slot").agg(F.sum("hits").alias("hits")).toLocalIterator():
         hits[row.slot] = row.hits
     order, typical = spark.sparkContext.broadcast(hits), int(np.median(hits))
-    classes = own.where("n > 0 and id is not null").groupBy("s1", "s2").agg(F.min("id").alias("node"))
+    classes = keep(own.where("n > 0 and name is not null").groupBy("s1", "s2").agg(F.min("id").alias("node"), F.min("name").alias("name")),
+                   "classes")
 
-    rows = given.where("id is not null").select("text").mapInArrow(
+    rows = given.select("text").mapInArrow(
         _prefixes(size, percent, order, typical),
         "token long, salt int, hot int, s1 long, s2 long, n int, pos int")
     shared = dealt(rows, ["token", "salt"], ["s1", "s2"]).mapInArrow(
@@ -333,7 +353,7 @@ def jaccard_components(docs: DataFrame, size: int = 4, percent: int = 85, id_col
     described = keep(given.join(by_node, "id").select("id", "text", "at").mapInArrow(
         _described(size, percent, order),
         "node long, n int, bins binary, coarse array<smallint>, "
-        "at array<struct<token: long, pos: int, before: array<int>, window: array<int>>>"), "described")
+        "at array<struct<token: long, pos: int, before: array<long>, window: array<long>>>"), "described")
     placed = described.select("node", "n", "coarse", F.inline("at"))
 
     def verified(pairs: DataFrame) -> DataFrame:
@@ -345,8 +365,7 @@ def jaccard_components(docs: DataFrame, size: int = 4, percent: int = 85, id_col
         nodes = likely.select(F.col("a").alias("id")).unionByName(likely.select(F.col("b").alias("id"))).distinct()
         few = nodes.limit(LISTED + 1).count() <= LISTED
         sets = keep(given.join(F.broadcast(nodes) if few else nodes, "id", "left_semi").mapInArrow(
-            _token_lists(size), "node long, tokens array<long>, s1 long"), "tokens")
-        sets = sets.join(classes.select("node", "s1"), ["node", "s1"], "left_semi")
+            _token_lists(size), "node long, tokens array<long>"), "tokens")
         first = likely.join(sets.select(F.col("node").alias("b"), F.col("tokens").alias("tb")), "b")
         both = first.join(sets.select(F.col("node").alias("a"), F.col("tokens").alias("ta")), "a")
         return keep(both.select("a", "b", "ta", "tb").mapInArrow(_verified(percent), "a long, b long").distinct(), "links")
@@ -363,28 +382,36 @@ def jaccard_components(docs: DataFrame, size: int = 4, percent: int = 85, id_col
     links = verified(stars)
     first = components(links)
 
-    placed = placed.join(first, "node", "left").withColumn("component", F.coalesce("component", "node"))
-    across = (placed.groupBy("token").agg(F.min("component").alias("lo"), F.max("component").alias("hi"),
-                                          F.count("*").alias("m")).where("lo < hi")
-              .select("token", F.ceil(F.col("m") / CELL).cast("int").alias("side_cells")))
-    following = placed.join(across, "token")
-    g, mine = F.col("side_cells"), F.pmod(F.xxhash64("node"), F.col("side_cells")).cast("int")
-    cells = (following.withColumn("mine", mine)
-             .withColumn("other", F.explode(F.sequence(F.lit(0), g - 1)))
-             .withColumn("cell", F.least("mine", "other") * g + F.greatest("mine", "other"))
-             .withColumn("side", F.when(F.col("mine") == F.col("other"), 2)
-                         .when(F.col("mine") < F.col("other"), 0).otherwise(1)))
-    pairs = (dealt(cells.select("token", "cell", "side", "node", "component", "n", "pos", "coarse", "before", "window"),
-                   ["token", "cell"], ["side", "node"])
-             .mapInArrow(_tree_pairs(percent), "a long, b long").distinct())
-    more = verified(pairs)
-    whole = components(first.select(F.col("node").alias("a"), F.col("component").alias("b")).unionByName(more))
-
-    nodes = classes.join(whole, "node", "left").select("s1", "s2", F.coalesce("component", "node").alias("root"))
-    with_set = own.where("n > 0 and id is not null").join(nodes, ["s1", "s2"]).select("id", "n", "root")
-    alone = own.where("n = 0 or id is null").select("id", "n", F.col("id").alias("root"))
+    # Each round takes a few candidates a row, and joins what they link; members of a group of near copies
+    # soon share a component and are no candidates any more. The last round leaves none untried.
+    joined, most_each = first, FIRST
+    while True:
+        now = placed.join(joined, "node", "left").withColumn("component", F.coalesce("component", "node"))
+        across = (now.groupBy("token").agg(F.min("component").alias("lo"), F.max("component").alias("hi"),
+                                           F.count("*").alias("m")).where("lo < hi")
+                  .select("token", F.ceil(F.col("m") / CELL).cast("int").alias("side_cells")))
+        g, mine = F.col("side_cells"), F.pmod(F.xxhash64("node"), F.col("side_cells")).cast("int")
+        cells = (now.join(across, "token").withColumn("mine", mine)
+                 .withColumn("other", F.explode(F.sequence(F.lit(0), g - 1)))
+                 .withColumn("cell", F.least("mine", "other") * g + F.greatest("mine", "other"))
+                 .withColumn("side", F.when(F.col("mine") == F.col("other"), 2)
+                             .when(F.col("mine") < F.col("other"), 0).otherwise(1)))
+        pairs = keep(dealt(cells.select("token", "cell", "side", "node", "component", "n", "pos", "coarse", "before", "window"),
+                           ["token", "cell"], ["side", "node"])
+                     .mapInArrow(_tree_pairs(percent, most_each), "a long, b long, cut boolean"), "pairs")
+        more = verified(pairs.where("not cut").select("a", "b").distinct())
+        joined = components(joined.select(F.col("node").alias("a"), F.col("component").alias("b")).unionByName(more))
+        if pairs.where("cut").isEmpty():
+            break
+        most_each *= MORE
+
+    roots = classes.join(joined, "node", "left").withColumn("root", F.coalesce("component", "node"))
+    smallest = roots.groupBy("root").agg(F.min("name").alias("smallest"))
+    with_set = (own.where("n > 0 and name is not null")
+                .join(roots.join(smallest, "root").select("s1", "s2", "smallest"), ["s1", "s2"]).select("name", "n", "smallest"))
+    alone = own.where("n = 0 or name is null").select("name", "n", F.col("name").alias("smallest"))
     return with_set.unionByName(alone).select(
-        F.col("id").alias(id_col), F.col("n").alias("n_shingles"), F.col("root").alias("component_id"))
+        F.col("name").alias(id_col), F.col("n").alias("n_shingles"), F.col("smallest").alias("component_id"))
 
 
 def one_of_each(docs: DataFrame, size: int = 5, percent: int = 80) -> DataFrame:

@@ -27,9 +27,9 @@ def _sets(texts, size):
     return out
 
 
-@pytest.mark.parametrize(("hot", "cell", "few"), [(4096, 1024, 10 ** 6), (2, 3, 0)])
-def test_jaccard_components(spark, monkeypatch, hot, cell, few):
-    for k, v in (("HOT", hot), ("CELL", cell), ("LISTED", few)):
+@pytest.mark.parametrize(("hot", "cell", "few", "first"), [(4096, 1024, 10 ** 6, 2), (2, 3, 0, 1)])
+def test_jaccard_components(spark, monkeypatch, hot, cell, few, first):
+    for k, v in (("HOT", hot), ("CELL", cell), ("LISTED", few), ("FIRST", first)):
         monkeypatch.setattr(ngram_join, k, v)
     rng = random.Random(5)
     texts = []
@@ -53,6 +53,23 @@ def test_jaccard_components(spark, monkeypatch, hot, cell, few):
     assert got == {i: (len(s), r) for i, (s, r) in enumerate(zip(sets, root))}
 
 
+def test_jaccard_words_whose_hashes_agree_in_half(spark):
+    """The hashes of the two odd words agree in 32 bits: still different words."""
+    common = [f"c{i}" for i in range(20)]
+    df = spark.createDataFrame([(0, " ".join([*common, "z59972"])), (1, " ".join([*common, "z104109"]))], "doc_id long, text string")
+    assert {r.component_id for r in ngram_join.jaccard_components(df, 1, 85).collect()} == {0}
+
+
+def test_jaccard_repeated_and_text_ids(spark):
+    """A repeated id keeps the links of each of its texts; ids need not be numbers."""
+    a, b = ([f"{k}{i}" for i in range(40)] for k in "ab")
+    rows = [(1, " ".join(a)), (1, " ".join(b)), (2, " ".join([*a, "more"])), (3, " ".join([*b, "more"])), (4, "else where")]
+    got = [(r.doc_id, r.component_id) for r in ngram_join.jaccard_components(spark.createDataFrame(rows, "doc_id long, text string")).collect()]
+    assert sorted(got) == [(1, 1), (1, 1), (2, 1), (3, 1), (4, 4)]
+    named = spark.createDataFrame([(f"d{i}", t) for i, t in rows], "doc_id string, text string")
+    assert {r.component_id for r in ngram_join.jaccard_components(named).collect()} == {"d1", "d4"}
+
+
 def test_overlap_bound_never_below_the_overlap():
     rng = np.random.default_rng(1)
     for n, m in ((10, 12), (400, 390), (5000, 300)):
