@@ -64,7 +64,10 @@ BOUNDS = ((12, 40, 50_000, math.inf), (0.35, 0.55, math.inf, math.inf), (-1, 0,
 
 def votes(text: str | None) -> list[int]:
     """2 good, 0 poor, 1 no vote, per labeller. A text without words is poor to all."""
-    m = measures(text)
+    return votes_on(measures(text))
+
+
+def votes_on(m: tuple[float, ...]) -> list[int]:
     return [0 if not m[0] or x < low or x > high else 2 if a <= x <= b else 1 for x, (low, a, b, high) in zip(m, BOUNDS, strict=True)]
 
 
@@ -106,7 +109,8 @@ class Features(dict):
         return s
 
     def of(self, text: str | None) -> tuple[list[int], list[int]]:
-        v, m = votes(text), measures(text)
+        m = measures(text)
+        v = votes_on(m)
         shape = [self[f"\0{i} {int(4 * math.log2(x + 1 / 64))}"] for i, x in enumerate(m)] + [self[f"\0v{i} {x}"] for i, x in enumerate(v)]
         return v, sorted({*map(self.__getitem__, set((text or "").split()))}) + sorted(set(shape) - {None})
 
@@ -123,7 +127,8 @@ def _features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         both = [f.of(t) for t in batch.column(0).to_pylist()]
         yield pa.RecordBatch.from_arrays(
             [pa.array([pattern(v) for v, _ in both], pa.int64()),
-             lists(np.concatenate([np.array(x, np.int32) for _, x in both]), [len(x) for _, x in both])], ["pattern", "slots"])
+             lists(np.concatenate([np.array(x, np.int32) for _, x in both]), [len(x) for _, x in both]), batch.column(1)],
+            ["pattern", "slots", "copies"])
 
 
 class Scorer:
@@ -139,16 +144,24 @@ class Scorer:
 
 
 def train(docs: DataFrame, text_col: str = "text", sample: int = SAMPLE) -> Scorer:
-    """Accuracies from the votes on all texts; the linear scorer from at most ``sample`` of them."""
+    """Accuracies from the votes on all texts; the linear scorer from at most ``sample`` different texts,
+    each with the weight of its copies. Which texts is settled by their hashes alone, so that no task has
+    to hold more than its own of them."""
     texts = docs.select(text_col)
     counted = texts.mapInArrow(_patterns, "pattern long, n long").groupBy("pattern").agg(F.sum("n").alias("n")).toArrow()
     seen, n = (counted.column(k).to_numpy() for k in ("pattern", "n"))
     post, _, share = expectation_maximisation(seen, n.astype(float), len(LABELLERS))
     posterior = dict(zip(seen.tolist(), post.tolist(), strict=True))
-    rows = (texts.withColumn("h", F.xxhash64(text_col)).orderBy("h").limit(sample).select(text_col)
-            .mapInArrow(_features, "pattern long, slots array<int>").toArrow())
+    hashed = texts.withColumn("h", F.xxhash64(text_col))
+    least = hashed.select("h").distinct().orderBy("h").limit(sample).toArrow()
+    bound = max(least.column("h").to_pylist(), default=None)
+    # one text of each hash up to the bound: at most ``sample``, and copies leave their task once
+    picked = hashed.where(F.col("h") <= F.lit(bound)).groupBy("h").agg(F.first(text_col).alias("text"), F.count("*").alias("copies"))
+    rows = picked.orderBy("h").select("text", "copies").mapInArrow(_features, "pattern long, slots array<int>, copies long").toArrow()
     x = [v.values.to_numpy() for v in rows.column("slots")]
     y = np.array([posterior[p] for p in rows.column("pattern").to_pylist()])
+    many = rows.column("copies").to_numpy().astype(float)
+    many /= many.mean() if len(many) else 1
     weights, base = np.zeros(SLOTS), math.log(share / (1 - share)) if len(x) else 0.0
     size = np.full(SLOTS, 1e-2)
     scale = [1 / math.sqrt(len(r)) for r in x]
@@ -157,11 +170,11 @@ def train(docs: DataFrame, text_col: str = "text", sample: int = SAMPLE) -> Scor
         for i in rng.permutation(len(x)):
             r = x[i]
             p = 1 / (1 + math.exp(-min(30.0, max(-30.0, base + weights[r].sum() * scale[i]))))
-            g = (p - y[i]) * scale[i]
+            g = many[i] * (p - y[i]) * scale[i]
             step = g + SHRINK * weights[r]
             size[r] += step * step
             weights[r] -= 0.5 * step / np.sqrt(size[r])
-            base -= 0.01 * (p - y[i])
+            base -= 0.01 * min(many[i], 1.0) * (p - y[i])
     return Scorer(posterior, weights, base)
 
 
