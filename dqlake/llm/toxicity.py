@@ -172,7 +172,9 @@ def train(docs: DataFrame, labels: DataFrame, may_learn: Column, label_col: str
     picks = [known.where(F.col("label") == c).orderBy(F.xxhash64(id_col), id_col).limit(sample) for c in (0, 1)]
     picked = picks[0].unionByName(picks[1])
     texts = docs.select(id_col, "text").where(F.col("text").isNotNull())
-    rows = (texts.join(F.broadcast(picked), id_col).select(F.col("label").cast("int").alias("label"), "text")  # at most 2 * sample
+    # at most 2 * sample ids, and one text of each, the least, where an id is repeated
+    found = texts.join(F.broadcast(picked), id_col).groupBy(id_col, "label").agg(F.min("text").alias("text"))
+    rows = (found.orderBy(F.xxhash64(id_col), id_col).select(F.col("label").cast("int").alias("label"), "text")
             .mapInArrow(_sample_rows, "label int, own array<int>, other array<int>").toArrow())
     label = rows.column("label").to_numpy().astype(float)
     own, other = ([v.values.to_numpy() for v in rows.column(k)] for k in ("own", "other"))
