@@ -5,7 +5,9 @@ question with other numbers or names keeps its template. Windows of ``window`` c
 hash-joined with those of the benchmark. Matches that lie on one alignment (text position less item
 position) are one occurrence; it counts if its slots are consistent: each value of the item stands
 for one and the same value in the text. An item is found in a text when consistent occurrences cover
-the share ``covered`` of its windows.
+the share ``covered`` of its windows, or when one of them, with the item's own values, runs over ``RUN``
+windows without a gap. Windows that are mostly placeholders say nothing by their words: they match
+with their values only.
 """
 
 from __future__ import annotations
@@ -19,6 +21,8 @@ from .pii import GIVEN
 WINDOW = 8
 #: Share of an item's windows that a text has to hold.
 COVERED = 0.5
+#: Windows in a row that prove a quotation, whatever the item's length: 32 words at windows of 8.
+RUN = 25
 #: Benchmark windows up to which they are sent to all tasks (under 100 bytes each); more are shuffled.
 BROADCAST_WINDOWS = 500_000
 
@@ -62,7 +66,8 @@ def canonical(rows: DataFrame, text_col: str) -> DataFrame:
 
 
 def windows(rows: DataFrame, id_col: str, text_col: str, sizes: list[int]) -> DataFrame:
-    """(id_col, h, pos, slots): the windows of each text; ``slots`` holds the values in placeholders."""
+    """(id_col, pos, n, h, slots, heavy): the windows of each text; ``slots`` holds the values in
+    placeholders, and where these are more than half of the window (``heavy``) they are part of ``h``."""
     parts = canonical(rows.select(id_col, text_col), text_col).select(id_col, F.transform("c", lambda x: F.xxhash64(x)).alias("c"), "v", "some")
 
     def of_size(n: int) -> Column:
@@ -75,8 +80,12 @@ def windows(rows: DataFrame, id_col: str, text_col: str, sizes: list[int]) -> Da
             F.array_compact(F.array(*(F.get("v", i + k) for k in range(n)))).alias("slots")))
         return F.when(F.size("c") >= n, F.when(F.col("some"), slotted).otherwise(plain))
 
-    each = [parts.select(id_col, F.posexplode(of_size(n)).alias("pos", "w")).select(id_col, "pos", F.lit(n).alias("n"), "w.h", "w.slots")
-            for n in sizes]
+    def one(n: int) -> DataFrame:
+        out = parts.select(id_col, F.posexplode(of_size(n)).alias("pos", "w")).select(id_col, "pos", F.lit(n).alias("n"), "w.h", "w.slots")
+        heavy = F.coalesce(F.size("slots") * 2 > n, F.lit(False))
+        return out.withColumns({"heavy": heavy, "h": F.when(heavy, F.xxhash64("h", "slots")).otherwise(F.col("h"))})
+
+    each = [one(n) for n in sizes]
     out = each[0]
     for more in each[1:]:
         out = out.unionByName(more)
@@ -89,7 +98,8 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, co
 
     ``same_values`` is false where only re-parameterised copies were found. Items shorter than
     ``window`` words are one window of their own length. Windows of which more than half are placeholders
-    say too little and do not count, nor do items without other windows. Null or empty texts match
+    count only for items that have no others. ``coverage`` may be below ``covered`` where a run of ``RUN``
+    windows was quoted. Null or empty texts match
     nothing. Rows with a null id, repeated rows and repeated items: each row is reported under its
     id, items of one id count as one. Extra columns are not read. Empty tables give an empty result.
     """
@@ -99,24 +109,30 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, co
     # at most ``window`` different ones
     sizes = [r.n for r in sized.select(F.col("key.size").alias("n")).distinct().collect() if r.n and r.n > 0] or [window]
     parts = windows(sized, "key", "item_text", sorted(sizes))
-    probes = keep(parts.where("n = key.size and coalesce(size(slots), 0) * 2 <= n")
-                  .select(F.col("key.item").alias("item"), "n", "h", F.col("pos").alias("at"), F.col("slots").alias("item_slots"))
-                  .dropDuplicates(["item", "n", "at", "h"]), "probes")
-    total = probes.groupBy("item").agg(F.count_distinct("at").alias("n_windows"))
+    all_probes = keep(parts.where("n = key.size")
+                      .select(F.col("key.item").alias("item"), "n", "h", F.col("pos").alias("at"), F.col("slots").alias("item_slots"), "heavy")
+                      .dropDuplicates(["item", "n", "at", "h"]), "probes")
+    plain = all_probes.groupBy("item").agg(F.bool_and("heavy").alias("only_heavy"))
+    probes = all_probes.join(plain, "item").withColumn("counts", ~F.col("heavy") | F.col("only_heavy")).drop("heavy", "only_heavy")
+    total = probes.where("counts").groupBy("item").agg(F.count_distinct("at").alias("n_windows"))
     few = probes.count() <= BROADCAST_WINDOWS
     rows = with_row_id(docs, id_col, "rows", text_col)
-    found = windows(rows.where(F.col(text_col).isNotNull()), "rid", text_col, sorted(sizes))
+    found = windows(rows.where(F.col(text_col).isNotNull()), "rid", text_col, sorted(sizes)).drop("heavy")
     met = found.join(F.broadcast(probes) if few else probes, ["n", "h"])
     pairs = F.when(F.col("item_slots").isNull() | F.col("slots").isNull(), F.array().cast("array<struct<a:string,b:string>>")).otherwise(
         F.zip_with("item_slots", "slots", lambda a, b: F.struct(a.alias("a"), b.alias("b"))))
-    aligned = (met.select("rid", "item", "at", (F.col("pos") - F.col("at")).alias("shift"), pairs.alias("pairs"))
+    aligned = (met.select("rid", "item", F.struct("at", "counts").alias("at"), (F.col("pos") - F.col("at")).alias("shift"), pairs.alias("pairs"))
                .groupBy("rid", "item", "shift")
-               .agg(F.collect_set("at").alias("at"), F.array_distinct(F.flatten(F.collect_set("pairs"))).alias("pairs")))
+               .agg(F.array_sort(F.collect_set("at")).alias("at"), F.array_distinct(F.flatten(F.collect_set("pairs"))).alias("pairs")))
     consistent = aligned.where(F.size("pairs") == F.size(F.array_distinct(F.transform("pairs", lambda p: p["a"]))))
+    ends = F.sequence(F.lit(RUN - 1), F.size("at") - 1)
+    run = F.when(F.size("at") >= RUN, F.exists(ends, lambda i: F.get("at", i)["at"] - F.get("at", i - (RUN - 1))["at"] == RUN - 1))
     held = (consistent.withColumn("same", ~F.exists("pairs", lambda p: p["a"] != p["b"]))
-            .select("rid", "item", "same", F.explode("at").alias("at"))
-            .groupBy("rid", "item").agg(F.count_distinct("at").alias("n_matched"), F.max("same").alias("same_values")))
-    out = held.join(total, "item").withColumn("coverage", F.col("n_matched") / F.col("n_windows")).where(F.col("coverage") >= covered)
+            .withColumn("run", F.col("same") & F.coalesce(run, F.lit(False)))
+            .select("rid", "item", "same", "run", F.explode("at").alias("w"))
+            .groupBy("rid", "item").agg(F.count_distinct(F.when(F.col("w.counts"), F.col("w.at"))).alias("n_matched"),
+                                        F.max("same").alias("same_values"), F.max("run").alias("run")))
+    out = held.join(total, "item").withColumn("coverage", F.col("n_matched") / F.col("n_windows")).where((F.col("coverage") >= covered) | F.col("run"))
     return (out.join(rows.select("rid", id_col), "rid")
             .select(id_col, F.col("item").alias(item_col), "n_windows", "n_matched", "coverage", "same_values"))
 
