@@ -7,6 +7,7 @@ import zlib
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -147,8 +148,10 @@ def test_packing_is_whole_and_gapless(spark):
 def test_words_are_cut_at_the_tokenizers_white_space():
     words = packing.WordTokens(packing.public_tokenizers.path("word_bpe_49k.json"))
     texts = ["a\x1cb \x1d c\x1e\x1f\nd", "\x1f", "plain\x85text\u00a0with\u2028gaps\u3000here\x0b\x0c.", " \x1c "]
-    for t, ids in zip(texts, words.of(texts)):
-        assert ids.tolist() == words.tokenizer.encode(t, add_special_tokens=False).ids
+    for given in (texts, ["plain\x85text\u00a0with\u2028gaps\u3000here\x0b\x0c.", "", None, "  ", "Ünïcode 日本 ok", "again plain"]):
+        ids, ends = words.of(pa.array(given))
+        for t, own in zip(given, np.split(ids, ends[:-1])):
+            assert own.tolist() == [*words.tokenizer.encode(t or "", add_special_tokens=False).ids, 0]
 
 
 def test_packing_plan_covers_every_piece_once():
@@ -160,6 +163,26 @@ def test_packing_plan_covers_every_piece_once():
     assert placed == counts
 
 
+def test_packing_of_few_lengths_is_near_the_best():
+    """Five lengths of which no mix fills 2,048: 2,000 is the most, so about 7,000 sequences are needed."""
+    rng = np.random.default_rng(0)
+    counts = dict(zip([300, 500, 700, 900, 1100], rng.multinomial(20_000, [0.2] * 5).tolist()))
+    least = sum(k * n for k, n in counts.items()) / 2000
+    made = packing.plan(counts, 2048)
+    assert sum(n for _, n in made) <= 1.002 * least
+    placed = Counter()
+    for content, n in made:
+        placed.update({k: a * n for k, a in content.items()})
+    assert placed == counts
+
+
+def test_packing_of_text_ids_and_repeated_rows(spark):
+    df = spark.createDataFrame([("a", "one two"), ("a", "one two"), (None, "one two"), ("b", None)], "doc_id string, text string")
+    got = packing.pack(df, 4).collect()
+    assert sorted((r.doc_id or "", r.length) for r in got) == [("", 3), ("a", 3), ("a", 3), ("b", 1)]
+    assert len({(r.sequence_id, r.offset) for r in got}) == 4 and len({r.sequence_id for r in got}) == 3
+
+
 def test_toxicity_learns_words_not_groups(spark):
     rng = random.Random(4)
     rows, labels = [], []
@@ -270,6 +293,57 @@ def test_decontamination_catches_reparameterised_items(spark):
     assert got == {(1, 10): True, (2, 10): False, (4, 11): False}
 
 
+def test_decontamination_finds_quotations(spark):
+    """A third of a long item word for word, an item of numbers and signs; not a few words of it, nor other numbers."""
+    rng = random.Random(12)
+    long = _words(rng, 300)
+    items = spark.createDataFrame([(1, " ".join(long)), (2, "12 + 35 = 47")], "item_id long, text string")
+    docs = [(1, "before " + " ".join(long[100:200]) + " after"), (2, "so 12 + 35 = 47 it is"), (3, " ".join(long[10:30])),
+            (4, "but 13 + 34 = 47 too"), (5, None), (6, "12 + 35 = 46")]
+    got = {(r.doc_id, r.item_id) for r in decontam.contaminated(spark.createDataFrame(docs, "doc_id long, text string"), items).collect()}
+    assert got == {(1, 1), (2, 2)}
+
+
+def test_decontamination_against_brute_force(spark):
+    """Windows of plain words: matched windows of a document on one alignment, counted by hand."""
+    rng = random.Random(13)
+    vocabulary = [f"w{chr(97 + i)}" for i in range(12)]
+    items = [(i, [rng.choice(vocabulary) for _ in range(rng.choice([5, 9, 14]))]) for i in range(6)]
+    docs = []
+    for d in range(40):
+        words = [rng.choice(vocabulary) for _ in range(30)]
+        if d % 2:
+            _, item = items[d % 6]
+            k = rng.randrange(len(item))
+            words[5:5] = item[:k] if d % 4 == 1 else item
+        docs.append((d, words))
+
+    def matched(item, words):
+        n = min(8, len(item))
+        at = {i for i in range(len(item) - n + 1) for j in range(len(words) - n + 1) if item[i:i + n] == words[j:j + n]}
+        return len(at) / (len(item) - n + 1)
+    want = {(d, i) for d, w in docs for i, item in items if matched(item, w) >= 0.5}
+    frames = [spark.createDataFrame([(k, " ".join(w)) for k, w in rows], f"{name} long, text string") for rows, name in ((docs, "doc_id"), (items, "item_id"))]
+    assert {(r.doc_id, r.item_id) for r in decontam.contaminated(*frames).collect()} == want != set()
+
+
+def test_quality_sample_holds_each_text_once(spark):
+    """Copies do not fill the sample: with room for a few texts, both kinds are learnt."""
+    good = ". ".join(["the of and to in is that for on with was be by it as are this at"] * 4) + "."
+    rows = [(i, good) for i in range(200)] + [(500 + i, f"BUY!! {i} " * 40) for i in range(6)]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    model = quality.train(df, sample=7)
+    assert quality.score(df, model).where("posterior is not null").count() == 206
+    assert quality.train(df.limit(0)).weights.sum() == 0
+
+
+def test_toxicity_takes_one_text_of_a_repeated_id(spark):
+    docs = spark.createDataFrame([(1, "vile words")] * 50 + [(2, "kind words")] * 50, "doc_id long, text string")
+    labels = spark.createDataFrame([(1, 1), (2, 0)], LABELS)
+    model = toxicity.train(docs, labels, F.lit(True))
+    assert 0 <= model.scorer()("vile") <= 1
+
+
 def test_quality_without_labels(spark):
     rng = random.Random(8)
     good = [". ".join(" ".join(["the", "of", *_words(rng, 12)]) for _ in range(8)) + "." for _ in range(60)]
