@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from dqlake.functions import is_missing, n, n_distinct, n_if, parse_date, rate, variants
 
-from .resolve import lookup, orphans
+from .resolve import dedupe_latest, lookup, orphans
 from .rollup import stack
 from .rules import FAILURES, Rule
 from .scd import END, HOT_ROWS, START, scd2
@@ -183,29 +183,35 @@ def sequence_duplicates(df: DataFrame, keys: Sequence[str], seq: Sequence[str])
 
 
 class Relation(NamedTuple):
-    """How a child refers to a parent; ``mismatch`` pairs must agree when both are known."""
+    """How a child refers to a parent; ``mismatch`` pairs must agree when both are known. ``unique``
+    states that the parent has one row per key; otherwise it is brought down to one, the greatest."""
 
     name: str
     parent: DataFrame
     on: Mapping[str, str]
     mismatch: Mapping[str, str] = {}
     split_nulls: bool = False
+    unique: bool = False
 
 
 def relation_profile(child: DataFrame, relations: Sequence[Relation]) -> DataFrame:
-    """Missing, unknown and mismatching references of each relation, in one pass."""
-    joined, aggs = child, []
+    """Missing, unknown and mismatching references of each relation, and rows of which all
+    relations are there and agree, in one pass."""
+    joined, aggs, sound = child, [], F.lit(True)
     for r in relations:
-        joined = lookup(joined, r.parent, r.on, r.split_nulls)
+        parent = r.parent if r.unique else dedupe_latest(r.parent, list(r.on.values()), [])
+        joined = lookup(joined, parent, r.on, r.split_nulls)
         present = F.lit(True)
         for c in r.on:
             present = present & F.col(c).isNotNull()
         found = F.col(next(iter(r.on.values()))).isNotNull()
         aggs += [n_if(~present).alias(f"{r.name}_missing"),
                  n_if(present & ~found).alias(f"{r.name}_unknown")]
+        sound = sound & present & found
         for c, p in r.mismatch.items():
             aggs.append(n_if(F.col(c) != F.col(p)).alias(f"{r.name}_{c}_mismatch"))
-    return joined.agg(n().alias("total_rows"), *aggs)
+            sound = sound & ~F.coalesce(F.col(c) != F.col(p), F.lit(False))
+    return joined.agg(n().alias("total_rows"), *aggs, n_if(sound).alias("all_valid_rows"))
 
 
 def crosstab(df: DataFrame, a: str, b: str) -> DataFrame:
@@ -378,9 +384,9 @@ def layer_changes(
 
 
 def assert_domain(df: DataFrame, rules: Sequence[Rule]) -> DataFrame:
-    """Re-assert rules over a trusted table: every count must be 0."""
-    row = df.agg(*[n_if(r.fails).alias(r.name) for r in rules])
-    return _long(row, [r.name for r in rules], "rule", "violations")
+    """Re-assert rules over a trusted table: every count must be 0. The first row counts all rows."""
+    row = df.agg(n().alias("total_rows"), *[n_if(r.fails).alias(r.name) for r in rules])
+    return _long(row, ["total_rows", *[r.name for r in rules]], "rule", "violations")
 
 
 def trace(keys: DataFrame, layers: Mapping[str, DataFrame], key: str) -> DataFrame:

@@ -126,15 +126,21 @@ def warning_flags(spark: SparkSession, sf: str) -> DataFrame:
 
 
 @query(with_tables("""
-    SELECT 'missing_subject_id' AS rule, count(*) FILTER (WHERE subject_id IS NULL) AS violations FROM hist
-    UNION ALL SELECT 'age_out_of_range', count(*) FILTER (WHERE age NOT BETWEEN 18 AND 100) FROM hist
-    UNION ALL SELECT 'arm_missing', count(*) FILTER (WHERE arm_code IS NULL) FROM hist
-    UNION ALL SELECT 'unmapped_sex', count(*) FILTER (WHERE sex = 'UNMAPPED') FROM hist""", "hist"),
-    name="assert_domain")
+    SELECT 'total_rows' AS rule, count(*) AS violations FROM hist
+    UNION ALL SELECT 'invalid_subject_ids', count(*) FILTER (WHERE subject_id IS NULL OR trim(subject_id) = '') FROM hist
+    UNION ALL SELECT 'invalid_age_rows', count(*) FILTER (WHERE age IS NULL OR age NOT BETWEEN 18 AND 100) FROM hist
+    UNION ALL SELECT 'unmapped_sex_rows', count(*) FILTER (WHERE sex = 'UNMAPPED') FROM hist
+    UNION ALL SELECT 'missing_screening_rows', count(*) FILTER (WHERE screening_date IS NULL) FROM hist
+    UNION ALL SELECT 'invalid_status_rows', count(*) FILTER (WHERE subject_status IS NULL OR subject_status NOT IN (
+      'SCREENING', 'ENROLLED', 'SCREEN_FAILED', 'DISCONTINUED', 'COMPLETED')) FROM hist
+    UNION ALL SELECT 'arm_missing', count(*) FILTER (WHERE arm_code IS NULL) FROM hist""", "hist"), name="assert_domain")
 def subjects_domain(spark: SparkSession, sf: str) -> DataFrame:
+    """The five published checks of the history, and one that does find rows."""
     return assert_domain(store(spark, sf).history(), [
-        r.missing("missing_subject_id", "subject_id"), r.between("age_out_of_range", "age", 18, 100),
-        r.missing("arm_missing", "arm_code"), r.Rule("unmapped_sex", F.col("sex") == "UNMAPPED")])
+        r.Rule("invalid_subject_ids", F.col("subject_id").isNull() | (F.trim("subject_id") == "")),
+        r.between("invalid_age_rows", "age", *s.AGE_RANGE), r.Rule("unmapped_sex_rows", F.col("sex") == "UNMAPPED"),
+        r.missing("missing_screening_rows", "screening_date"), r.not_in("invalid_status_rows", "subject_status", s.SUBJECT_STATUSES),
+        r.missing("arm_missing", "arm_code")])
 
 
 # Subjects that are not known yet when the visits come; the visits of nobody else change.

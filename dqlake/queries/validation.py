@@ -201,7 +201,9 @@ def order_sequence_duplicates(spark: SparkSession, sf: str) -> DataFrame:
       count(*) FILTER (WHERE v.study_id <> n.study_id) AS subject_study_id_mismatch,
       count(*) FILTER (WHERE v.site_id IS NULL) AS site_missing,
       count(*) FILTER (WHERE v.site_id IS NOT NULL AND s.k IS NULL) AS site_unknown,
-      count(*) FILTER (WHERE v.study_id <> s.study) AS site_study_id_mismatch
+      count(*) FILTER (WHERE v.study_id <> s.study) AS site_study_id_mismatch,
+      count(*) FILTER (WHERE n.subject_id IS NOT NULL AND s.k IS NOT NULL AND coalesce(v.study_id = n.study_id, true)
+        AND coalesce(v.study_id = s.study, true)) AS all_valid_rows
     FROM visits_v v LEFT JOIN now n ON v.subject_id = n.subject_id LEFT JOIN r_site s ON v.site_id = s.k""",
     "visits_v", "now", "r_site"), name="relation_profile")
 def visit_relations(spark: SparkSession, sf: str) -> DataFrame:
@@ -209,9 +211,9 @@ def visit_relations(spark: SparkSession, sf: str) -> DataFrame:
     visits = st.visits().select("subject_id", "study_id", "site_id")
     return relation_profile(visits, [
         Relation("subject", silver.trusted_subjects(st.history()), {"subject_id": "_subject_key"},
-                 {"study_id": "_subject_study"}),
+                 {"study_id": "_subject_study"}, unique=True),
         Relation("site", silver.site_ref(st.references()), {"site_id": "_site_key"},
-                 {"study_id": "_site_study"}),
+                 {"study_id": "_site_study"}, unique=True),
     ])
 
 

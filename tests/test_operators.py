@@ -245,3 +245,11 @@ def test_lineage_and_files_per_key(rows):
     df = rows("_source_file string, k string, f string", ("a", "1", "x"), (None, "1", "y"), (None, "1", "y"), (None, "2", "x"))
     assert tuples(o.lineage_completeness(df, ["_source_file", "k"])) == [("_source_file", 3, 4), ("k", 0, 4)]
     assert o.key_history_summary(df, "k", "f").first().max_files_per_key == 2
+
+
+def test_relations_with_a_repeated_parent(rows):
+    """A parent key that comes twice must not count a child twice."""
+    child = rows("p string, study string", ("a", "1"), ("a", "2"), ("b", "1"), (None, "1"))
+    parent = rows("k string, s string", ("a", "1"), ("a", "1"), ("c", "3"))
+    got = o.relation_profile(child, [o.Relation("parent", parent, {"p": "k"}, {"study": "s"})]).first()
+    assert (got.total_rows, got.parent_missing, got.parent_unknown, got.parent_study_mismatch, got.all_valid_rows) == (4, 1, 1, 1, 1)
