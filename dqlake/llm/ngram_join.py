@@ -46,9 +46,9 @@ LISTED = 1_000_000
 #: Signatures a task remembers to drop copies early (under 200 bytes each); all are found later anyway.
 SEEN = 100_000
 #: Candidates of other components that a row gives in a round of a cell, and how much more in the next.
-FIRST, MORE = 2, 16
+FIRST, MORE = 2, 512
 #: N-grams after the shared one that go into the trees. Any value gives the same result.
-WINDOW = 12
+WINDOW = 8
 
 
 def _slot(h: np.ndarray) -> np.ndarray:
@@ -263,13 +263,14 @@ class PrefixTree:
 def _tree_pairs(percent: int, most_each: int):
     """Candidate pairs of each (token, cell). Rows of ``side`` 0 are put into the tree, rows of
     side 1 only probe it; in a cell on the diagonal (side 2) every row does both. A row gives its
-    likeliest partners only, ``most_each`` of them and in the first round one of a component; a row
-    with ``cut`` names a node that has more."""
+    likeliest partners only, ``most_each`` of them and in the first round one of a component. Where it
+    has more, a row names the node with its ``token`` and ``cell`` and no partner: in the next round only
+    such rows probe (``probes``)."""
     one = most_each == FIRST
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for table, starts in sorted_groups(batches, ["token", "cell"]):
-            col = {k: table.column(k).to_numpy() for k in ("node", "component", "n", "pos", "side")}
+            col = {k: table.column(k).to_numpy() for k in ("node", "component", "n", "pos", "side", "token", "cell", "probes")}
             windows, befores = (table.column(k).combine_chunks() for k in ("window", "before"))
             coarse = table.column("coarse").combine_chunks().values.to_numpy().reshape(-1, COARSE)
             a, b, more = [], [], []
@@ -280,7 +281,7 @@ def _tree_pairs(percent: int, most_each: int):
                 for i in range(lo, hi):
                     n, comp, side = int(col["n"][i]), int(col["component"][i]), col["side"][i]
                     left, window = n - int(col["pos"][i]) - 1, windows[i].as_py()
-                    if side:
+                    if side and col["probes"][i]:
                         found = list(tree.partners(window, n, left, comp, percent))
                         if found:
                             at = np.array(found)
@@ -303,17 +304,19 @@ def _tree_pairs(percent: int, most_each: int):
                                 found.append(j)
                                 met.add(other)
                             if cut:
-                                more.append(int(col["node"][i]))
+                                more.append(i)
                         a += [int(col["node"][i])] * len(found)
                         b += [int(col["node"][j]) for j in found]
                     if side != 1:
                         tree.add(window, i, n, left, comp)
             a, b = np.array(a, np.int64), np.array(b, np.int64)
             pairs = np.unique(np.stack([np.minimum(a, b), np.maximum(a, b)]), axis=1)
-            late = np.unique(np.array(more, np.int64))
+            late, none = np.array(more, np.int64), pa.nulls(pairs.shape[1], pa.int64())
             yield pa.RecordBatch.from_arrays(
-                [pa.array(np.concatenate([pairs[0], late])), pa.array(np.concatenate([pairs[1], late])),
-                 pa.array(np.arange(pairs.shape[1] + len(late)) >= pairs.shape[1])], ["a", "b", "cut"])
+                [pa.array(np.concatenate([pairs[0], col["node"][late]])),
+                 pa.array([*pairs[1].tolist(), *[None] * len(late)], pa.int64()),
+                 pa.concat_arrays([none, pa.array(col["token"][late], pa.int64())]),
+                 pa.concat_arrays([none, pa.array(col["cell"][late], pa.int64())])], ["a", "b", "token", "cell"])
 
     return run
 
@@ -384,7 +387,7 @@ def jaccard_components(docs: DataFrame, size: int = 4, percent: int = 85, id_col
 
     # Each round takes a few candidates a row, and joins what they link; members of a group of near copies
     # soon share a component and are no candidates any more. The last round leaves none untried.
-    joined, most_each = first, FIRST
+    joined, most_each, again = first, FIRST, None
     while True:
         now = placed.join(joined, "node", "left").withColumn("component", F.coalesce("component", "node"))
         across = (now.groupBy("token").agg(F.min("component").alias("lo"), F.max("component").alias("hi"),
@@ -393,15 +396,23 @@ def jaccard_components(docs: DataFrame, size: int = 4, percent: int = 85, id_col
         g, mine = F.col("side_cells"), F.pmod(F.xxhash64("node"), F.col("side_cells")).cast("int")
         cells = (now.join(across, "token").withColumn("mine", mine)
                  .withColumn("other", F.explode(F.sequence(F.lit(0), g - 1)))
-                 .withColumn("cell", F.least("mine", "other") * g + F.greatest("mine", "other"))
+                 .withColumn("cell", (F.least("mine", "other").cast("long") * g + F.greatest("mine", "other")))
                  .withColumn("side", F.when(F.col("mine") == F.col("other"), 2)
                              .when(F.col("mine") < F.col("other"), 0).otherwise(1)))
-        pairs = keep(dealt(cells.select("token", "cell", "side", "node", "component", "n", "pos", "coarse", "before", "window"),
+        if again is None:
+            cells = cells.withColumn("probes", F.lit(True))
+        else:
+            # the number of rows of an n-gram does not change, so a cell is what it was
+            cells = (cells.join(again.select("token", "cell").distinct(), ["token", "cell"], "left_semi")
+                     .join(again.withColumn("probes", F.lit(True)), ["token", "cell", "node"], "left")
+                     .withColumn("probes", F.coalesce("probes", F.lit(False))))
+        pairs = keep(dealt(cells.select("token", "cell", "side", "node", "component", "n", "pos", "coarse", "before", "window", "probes"),
                            ["token", "cell"], ["side", "node"])
-                     .mapInArrow(_tree_pairs(percent, most_each), "a long, b long, cut boolean"), "pairs")
-        more = verified(pairs.where("not cut").select("a", "b").distinct())
+                     .mapInArrow(_tree_pairs(percent, most_each), "a long, b long, token long, cell long"), "pairs")
+        more = verified(pairs.where("b is not null").select("a", "b").distinct())
         joined = components(joined.select(F.col("node").alias("a"), F.col("component").alias("b")).unionByName(more))
-        if pairs.where("cut").isEmpty():
+        again = pairs.where("b is null").select("token", "cell", F.col("a").alias("node")).distinct()
+        if again.isEmpty():
             break
         most_each *= MORE
 
