@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from dqlake.functions import n, n_if, normalize_key, total, variants
 from dqlake.operators import (
-    dedupe_latest, first_by, inherit, key_set, lookup, lookup_fallback, orphan_counts, orphans,
+    dedupe_latest, first_by, inherit, key_set, lookup, orphan_counts, orphans,
     profile_top, rank_within, reference, reference_conflicts, reissued_keys, rollup, top,
 )
 from dqlake.plans import silver
