@@ -289,8 +289,8 @@ def conservation(history: DataFrame, log: DataFrame, keys: Sequence[str], sequen
                  track_except: Sequence[str] = (), drop: Sequence[str] = (), hot_rows: int | None = HOT_ROWS) -> DataFrame:
     """One row: what became of every accepted change, counted without trusting the history.
 
-    The log is reduced to a digest of each row's tracked columns, and the versions it must give are formed
-    from the digests alone. Per key, their number and an order-independent digest over (start, state) must
+    The log is reduced to the greatest row of each key and sequence, as in ``scd2``, and that to a digest of its
+    tracked columns; the versions it must give are formed from the digests alone. Per key, their number and an order-independent digest over (start, state) must
     be those of the history. ``repeated_rows`` came again under the same sequence, ``unchanged_rows``
     agreed with what was known, ``expected_versions`` opened one.
     """
@@ -302,9 +302,11 @@ def conservation(history: DataFrame, log: DataFrame, keys: Sequence[str], sequen
 
     # with its place in the hash, a NULL is told from the next column's
     state = F.xxhash64(*[x for c in tracked for x in (F.col(c), F.col(c).isNull())]).alias("__state")
-    slim = log.select(*keys, *sequence, state)
+    tops = log.groupBy(*keys, *sequence).agg(n().alias("__n"), F.max(F.struct(*tracked)).alias("__top"))
+    rows = tops.select(*keys, *sequence, "__n", "__top.*").select(*keys, *sequence, "__n", state)
+    slim = rows.drop("__n")
     given = history.select(*keys, state, F.col(START))
-    want = digests(scd2(slim, keys, sequence, hot_rows=hot_rows), F.col(START))
+    want = digests(scd2(slim, keys, sequence, hot_rows=hot_rows, unique=True), F.col(START))
     have = digests(given, F.col(START)).toDF(*[f"__h_{k}" for k in keys], "__hn", "__hx", "__hs")
     same = reduce(and_, [want[k].eqNullSafe(have[f"__h_{k}"]) for k in keys])
     both = want.join(have, same, "full_outer")
@@ -313,9 +315,10 @@ def conservation(history: DataFrame, log: DataFrame, keys: Sequence[str], sequen
         F.coalesce(F.sum("__n"), F.lit(0)).alias("expected_versions"),
         n_if(F.col("__hn").isNull()).alias("lost_keys"), n_if(F.col("__n").isNull()).alias("unknown_keys"),
         n_if(F.col("__n").isNotNull() & F.col("__hn").isNotNull() & ~agree).alias("changed_keys"))
-    rows = slim.groupBy(*keys, *sequence).agg(n().alias("__n")).agg(
-        F.coalesce(F.sum("__n"), F.lit(0)).alias("accepted_rows"), n().alias("__distinct"))
-    out = rows.withColumn("__one", F.lit(1)).join(found.withColumn("__one", F.lit(1)), "__one")
+    counts = rows.agg(F.coalesce(F.sum("__n"), F.lit(0)).alias("accepted_rows"), n().alias("__distinct"))
+    # two single rows, brought together without a join
+    both = counts.unionByName(found, allowMissingColumns=True)
+    out = both.agg(*[F.max(c).alias(c) for c in both.columns])
     return out.select(
         "accepted_rows", (F.col("accepted_rows") - F.col("__distinct")).alias("repeated_rows"),
         (F.col("__distinct") - F.col("expected_versions")).alias("unchanged_rows"),

@@ -201,6 +201,14 @@ def test_conservation_counts_what_opened_no_version(rows):
                                    "lost_keys": 0, "unknown_keys": 0, "changed_keys": 0}
 
 
+def test_conservation_takes_the_winner_of_a_sequence(rows):
+    # reissued under the same sequence with another state: the history keeps the greatest row
+    log = [(f"k{i}", 1, v) for i in range(30) for v in ("a", None, f"z{i}")]
+    history = o.scd2(rows("k string, day int, v string", *log), ["k"], ["day"])
+    assert kept(rows, history, log) == {"accepted_rows": 90, "repeated_rows": 60, "unchanged_rows": 0, "expected_versions": 30,
+                                        "lost_keys": 0, "unknown_keys": 0, "changed_keys": 0}
+
+
 def test_conservation_sees_a_cut_history(rows):
     history = o.scd2(rows("k string, day int, v string", *LOG), ["k"], ["day"])
     assert kept(rows, history.where("NOT (k <=> 'a' AND v = 'y')"))["changed_keys"] == 1
