@@ -1,13 +1,11 @@
 """Best-fit packing of token sequences by a configuration linear program.
 
-Only the histogram of piece lengths (at most ``capacity`` entries) reaches the driver. The linear
-program over configurations - multisets of lengths that fit a sequence - is solved by
-multiplicative weights: lengths carry weights, a knapsack over the capacity prices the
-configuration of most weight, that configuration gets a share, and the weights of what it covers
-fall. The shares are rounded up to whole sequences where pieces last; what is left over is priced
-and rounded again while that places a twentieth of it, and at last packed best-fit by length. With
-some 2,000 different lengths ``ROUNDS`` configurations cover about a hundredth of the pieces, at any
-input size: best-fit decreasing then packs nearly everything. Pieces find their place by their rank
+Only the histogram of piece lengths (at most ``capacity`` entries) reaches the driver. The program
+over configurations - multisets of lengths that fit a sequence - is solved in whole sequences by
+multiplicative weights: lengths carry weights, a knapsack over the capacity prices for each length
+the configuration of most weight that holds it, the fullest of these are used as often as the pieces
+left allow, and the weights of what they cover fall. Rounds go on until no configuration is nearly
+full; what is left then is packed best-fit by length. Pieces find their place by their rank
 among those of their length, which is counted in salted groups.
 """
 
@@ -28,8 +26,12 @@ from tokenizers import Tokenizer
 
 from .common import keep, slices
 
-#: Configurations the linear program prices in a pass; far too few to cover many different lengths.
-ROUNDS = 80
+#: Share of a configuration that may stay empty, beyond that of the fullest, in the first rounds.
+SLACK = 1e-4
+#: A round that places a smaller share of what is left doubles the slack.
+LITTLE = 0.002
+#: Ways of rounding the program: part of the sequences allowed that a round takes, how fast weights fall, last slack.
+WAYS = ((1.0, 1.0, 0.02), (0.2, 300.0, 0.02), (0.5, 1.0, 0.005), (0.5, 1.0, SLACK))
 #: Words whose ids a task remembers, and words encoded at a time: what an encoding holds besides its ids is large.
 KEPT_WORDS, AT_ONCE = 100_000, 4096
 #: Pieces of a length that are numbered together.
@@ -112,83 +114,83 @@ def _pieces(path: str, capacity: int):
     return run
 
 
-def price(lengths: np.ndarray, weights: np.ndarray, capacity: int) -> dict[int, int]:
-    """The configuration of most weight: how often each index of ``lengths`` is in it."""
+def price(lengths: np.ndarray, weights: np.ndarray, capacity: int) -> tuple[np.ndarray, np.ndarray]:
+    """The most weight that fits each room up to ``capacity``, and the index of a length (of the rising
+    ``lengths``) in such a configuration, -1 if the room may be one less."""
     best, choice = np.zeros(capacity + 1), np.full(capacity + 1, -1)
-    by = np.argsort(lengths, kind="stable")
-    size, weight = lengths[by], weights[by]
-    upto = np.searchsorted(size, np.arange(capacity + 1), side="right")
+    upto = np.searchsorted(lengths, np.arange(capacity + 1), side="right")
     for c in range(1, capacity + 1):
-        best[c], choice[c] = best[c - 1], -1
+        best[c] = best[c - 1]
         if upto[c]:
-            value = best[c - size[:upto[c]]] + weight[:upto[c]]
+            value = best[c - lengths[:upto[c]]] + weights[:upto[c]]
             i = int(np.argmax(value))
             if value[i] > best[c]:
                 best[c], choice[c] = value[i], i
-    content: dict[int, int] = {}
-    c = capacity
-    while c > 0:
-        if choice[c] < 0:
-            c -= 1
-            continue
-        i = int(by[choice[c]])
-        content[i] = content.get(i, 0) + 1
-        c -= int(lengths[i])
-    return content
-
-
-def solve(lengths: np.ndarray, counts: np.ndarray, capacity: int, rounds: int) -> list[tuple[dict[int, int], float]]:
-    """Configurations and their shares that together cover each length about ``counts`` times."""
-    # multiplicative weights: what is covered beyond its part weighs less
-    covered = np.zeros(len(lengths))
-    shares: list[tuple[dict[int, int], float]] = []
-    eta = np.log(max(2, len(lengths))) / 0.1
-    total = float((lengths * counts).sum())
-    done = 0.0
-    while len(shares) < rounds:
-        gap = covered / counts - done
-        weight = np.exp(-eta * (gap - gap.min()) / 4) * lengths / capacity
-        content = price(lengths, np.maximum(weight, 1e-9 * lengths), capacity)
-        i, a = (np.fromiter(x, np.int64) for x in (content.keys(), content.values()))
-        # as much as adds a small part to the length it covers most
-        share = float((counts[i] / a).min()) * 0.1
-        covered[i] += a * share
-        shares.append((content, share))
-        done = float((covered * lengths).sum()) / total
-        if done >= 1.5 and covered.min() > 0 and (covered / counts).min() >= 1:
-            break
-    return shares
+    return best, choice
 
 
-def plan(counts: dict[int, int], capacity: int, rounds: int = ROUNDS) -> list[tuple[dict[int, int], int]]:
-    """Whole sequences: (how often each length, how many such sequences); every piece is in one."""
-    left = {n: c for n, c in counts.items() if n < capacity}
-    made = [({capacity: 1}, counts[capacity])] if counts.get(capacity) else []
-    for _ in range(4):
-        sizes = np.array(sorted(n for n, c in left.items() if c), np.int64)
-        if len(sizes) < 2:
-            break
-        have = np.array([left[n] for n in sizes.tolist()], np.float64)
-        shares = solve(sizes, have, capacity, rounds)
-        merged: dict[tuple, list] = {}
-        for content, share in shares:
-            merged.setdefault(tuple(sorted(content.items())), [content, 0.0])[1] += share
-        # the fullest first; of each no more than the program and what is left allow
-        fill = {k: sum(int(sizes[i]) * a for i, a in v[0].items()) for k, v in merged.items()}
-        full = max(fill.values())
+def solve(counts: dict[int, int], capacity: int, part: float, eta: float, widest: float) -> tuple[list[tuple[dict[int, int], int]], dict[int, int]]:
+    """Whole sequences of configurations, and the pieces that none within the slack ``widest`` takes.
+
+    A round prices all lengths left by one knapsack: the room a length leaves is filled with the most
+    weight, so each has a configuration that holds it. Those within the slack of the fullest there is
+    are taken, the longest length first, ``part`` of the times that the pieces left allow. Weights
+    fall with what is covered by ``eta``; the slack doubles when a round places little.
+    """
+    left, made, slack = {n: c for n, c in counts.items() if c}, [], SLACK
+    while len(left) > 1 and slack <= widest:
+        lengths = np.array(sorted(left), np.int64)
+        open_ = np.array([left[n] / counts[n] for n in lengths.tolist()])
+        size = lengths / capacity
+        fullest = price(lengths, lengths.astype(np.float64), capacity)[0][capacity]
+        # a long piece weighs more than short ones of its sum: these fill what is left later
+        weight = size * (1 + 0.5 * size) * np.exp(eta * slack * (open_ - open_.mean()))
+        choice, names = price(lengths, weight, capacity)[1].tolist(), lengths.tolist()
         before = sum(left.values())
-        for k in sorted(merged, key=lambda k: (-fill[k], -merged[k][1], k)):
-            content, share = merged[k]
-            if fill[k] < 0.999 * full:
+        for n in reversed(names):
+            if not left.get(n):
+                continue
+            content, room = {n: 1}, capacity - n
+            while room > 0:
+                if choice[room] < 0:
+                    room -= 1
+                    continue
+                m = names[choice[room]]
+                content[m] = content.get(m, 0) + 1
+                room -= m
+            if sum(m * a for m, a in content.items()) < fullest * (1 - slack):
                 continue
-            n = min(int(np.ceil(share)), *(left[int(sizes[i])] // a for i, a in content.items()))
-            if n:
-                made.append(({int(sizes[i]): a for i, a in content.items()}, n))
-                for i, a in content.items():
-                    left[int(sizes[i])] -= a * n
-        if sum(left.values()) > 0.95 * before:
+            most = min(left.get(m, 0) // a for m, a in content.items())
+            if most:
+                made.append((content, max(1, int(most * part))))
+                for m, a in content.items():
+                    left[m] -= a * made[-1][1]
+                    if not left[m]:
+                        del left[m]
+        if sum(left.values()) > (1 - LITTLE) * before:
+            slack *= 2
+    return made, left
+
+
+def plan(counts: dict[int, int], capacity: int) -> list[tuple[dict[int, int], int]]:
+    """Whole sequences: (how often each length, how many such sequences); every piece is in one.
+
+    The program is rounded by each of ``WAYS`` until one comes within a thousandth of the lower bound;
+    else the one of fewest sequences is taken. Best-fit decreasing places what the program leaves.
+    """
+    short = {n: c for n, c in counts.items() if n < capacity and c}
+    alone = [({capacity: 1}, counts[capacity])] if counts.get(capacity) else []
+    least = -(-sum(n * c for n, c in short.items()) // capacity)
+    best: tuple[int, list] | None = None
+    for way in WAYS:
+        made, left = solve(short, capacity, *way)
+        made = made + best_fit(left, capacity)
+        total = sum(n for _, n in made)
+        if best is None or total < best[0]:
+            best = total, made
+        if total <= 1.001 * least:
             break
-    return made + best_fit(left, capacity)
+    return alone + best[1]
 
 
 def best_fit(counts: dict[int, int], capacity: int) -> list[tuple[dict[int, int], int]]:

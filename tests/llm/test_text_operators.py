@@ -176,6 +176,20 @@ def test_packing_of_few_lengths_is_near_the_best():
     assert placed == counts
 
 
+def test_packing_program_places_most_pieces_of_many_lengths():
+    """Some 1,500 lengths: the program and not best-fit decreasing places the pieces, in no more sequences."""
+    rng = np.random.default_rng(1)
+    counts = Counter(np.clip(rng.lognormal(6, 1, 20_000).astype(int), 1, 2047).tolist())
+    made, left = packing.solve(counts, 2048, *packing.WAYS[0])
+    assert len(counts) > 1500 and sum(left.values()) < 0.1 * 20_000
+    placed = Counter(left)
+    for content, n in made:
+        assert n > 0 and 2000 < sum(k * a for k, a in content.items()) <= 2048
+        placed.update({k: a * n for k, a in content.items()})
+    assert placed == counts
+    assert sum(n for _, n in packing.plan(counts, 2048)) <= sum(n for _, n in packing.best_fit(counts, 2048))
+
+
 def test_packing_of_text_ids_and_repeated_rows(spark):
     df = spark.createDataFrame([("a", "one two"), ("a", "one two"), (None, "one two"), ("b", None)], "doc_id string, text string")
     got = packing.pack(df, 4).collect()
