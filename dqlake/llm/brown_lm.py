@@ -1,15 +1,15 @@
 """Language-model scoring with Brown's class-based bigrams.
 
-A text's probability is the product of class-transition and word-emission probabilities. Classes of
-the most frequent words come from exchange clustering: words move, one after another, to the class
-that raises the likelihood of the training bigrams most, until none moves or the sweeps are over.
-The counts the clustering needs, between at most ``CLUSTERED`` words and the tail classes, are
-summed on the cluster and have a fixed size. Less frequent words form tail classes by the octave of
-their count; the rarest class also holds unknown words, whose share of it is that of words seen
-once more often (Good and Turing).
-
-Words beyond the ``LISTED`` most frequent are not sent to the tasks. Their share of a score depends
-on their own count alone, so it is looked up by a join and added.
+A text's probability is the product of class-transition and word-emission probabilities. Classes come
+from exchange clustering: words move to the class that raises the likelihood of the training bigrams
+most. The most frequent words move one after another, on counts between at most ``CLUSTERED`` words and
+tail classes, the octaves of the other words' counts, summed on the cluster. Then all other words move:
+each word's counts with the classes beside it are summed on the cluster, and every word seen twice or
+more is moved by its own counts against those between classes, all words of a sweep at once. Words
+seen once stay together with unknown words, whose share of that class is theirs (Good and Turing).
+
+Words beyond the ``LISTED`` most frequent are not sent to the tasks. Their class, their count and the
+transitions to and from them are looked up by joins and added.
 """
 
 from __future__ import annotations
@@ -23,11 +23,13 @@ from pyspark.sql import functions as F
 
 from .common import WordHashes, flat, keep, lists, signed, slices, with_row_id
 
-#: Words that exchange clustering moves; classes it fills; sweeps over the words.
+#: Words that move first, one after another; classes to move to; sweeps over these words.
 CLUSTERED, CLASSES, SWEEPS = 2000, 48, 4
-#: Words, by falling count, whose counts every task holds (20 bytes each); the others are in the rarest class.
+#: Sweeps over all other words on the cluster, and words that a task moves at a time.
+TAIL_SWEEPS, MOVED = 1, 4096
+#: Words, by falling count, whose counts every task holds (20 bytes each); the others are joined.
 LISTED = 1 << 20
-#: Octaves of counts that make tail classes; more frequent ones share the last.
+#: Octaves of counts that words start in; more frequent ones share the last.
 OCTAVES = 24
 #: Weight of the class shares when transitions are smoothed.
 PRIOR = 20.0
@@ -148,54 +150,170 @@ def exchange(pairs: np.ndarray, head: int, classes: int = CLASSES, sweeps: int =
     return own
 
 
+def _count_links(shared):
+    """Neighbours of which at least one may still move: its word and class, the other's, how often.
+    A word that can't move is null."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        words, (symbols, own, once) = WordHashes(), shared.value
+        for batch in slices(batches):
+            tokens, _ = _chained([words.of(t) for t in batch.column(0).to_pylist()])
+            there, symbol, _ = symbols.find(tokens)
+            # where only words seen once are not listed, these stay
+            moves = (symbol >= symbols.head) & (there | (not once))
+            word, cls = np.where(moves, signed(tokens), 0), own[symbol].astype(np.int32)
+            at = np.flatnonzero(moves[:-1] | moves[1:])
+            links = pa.table({"aw": pa.array(word[at], mask=~moves[at]), "ac": cls[at],
+                              "bw": pa.array(word[at + 1], mask=~moves[at + 1]), "bc": cls[at + 1]})
+            yield from links.group_by(["aw", "ac", "bw", "bc"]).aggregate([([], "count_all")]).select(
+                ["aw", "ac", "bw", "bc", "count_all"]).rename_columns(["aw", "ac", "bw", "bc", "n"]).to_batches()
+
+    return run
+
+
+def gains(between: np.ndarray, classes: int, own: np.ndarray, row: np.ndarray, side: np.ndarray, cls: np.ndarray,
+          n: np.ndarray) -> np.ndarray:
+    """For words of classes ``own``, by their counts ``n`` with the class ``cls`` after (side 0) or before
+    them (side 1): what each of the first ``classes`` classes gains by a word more than its own class loses."""
+    def log(x: np.ndarray) -> np.ndarray:
+        return x * np.log(np.maximum(x, 1))
+
+    words, c = len(own), np.arange(classes)
+    n = n.astype(np.float64)
+    counts = np.zeros((2, words, len(between)))
+    np.add.at(counts, (side, row, cls), n)
+    cell = np.where(side[:, None] == 0, between[:classes][:, cls].T, between[:, :classes][cls])
+    more = log(cell + n[:, None]) - log(cell)
+    more[cls[:, None] == c] = 0  # the diagonal takes both sides at once
+    gain = np.zeros((words, classes))
+    np.add.at(gain, row, more)
+    diagonal = between[c, c]
+    gain += log(diagonal + counts[0][:, :classes] + counts[1][:, :classes]) - log(diagonal)
+    totals = between.sum(1), between.sum(0)
+    for k in range(2):
+        gain -= log(totals[k][:classes] + counts[k].sum(1)[:, None]) - log(totals[k][:classes])
+    # the same for the class it is in, counted with it
+    mine = np.where(side == 0, between[own[row], cls], between[cls, own[row]])
+    same = cls == own[row]
+    lost = np.bincount(row, np.where(same, 0, log(mine) - log(np.maximum(mine - n, 0))), words)
+    both = counts[0][np.arange(words), own] + counts[1][np.arange(words), own]
+    at_home = between[own, own]
+    lost += log(at_home) - log(np.maximum(at_home - both, 0))
+    for k in range(2):
+        have = totals[k][own]
+        lost -= log(have) - log(np.maximum(have - counts[k].sum(1), 0))
+    return gain - lost[:, None]
+
+
+def _move(shared):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        between, classes = shared.value
+        for batch in slices(batches, MOVED):
+            own, near = batch.column(1).to_numpy().astype(np.int64), batch.column(2)
+            sizes = np.diff(near.offsets.to_numpy())
+            row = np.repeat(np.arange(len(own)), sizes)
+            side, cls, n = (x.to_numpy() for x in near.flatten().flatten())
+            gain = gains(between, classes, own, row, side.astype(np.int64), cls.astype(np.int64), n)
+            # a word need not gain by leaving its class for itself
+            gain[np.flatnonzero(own < classes), own[own < classes]] = 0
+            best = gain.argmax(1)
+            cls = np.where(gain[np.arange(len(own)), best] > 1e-9, best, own)
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(cls.astype(np.int32))], ["word", "cls"])
+
+    return run
+
+
+def _known(links: DataFrame, known: DataFrame) -> DataFrame:
+    """``links`` with the classes of ``known`` for the words these hold."""
+    for side in ("a", "b"):
+        new = known.select(F.col("word").alias(f"{side}w"), F.col("cls").alias("new"))
+        links = links.join(new, f"{side}w", "left").withColumn(f"{side}c", F.coalesce("new", f"{side}c")).drop("new")
+    return links
+
+
+def _square(links: DataFrame, size: int) -> np.ndarray:
+    """Counts between classes."""
+    found = links.groupBy("ac", "bc").agg(F.sum("n").alias("n")).toArrow()
+    square = np.zeros((size, size))
+    square[found.column("ac").to_numpy(), found.column("bc").to_numpy()] = found.column("n").to_numpy()
+    return square
+
+
+def move_rest(links: DataFrame, movable: DataFrame, between: np.ndarray, classes: int, sweeps: int = TAIL_SWEEPS) -> tuple[DataFrame, np.ndarray]:
+    """(word, cls) of the ``movable`` words that ``links`` hold, and the counts between classes then.
+
+    ``links``: pairs of neighbours with the classes they start in, of which ``between`` has the counts.
+    """
+    spark = links.sparkSession
+    fixed = between - _square(links, len(between))
+    assigned = None
+    for _ in range(sweeps):
+        now = links if assigned is None else _known(links, assigned)
+        beside = (now.selectExpr("aw AS word", "ac AS own", "0 AS side", "bc AS cls", "n").where("word IS NOT NULL")
+                  .unionByName(now.selectExpr("bw AS word", "bc AS own", "1 AS side", "ac AS cls", "n").where("word IS NOT NULL"))
+                  .groupBy("word", "own", "side", "cls").agg(F.sum("n").alias("n"))
+                  .groupBy("word", "own").agg(F.collect_list(F.struct("side", "cls", "n")).alias("beside")))
+        shared = spark.sparkContext.broadcast((between, classes))
+        assigned = keep(beside.join(movable.select("word"), "word", "left_semi").mapInArrow(_move(shared), "word long, cls int"), "classes")
+        between = fixed + _square(_known(links, assigned), len(between))
+    return assigned, between
+
+
 class Model:
-    """Transition and emission logarithms; ``least``: words not listed have at most that count."""
-
-    def __init__(self, symbols: Symbols, pairs: np.ndarray, tokens: int, types: int, by_count: dict[int, int], least: int) -> None:
-        self.symbols, self.tokens, self.types = symbols, tokens, types
-        self.own = exchange(pairs, symbols.head)
-        size = int(self.own.max()) + 1
-        member = np.zeros((len(self.own), size))
-        member[np.arange(len(self.own)), self.own] = 1
-        between = member.T @ pairs @ member
-        self.rare = int(self.own[symbols.head])
+    """Transition and emission logarithms. ``own``: the class of each listed word; ``between``: counts
+    between classes, of which ``rare`` holds words seen once and unknown ones; ``of_class``: words of each."""
+
+    def __init__(self, symbols: Symbols, own: np.ndarray, between: np.ndarray, of_class: np.ndarray, rare: int, tokens: int,
+                 types: int, by_count: dict[int, int], once: bool) -> None:
+        self.symbols, self.own, self.rare, self.tokens, self.types, self.once = symbols, own, rare, tokens, types, once
+        # the rarest class: words seen r times keep the mass of those seen r + 1 times
+        mass = [max(1.0, (r + 1) * by_count.get(r + 1, 0)) for r in range(2)]
         share = between.sum(0) + 1e-3
-        share[self.rare] += 1  # for the unknown word
+        share[rare] += 1  # for the unknown word
         share /= share.sum()
         self.transition = np.log10((between + PRIOR * share) / (between.sum(1, keepdims=True) + PRIOR))
-        count = symbols.count.astype(np.float64)
-        self.of_class = np.bincount(self.own[symbols.symbol], count, size)
-        self.emission = np.log10(count / np.maximum(self.of_class[self.own[symbols.symbol]], 1))
-        # the rarest class: words seen r times keep the mass of those seen r + 1 times
-        mass = [max(1.0, (r + 1) * by_count.get(r + 1, 0)) for r in range(least + 1)]
-        self.rare_emission = [float(np.log10(m / sum(mass) / (by_count.get(r, 1) if r else 1))) for r, m in enumerate(mass)]
+        # of the rarest class, words seen more often keep their part
+        more = of_class[rare]
+        scale = of_class + 0.0
+        scale[rare] = more + sum(mass)
+        self.of_class = np.maximum(scale, 1)
+        self.emission = np.log10(symbols.count / self.of_class[own])
+        self.rare_emission = [float(np.log10(m / scale[rare] / (by_count.get(r, 1) if r else 1))) for r, m in enumerate(mass)]
 
     def base(self, count: np.ndarray) -> np.ndarray:
         return np.log10((count + 1.0) / (self.tokens + 1.0 * (self.types + 1)))
 
 
 def _score(shared):
-    """Per row what listed words give, and the hashes of the others."""
+    """Per row what listed words give, the hashes of the others and, unless all of these are in the rarest
+    class, the transitions to and from them."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words, m = WordHashes(), shared.value
         for batch in slices(batches):
             found = [words.of(t) for t in batch.column(1).to_pylist()]
             tokens, lengths = _chained(found)
-            there, symbol, count = m.symbols.find(tokens)
-            cls = m.own[symbol]
+            there, _, count = m.symbols.find(tokens)
             at = np.minimum(np.searchsorted(m.symbols.word, signed(tokens)), max(0, len(m.symbols.word) - 1))
-            emission = np.where(there, m.emission[at], 0.0) if len(m.symbols.word) else np.zeros(len(tokens))
-            total = (m.transition[cls[:-1], cls[1:]] + emission[1:])
+            listed = len(m.symbols.word) > 0
+            cls = np.where(there, m.own[at], m.rare) if listed else np.full(len(tokens), m.rare)
+            emission = np.where(there, m.emission[at], 0.0) if listed else np.zeros(len(tokens))
+            known = np.full(len(tokens) - 1, m.once) | (there[:-1] & there[1:])
+            total = np.where(known, m.transition[cls[:-1], cls[1:]], 0.0) + emission[1:]
+            text, away = np.repeat(np.arange(len(lengths)), lengths), np.flatnonzero(~known)
+            link = [pa.array(signed(tokens)[away], mask=there[away]), pa.array(cls[away].astype(np.int32)),
+                    pa.array(signed(tokens)[away + 1], mask=there[away + 1]), pa.array(cls[away + 1].astype(np.int32))]
+            offsets = np.concatenate([[0], np.cumsum(np.bincount(text[away], minlength=len(lengths)))]).astype(np.int32)
+            links = pa.ListArray.from_arrays(pa.array(offsets), pa.StructArray.from_arrays(link, ["aw", "ac", "bw", "bc"]))
             starts = np.cumsum(lengths) - lengths
             there, count, tokens = there[1:], count[1:], tokens[1:]
             base = np.where(there, m.base(count), 0.0)
-            other = np.repeat(np.arange(len(lengths)), lengths)[~there]
+            other = text[~there]
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), pa.array(lengths), pa.array(np.add.reduceat(there.astype(np.int64), starts)),
                  pa.array(np.add.reduceat(base, starts)), pa.array(np.add.reduceat(total, starts)),
-                 lists(signed(tokens[~there]), np.bincount(other, minlength=len(lengths)))],
-                ["rid", "n_tokens", "n_known", "base_score", "score", "others"])
+                 lists(signed(tokens[~there]), np.bincount(other, minlength=len(lengths))), links],
+                ["rid", "n_tokens", "n_known", "base_score", "score", "others", "links"])
 
     return run
 
@@ -230,22 +348,51 @@ def class_scores(docs: DataFrame, learns: Column, id_col: str = "doc_id", text_c
              .toArrow())  # at most (CLUSTERED + OCTAVES) ** 2
     pairs = np.zeros(symbols.size * symbols.size)
     pairs[found.column("pair").to_numpy()] = found.column("n").to_numpy()
-    model = Model(symbols, pairs.reshape(symbols.size, symbols.size), tokens, types, histogram, least)
+    head_own = exchange(pairs.reshape(symbols.size, symbols.size), symbols.head)
+    classes, rare, size = min(CLASSES, symbols.head), int(head_own[symbols.head]), int(head_own.max()) + 1
+    member = np.zeros((symbols.size, size))
+    member[np.arange(symbols.size), head_own] = 1
+    between = member.T @ pairs.reshape(symbols.size, symbols.size) @ member
+    once = least == 1
+    sent = spark.sparkContext.broadcast((symbols, head_own, once))
+    links = keep(training.mapInArrow(_count_links(sent), "aw long, ac int, bw long, bc int, n long")
+                 .groupBy("aw", "ac", "bw", "bc").agg(F.sum("n").alias("n")), "links")
+    repeated = counts.where("n > 1")
+    assigned, between = move_rest(links, repeated, between, max(1, classes), TAIL_SWEEPS)
+    # words that are not assigned moved first; those seen once stay in the rarest class
+    first = pa.table({"word": symbols.word, "cls": head_own[symbols.symbol].astype(np.int32)})
+    moved = assigned.join(repeated.where(F.col("n") > least), "word", "left_semi").toArrow()  # at most LISTED
+    own = first.column("cls").to_numpy().copy()
+    own[np.searchsorted(symbols.word, moved.column("word").to_numpy())] = moved.column("cls").to_numpy()
+    of_class = np.bincount(own, symbols.count.astype(np.float64), size)
+    unlisted = counts.where(F.col("n") <= least).join(assigned, "word", "left")
+    for r in unlisted.where("n > 1").groupBy("cls").agg(F.sum("n").alias("n")).collect():
+        of_class[r.cls] += r.n
+    model = Model(symbols, own, between, of_class, rare, tokens, types, histogram, once)
     sent = spark.sparkContext.broadcast(model)
 
     rows = with_row_id(docs, id_col, "rows", text_col)
     scored = keep(rows.select("rid", text_col).mapInArrow(
-        _score(sent), "rid long, n_tokens long, n_known long, base_score double, score double, others array<long>"), "scored")
-    rare = F.array(*(F.lit(x) for x in model.rare_emission))
+        _score(sent), "rid long, n_tokens long, n_known long, base_score double, score double, others array<long>, "
+        "links array<struct<aw: long, ac: int, bw: long, bc: int>>"), "scored")
+    rare_emission = F.array(*(F.lit(x) for x in model.rare_emission))
+    per_class = F.array(*(F.lit(float(x)) for x in model.of_class))
     c = F.coalesce("n", F.lit(0))
+    emission = F.when(c > 1, F.log10(c / F.get(per_class, "cls"))).otherwise(F.get(rare_emission, c.cast("int")))
     others = (scored.select("rid", F.explode("others").alias("word")).groupBy("rid", "word").agg(F.count("*").alias("times"))
-              .join(counts.where(F.col("n") <= least), "word", "left")
+              .join(unlisted, "word", "left")
               .groupBy("rid").agg(
                   F.sum(F.when(c > 0, F.col("times")).otherwise(0)).alias("more_known"),
                   F.sum(F.col("times") * F.log10((c + 1.0) / (tokens + 1.0 * (types + 1)))).alias("more_base"),
-                  F.sum(F.col("times") * F.element_at(rare, (c + 1).cast("int"))).alias("more_score")))
+                  F.sum(F.col("times") * emission).alias("more_score")))
+    if not once:
+        value = spark.createDataFrame(
+            [(i, j, float(x)) for i, line in enumerate(model.transition) for j, x in enumerate(line)], "ac int, bc int, value double")
+        steps = _known(scored.select("rid", F.inline("links")), assigned).join(value, ["ac", "bc"]).groupBy("rid").agg(F.sum("value").alias("steps"))
+        others = others.join(steps, "rid", "full_outer").withColumn(
+            "more_score", F.coalesce("more_score", F.lit(0.0)) + F.coalesce("steps", F.lit(0.0))).drop("steps")
     ids = rows.select("rid", id_col)
-    out = scored.drop("others").join(others, "rid", "left").join(ids, "rid")
+    out = scored.drop("others", "links").join(others, "rid", "left").join(ids, "rid")
     total = F.col("score") + F.coalesce("more_score", F.lit(0.0))
     return out.select(
         id_col, "n_tokens", (F.col("n_known") + F.coalesce("more_known", F.lit(0))).alias("n_known"),

@@ -232,6 +232,46 @@ def test_class_scores_base_and_gain(spark):
     assert sum(r.score for r in held) > sum(r.base_score for r in held)
 
 
+@pytest.mark.parametrize("listed", [1 << 20, 40])
+def test_class_scores_of_words_that_move_on_the_cluster(spark, monkeypatch, listed):
+    """All but 20 words move by their contexts, listed or joined; scores by brute force, probabilities add up to 1."""
+    seen = {}
+    monkeypatch.setattr(brown_lm, "CLUSTERED", 20)
+    monkeypatch.setattr(brown_lm, "LISTED", listed)
+    monkeypatch.setattr(brown_lm, "move_rest", lambda *a, real=brown_lm.move_rest: seen.setdefault("moved", real(*a)))
+    monkeypatch.setattr(brown_lm.Model, "__init__", lambda self, *a, real=brown_lm.Model.__init__: (seen.update(model=self), real(self, *a))[1])
+    rng = random.Random(9)
+    # rare words x in the place of a, y in the place of b; z only once
+    texts = [" ".join(w for _ in range(12) for w in (
+        rng.choice([f"a{rng.randrange(10)}", f"x{rng.randrange(40)}"]), rng.choice([f"b{rng.randrange(10)}", f"y{rng.randrange(40)}"])))
+        + f" z{i}" for i in range(60)]
+    known = Counter(w for t in texts for w in t.split())
+    x, y = ([w for w in known if w[0] == k and known[w] > 3] for k in "xy")
+    asked = ["a1 " + w for w in (x[0], y[0], "z1", "never")] + [f"{x[1]} {y[1]} {x[2]} {y[2]}", f"{x[1]} {x[2]} {y[1]} {y[2]}", "never z3 never", None]
+    df = spark.createDataFrame(list(enumerate(texts + asked)), "doc_id long, text string")
+    got = {r.doc_id: r for r in brown_lm.class_scores(df, F.col("doc_id") < 60).collect()}
+    # each word outside the first 20 follows its contexts
+    assert got[61].score > got[60].score + 0.3 and got[64].score > got[65].score + 0.3
+    m, hashes = seen["model"], brown_lm.WordHashes()
+    cls = dict(zip(m.symbols.word.tolist(), m.own.tolist())) | {r.word: r.cls for r in seen["moved"][0].collect()}
+    assert len({cls[int(w)] for w in brown_lm.signed(hashes.of(" ".join(x + y)))} & set(range(20))) > 1
+    counts = Counter(w for t in texts for w in [*brown_lm.signed(hashes.of(t)).tolist(), brown_lm.END])
+
+    def given(w):
+        c = counts[w]
+        return (np.log10(c / m.of_class[cls.get(w, m.rare)]) if c > 1 else m.rare_emission[c])
+    for i, t in enumerate(texts + asked):
+        words = [brown_lm.END, *brown_lm.signed(hashes.of(t)).tolist(), brown_lm.END]
+        at = [cls.get(w, m.rare) for w in words]
+        want = sum(m.transition[a, b] + given(w) for a, b, w in zip(at, at[1:], words[1:]))
+        assert got[i].score == pytest.approx(want)
+    of = np.zeros(len(m.of_class))
+    for w in counts:
+        of[cls.get(w, m.rare)] += 10 ** given(w)
+    of[m.rare] += 10 ** given(0)
+    assert 10 ** m.transition @ np.where(m.of_class > 1, of, 1) == pytest.approx(np.ones(len(of)), rel=1e-2)
+
+
 def test_exchange_finds_alternating_classes():
     pairs = np.zeros((8, 8))
     pairs[:3, 3:] = pairs[3:, :3] = 10
