@@ -150,6 +150,9 @@ def exchange(pairs: np.ndarray, head: int, classes: int = CLASSES, sweeps: int =
     return own
 
 
+LINK = ["aw", "ac", "bw", "bc", "n"]
+
+
 def _count_links(shared):
     """Neighbours of which at least one may still move: its word and class, the other's, how often.
     A word that can't move is null."""
@@ -166,7 +169,7 @@ def _count_links(shared):
             links = pa.table({"aw": pa.array(word[at], mask=~moves[at]), "ac": cls[at],
                               "bw": pa.array(word[at + 1], mask=~moves[at + 1]), "bc": cls[at + 1]})
             yield from links.group_by(["aw", "ac", "bw", "bc"]).aggregate([([], "count_all")]).select(
-                ["aw", "ac", "bw", "bc", "count_all"]).rename_columns(["aw", "ac", "bw", "bc", "n"]).to_batches()
+                [*LINK[:4], "count_all"]).rename_columns(LINK).to_batches()
 
     return run
 
@@ -223,6 +226,35 @@ def _move(shared):
     return run
 
 
+def _recount(shared):
+    """Links between words of known classes summed by class; of the others the known side's class is set."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        words, classes, size = shared.value
+        sums = np.zeros(size * size, np.int64)
+        for batch in batches:
+            sides, n = [], batch.column(4).to_numpy()
+            for k in (0, 2):
+                none = batch.column(k).is_null().to_numpy(zero_copy_only=False)
+                word, cls = batch.column(k).fill_null(0).to_numpy(), batch.column(k + 1).to_numpy()
+                at = np.minimum(np.searchsorted(words, word), max(0, len(words) - 1))
+                here = ~none & (words[at] == word) if len(words) else np.zeros(len(word), bool)
+                sides.append((word, np.where(here, classes[at], cls) if len(words) else cls, none | here))
+            (aw, ac, a), (bw, bc, b) = sides
+            done = a & b
+            sums += np.bincount(ac[done].astype(np.int64) * size + bc[done], n[done], size * size).astype(np.int64)
+            rest = np.flatnonzero(~done)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(aw[rest], mask=a[rest]), pa.array(ac[rest].astype(np.int32)),
+                 pa.array(bw[rest], mask=b[rest]), pa.array(bc[rest].astype(np.int32)), pa.array(n[rest])], LINK)
+        key = np.flatnonzero(sums)
+        none = pa.nulls(len(key), pa.int64())
+        yield pa.RecordBatch.from_arrays(
+            [none, pa.array((key // size).astype(np.int32)), none, pa.array((key % size).astype(np.int32)), pa.array(sums[key])], LINK)
+
+    return run
+
+
 def _known(links: DataFrame, known: DataFrame) -> DataFrame:
     """``links`` with the classes of ``known`` for the words these hold."""
     for side in ("a", "b"):
@@ -239,10 +271,12 @@ def _square(links: DataFrame, size: int) -> np.ndarray:
     return square
 
 
-def move_rest(links: DataFrame, movable: DataFrame, between: np.ndarray, classes: int, sweeps: int = TAIL_SWEEPS) -> tuple[DataFrame, np.ndarray]:
+def move_rest(links: DataFrame, movable: DataFrame, often: DataFrame, between: np.ndarray, classes: int,
+              sweeps: int = TAIL_SWEEPS) -> tuple[DataFrame, np.ndarray]:
     """(word, cls) of the ``movable`` words that ``links`` hold, and the counts between classes then.
 
     ``links``: pairs of neighbours with the classes they start in, of which ``between`` has the counts.
+    The words of ``often`` are few enough for every task; the classes of the others are joined.
     """
     spark = links.sparkSession
     fixed = between - _square(links, len(between))
@@ -255,7 +289,10 @@ def move_rest(links: DataFrame, movable: DataFrame, between: np.ndarray, classes
                   .groupBy("word", "own").agg(F.collect_list(F.struct("side", "cls", "n")).alias("beside")))
         shared = spark.sparkContext.broadcast((between, classes))
         assigned = keep(beside.join(movable.select("word"), "word", "left_semi").mapInArrow(_move(shared), "word long, cls int"), "classes")
-        between = fixed + _square(_known(links, assigned), len(between))
+        few = assigned.join(often, "word", "left_semi").toArrow().sort_by("word")
+        sent = spark.sparkContext.broadcast((few.column("word").to_numpy(), few.column("cls").to_numpy(), len(between)))
+        again = links.mapInArrow(_recount(sent), links.schema)
+        between = fixed + _square(_known(again, assigned), len(between))
     return assigned, between
 
 
@@ -355,13 +392,13 @@ def class_scores(docs: DataFrame, learns: Column, id_col: str = "doc_id", text_c
     between = member.T @ pairs.reshape(symbols.size, symbols.size) @ member
     once = least == 1
     sent = spark.sparkContext.broadcast((symbols, head_own, once))
-    links = keep(training.mapInArrow(_count_links(sent), "aw long, ac int, bw long, bc int, n long")
-                 .groupBy("aw", "ac", "bw", "bc").agg(F.sum("n").alias("n")), "links")
+    links = keep(training.mapInArrow(_count_links(sent), "aw long, ac int, bw long, bc int, n long"), "links")
     repeated = counts.where("n > 1")
-    assigned, between = move_rest(links, repeated, between, max(1, classes), TAIL_SWEEPS)
+    often = repeated.where(F.col("n") > least)
+    assigned, between = move_rest(links, repeated, often, between, max(1, classes), TAIL_SWEEPS)
     # words that are not assigned moved first; those seen once stay in the rarest class
     first = pa.table({"word": symbols.word, "cls": head_own[symbols.symbol].astype(np.int32)})
-    moved = assigned.join(repeated.where(F.col("n") > least), "word", "left_semi").toArrow()  # at most LISTED
+    moved = assigned.join(often, "word", "left_semi").toArrow()  # at most LISTED
     own = first.column("cls").to_numpy().copy()
     own[np.searchsorted(symbols.word, moved.column("word").to_numpy())] = moved.column("cls").to_numpy()
     of_class = np.bincount(own, symbols.count.astype(np.float64), size)

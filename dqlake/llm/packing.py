@@ -11,9 +11,12 @@ among those of their length, which is counted in salted groups.
 
 from __future__ import annotations
 
+import json
+import os
 import re
 import zlib
 from collections.abc import Iterator
+from functools import lru_cache
 
 import numpy as np
 import public_tokenizers
@@ -32,8 +35,8 @@ SLACK = 1e-4
 LITTLE = 0.002
 #: Ways of rounding the program: part of the sequences allowed that a round takes, how fast weights fall, last slack.
 WAYS = ((1.0, 1.0, 0.02), (0.2, 300.0, 0.02), (0.5, 1.0, 0.005), (0.5, 1.0, SLACK))
-#: Words whose ids a task remembers, and words encoded at a time: what an encoding holds besides its ids is large.
-KEPT_WORDS, AT_ONCE = 100_000, 4096
+#: Words whose ids a worker remembers, and words encoded at a time: what an encoding holds besides its ids is large.
+KEPT_WORDS, AT_ONCE = 400_000, 4096
 #: Pieces of a length that are numbered together.
 GROUP = 20_000
 
@@ -44,9 +47,27 @@ CONTROLS = "[\x1c-\x1f]"
 WORDS = re.compile(r"(?:\S|[\x1c-\x1f])+")
 
 
-def split_words(texts: pa.Array) -> tuple[pa.Array, np.ndarray]:
-    """The words of all texts, one after another, and where each text's begin (and the end)."""
+#: A tokenizer that lower-cases and cuts like this takes a word's marks for themselves.
+LOWERS, CUTS = {"type": "Lowercase"}, "'s|'t|'re|'ve|'m|'ll|'d|[\\p{L}]+|[\\p{N}]|[^\\s\\p{L}\\p{N}]+"
+#: What lower case may change before the tokenizer sees it: characters that combine with letters, special tokens.
+KEEPS_CASE = "[\u0300-\u036f]|<\\|"
+
+
+def folds(tokenizer: Tokenizer) -> bool:
+    """Whether ids stay the same if A-Z is lower-cased and marks behind a letter are cut off before."""
+    made = json.loads(tokenizer.to_str())
+    normal, cuts = made.get("normalizer") or {}, made.get("pre_tokenizer") or {}
+    first = (cuts.get("pretokenizers") or [{}])[0]
+    return (LOWERS in normal.get("normalizers", []) and first.get("type") == "Split" and first.get("pattern") == {"Regex": CUTS}
+            and first.get("invert") is True and first.get("behavior") == "Removed")
+
+
+def split_words(texts: pa.Array, fold: bool = False) -> tuple[pa.Array, np.ndarray]:
+    """The words of all texts, one after another, and where each text's begin (and the end). With ``fold``
+    a mark behind a letter begins a word of its own, and A-Z is lower-cased: fewer words are different."""
     texts = pc.fill_null(texts, "")
+    if fold and not pc.any(pc.match_substring_regex(texts, KEEPS_CASE)).as_py():
+        texts = pc.replace_substring_regex(pc.ascii_lower(texts), "([a-z])([.,!?;:])", "\\1 \\2")
     if pc.any(pc.match_substring_regex(texts, CONTROLS)).as_py():
         split = pa.array([WORDS.findall(t) for t in texts.to_pylist()], pa.list_(pa.string()))
     else:
@@ -59,10 +80,11 @@ def split_words(texts: pa.Array) -> tuple[pa.Array, np.ndarray]:
 
 class WordTokens:
     """Token ids of texts, by a tokenizer that drops white space. The ids of each word met lie in one flat
-    array and are gathered by number; a task remembers up to ``KEPT_WORDS`` words."""
+    array and are gathered by number; a worker remembers up to ``KEPT_WORDS`` words."""
 
     def __init__(self, path: str) -> None:
         self.tokenizer = Tokenizer.from_file(path)
+        self.fold = folds(self.tokenizer)
         self.forget()
 
     def forget(self) -> None:
@@ -71,7 +93,7 @@ class WordTokens:
 
     def of(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all texts, one after another, each text's followed by a 0, and where each text's end."""
-        words, ends = split_words(texts)
+        words, ends = split_words(texts, self.fold)
         coded = words.dictionary_encode()
         names = coded.dictionary.to_pylist()
         if len(self.numbers) + len(names) > KEPT_WORDS:
@@ -91,13 +113,20 @@ class WordTokens:
         ids, starts = np.append(self.ids, np.uint32(0)), np.append(self.starts, self.starts[-1] + 1)
         sizes = starts[number + 1] - starts[number]
         upto = np.cumsum(sizes)
-        at = np.arange(int(upto[-1]) if len(upto) else 0) + np.repeat(starts[number] - (upto - sizes), sizes)
+        at = np.arange(int(upto[-1]) if len(upto) else 0, dtype=np.int32) + np.repeat((starts[number] - (upto - sizes)).astype(np.int32), sizes)
         return ids[at], upto[ends[1:] + np.arange(len(ends) - 1)]
 
 
+@lru_cache(maxsize=1)
+def _worker_tokens(path: str) -> WordTokens:
+    """One for all tasks of a Python worker. Tasks run side by side, so the tokenizer needs no threads of its own."""
+    os.environ["TOKENIZERS_PARALLELISM"] = "false"
+    return WordTokens(path)
+
+
 def _pieces(path: str, capacity: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words = WordTokens(path)
+        words = _worker_tokens(path)
         for batch in slices(batches, 500):
             ids, ends = words.of(batch.column(1))
             data = memoryview(ids.astype("<u4")).cast("B")

@@ -154,6 +154,18 @@ def test_words_are_cut_at_the_tokenizers_white_space():
             assert own.tolist() == [*words.tokenizer.encode(t or "", add_special_tokens=False).ids, 0]
 
 
+def test_folded_words_give_the_ids_of_the_whole_text():
+    words = packing.WordTokens(packing.public_tokenizers.path("word_bpe_49k.json"))
+    mixed = ["AND,and. It's,IT'S. a.b...c!?d;e:f 3.5,x 4,A", "don't.'S ''s, 'LL; we'Re:x", "KK.İ,I", "ÄB,äb. ΑΣ.ΑΣ, ß,ẞ.", "a,B.", "(A).[B],c-D.", "É.,É"]
+    kept = ["H̱.a ẖ,A İ.x", "<|ENDOFTEXT|>,a <|endoftext|>.B"]
+    for given in (mixed, kept, mixed + kept):
+        ids, ends = words.of(pa.array(given))
+        for t, own in zip(given, np.split(ids, ends[:-1])):
+            assert own.tolist() == [*words.tokenizer.encode(t, add_special_tokens=False).ids, 0], t
+    folded = packing.split_words(pa.array(["AND, and. And"]), words.fold)[0].to_pylist()
+    assert folded == ["and", ",", "and", ".", "and"]
+
+
 def test_packing_plan_covers_every_piece_once():
     counts = {300: 1000, 700: 900, 1500: 400, 2048: 7, 12: 5000}
     placed = Counter()
