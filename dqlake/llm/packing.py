@@ -17,6 +17,7 @@ import re
 import zlib
 from collections.abc import Iterator
 from functools import lru_cache
+from itertools import chain
 
 import numpy as np
 import public_tokenizers
@@ -37,6 +38,8 @@ LITTLE = 0.002
 WAYS = ((1.0, 1.0, 0.02), (0.2, 300.0, 0.02), (0.5, 1.0, 0.005), (0.5, 1.0, SLACK))
 #: Words whose ids a worker remembers, and words encoded at a time: what an encoding holds besides its ids is large.
 KEPT_WORDS, AT_ONCE = 400_000, 4096
+#: Words that a worker remembers from one task to the next.
+IDLE_WORDS = 30_000
 #: Pieces of a length that are numbered together.
 GROUP = 20_000
 
@@ -104,7 +107,7 @@ class WordTokens:
                     for e in self.tokenizer.encode_batch_fast(new[i:i + AT_ONCE], add_special_tokens=False)]
             sizes = np.fromiter(map(len, made), np.int64, len(made))
             self.numbers.update(zip(new, range(len(self.numbers), len(self.numbers) + len(new)), strict=True))
-            self.ids = np.concatenate([self.ids, np.fromiter((i for e in made for i in e), np.uint32, int(sizes.sum()))])
+            self.ids = np.concatenate([self.ids, np.fromiter(chain.from_iterable(made), np.uint32, int(sizes.sum()))])
             self.starts = np.concatenate([self.starts, self.starts[-1] + np.cumsum(sizes)])
         number = np.fromiter(map(self.numbers.__getitem__, names), np.int64, len(names))[coded.indices.to_numpy()]
         # one more word a text, of the single id 0
@@ -139,6 +142,9 @@ def _pieces(path: str, capacity: int):
             own = batch.column(0).take(pa.array([o[0] for o in out], pa.int64()))
             yield pa.RecordBatch.from_arrays([own, *(pa.array([o[i] for o in out], pa.int64()) for i in range(1, 5))],
                                              ["rid", "piece", "start", "length", "ids_crc32"])
+        # an idle worker holds little
+        if len(words.numbers) > IDLE_WORDS:
+            words.forget()
 
     return run
 
