@@ -119,6 +119,37 @@ def test_repeated_spans_of_texts_in_pieces(spark, monkeypatch, piece):
     assert [(r.n_bytes, r.n_removed, r.n_spans, r.kept_sha256) for r in got] == _without_repeats(texts, 400)
 
 
+@pytest.mark.parametrize("piece", [1 << 19, 700])
+def test_each_start_stands_in_one_window(monkeypatch, piece):
+    """Windows that overlap in their starts, under two keys each, were sorted some eight times over."""
+    monkeypatch.setattr(repeats, "PIECE", piece)
+    rng = random.Random(4)
+    texts = ["".join(rng.choice("abcd ") for _ in range(n)) for n in (399, 400, 5000)] + ["ab" * 600, None]
+    rows = pa.RecordBatch.from_pydict({"rid": list(range(len(texts))), "text": texts})
+    got = pa.Table.from_batches(list(repeats._anchor_rows(400)(iter([rows])))).to_pylist()
+    starts = [(r["rid"], r["pos"] + o) for r in got for o in range(r["lo"], r["hi"] + 1)]
+    assert sorted(starts) == [(i, x) for i, t in enumerate(texts) for x in range(len(t or "") - 399)]
+
+
+@pytest.mark.parametrize("crowd,block", [(512, 1 << 11), (5, 8), (1, 1)])
+def test_repeated_spans_of_near_copies(spark, monkeypatch, crowd, block):
+    """Copies with a few other bytes, periodic texts, zero bytes and text ends, through every level of keys."""
+    monkeypatch.setattr(repeats, "CROWD", crowd)
+    monkeypatch.setattr(repeats, "BLOCK", block)
+    rng = random.Random(31)
+    whole = "".join(rng.choice("abcdefgh \0é") for _ in range(1800))
+    texts = []
+    for _ in range(24):
+        t = list(whole[rng.randrange(300):rng.randrange(1200, 1800)])
+        for _ in range(rng.randrange(4)):
+            t[rng.randrange(len(t))] = "#"
+        texts.append("".join(t))
+    texts += ["xyz" * 300, "q" + "xyz" * 200, "\0" * 900, whole[:399], whole[500:900] + "\0", whole[500:900]]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = repeats.repeated_spans(df).orderBy("doc_id").collect()
+    assert [(r.n_bytes, r.n_removed, r.n_spans, r.kept_sha256) for r in got] == _without_repeats(texts, 400)
+
+
 def test_suffix_array_order_and_prefixes():
     rng = random.Random(1)
     for n, k in ((1, 1), (5, 1), (300, 2), (2000, 4), (2000, 200)):
