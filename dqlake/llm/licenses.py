@@ -1,6 +1,7 @@
 """License scan: MinHash bands over overlapping windows find templates, exact containment checks them.
 
-Everything is DataFrame expressions. A text is cut into lower-case words; windows as long as a
+Everything is DataFrame expressions. A text without any of a few long words of the templates lacks too
+many word pairs of each to hold one (``telling_words``); the others are cut into lower-case words, and windows as long as a
 template, an eighth of it apart, are compared with it. Only windows that hold a word pair of some
 template are formed, since a window without one can't contain any. A window's signature has
 ``BANDS`` bands of one minimum each: a window that holds the template in full shares at least
@@ -12,6 +13,7 @@ word pairs that the window, with the eighth around it, contains.
 from __future__ import annotations
 
 import re
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -44,6 +46,22 @@ def words(text: str) -> list[str]:
     return re.findall(r"[a-z0-9]+", text.lower())
 
 
+def telling_words(templates: dict[str, str], contained: float) -> list[str]:
+    """Words, the longest of each template, so many that a text without any of them misses more of each
+    template's distinct word pairs than ``contained`` allows."""
+    out: set[str] = set()
+    for notice in templates.values():
+        w = words(notice)
+        pairs = set(zip(w, w[1:]))
+        allowed = max((m for m in range(len(pairs)) if (len(pairs) - m) / len(pairs) >= contained), default=0)
+        own: list[str] = []
+        for word in sorted({x for p in pairs for x in p}, key=lambda x: (-len(x), x)):
+            if sum(not set(own).isdisjoint(p) for p in pairs) <= allowed:
+                own.append(word)
+        out.update(own)
+    return sorted(out)
+
+
 def template_table(spark: SparkSession, templates: dict[str, str]) -> DataFrame:
     """(license, n_words, pairs, bands) of the templates; templates of one word can't be found."""
     rows = [(k, len(w), sorted({f"{a} {b}" for a, b in zip(w, w[1:])})) for k, t in templates.items() if len(w := words(t)) > 1]
@@ -77,18 +95,37 @@ def license_scan(docs: DataFrame, templates: dict[str, str] | None = None, conta
     all_pairs = sorted({f"{a} {b}" for t in known.values() for w in [words(t)] for a, b in zip(w, w[1:])})
     sizes = sorted({len(w) for t in known.values() if len(w := words(t)) > 1})
     rows = with_row_id(docs, id_col, "rows", text_col)
-    tokens = rows.select("rid", F.split(F.lower(F.translate(F.regexp_replace(text_col, r"[^A-Za-z0-9]+", " "), "\x00", " ")), " ").alias("w"))
+    # the lower-case text as the element of an array, so that it is made once and not for each word
+    telling = [F.lit(w) for w in telling_words(known, contained)]
+    may = rows.where(F.exists(F.array(F.lower(text_col)), lambda low: reduce(Column.__or__, [F.contains(low, w) for w in telling], F.lit(False))))
+    tokens = may.select("rid", F.split(F.lower(F.translate(F.regexp_replace(text_col, r"[^A-Za-z0-9]+", " "), "\x00", " ")), " ").alias("w"))
     tokens = tokens.select("rid", F.filter("w", lambda x: x != "").alias("w")).where(F.size("w") > 1)
     # word pairs of the text, null where no template has them
     pairs = tokens.select("rid", F.zip_with(F.slice("w", 1, F.size("w") - 1), F.slice("w", 2, F.size("w") - 1),
                                             lambda a, b: F.concat_ws(" ", a, b)).alias("p"))
     marked = pairs.select("rid", "p", F.transform("p", lambda x: x.isin(all_pairs)).alias("known"))
     at = F.filter(F.transform("known", lambda x, i: F.when(x, i)), lambda i: i.isNotNull())
-    hits = marked.where(F.exists("known", lambda x: x)).select("rid", "p", "known", at.alias("at"), F.explode(F.array(*map(F.lit, sizes))).alias("n"))
-    by_size = hits.select("rid", "p", "known", "at", F.greatest(F.lit(1), F.floor(F.col("n") / 8)).cast("int").alias("step"), "n")
-    # numbers of the windows that hold a hit: those that start up to n - 2 words before it
-    numbers = F.array_distinct(F.flatten(F.transform("at", lambda i: F.sequence(
-        F.ceil(F.greatest(F.lit(0), i - F.col("n") + 2) / F.col("step")).cast("int"), F.floor(i / F.col("step")).cast("int")))))
+    marked = marked.where(F.exists("known", lambda x: x)).select("rid", "p", "known", at.alias("at"))
+
+    def step_of(n: Column) -> Column:
+        return F.greatest(F.lit(1), F.floor(n / 8)).cast("int")
+
+    def numbers(n: Column) -> Column:
+        """Numbers of the windows that hold a hit: those that start up to n - 2 words before it."""
+        return F.array_distinct(F.flatten(F.transform("at", lambda i: F.sequence(
+            F.ceil(F.greatest(F.lit(0), i - n + 2) / step_of(n)).cast("int"), F.floor(i / step_of(n)).cast("int")))))
+
+    # a window that is to contain enough of a template can't hold fewer of the templates' word pairs
+    def enough(k: Column, n: Column) -> Column:
+        start = k * step_of(n)
+        own = F.sequence(start, F.least(start + n - 2, F.size("p") - 1))
+        return F.size(F.filter(own, lambda j: F.get("known", j))) >= F.floor((contained - 0.3) * (n - 1))
+
+    # before the sizes are unfolded, each of which copies the text's pairs
+    by_size = F.filter(F.transform(F.array(*map(F.lit, sizes)), lambda n: F.struct(
+        n.alias("n"), step_of(n).alias("step"), F.filter(numbers(n), lambda k: enough(k, n)).alias("numbers"))),
+        lambda x: F.size(x["numbers"]) > 0)
+    chosen = marked.select("rid", "p", F.explode(by_size).alias("s")).select("rid", "p", "s.n", "s.step", "s.numbers")
 
     def window(k: Column) -> Column:
         """By position: cutting slices would copy the whole text's array for each window."""
@@ -98,13 +135,6 @@ def license_scan(docs: DataFrame, templates: dict[str, str] | None = None, conta
         return F.struct(start.alias("start"), F.array_distinct(F.transform(own, lambda j: F.get("p", j))).alias("own"),
                         F.array_distinct(F.transform(around, lambda j: F.get("p", j))).alias("around"))
 
-    # a window that is to contain enough of a template can't hold fewer of the templates' word pairs
-    def enough(k: Column) -> Column:
-        start = k * F.col("step")
-        own = F.sequence(start, F.least(start + F.col("n") - 2, F.size("p") - 1))
-        return F.size(F.filter(own, lambda j: F.get("known", j))) >= F.floor((contained - 0.3) * (F.col("n") - 1))
-
-    chosen = by_size.select("rid", "p", "known", "n", "step", F.filter(numbers, enough).alias("numbers")).where(F.size("numbers") > 0)
     windows = chosen.select("rid", "n", F.inline(F.transform("numbers", window)))
     probes = windows.where(F.size("own") > 0).withColumn("b", F.explode(_bands(F.col("own"))))
     bands = table.select("license", F.col("n_words").alias("n"), "t_pairs", F.explode("bands").alias("b"))

@@ -379,6 +379,28 @@ def test_license_scan_against_all_windows(spark):
     assert got == expected
 
 
+@pytest.mark.parametrize("contained", [0.5, 0.8, 1.0])
+def test_telling_words_miss_no_template(contained):
+    """Most texts are not cut into windows at all; no text that holds a template is among them."""
+    rng = random.Random(8)
+    for name, notice in licenses.TEMPLATES.items():
+        telling, w = licenses.telling_words({name: notice}, contained), licenses.words(notice)
+        pairs = set(zip(w, w[1:]))
+        assert len(telling) < len(set(w))
+        for _ in range(200):
+            kept = [x for x in w if x not in rng.sample(telling, len(telling)) and x not in rng.sample(sorted(set(w)), rng.randrange(3))]
+            assert len(pairs & set(zip(kept, kept[1:]))) / len(pairs) < contained
+
+
+def test_license_scan_in_any_case_and_few_templates(spark):
+    templates = {"a": "Alpha beta gamma delta epsilon zeta", "b": "one two", "c": "single"}
+    texts = ["x ALPHA, Beta\nGamma; delta (epsilon) zeta y", "alpha beta gamma delta epsilon", "beta gamma delta epsilon zeta", "One-TWO", "one to two",
+             "gamma delta", "a" * 2000, "", None]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {(r.doc_id, r.license): (r.first_word, r.containment) for r in licenses.license_scan(df, templates).collect()}
+    assert got == {(0, "a"): (0, 1.0), (1, "a"): (0, 0.8), (2, "a"): (0, 0.8), (3, "b"): (0, 1.0)}
+
+
 def test_decontamination_catches_reparameterised_items(spark):
     item = "A train leaves the old station with 40 passengers and after 3 hours it has travelled 240 km to reach the next town where 12 of them leave"
     other = item.replace("40", "75").replace("3 hours", "5 hours").replace("240", "410").replace("12", "9")
