@@ -40,29 +40,30 @@ PUNCTUATION = ".,;:!?\"'()[]{}<>«»„“”‘’…*_|"
 
 def canonical(rows: DataFrame, text_col: str) -> DataFrame:
     """``rows`` with the canonical words ``c`` of a text and the values ``v`` of placeholders (null
-    elsewhere) in place of the text. One step a projection, so that none is computed twice."""
+    elsewhere; null for a text without any) in place of the text. One step a projection, so that none is computed twice.
+    Punctuation and capitals are taken from the text as a whole, since a call for each word costs several times more."""
     others = [c for c in rows.columns if c != text_col]
-    split = rows.select(*others, F.split(text_col, r"[\x20\x09-\x0D]+").alias("x"))
-    bare = split.select(*others, F.filter(F.transform("x", lambda x: F.struct(
-        F.translate(x, PUNCTUATION, "").alias("b"), F.substring(x, -1, 1).isin(".", "!", "?", ":").alias("ends"))),
-        lambda x: x["b"] != "").alias("x"))
-    cased = bare.select(*others, F.transform("x", lambda x: F.struct(x["b"].alias("b"), F.lower(x["b"]).alias("w"), x["ends"].alias("ends"))).alias("x"))
-    first = F.array(F.struct(F.lit("").alias("b"), F.lit("").alias("w"), F.lit(True).alias("ends")))
-    moved = cased.select(*others, "x", F.slice(F.concat(first, F.col("x")), 1, F.size("x")).alias("before"))
-
-    def kind(x: Column, previous: Column) -> Column:
-        b, w = x["b"], x["w"]
-        head = F.substring(b, 1, 1)
+    spaced = rows.select(*others, F.regexp_replace(text_col, r"[\x20\x09-\x0D]+", " ").alias("t"))
+    bare = spaced.select(*others, "t", F.translate("t", PUNCTUATION, "").alias("b"))
+    # the same spaces in all three, so the same number of words
+    split = bare.select(*others, F.split("t", " ").alias("x"), F.split("b", " ").alias("b"), F.split(F.lower("b"), " ").alias("w"))
+    zipped = split.select(*others, F.filter(F.arrays_zip("x", "b", "w"), lambda z: z["b"] != "").alias("x"))
+
+    def kind(z: Column, i: Column) -> Column:
+        b, w = z["b"], z["w"]
+        head, ends = F.substring(b, 1, 1), F.substring(F.get("x", i - 1)["x"], -1, 1).isin(".", "!", "?", ":")
         number = head.between("0", "9") | (head.isin("+", "-", "$", "€", "£", "#") & F.substring(b, 2, 1).between("0", "9"))
         # a capital at the head only, and not where a sentence begins
-        capital = ~previous["ends"] & (head != F.substring(w, 1, 1)) & (F.substring(b, 2, 1) == F.substring(w, 2, 1))
-        return (F.when(number | w.isin(*NUMBER_WORDS), "<number>").when((b != w) & (b.isin(*NAMES) | capital), "<name>")
-                .when(w.isin(*UNITS), "<unit>"))
-
-    typed = moved.select(*others, "x", F.zip_with("x", "before", kind).alias("kind"))
-    return typed.select(*others, F.zip_with("x", "kind", lambda x, k: F.coalesce(k, x["w"])).alias("c"),
-                        F.zip_with("x", "kind", lambda x, k: F.when(k.isNotNull(), x["w"])).alias("v"),
-                        F.exists("kind", lambda k: k.isNotNull()).alias("some"))
+        capital = (i > 0) & ~ends & (head != F.substring(w, 1, 1)) & (F.substring(b, 2, 1) == F.substring(w, 2, 1))
+        # most words: small letters from a on and in no list
+        plain = (b == w) & b.between("a", "~") & ~w.isin(*NUMBER_WORDS, *UNITS, *NAMES)
+        return F.when(~plain, F.when(number | w.isin(*NUMBER_WORDS), "<number>").when((b != w) & (b.isin(*NAMES) | capital), "<name>")
+                      .when(w.isin(*UNITS), "<unit>"))
+
+    typed = zipped.select(*others, "x", F.transform("x", kind).alias("kind"))
+    told = typed.select(*others, "x", "kind", F.exists("kind", lambda k: k.isNotNull()).alias("some"))
+    return told.select(*others, F.when(F.col("some"), F.zip_with("x", "kind", lambda x, k: F.coalesce(k, x["w"]))).otherwise(F.col("x.w")).alias("c"),
+                       F.when(F.col("some"), F.zip_with("x", "kind", lambda x, k: F.when(k.isNotNull(), x["w"]))).alias("v"), "some")
 
 
 def windows(rows: DataFrame, id_col: str, text_col: str, sizes: list[int]) -> DataFrame:

@@ -412,6 +412,18 @@ def test_decontamination_catches_reparameterised_items(spark):
     assert got == {(1, 10): True, (2, 10): False, (4, 11): False}
 
 
+def test_canonical_words(spark):
+    """Names, numbers, units and where sentences begin, with punctuation of any kind about; no word is stripped by itself."""
+    texts = ["He met Zora, 5 km on; \"Two\" of them. Then $7 -3 . Été\x0bfine", " , x . Y Z", "IBM iPhone x2 ΑΣ,Β", None]
+    df = decontam.canonical(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string"), "text")
+    n, m, u = "<number>", "<name>", "<unit>"
+    assert [(r.c, r.v) for r in df.orderBy("doc_id").collect()] == [
+        (["he", "met", m, n, u, "on", n, "of", "them", "then", n, n, m, "fine"],
+         [None, None, "zora", "5", "km", None, "two", None, None, None, "$7", "-3", "été", None]),
+        (["x", m, m], [None, "y", "z"]), (["ibm", "iphone", "x2", "ασβ"], None), (None, None)]
+    assert "translate(lambda" not in df._jdf.queryExecution().optimizedPlan().toString()
+
+
 def test_decontamination_finds_quotations(spark):
     """A third of a long item word for word, an item of numbers and signs; not a few words of it, nor other numbers."""
     rng = random.Random(12)
