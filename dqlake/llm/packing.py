@@ -38,6 +38,8 @@ LITTLE = 0.002
 WAYS = ((1.0, 1.0, 0.02), (0.2, 300.0, 0.02), (0.5, 1.0, 0.005), (0.5, 1.0, SLACK))
 #: Words whose ids a worker remembers, and words encoded at a time: what an encoding holds besides its ids is large.
 KEPT_WORDS, AT_ONCE = 400_000, 4096
+#: Words of letters that are encoded as one text; the encoding of a word by itself takes twice as long.
+JOINED = 256
 #: Words that a worker remembers from one task to the next.
 IDLE_WORDS = 30_000
 #: Pieces of a length that are numbered together.
@@ -65,6 +67,17 @@ def folds(tokenizer: Tokenizer) -> bool:
             and first.get("invert") is True and first.get("behavior") == "Removed")
 
 
+def last_tokens(tokenizer: Tokenizer) -> np.ndarray | None:
+    """By id, whether a token ends a word; None if tokens don't tell."""
+    suffix = json.loads(tokenizer.to_str())["model"].get("end_of_word_suffix")
+    if not suffix or not folds(tokenizer):
+        return None
+    vocabulary = tokenizer.get_vocab()
+    ends = np.zeros(max(vocabulary.values()) + 1, bool)
+    ends[[i for token, i in vocabulary.items() if token.endswith(suffix)]] = True
+    return ends
+
+
 def split_words(texts: pa.Array, fold: bool = False) -> tuple[pa.Array, np.ndarray]:
     """The words of all texts, one after another, and where each text's begin (and the end). With ``fold``
     a mark behind a letter begins a word of its own, and A-Z is lower-cased: fewer words are different."""
@@ -87,13 +100,35 @@ class WordTokens:
 
     def __init__(self, path: str) -> None:
         self.tokenizer = Tokenizer.from_file(path)
-        self.fold = folds(self.tokenizer)
+        self.fold, self.last = folds(self.tokenizer), last_tokens(self.tokenizer)
         self.forget()
 
     def forget(self) -> None:
         self.numbers: dict[str, int] = {}
         self.ids, self.starts = np.zeros(0, np.uint32), np.zeros(1, np.int64)
 
+    def encoded(self, words: list[str]) -> tuple[list[str], np.ndarray, np.ndarray]:
+        """The words in another order, their ids and how many each has. Words of letters are encoded many at a time
+        and told apart by the tokens that end one; where the tokenizer finds more words than it was given, each by itself."""
+        made, ids, sizes = [], [], []
+        letters = [w for w in words if w.isalpha()] if self.last is not None else []
+        alone = [w for w in words if not w.isalpha()] if letters else words
+        for i in range(0, len(letters), AT_ONCE):
+            parts = [letters[j:min(j + JOINED, i + AT_ONCE)] for j in range(i, min(i + AT_ONCE, len(letters)), JOINED)]
+            for part, e in zip(parts, self.tokenizer.encode_batch_fast([" ".join(p) for p in parts], add_special_tokens=False), strict=True):
+                got = np.array(e.ids, np.uint32)
+                last = np.flatnonzero(self.last[got])
+                if len(last) == len(part):
+                    made += part
+                    ids.append(got), sizes.append(np.diff(last, prepend=-1))
+                else:
+                    alone += part
+        for i in range(0, len(alone), AT_ONCE):
+            got = [e.ids for e in self.tokenizer.encode_batch_fast(alone[i:i + AT_ONCE], add_special_tokens=False)]
+            sizes.append(np.fromiter(map(len, got), np.int64, len(got)))
+            ids.append(np.fromiter(chain.from_iterable(got), np.uint32, int(sizes[-1].sum())))
+        return made + alone, np.concatenate(ids), np.concatenate(sizes)
+
     def of(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all texts, one after another, each text's followed by a 0, and where each text's end."""
         words, ends = split_words(texts, self.fold)
@@ -103,11 +138,9 @@ class WordTokens:
             self.forget()
         new = [w for w in names if w not in self.numbers]
         if new:
-            made = [e.ids for i in range(0, len(new), AT_ONCE)
-                    for e in self.tokenizer.encode_batch_fast(new[i:i + AT_ONCE], add_special_tokens=False)]
-            sizes = np.fromiter(map(len, made), np.int64, len(made))
+            new, made, sizes = self.encoded(new)
             self.numbers.update(zip(new, range(len(self.numbers), len(self.numbers) + len(new)), strict=True))
-            self.ids = np.concatenate([self.ids, np.fromiter(chain.from_iterable(made), np.uint32, int(sizes.sum()))])
+            self.ids = np.concatenate([self.ids, made])
             self.starts = np.concatenate([self.starts, self.starts[-1] + np.cumsum(sizes)])
         number = np.fromiter(map(self.numbers.__getitem__, names), np.int64, len(names))[coded.indices.to_numpy()]
         # one more word a text, of the single id 0

@@ -7,6 +7,7 @@ import zlib
 from collections import Counter
 
 import numpy as np
+import public_tokenizers
 import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
@@ -197,6 +198,26 @@ def test_folded_words_give_the_ids_of_the_whole_text():
     assert folded == ["and", ",", "and", ".", "and"]
 
 
+def test_joined_words_have_the_ids_of_each(monkeypatch):
+    """Words of letters are encoded together; some turn into more than one word, or none of the tokenizer's."""
+    rng = random.Random(6)
+    tokens = packing.WordTokens(public_tokenizers.path("word_bpe_49k.json"))
+    words = list(dict.fromkeys("".join(rng.choice("abcdeflméüßжя") for _ in range(rng.randrange(1, 14))) for _ in range(3000)))
+    words += ["don't", "a1b2", "x_y", "...", "İstanbul", "ΑΣ", "ﬁx", "e\u0301te", "\u0301a", "中文字", "ª", "ǅ", "\U0001f600", "<|endoftext|>"]
+    calls = []
+    class Counting:
+        def encode_batch_fast(self, texts, **options):
+            calls.append(len(texts))
+            return tokens.tokenizer.encode_batch_fast(texts, **options)
+    monkeypatch.setattr(packing, "JOINED", 64)
+    counted = packing.WordTokens(public_tokenizers.path("word_bpe_49k.json"))
+    counted.tokenizer = Counting()
+    names, ids, sizes = counted.encoded(list(words))
+    assert sorted(names) == sorted(words) and sum(calls) < len(words) / 5
+    each = np.split(ids, np.cumsum(sizes)[:-1])
+    assert [x.tolist() for x in each] == [tokens.tokenizer.encode(w, add_special_tokens=False).ids for w in names]
+
+
 def test_packing_plan_covers_every_piece_once():
     counts = {300: 1000, 700: 900, 1500: 400, 2048: 7, 12: 5000}
     placed = Counter()
