@@ -43,8 +43,6 @@ CELL = 1024
 COARSE = 64
 #: Ids that a join may send to every task (16 bytes each); more are shuffled.
 LISTED = 1_000_000
-#: Signatures a task remembers to drop copies early (under 200 bytes each); all are found later anyway.
-SEEN = 100_000
 #: Candidates of other components that a row gives in a round of a cell, and how much more in the next.
 FIRST, MORE = 2, 512
 #: N-grams after the shared one that go into the trees. Any value gives the same result.
@@ -92,75 +90,66 @@ def _ordered(h: np.ndarray, hits: np.ndarray) -> np.ndarray:
     return h[np.lexsort((h, hits[_slot(h)]))]
 
 
-def _prefixes(size: int, percent: int, order, typical: int):
-    """A row for each prefix n-gram of a set; copies within the task count once."""
+def _prefix(n: np.ndarray, percent: int) -> np.ndarray:
+    """How many of the first n-grams of a set of ``n`` one must be shared with any partner."""
+    return n - _need(n, percent) + 1
+
+
+def _described(size: int, percent: int, order):
+    """For each row with n-grams its set's size, its counts in bins, and its prefix with WINDOW n-grams more."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hits, seen = order.value, set()
-        for batch in slices(batches):
-            tokens, sig, n = [], [], []
-            for h in shingle_sets(batch.column(0), size):
-                if not len(h) or (s := _signature(h)) in seen:
-                    continue
-                if len(seen) < SEEN:
-                    seen.add(s)
-                tokens.append(_ordered(h, hits)[:len(h) - _need(len(h), percent) + 1])
-                sig.append(s), n.append(len(h))
-            lengths = np.array([len(x) for x in tokens], np.int64)
-            t = flat(tokens, np.uint64)
-            s1, s2 = (np.repeat(np.array([s[i] for s in sig], np.int64), lengths) for i in (0, 1))
-            parts = np.maximum(1, (hits[_slot(t)] - typical) // HOT).astype(np.uint64)
-            salt = mix(s1.view(np.uint64) * GOLDEN) % parts
-            at = np.arange(len(t)) - np.repeat(np.cumsum(lengths) - lengths, lengths)
+        hits = order.value
+        for batch in slices(batches, 500):
+            sets = shingle_sets(batch.column(1), size)
+            filled = np.array([len(h) > 0 for h in sets], bool)
+            sets = [h for h in sets if len(h)]
+            n = np.array([len(h) for h in sets], np.int64)
+            most = _prefix(n, percent) + WINDOW
+            first = [_ordered(h, hits)[:m] for h, m in zip(sets, most.tolist(), strict=True)]
+            coarse = [np.bincount((h & np.uint64(COARSE - 1)).astype(np.int64), minlength=COARSE) for h in sets]
+            # too many to count: may be anything
+            coarse = [c if c.max() < 32767 else np.full(COARSE, 32767) for c in coarse]
             yield pa.RecordBatch.from_arrays(
-                [pa.array(signed(t)), pa.array(salt.astype(np.int32)), pa.array((parts > 1).astype(np.int32)),
-                 pa.array(s1), pa.array(s2), pa.array(np.repeat(np.array(n, np.int32), lengths)),
-                 pa.array(at.astype(np.int32))],
-                ["token", "salt", "hot", "s1", "s2", "n", "pos"])
+                [batch.column(0).filter(pa.array(filled)), pa.array(n, pa.int32()), pa.array([_bins(h) for h in sets], pa.binary()),
+                 lists(flat(coarse, np.int64).astype(np.int16), [COARSE] * len(sets)),
+                 lists(signed(flat(first, np.uint64)), [len(x) for x in first])],
+                ["node", "n", "bins", "coarse", "prefix"])
 
     return run
 
 
-def _shared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """The prefix rows whose n-gram more than one set has (or that is dealt to several tasks)."""
-    for table, starts in sorted_groups(batches, ["token", "salt"]):
-        table = table.slice(0, starts[-1])
-        s1, s2 = table.column("s1").to_numpy(), table.column("s2").to_numpy()
-        new = np.ones(table.num_rows, bool)
-        new[1:] = (s1[1:] != s1[:-1]) | (s2[1:] != s2[:-1])
-        new[starts[:-1]] = True
-        group = np.repeat(np.arange(len(starts) - 1), np.diff(starts))
-        many = np.bincount(group, new) > 1
-        take = new & (many[group] | (table.column("hot").to_numpy() == 1))
-        if take.any():
-            yield from table.select(["token", "s1", "s2", "n", "pos"]).filter(pa.array(take)).to_batches()
-
-
-def _described(size: int, percent: int, order):
-    """For each row its set's counts in bins, and what follows the listed n-grams in the set."""
+def _prefix_rows(percent: int, order, typical: int):
+    """A row for each prefix n-gram of a set."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hits = order.value
-        near = pa.list_(pa.int64())
-        item = pa.struct([("token", pa.int64()), ("pos", pa.int32()), ("before", near), ("window", near)])
-        for batch in slices(batches, 500):
-            out = []
-            sets = shingle_sets(batch.column(1), size)
-            for node, h, at in zip(batch.column(0).to_pylist(), sets, batch.column(2).to_pylist(), strict=True):
-                h = _ordered(h, hits)
-                t = signed(h)
-                coarse = np.bincount((h & np.uint64(COARSE - 1)).astype(np.int64), minlength=COARSE)
-                coarse[:] = coarse if coarse.max() < 32767 else 32767  # too many to count: may be anything
-                out.append((node, len(h), _bins(h), coarse.tolist(), [
-                    x | {"before": t[max(0, x["pos"] - WINDOW):x["pos"]].tolist(), "window": t[x["pos"] + 1:x["pos"] + 1 + WINDOW].tolist()}
-                    for x in at]))
-            kinds = (pa.int64(), pa.int32(), pa.binary(), pa.list_(pa.int16()), pa.list_(item))
-            yield pa.RecordBatch.from_arrays([pa.array([o[i] for o in out], k) for i, k in enumerate(kinds)],
-                                             ["node", "n", "bins", "coarse", "at"])
+        for batch in slices(batches):
+            n, held = batch.column(1).to_numpy().astype(np.int64), np.diff(batch.column(2).offsets.to_numpy())
+            lengths = _prefix(n, percent)
+            at = np.arange(held.sum()) - np.repeat(np.cumsum(held) - held, held)
+            inside = at < np.repeat(lengths, held)
+            t, at = batch.column(2).flatten().to_numpy()[inside], at[inside]
+            node = np.repeat(batch.column(0).to_numpy(), lengths)
+            parts = np.maximum(1, (hits[_slot(t.view(np.uint64))] - typical) // HOT).astype(np.uint64)
+            salt = mix(node.view(np.uint64) * GOLDEN) % parts
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(t), pa.array(salt.astype(np.int32)), pa.array((parts > 1).astype(np.int32)), pa.array(node),
+                 pa.array(at.astype(np.int32))], ["token", "salt", "hot", "node", "pos"])
 
     return run
 
 
+def _shared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The prefix rows whose n-gram more than one set has (or that is dealt to several tasks)."""
+    for table, starts in sorted_groups(batches, ["token"]):
+        table = table.slice(0, starts[-1])
+        sizes = np.diff(starts)
+        take = np.repeat(sizes > 1, sizes) | (table.column("hot").to_numpy() == 1)
+        if take.any():
+            yield from table.select(["node", "pos"]).filter(pa.array(take)).to_batches()
+
+
 def _bins(h: np.ndarray) -> bytes:
     """How many n-grams fall into each of about n / 2 bins, a power of two; 255 means that or more."""
     n = 1 << max(6, min(16, (len(h) // 2).bit_length()))
@@ -346,18 +335,22 @@ def jaccard_components(docs: DataFrame, size: int = 4, percent: int = 85, id_col
     classes = keep(own.where("n > 0 and name is not null").groupBy("s1", "s2").agg(F.min("id").alias("node"), F.min("name").alias("name")),
                    "classes")
 
-    rows = given.select("text").mapInArrow(
-        _prefixes(size, percent, order, typical),
-        "token long, salt int, hot int, s1 long, s2 long, n int, pos int")
-    shared = dealt(rows, ["token", "salt"], ["s1", "s2"]).mapInArrow(
-        _shared, "token long, s1 long, s2 long, n int, pos int")
-    prefix = keep(shared.distinct().join(classes, ["s1", "s2"]).select("token", "node", "n", "pos"), "prefix")
-    by_node = prefix.groupBy(F.col("node").alias("id")).agg(F.collect_list(F.struct("token", "pos")).alias("at"))
-    described = keep(given.join(by_node, "id").select("id", "text", "at").mapInArrow(
-        _described(size, percent, order),
-        "node long, n int, bins binary, coarse array<smallint>, "
-        "at array<struct<token: long, pos: int, before: array<long>, window: array<long>>>"), "described")
-    placed = described.select("node", "n", "coarse", F.inline("at"))
+    # one row of each set, with all that is asked of it but the whole set
+    nodes = keep(given.select("id", "text").mapInArrow(
+        _described(size, percent, order), "node long, n int, bins binary, coarse array<smallint>, prefix array<long>")
+        .join(classes.select("node"), "node", "left_semi"), "nodes")
+    rows = nodes.select("node", "n", "prefix").mapInArrow(
+        _prefix_rows(percent, order, typical), "token long, salt int, hot int, node long, pos int")
+    at = (rows.repartition("token", "salt").sortWithinPartitions("token").mapInArrow(_shared, "node long, pos int")
+          .groupBy("node").agg(F.collect_list("pos").alias("at")))
+    described = keep(nodes.join(at, "node"), "described")
+
+    def placed(sets: DataFrame) -> DataFrame:
+        """A row for each shared n-gram of the prefixes, with those next to it."""
+        return sets.withColumn("pos", F.explode("at")).withColumns({
+            "token": F.get("prefix", "pos"),
+            "before": F.slice("prefix", F.greatest(F.col("pos") - WINDOW, F.lit(0)) + 1, F.least("pos", F.lit(WINDOW))),
+            "window": F.slice("prefix", F.col("pos") + 2, F.lit(WINDOW))}).drop("prefix", "at", "bins")
 
     def verified(pairs: DataFrame) -> DataFrame:
         """First by the bins, then those left by their whole sets."""
@@ -374,10 +367,11 @@ def jaccard_components(docs: DataFrame, size: int = 4, percent: int = 85, id_col
         return keep(both.select("a", "b", "ta", "tb").mapInArrow(_verified(percent), "a long, b long").distinct(), "links")
 
     band = F.floor(F.log(F.col("n").cast("double")) / -math.log(percent / 100)) if percent < 100 else F.col("n")
-    banded = placed.select("token", "node", "n", "coarse", band.cast("long").alias("band"))
-    leaders = (banded.groupBy("token", "band").agg(F.min(F.struct("n", "node", "coarse")).alias("leader"), F.count("*").alias("m"))
+    banded = placed(described).select("token", "node", "n", "coarse", band.cast("long").alias("band"))
+    leaders = (banded.groupBy("token", "band").agg(F.min(F.struct("n", "node")).alias("leader"), F.count("*").alias("m"))
                .where("m > 1").select(F.col("token").alias("t"), F.col("band").alias("bb"), F.col("leader.node").alias("b"),
-                                      F.col("leader.n").alias("nb"), F.col("leader.coarse").alias("other")))
+                                      F.col("leader.n").alias("nb"))
+               .join(described.select(F.col("node").alias("b"), F.col("coarse").alias("other")), "b"))
     most = F.aggregate(F.zip_with("coarse", "other", lambda x, y: F.least(x, y)), F.lit(0), lambda x, y: x + y)
     stars = (banded.join(leaders, (F.col("token") == F.col("t")) & (F.col("band") == F.col("bb")) & F.expr(f"node <> b and 100 * nb >= {percent} * n")
                          & ((100 + percent) * most >= percent * (F.col("n") + F.col("nb"))))
@@ -385,16 +379,26 @@ def jaccard_components(docs: DataFrame, size: int = 4, percent: int = 85, id_col
     links = verified(stars)
     first = components(links)
 
+    # N-grams of many sets, whose rows are dealt to cells: at most a row in CELL has one.
+    crowded = keep(placed(described).groupBy("token").agg(F.count("*").alias("m")).where(F.col("m") > CELL)
+                   .select("token", F.ceil(F.col("m") / CELL).cast("int").alias("side_cells")), "crowded")
+
+    def sent(few: DataFrame) -> DataFrame:
+        return F.broadcast(few) if few.limit(LISTED + 1).count() <= LISTED else few
+
     # Each round takes a few candidates a row, and joins what they link; members of a group of near copies
     # soon share a component and are no candidates any more. The last round leaves none untried.
     joined, most_each, again = first, FIRST, None
     while True:
-        now = placed.join(joined, "node", "left").withColumn("component", F.coalesce("component", "node"))
-        across = (now.groupBy("token").agg(F.min("component").alias("lo"), F.max("component").alias("hi"),
-                                           F.count("*").alias("m")).where("lo < hi")
-                  .select("token", F.ceil(F.col("m") / CELL).cast("int").alias("side_cells")))
+        now = placed(described.join(joined, "node", "left").withColumn("component", F.coalesce("component", "node")))
+        if again is not None:
+            now = now.join(sent(again.select("token").distinct()), "token", "left_semi")
+        # rows of one component alone are left by the trees, but make no cells first
+        split = (now.join(sent(crowded), "token").groupBy("token", "side_cells")
+                 .agg((F.min("component") < F.max("component")).alias("across")))
         g, mine = F.col("side_cells"), F.pmod(F.xxhash64("node"), F.col("side_cells")).cast("int")
-        cells = (now.join(across, "token").withColumn("mine", mine)
+        cells = (now.join(sent(split), "token", "left").where("across IS NULL OR across")
+                 .withColumn("side_cells", F.coalesce("side_cells", F.lit(1))).withColumn("mine", mine)
                  .withColumn("other", F.explode(F.sequence(F.lit(0), g - 1)))
                  .withColumn("cell", (F.least("mine", "other").cast("long") * g + F.greatest("mine", "other")))
                  .withColumn("side", F.when(F.col("mine") == F.col("other"), 2)

@@ -72,6 +72,24 @@ def test_jaccard_repeated_and_text_ids(spark):
     assert {r.component_id for r in ngram_join.jaccard_components(named).collect()} == {"d1", "d4"}
 
 
+def test_jaccard_moves_no_texts_and_few_windows(spark, monkeypatch):
+    """Sets are described where the texts are read, and the trees' rows are not grouped before they are dealt."""
+    plans, real = {}, ngram_join.keep
+
+    def spy(df, name):
+        plans.setdefault(name, []).append(df._jdf.queryExecution().optimizedPlan().toString())
+        return real(df, name)
+
+    monkeypatch.setattr(ngram_join, "keep", spy)
+    rng = random.Random(3)
+    base = _words(rng, 60)
+    texts = [" ".join([*base[:k], "more", *base[k:]]) for k in range(0, 60, 6)]
+    found = ngram_join.jaccard_components(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string"))
+    assert found.count() == len(texts)
+    assert "text" not in plans["described"][0]
+    assert "Aggregate [token" not in re.sub(r"Aggregate \[token#\d+L, side_cells", "", plans["pairs"][0])
+
+
 def test_overlap_bound_never_below_the_overlap():
     rng = np.random.default_rng(1)
     for n, m in ((10, 12), (400, 390), (5000, 300)):
