@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import WordHashes, flat, keep, lists, signed, slices, with_row_id
+from .common import batch_codes, keep, lists, signed, slices, with_row_id
 
 #: Words that move first, one after another; classes to move to; sweeps over these words.
 CLUSTERED, CLASSES, SWEEPS = 2000, 48, 4
@@ -37,12 +37,23 @@ PRIOR = 20.0
 END = 1
 
 
+def _chained(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The different tokens of the texts, the end last; their places in it for all texts one after another, an end
+    before the first and after each; and how many tokens each text has."""
+    words, at, starts = batch_codes(texts)
+    lengths = np.diff(starts) + 1
+    code = np.full(1 + lengths.sum(), len(words))
+    inside = np.ones(len(code), bool)
+    inside[np.concatenate([[0], np.cumsum(lengths)])] = False
+    code[inside] = at
+    return np.append(words, np.uint64(END)), code, lengths
+
+
 def _count_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    words = WordHashes()
     for batch in slices(batches):
-        found = [words.of(t) for t in batch.column(0).to_pylist()]
-        word, n = np.unique(np.append(flat(found, np.uint64), np.full(len(found), END, np.uint64)), return_counts=True)
-        yield pa.RecordBatch.from_arrays([pa.array(signed(word)), pa.array(n)], ["word", "n"])
+        word, code, _ = _chained(batch.column(0))
+        n = np.bincount(code[1:], minlength=len(word))
+        yield pa.RecordBatch.from_arrays([pa.array(signed(word[n > 0])), pa.array(n[n > 0])], ["word", "n"])
 
 
 class Symbols:
@@ -71,27 +82,16 @@ class Symbols:
         return there, np.where(there, self.symbol[at], self.head), np.where(there, self.count[at], 0)
 
 
-def _chained(found: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
-    """Tokens of texts one after another, an end before the first and after each; which are tokens."""
-    end = np.array([END], np.uint64)
-    tokens = flat([end, *(x for t in found for x in (t, end))], np.uint64)
-    return tokens, np.array([len(t) + 1 for t in found], np.int64)
-
-
 def _count_pairs(symbols):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words, s = WordHashes(), symbols.value
-        sums: np.ndarray | None = None
-        keys = np.zeros(0, np.int64)
+        s = symbols.value
+        sums = np.zeros(s.size * s.size, np.int64)
         for batch in slices(batches):
-            tokens, _ = _chained([words.of(t) for t in batch.column(0).to_pylist()])
-            symbol = s.find(tokens)[1].astype(np.int64)
-            key, n = np.unique(symbol[:-1] * s.size + symbol[1:], return_counts=True)
-            both, inverse = np.unique(np.concatenate([keys, key]), return_inverse=True)
-            sums = np.bincount(inverse, np.concatenate([sums if sums is not None else np.zeros(0), n]), len(both))
-            keys = both
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(keys), pa.array((sums if sums is not None else np.zeros(0)).astype(np.int64))], ["pair", "n"])
+            word, code, _ = _chained(batch.column(0))
+            symbol = s.find(word)[1].astype(np.int64)[code]
+            sums += np.bincount(symbol[:-1] * s.size + symbol[1:], minlength=len(sums))
+        at = np.flatnonzero(sums)
+        yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(sums[at])], ["pair", "n"])
 
     return run
 
@@ -151,22 +151,27 @@ def exchange(pairs: np.ndarray, head: int, classes: int = CLASSES, sweeps: int =
 
 
 def _count_links(shared):
-    """Neighbours of which at least one may still move: its word and class, the other's, how often.
-    A word that can't move is null."""
+    """Neighbours of which at least one may still move: the words, their classes (``cls``: of the first, times 1 << 12,
+    and of the second) and how often. A word that can't move is null."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words, (symbols, own, once) = WordHashes(), shared.value
+        symbols, own, once = shared.value
         for batch in slices(batches):
-            tokens, _ = _chained([words.of(t) for t in batch.column(0).to_pylist()])
-            there, symbol, _ = symbols.find(tokens)
+            words, code, _ = _chained(batch.column(0))
+            there, symbol, _ = symbols.find(words)
             # where only words seen once are not listed, these stay
-            moves = (symbol >= symbols.head) & (there | (not once))
-            word, cls = np.where(moves, signed(tokens), 0), own[symbol].astype(np.int32)
-            at = np.flatnonzero(moves[:-1] | moves[1:])
-            links = pa.table({"aw": pa.array(word[at], mask=~moves[at]), "ac": cls[at],
-                              "bw": pa.array(word[at + 1], mask=~moves[at + 1]), "bc": cls[at + 1]})
-            yield from links.group_by(["aw", "ac", "bw", "bc"]).aggregate([([], "count_all")]).select(
-                ["aw", "ac", "bw", "bc", "count_all"]).rename_columns(["aw", "ac", "bw", "bc", "n"]).to_batches()
+            moves, cls = (symbol >= symbols.head) & (there | (not once)), own[symbol].astype(np.int64)
+            # words that can't move are told apart by their classes only
+            kind = np.where(moves, np.arange(len(words)), len(words) + cls)[code]
+            moving, size = moves[code], len(words) + len(own)
+            at = np.flatnonzero(moving[:-1] | moving[1:])
+            link, n = np.unique(kind[at] * size + kind[at + 1], return_counts=True)
+            a, b = link // size, link % size
+            classes = np.concatenate([cls, np.arange(len(own))])
+            word = np.concatenate([signed(words), np.zeros(len(own), np.int64)])
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(word[a], mask=a >= len(words)), pa.array(word[b], mask=b >= len(words)),
+                 pa.array((classes[a] << 12 | classes[b]).astype(np.int32)), pa.array(n)], ["aw", "bw", "cls", "n"])
 
     return run
 
@@ -289,15 +294,16 @@ def _score(shared):
     class, the transitions to and from them."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words, m = WordHashes(), shared.value
+        m = shared.value
         for batch in slices(batches):
-            found = [words.of(t) for t in batch.column(1).to_pylist()]
-            tokens, lengths = _chained(found)
-            there, _, count = m.symbols.find(tokens)
-            at = np.minimum(np.searchsorted(m.symbols.word, signed(tokens)), max(0, len(m.symbols.word) - 1))
+            words, code, lengths = _chained(batch.column(1))
+            found, _, counts = m.symbols.find(words)
+            place = np.minimum(np.searchsorted(m.symbols.word, signed(words)), max(0, len(m.symbols.word) - 1))
             listed = len(m.symbols.word) > 0
-            cls = np.where(there, m.own[at], m.rare) if listed else np.full(len(tokens), m.rare)
-            emission = np.where(there, m.emission[at], 0.0) if listed else np.zeros(len(tokens))
+            cls = (np.where(found, m.own[place], m.rare) if listed else np.full(len(words), m.rare))[code]
+            emission = (np.where(found, m.emission[place], 0.0) if listed else np.zeros(len(words)))[code]
+            bases = np.where(found, m.base(counts), 0.0)
+            there, tokens = found[code], words[code]
             known = np.full(len(tokens) - 1, m.once) | (there[:-1] & there[1:])
             total = np.where(known, m.transition[cls[:-1], cls[1:]], 0.0) + emission[1:]
             text, away = np.repeat(np.arange(len(lengths)), lengths), np.flatnonzero(~known)
@@ -306,8 +312,7 @@ def _score(shared):
             offsets = np.concatenate([[0], np.cumsum(np.bincount(text[away], minlength=len(lengths)))]).astype(np.int32)
             links = pa.ListArray.from_arrays(pa.array(offsets), pa.StructArray.from_arrays(link, ["aw", "ac", "bw", "bc"]))
             starts = np.cumsum(lengths) - lengths
-            there, count, tokens = there[1:], count[1:], tokens[1:]
-            base = np.where(there, m.base(count), 0.0)
+            there, base, tokens = there[1:], bases[code[1:]], tokens[1:]
             other = text[~there]
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), pa.array(lengths), pa.array(np.add.reduceat(there.astype(np.int64), starts)),
@@ -355,8 +360,9 @@ def class_scores(docs: DataFrame, learns: Column, id_col: str = "doc_id", text_c
     between = member.T @ pairs.reshape(symbols.size, symbols.size) @ member
     once = least == 1
     sent = spark.sparkContext.broadcast((symbols, head_own, once))
-    links = keep(training.mapInArrow(_count_links(sent), "aw long, ac int, bw long, bc int, n long")
-                 .groupBy("aw", "ac", "bw", "bc").agg(F.sum("n").alias("n")), "links")
+    links = keep(training.mapInArrow(_count_links(sent), "aw long, bw long, cls int, n long")
+                 .groupBy("aw", "bw", "cls").agg(F.sum("n").alias("n"))
+                 .selectExpr("aw", "shiftright(cls, 12) AS ac", "bw", "cls & 4095 AS bc", "n"), "links")
     repeated = counts.where("n > 1")
     assigned, between = move_rest(links, repeated, between, max(1, classes), TAIL_SWEEPS)
     # words that are not assigned moved first; those seen once stay in the rarest class

@@ -5,6 +5,7 @@ import random
 import re
 import zlib
 from collections import Counter
+from types import SimpleNamespace
 
 import numpy as np
 import public_tokenizers
@@ -90,6 +91,18 @@ def test_jaccard_moves_no_texts_and_few_windows(spark, monkeypatch):
     assert "Aggregate [token" not in re.sub(r"Aggregate \[token#\d+L, side_cells", "", plans["pairs"][0])
 
 
+def test_class_lm_looks_each_word_of_a_batch_up_once():
+    batch = pa.RecordBatch.from_arrays([pa.array(["a b a B", None, "b a"])], ["text"])
+    (counted,) = brown_lm._count_words(iter([batch]))
+    assert counted.column(1).to_pylist() == [3, 3, 3]  # the end too
+    symbols, asked = brown_lm.Symbols(counted.column(0).to_numpy(), counted.column(1).to_numpy(), 1), []
+    find = symbols.find
+    symbols.find = lambda words: asked.append(words) or find(words)
+    (pairs,) = brown_lm._count_pairs(SimpleNamespace(value=symbols))(iter([batch]))
+    assert sum(pairs.column(1).to_pylist()) == 9
+    assert asked and all(len(w) == len(np.unique(w)) for w in asked)
+
+
 def test_overlap_bound_never_below_the_overlap():
     rng = np.random.default_rng(1)
     for n, m in ((10, 12), (400, 390), (5000, 300)):
