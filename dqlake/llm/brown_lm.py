@@ -256,7 +256,7 @@ def move_rest(links: DataFrame, movable: DataFrame, between: np.ndarray, classes
         now = links if assigned is None else _known(links, assigned)
         beside = (now.selectExpr("aw AS word", "ac AS own", "0 AS side", "bc AS cls", "n").where("word IS NOT NULL")
                   .unionByName(now.selectExpr("bw AS word", "bc AS own", "1 AS side", "ac AS cls", "n").where("word IS NOT NULL"))
-                  .groupBy("word", "own", "side", "cls").agg(F.sum("n").alias("n"))
+                  .repartition("word").groupBy("word", "own", "side", "cls").agg(F.sum("n").alias("n"))
                   .groupBy("word", "own").agg(F.collect_list(F.struct("side", "cls", "n")).alias("beside")))
         shared = spark.sparkContext.broadcast((between, classes))
         assigned = keep(beside.join(movable.select("word"), "word", "left_semi").mapInArrow(_move(shared), "word long, cls int"), "classes")
