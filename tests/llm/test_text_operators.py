@@ -3,6 +3,7 @@
 import hashlib
 import random
 import re
+import time
 import zlib
 from collections import Counter
 from types import SimpleNamespace
@@ -14,6 +15,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from dqlake.llm import brown_lm, decontam, licenses, ngram_join, packing, pii, quality, repeats, toxicity
+from dqlake.llm.common import keep
 
 LABELS = "doc_id long, toxic int"
 
@@ -103,6 +105,17 @@ def test_class_lm_looks_each_word_of_a_batch_up_once():
     assert asked and all(len(w) == len(np.unique(w)) for w in asked)
 
 
+def test_kept_tables_leave_no_shuffle_files(spark):
+    blocks = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
+    before = blocks.getAllFiles().size()
+    keep(spark.range(1000).groupBy((F.col("id") % 7).alias("k")).count(), "test")
+    for _ in range(50):
+        if blocks.getAllFiles().size() <= before:
+            break
+        time.sleep(0.2)
+    assert blocks.getAllFiles().size() <= before
+
+
 def test_overlap_bound_never_below_the_overlap():
     rng = np.random.default_rng(1)
     for n, m in ((10, 12), (400, 390), (5000, 300)):
