@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import batch_codes, keep, lists, signed, slices, with_row_id
+from .common import WordHashes, batch_codes, keep, lists, signed, slices, with_row_id  # noqa: F401 (tests hash single words)
 
 #: Words that move first, one after another; classes to move to; sweeps over these words.
 CLUSTERED, CLASSES, SWEEPS = 2000, 48, 4
