@@ -5,8 +5,9 @@ from exchange clustering: words move to the class that raises the likelihood of
 most. The most frequent words move one after another, on counts between at most ``CLUSTERED`` words and
 tail classes, the octaves of the other words' counts, summed on the cluster. Then all other words move:
 each word's counts with the classes beside it are summed on the cluster, and every word seen twice or
-more is moved by its own counts against those between classes, all words of a sweep at once. Words
-seen once stay together with unknown words, whose share of that class is theirs (Good and Turing).
+more is moved by its own counts against those between classes, all words at once; the texts are read
+again for the counts between the classes that result. Words seen once stay together with unknown
+words, whose share of that class is theirs (Good and Turing).
 
 Words beyond the ``LISTED`` most frequent are not sent to the tasks. Their class, their count and the
 transitions to and from them are looked up by joins and added.
@@ -21,18 +22,24 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import WordHashes, batch_codes, keep, lists, signed, slices, with_row_id  # noqa: F401 (tests hash single words)
+from .common import WordHashes, batch_codes, keep, lists, signed, sized, with_row_id  # noqa: F401 (tests hash single words)
+from .runs import dealt, sorted_groups
 
 #: Words that move first, one after another; classes to move to; sweeps over these words.
 CLUSTERED, CLASSES, SWEEPS = 2000, 48, 4
-#: Sweeps over all other words on the cluster, and words that a task moves at a time.
-TAIL_SWEEPS, MOVED = 1, 4096
+#: Words that a task moves at a time, on the cluster.
+MOVED = 4096
+#: Bytes of text that a task takes at a time.
+TEXTS = 8 << 20
 #: Words, by falling count, whose counts every task holds (20 bytes each); the others are joined.
 LISTED = 1 << 20
 #: Octaves of counts that words start in; more frequent ones share the last.
 OCTAVES = 24
 #: Weight of the class shares when transitions are smoothed.
 PRIOR = 20.0
+#: More than there are classes, and more than a word occurs in the texts taken at a time.
+SIDE, TIMES = 1 << 12, 1 << 40
+BESIDE = ["word", "own", "beside", "others", "times"]
 #: Hash that stands for the end of a text; no word is empty.
 END = 1
 
@@ -50,7 +57,7 @@ def _chained(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
 
 
 def _count_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in slices(batches):
+    for batch in sized(batches, 0, TEXTS):
         word, code, _ = _chained(batch.column(0))
         n = np.bincount(code[1:], minlength=len(word))
         yield pa.RecordBatch.from_arrays([pa.array(signed(word[n > 0])), pa.array(n[n > 0])], ["word", "n"])
@@ -72,21 +79,23 @@ class Symbols:
         self.word, self.count, self.symbol = word[order], count[order], symbol[order]
         self.size = self.head + OCTAVES
 
-    def find(self, words: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """Listed or not, symbol, count (0 if not listed)."""
+    def find(self, words: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """Listed or not, symbol, count (0 if not listed), place in the list (any, if not listed)."""
         w = signed(words)
-        at = np.minimum(np.searchsorted(self.word, w), max(0, len(self.word) - 1))
+        at = np.zeros(len(w), np.int64)
         if not len(self.word):
-            return np.zeros(len(w), bool), np.full(len(w), self.head), np.zeros(len(w), np.int64)
+            return np.zeros(len(w), bool), np.full(len(w), self.head), np.zeros(len(w), np.int64), at
+        order = np.argsort(w)  # one place after another is found faster
+        at[order] = np.minimum(np.searchsorted(self.word, w[order]), len(self.word) - 1)
         there = self.word[at] == w
-        return there, np.where(there, self.symbol[at], self.head), np.where(there, self.count[at], 0)
+        return there, np.where(there, self.symbol[at], self.head), np.where(there, self.count[at], 0), at
 
 
 def _count_pairs(symbols):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         s = symbols.value
         sums = np.zeros(s.size * s.size, np.int64)
-        for batch in slices(batches):
+        for batch in sized(batches, 0, TEXTS):
             word, code, _ = _chained(batch.column(0))
             symbol = s.find(word)[1].astype(np.int64)[code]
             sums += np.bincount(symbol[:-1] * s.size + symbol[1:], minlength=len(sums))
@@ -150,28 +159,39 @@ def exchange(pairs: np.ndarray, head: int, classes: int = CLASSES, sweeps: int =
     return own
 
 
-def _count_links(shared):
-    """Neighbours of which at least one may still move: the words, their classes (``cls``: of the first, times 1 << 12,
-    and of the second) and how often. A word that can't move is null."""
+def _count_beside(shared):
+    """Each word that may still move, its class, and what stands beside it: the class (``near``: of the word after, or
+    ``SIDE`` more for the word before) times ``TIMES``, and how often. For words that are not listed also the words
+    after them (``others``, and how often in ``times``) and the listed words before them (below zero in ``times``)."""
+
+    def others(words: np.ndarray, code: np.ndarray, away: np.ndarray, of: np.ndarray) -> list[pa.Array]:
+        """For each word ``of``, if it is ``away``, the others beside it."""
+        size, far = 2 * len(words), away[code]
+        after, before = np.flatnonzero(far[:-1]), np.flatnonzero(far[1:] & ~far[:-1])
+        found, n = np.unique(np.concatenate([code[after] * size + code[after + 1], code[before + 1] * size + len(words) + code[before]]),
+                             return_counts=True)
+        other = found % size
+        counts = np.bincount(found // size, minlength=len(words))[of]
+        return [lists(signed(words)[other % len(words)], counts), lists(np.where(other < len(words), n, -n), counts)]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         symbols, own, once = shared.value
-        for batch in slices(batches):
+        size = 2 * SIDE
+        for batch in sized(batches, 0, TEXTS):
             words, code, _ = _chained(batch.column(0))
-            there, symbol, _ = symbols.find(words)
+            there, symbol, *_ = symbols.find(words)
             # where only words seen once are not listed, these stay
             moves, cls = (symbol >= symbols.head) & (there | (not once)), own[symbol].astype(np.int64)
-            # words that can't move are told apart by their classes only
-            kind = np.where(moves, np.arange(len(words)), len(words) + cls)[code]
-            moving, size = moves[code], len(words) + len(own)
-            at = np.flatnonzero(moving[:-1] | moving[1:])
-            link, n = np.unique(kind[at] * size + kind[at + 1], return_counts=True)
-            a, b = link // size, link % size
-            classes = np.concatenate([cls, np.arange(len(own))])
-            word = np.concatenate([signed(words), np.zeros(len(own), np.int64)])
+            moving, near = moves[code], cls[code]
+            after, before = np.flatnonzero(moving[:-1]), np.flatnonzero(moving[1:])
+            found, n = np.unique(np.concatenate([code[after] * size + near[after + 1], code[before + 1] * size + SIDE + near[before]]),
+                                 return_counts=True)
+            word, near = found // size, found % size
+            new = np.flatnonzero(np.diff(word, prepend=-1))
+            word = word[new]
             yield pa.RecordBatch.from_arrays(
-                [pa.array(word[a], mask=a >= len(words)), pa.array(word[b], mask=b >= len(words)),
-                 pa.array((classes[a] << 12 | classes[b]).astype(np.int32)), pa.array(n)], ["aw", "bw", "cls", "n"])
+                [pa.array(signed(words)[word]), pa.array(cls[word].astype(np.int32)),
+                 lists(near * TIMES + n, np.diff(np.append(new, len(found))))] + others(words, code, ~there & moves, word), BESIDE)
 
     return run
 
@@ -179,7 +199,8 @@ def _count_links(shared):
 def gains(between: np.ndarray, classes: int, own: np.ndarray, row: np.ndarray, side: np.ndarray, cls: np.ndarray,
           n: np.ndarray) -> np.ndarray:
     """For words of classes ``own``, by their counts ``n`` with the class ``cls`` after (side 0) or before
-    them (side 1): what each of the first ``classes`` classes gains by a word more than its own class loses."""
+    them (side 1): what each of the first ``classes`` classes gains by a word more than its own class loses.
+    ``row``: the word of each count; they rise, and each word has one at least."""
     def log(x: np.ndarray) -> np.ndarray:
         return x * np.log(np.maximum(x, 1))
 
@@ -187,11 +208,13 @@ def gains(between: np.ndarray, classes: int, own: np.ndarray, row: np.ndarray, s
     n = n.astype(np.float64)
     counts = np.zeros((2, words, len(between)))
     np.add.at(counts, (side, row, cls), n)
-    cell = np.where(side[:, None] == 0, between[:classes][:, cls].T, between[:, :classes][cls])
-    more = log(cell + n[:, None]) - log(cell)
-    more[cls[:, None] == c] = 0  # the diagonal takes both sides at once
-    gain = np.zeros((words, classes))
-    np.add.at(gain, row, more)
+    # from and to the classes, for each class on the other side
+    cells = np.concatenate([between[:classes].T, between[:, :classes]])
+    place = side * len(between) + cls
+    more = log(cells[place] + n[:, None]) - log(cells)[place]
+    inner = np.flatnonzero(cls < classes)
+    more[inner, cls[inner]] = 0  # the diagonal takes both sides at once
+    gain = np.add.reduceat(more, np.flatnonzero(np.diff(row, prepend=-1)))
     diagonal = between[c, c]
     gain += log(diagonal + counts[0][:, :classes] + counts[1][:, :classes]) - log(diagonal)
     totals = between.sum(1), between.sum(0)
@@ -211,57 +234,120 @@ def gains(between: np.ndarray, classes: int, own: np.ndarray, row: np.ndarray, s
 
 
 def _move(shared):
+    """The class of each word, whether it was seen twice or more, and the others beside it; the rows come sorted by word."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         between, classes = shared.value
-        for batch in slices(batches, MOVED):
-            own, near = batch.column(1).to_numpy().astype(np.int64), batch.column(2)
-            sizes = np.diff(near.offsets.to_numpy())
-            row = np.repeat(np.arange(len(own)), sizes)
-            side, cls, n = (x.to_numpy() for x in near.flatten().flatten())
-            gain = gains(between, classes, own, row, side.astype(np.int64), cls.astype(np.int64), n)
-            # a word need not gain by leaving its class for itself
-            gain[np.flatnonzero(own < classes), own[own < classes]] = 0
-            best = gain.argmax(1)
-            cls = np.where(gain[np.arange(len(own)), best] > 1e-9, best, own)
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(cls.astype(np.int32))], ["word", "cls"])
+        size = 2 * len(between)
+        for table, starts in sorted_groups(batches, ["word"]):
+            for at in range(0, len(starts) - 1, MOVED):
+                first = starts[at:at + MOVED + 1]
+                part = table.slice(first[0], first[-1] - first[0]).combine_chunks()
+                first = first - first[0]
+                beside = part.column("beside").combine_chunks()
+                row = np.repeat(np.arange(len(first) - 1), np.diff(beside.offsets.to_numpy()[first]))
+                near, n = np.divmod(beside.flatten().to_numpy(), TIMES)
+                sums = np.bincount(row * size + near // SIDE * len(between) + near % SIDE, n, (len(first) - 1) * size)
+                found = np.flatnonzero(sums)
+                own = part.column("own").to_numpy()[first[:-1]].astype(np.int64)
+                row, side, cls = found // size, found % size // len(between), found % len(between)
+                gain = gains(between, classes, own, row, side, cls, sums[found])
+                # a word need not gain by leaving its class for itself
+                gain[np.flatnonzero(own < classes), own[own < classes]] = 0
+                best = gain.argmax(1)
+                # every word has one after it
+                seen = sums.reshape(-1, 2, len(between))[:, 0].sum(1) > 1
+                cls = np.where(seen & (gain[np.arange(len(own)), best] > 1e-9), best, own)
+                lengths = [np.diff(part.column(c).combine_chunks().offsets.to_numpy()[first]) for c in BESIDE[3:]]
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(part.column("word").to_numpy()[first[:-1]]), pa.array(cls.astype(np.int32)), pa.array(seen)]
+                    + [lists(part.column(c).combine_chunks().flatten().to_numpy(), x) for c, x in zip(BESIDE[3:], lengths, strict=True)],
+                    ["word", "cls", "seen", *BESIDE[3:]])
+
+    return run
+
+
+def _count_classes(shared):
+    """Counts between classes of listed words; of all words, if none of the others was seen twice."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        symbols, own, rare, size, once = shared.value
+        sums = np.zeros(size * size, np.int64)
+        for batch in sized(batches, 0, TEXTS):
+            words, code, _ = _chained(batch.column(0))
+            there, _, _, place = symbols.find(words)
+            near = (np.where(there, own[place], rare).astype(np.int64) if len(own) else np.full(len(words), rare))[code]
+            known = (there | once)[code]
+            sums += np.bincount((near[:-1] * size + near[1:])[known[:-1] & known[1:]], minlength=len(sums))
+        at = np.flatnonzero(sums)
+        yield pa.RecordBatch.from_arrays([pa.array((at // size).astype(np.int32)), pa.array((at % size).astype(np.int32)), pa.array(sums[at])],
+                                         ["ac", "bc", "n"])
+
+    return run
+
+
+def _count_others(shared):
+    """Counts between the classes of words that are not listed and of those beside them. ``bw``: a word after it that
+    is not listed either, with the class it starts in."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        symbols, own, rare, size, _ = shared.value
+        sums = np.zeros(size * size, np.int64)
+        names = ["ac", "bw", "bc", "n"]
+        for batch in batches:
+            cls = np.repeat(batch.column(0).to_numpy(), np.diff(batch.column(1).offsets.to_numpy())).astype(np.int64)
+            word, n = batch.column(1).flatten().to_numpy(), batch.column(2).flatten().to_numpy()
+            there, _, _, place = symbols.find(word)
+            near = (own[place] if len(own) else np.full(len(word), rare)).astype(np.int64)
+            pair = np.where(n > 0, cls * size + near, near * size + cls)
+            np.add.at(sums, pair[there], np.abs(n[there]))
+            far = ~there
+            yield pa.RecordBatch.from_arrays([pa.array(cls[far].astype(np.int32)), pa.array(word[far]),
+                                              pa.array(np.full(far.sum(), rare, np.int32)), pa.array(n[far])], names)
+        at = np.flatnonzero(sums)
+        yield pa.RecordBatch.from_arrays([pa.array((at // size).astype(np.int32)), pa.nulls(len(at), pa.int64()),
+                                          pa.array((at % size).astype(np.int32)), pa.array(sums[at])], names)
 
     return run
 
 
-def _known(links: DataFrame, known: DataFrame) -> DataFrame:
+def _known(links: DataFrame, known: DataFrame, sides: str = "ab") -> DataFrame:
     """``links`` with the classes of ``known`` for the words these hold."""
-    for side in ("a", "b"):
+    for side in sides:
         new = known.select(F.col("word").alias(f"{side}w"), F.col("cls").alias("new"))
         links = links.join(new, f"{side}w", "left").withColumn(f"{side}c", F.coalesce("new", f"{side}c")).drop("new")
     return links
 
 
-def _square(links: DataFrame, size: int) -> np.ndarray:
-    """Counts between classes."""
+def move_rest(training: DataFrame, listed: DataFrame, symbols: Symbols, own: np.ndarray, rare: int, between: np.ndarray, classes: int,
+              once: bool) -> tuple[DataFrame, np.ndarray, np.ndarray]:
+    """(word, cls) of the words that did not move first and were seen twice or more, by the texts of ``training``; the
+    class of each listed word and the counts between classes then.
+
+    ``own``: the class of each symbol, in which its words start; ``between``: counts between these classes.
+    """
+    spark, size = training.sparkSession, len(between)
+    sent, shared = spark.sparkContext.broadcast((symbols, own, once)), spark.sparkContext.broadcast((between, classes))
+    beside = training.mapInArrow(_count_beside(sent), "word long, own int, beside array<long>, others array<long>, times array<long>")
+    rest = keep(dealt(beside, ["word"]).mapInArrow(
+        _move(shared), "word long, cls int, seen boolean, others array<long>, times array<long>"), "classes")
+    assigned = rest.where("seen").select("word", "cls")
+    # words that are not assigned moved first; those seen once stay in the rarest class
+    now = own[symbols.symbol].astype(np.int32)
+    moved = assigned.join(listed, "word", "left_semi").toArrow()  # at most LISTED
+    now[np.searchsorted(symbols.word, moved.column("word").to_numpy())] = moved.column("cls").to_numpy()
+    sent = spark.sparkContext.broadcast((symbols, now, rare, size, once))
+    links = training.mapInArrow(_count_classes(sent), "ac int, bc int, n long")
+    if not once:
+        more = keep(rest.where("size(others) > 0").select("cls", "others", "times").mapInArrow(
+            _count_others(sent), "ac int, bw long, bc int, n long"), "links")
+        # rows without a word stay out of the join, where they would all meet
+        links = (links.unionByName(more.where("bw IS NULL").drop("bw"))
+                 .unionByName(_known(more.where("bw IS NOT NULL"), assigned, "b").drop("bw")))
     found = links.groupBy("ac", "bc").agg(F.sum("n").alias("n")).toArrow()
     square = np.zeros((size, size))
     square[found.column("ac").to_numpy(), found.column("bc").to_numpy()] = found.column("n").to_numpy()
-    return square
-
-
-def move_rest(links: DataFrame, movable: DataFrame, between: np.ndarray, classes: int, sweeps: int = TAIL_SWEEPS) -> tuple[DataFrame, np.ndarray]:
-    """(word, cls) of the ``movable`` words that ``links`` hold, and the counts between classes then.
-
-    ``links``: pairs of neighbours with the classes they start in, of which ``between`` has the counts.
-    """
-    spark = links.sparkSession
-    fixed = between - _square(links, len(between))
-    assigned = None
-    for _ in range(sweeps):
-        now = links if assigned is None else _known(links, assigned)
-        beside = (now.selectExpr("aw AS word", "ac AS own", "0 AS side", "bc AS cls", "n").where("word IS NOT NULL")
-                  .unionByName(now.selectExpr("bw AS word", "bc AS own", "1 AS side", "ac AS cls", "n").where("word IS NOT NULL"))
-                  .repartition("word").groupBy("word", "own", "side", "cls").agg(F.sum("n").alias("n"))
-                  .groupBy("word", "own").agg(F.collect_list(F.struct("side", "cls", "n")).alias("beside")))
-        shared = spark.sparkContext.broadcast((between, classes))
-        assigned = keep(beside.join(movable.select("word"), "word", "left_semi").mapInArrow(_move(shared), "word long, cls int"), "classes")
-        between = fixed + _square(_known(links, assigned), len(between))
-    return assigned, between
+    return assigned, now, square
 
 
 class Model:
@@ -290,15 +376,14 @@ class Model:
 
 
 def _score(shared):
-    """Per row what listed words give, the hashes of the others and, unless all of these are in the rarest
-    class, the transitions to and from them."""
+    """Per row what listed words give, the hashes of the others and, unless all of these are in the rarest class,
+    the classes of listed words beside each of them (null: none) and the transitions between two of them."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         m = shared.value
-        for batch in slices(batches):
+        for batch in sized(batches, 1, TEXTS):
             words, code, lengths = _chained(batch.column(1))
-            found, _, counts = m.symbols.find(words)
-            place = np.minimum(np.searchsorted(m.symbols.word, signed(words)), max(0, len(m.symbols.word) - 1))
+            found, _, counts, place = m.symbols.find(words)
             listed = len(m.symbols.word) > 0
             cls = (np.where(found, m.own[place], m.rare) if listed else np.full(len(words), m.rare))[code]
             emission = (np.where(found, m.emission[place], 0.0) if listed else np.zeros(len(words)))[code]
@@ -306,18 +391,25 @@ def _score(shared):
             there, tokens = found[code], words[code]
             known = np.full(len(tokens) - 1, m.once) | (there[:-1] & there[1:])
             total = np.where(known, m.transition[cls[:-1], cls[1:]], 0.0) + emission[1:]
-            text, away = np.repeat(np.arange(len(lengths)), lengths), np.flatnonzero(~known)
+            # what follows an end belongs to the next text
+            text, end = np.repeat(np.arange(len(lengths)), lengths), code == len(words) - 1
+            away = np.flatnonzero(~known & ~there[:-1] & (~there[1:] | end[:-1]))
+            other = np.flatnonzero(~there[1:]) + 1
+            after = np.minimum(other + 1, len(code) - 1)
+            beside = pa.StructArray.from_arrays([
+                pa.array(signed(tokens)[other]), pa.array(cls[other - 1].astype(np.int32), mask=~there[other - 1] | m.once),
+                pa.array(cls[after].astype(np.int32), mask=~there[after] | end[other] | m.once)], ["word", "before", "after"])
             link = [pa.array(signed(tokens)[away], mask=there[away]), pa.array(cls[away].astype(np.int32)),
                     pa.array(signed(tokens)[away + 1], mask=there[away + 1]), pa.array(cls[away + 1].astype(np.int32))]
             offsets = np.concatenate([[0], np.cumsum(np.bincount(text[away], minlength=len(lengths)))]).astype(np.int32)
             links = pa.ListArray.from_arrays(pa.array(offsets), pa.StructArray.from_arrays(link, ["aw", "ac", "bw", "bc"]))
             starts = np.cumsum(lengths) - lengths
-            there, base, tokens = there[1:], bases[code[1:]], tokens[1:]
-            other = text[~there]
+            there, base = there[1:], bases[code[1:]]
+            held = np.concatenate([[0], np.cumsum(np.bincount(text[other - 1], minlength=len(lengths)))]).astype(np.int32)
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), pa.array(lengths), pa.array(np.add.reduceat(there.astype(np.int64), starts)),
                  pa.array(np.add.reduceat(base, starts)), pa.array(np.add.reduceat(total, starts)),
-                 lists(signed(tokens[~there]), np.bincount(other, minlength=len(lengths))), links],
+                 pa.ListArray.from_arrays(pa.array(held), beside), links],
                 ["rid", "n_tokens", "n_known", "base_score", "score", "others", "links"])
 
     return run
@@ -359,17 +451,7 @@ def class_scores(docs: DataFrame, learns: Column, id_col: str = "doc_id", text_c
     member[np.arange(symbols.size), head_own] = 1
     between = member.T @ pairs.reshape(symbols.size, symbols.size) @ member
     once = least == 1
-    sent = spark.sparkContext.broadcast((symbols, head_own, once))
-    links = keep(training.mapInArrow(_count_links(sent), "aw long, bw long, cls int, n long")
-                 .groupBy("aw", "bw", "cls").agg(F.sum("n").alias("n"))
-                 .selectExpr("aw", "shiftright(cls, 12) AS ac", "bw", "cls & 4095 AS bc", "n"), "links")
-    repeated = counts.where("n > 1")
-    assigned, between = move_rest(links, repeated, between, max(1, classes), TAIL_SWEEPS)
-    # words that are not assigned moved first; those seen once stay in the rarest class
-    first = pa.table({"word": symbols.word, "cls": head_own[symbols.symbol].astype(np.int32)})
-    moved = assigned.join(repeated.where(F.col("n") > least), "word", "left_semi").toArrow()  # at most LISTED
-    own = first.column("cls").to_numpy().copy()
-    own[np.searchsorted(symbols.word, moved.column("word").to_numpy())] = moved.column("cls").to_numpy()
+    assigned, own, between = move_rest(training, counts.where(F.col("n") > least), symbols, head_own, rare, between, max(1, classes), once)
     of_class = np.bincount(own, symbols.count.astype(np.float64), size)
     unlisted = counts.where(F.col("n") <= least).join(assigned, "word", "left")
     for r in unlisted.where("n > 1").groupBy("cls").agg(F.sum("n").alias("n")).collect():
@@ -379,22 +461,27 @@ def class_scores(docs: DataFrame, learns: Column, id_col: str = "doc_id", text_c
 
     rows = with_row_id(docs, id_col, "rows", text_col)
     scored = keep(rows.select("rid", text_col).mapInArrow(
-        _score(sent), "rid long, n_tokens long, n_known long, base_score double, score double, others array<long>, "
+        _score(sent), "rid long, n_tokens long, n_known long, base_score double, score double, "
+        "others array<struct<word: long, before: int, after: int>>, "
         "links array<struct<aw: long, ac: int, bw: long, bc: int>>"), "scored")
     rare_emission = F.array(*(F.lit(x) for x in model.rare_emission))
     per_class = F.array(*(F.lit(float(x)) for x in model.of_class))
     c = F.coalesce("n", F.lit(0))
     emission = F.when(c > 1, F.log10(c / F.get(per_class, "cls"))).otherwise(F.get(rare_emission, c.cast("int")))
-    others = (scored.select("rid", F.explode("others").alias("word")).groupBy("rid", "word").agg(F.count("*").alias("times"))
-              .join(unlisted, "word", "left")
-              .groupBy("rid").agg(
-                  F.sum(F.when(c > 0, F.col("times")).otherwise(0)).alias("more_known"),
-                  F.sum(F.col("times") * F.log10((c + 1.0) / (tokens + 1.0 * (types + 1)))).alias("more_base"),
-                  F.sum(F.col("times") * emission).alias("more_score")))
+    others = scored.select("rid", F.inline("others")).join(unlisted, "word", "left")
     if not once:
         value = spark.createDataFrame(
             [(i, j, float(x)) for i, line in enumerate(model.transition) for j, x in enumerate(line)], "ac int, bc int, value double")
-        steps = _known(scored.select("rid", F.inline("links")), assigned).join(value, ["ac", "bc"]).groupBy("rid").agg(F.sum("value").alias("steps"))
+        others = others.withColumn("at", F.coalesce("cls", F.lit(rare)))
+        for before, after, name in (("before", "at", "into"), ("at", "after", "out")):
+            step = value.select(F.col("ac").alias(before), F.col("bc").alias(after), F.col("value").alias(name))
+            others = others.join(F.broadcast(step), [before, after], "left")
+        emission += F.coalesce("into", F.lit(0.0)) + F.coalesce("out", F.lit(0.0))
+    others = others.groupBy("rid").agg(
+        F.count_if(c > 0).alias("more_known"),
+        F.sum(F.log10((c + 1.0) / (tokens + 1.0 * (types + 1)))).alias("more_base"), F.sum(emission).alias("more_score"))
+    if not once:
+        steps = _known(scored.select("rid", F.inline("links")), assigned).join(F.broadcast(value), ["ac", "bc"]).groupBy("rid").agg(F.sum("value").alias("steps"))
         others = others.join(steps, "rid", "full_outer").withColumn(
             "more_score", F.coalesce("more_score", F.lit(0.0)) + F.coalesce("steps", F.lit(0.0))).drop("steps")
     ids = rows.select("rid", id_col)

@@ -15,7 +15,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from dqlake.llm import brown_lm, decontam, licenses, ngram_join, packing, pii, quality, repeats, toxicity
-from dqlake.llm.common import keep
+from dqlake.llm.common import WordHashes, keep, sized
 
 LABELS = "doc_id long, toxic int"
 
@@ -105,6 +105,43 @@ def test_class_lm_looks_each_word_of_a_batch_up_once():
     assert asked and all(len(w) == len(np.unique(w)) for w in asked)
 
 
+@pytest.mark.parametrize("listed", [1 << 20, 60])
+def test_class_lm_writes_no_pairs_of_listed_words(spark, monkeypatch, listed):
+    """Only words that are not listed are written with their neighbours; cut anywhere, texts and words give the same."""
+    kept = {}
+    monkeypatch.setattr(brown_lm, "CLUSTERED", 20)
+    monkeypatch.setattr(brown_lm, "LISTED", listed)
+    monkeypatch.setattr(brown_lm, "keep", lambda df, name: kept.setdefault(name, []).append(keep(df, name)) or kept[name][-1])
+    rng = random.Random(12)
+    texts = [" ".join(f"{'ab'[i % 2]}{int(rng.paretovariate(0.6)) % 300}" for i in range(60)) for _ in range(60)] + [None, "", "b1"]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = [brown_lm.class_scores(df, F.col("doc_id") % 7 != 2).orderBy("doc_id").collect()]
+    for k, v in (("TEXTS", 1), ("MOVED", 3)):
+        monkeypatch.setattr(brown_lm, k, v)
+    got.append(brown_lm.class_scores(df, F.col("doc_id") % 7 != 2).orderBy("doc_id").collect())
+    assert [r.score for r in got[0]] == pytest.approx([r.score for r in got[1]])
+    counts = Counter(w for i, t in enumerate(texts) if i % 7 != 2 for w in [*(t or "").split(), None])
+    more = sorted(counts.values(), reverse=True)
+    least = 1 if listed > len(counts) else max(1, more[listed])
+    moved, again = kept["classes"]
+    moved, again = (sorted(x.where("seen").select("word", "cls").collect()) for x in (moved, again))
+    assert moved == again and len(moved) == sum(n > 1 for n in counts.values()) - 20 > 40
+    assert (least == 1) == ("links" not in kept)
+    for links in kept.get("links", []):
+        tokens = sum(n for n in counts.values() if n <= least)
+        assert 0 < links.where("bw IS NOT NULL").count() <= tokens
+
+
+def test_texts_are_cut_by_their_bytes():
+    texts = ["aé" * 5, None, "", "x" * 100, "b", "cc"]
+    batch = pa.RecordBatch.from_arrays([pa.array(range(6)), pa.array(texts)], ["doc_id", "text"])
+    cut = [b.column(1).to_pylist() for b in sized(iter([batch, batch.slice(6)]), 1, 16)]
+    assert cut == [["aé" * 5, None, ""], ["x" * 100], ["b", "cc"]]
+    (counted,) = brown_lm._count_words(iter([pa.RecordBatch.from_arrays([batch.column(1).slice(3)], ["text"])]))
+    assert sorted(zip(counted.column(0).to_pylist(), counted.column(1).to_pylist())) == sorted(
+        [(w, 1) for w in brown_lm.signed(WordHashes().of(f"{'x' * 100} b cc")).tolist()] + [(brown_lm.END, 3)])
+
+
 def test_kept_tables_leave_no_shuffle_files(spark):
     blocks = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
     before = blocks.getAllFiles().size()
