@@ -39,7 +39,7 @@ OCTAVES = 24
 PRIOR = 20.0
 #: More than there are classes, and more than a word occurs in the texts taken at a time.
 SIDE, TIMES = 1 << 12, 1 << 40
-BESIDE = ["word", "own", "beside", "others", "times"]
+BESIDE = ["word", "own", "beside", "listed", "others"]
 #: Hash that stands for the end of a text; no word is empty.
 END = 1
 
@@ -161,25 +161,26 @@ def exchange(pairs: np.ndarray, head: int, classes: int = CLASSES, sweeps: int =
 
 def _count_beside(shared):
     """Each word that may still move, its class, and what stands beside it: the class (``near``: of the word after, or
-    ``SIDE`` more for the word before) times ``TIMES``, and how often. For words that are not listed also the words
-    after them (``others``, and how often in ``times``) and the listed words before them (below zero in ``times``)."""
-
-    def others(words: np.ndarray, code: np.ndarray, away: np.ndarray, of: np.ndarray) -> list[pa.Array]:
-        """For each word ``of``, if it is ``away``, the others beside it."""
-        size, far = 2 * len(words), away[code]
-        after, before = np.flatnonzero(far[:-1]), np.flatnonzero(far[1:] & ~far[:-1])
-        found, n = np.unique(np.concatenate([code[after] * size + code[after + 1], code[before + 1] * size + len(words) + code[before]]),
-                             return_counts=True)
-        other = found % size
-        counts = np.bincount(found // size, minlength=len(words))[of]
-        return [lists(signed(words)[other % len(words)], counts), lists(np.where(other < len(words), n, -n), counts)]
+    ``SIDE`` more for the word before) times ``TIMES``, and how often. Words that are not listed also carry, for each
+    time they occur, the places of ``listed`` words beside them, times two, one more for the word before, and the ``others`` after them."""
+
+    def carried(words: np.ndarray, code: np.ndarray, there: np.ndarray, place: np.ndarray, away: np.ndarray, of: np.ndarray) -> list[pa.Array]:
+        """For each word ``of``, if it is ``away``, the listed words and the others beside it."""
+        far, near, out = away[code], there[code], []
+        after, before = np.flatnonzero(far[:-1] & near[1:]), np.flatnonzero(far[1:] & near[:-1])
+        both = np.flatnonzero(far[:-1] & ~near[1:])
+        for word, value in ((np.concatenate([code[after], code[before + 1]]),
+                             np.concatenate([place[code[after + 1]] * 2, place[code[before]] * 2 + 1]).astype(np.int32)),
+                            (code[both], signed(words)[code[both + 1]])):
+            out.append(lists(value[np.argsort(word, kind="stable")], np.bincount(word, minlength=len(words))[of]))
+        return out
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         symbols, own, once = shared.value
         size = 2 * SIDE
         for batch in sized(batches, 0, TEXTS):
             words, code, _ = _chained(batch.column(0))
-            there, symbol, *_ = symbols.find(words)
+            there, symbol, _, place = symbols.find(words)
             # where only words seen once are not listed, these stay
             moves, cls = (symbol >= symbols.head) & (there | (not once)), own[symbol].astype(np.int64)
             moving, near = moves[code], cls[code]
@@ -191,7 +192,7 @@ def _count_beside(shared):
             word = word[new]
             yield pa.RecordBatch.from_arrays(
                 [pa.array(signed(words)[word]), pa.array(cls[word].astype(np.int32)),
-                 lists(near * TIMES + n, np.diff(np.append(new, len(found))))] + others(words, code, ~there & moves, word), BESIDE)
+                 lists(near * TIMES + n, np.diff(np.append(new, len(found))))] + carried(words, code, there, place, ~there & moves, word), BESIDE)
 
     return run
 
@@ -291,19 +292,16 @@ def _count_others(shared):
     is not listed either, with the class it starts in."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        symbols, own, rare, size, _ = shared.value
+        _, own, rare, size, _ = shared.value
         sums = np.zeros(size * size, np.int64)
         names = ["ac", "bw", "bc", "n"]
         for batch in batches:
-            cls = np.repeat(batch.column(0).to_numpy(), np.diff(batch.column(1).offsets.to_numpy())).astype(np.int64)
-            word, n = batch.column(1).flatten().to_numpy(), batch.column(2).flatten().to_numpy()
-            there, _, _, place = symbols.find(word)
-            near = (own[place] if len(own) else np.full(len(word), rare)).astype(np.int64)
-            pair = np.where(n > 0, cls * size + near, near * size + cls)
-            np.add.at(sums, pair[there], np.abs(n[there]))
-            far = ~there
-            yield pa.RecordBatch.from_arrays([pa.array(cls[far].astype(np.int32)), pa.array(word[far]),
-                                              pa.array(np.full(far.sum(), rare, np.int32)), pa.array(n[far])], names)
+            cls, second = (np.repeat(batch.column(0).to_numpy(), np.diff(x.offsets.to_numpy())) for x in batch.columns[1:])
+            place, word = (x.flatten().to_numpy() for x in batch.columns[1:])
+            near, cls = own[place >> 1].astype(np.int64), cls.astype(np.int64)
+            sums += np.bincount(np.where(place & 1, near * size + cls, cls * size + near), minlength=len(sums))
+            yield pa.RecordBatch.from_arrays([pa.array(second), pa.array(word), pa.array(np.full(len(word), rare, np.int32)),
+                                              pa.array(np.ones(len(word), np.int64))], names)
         at = np.flatnonzero(sums)
         yield pa.RecordBatch.from_arrays([pa.array((at // size).astype(np.int32)), pa.nulls(len(at), pa.int64()),
                                           pa.array((at % size).astype(np.int32)), pa.array(sums[at])], names)
@@ -328,9 +326,9 @@ def move_rest(training: DataFrame, listed: DataFrame, symbols: Symbols, own: np.
     """
     spark, size = training.sparkSession, len(between)
     sent, shared = spark.sparkContext.broadcast((symbols, own, once)), spark.sparkContext.broadcast((between, classes))
-    beside = training.mapInArrow(_count_beside(sent), "word long, own int, beside array<long>, others array<long>, times array<long>")
+    beside = training.mapInArrow(_count_beside(sent), "word long, own int, beside array<long>, listed array<int>, others array<long>")
     rest = keep(dealt(beside, ["word"]).mapInArrow(
-        _move(shared), "word long, cls int, seen boolean, others array<long>, times array<long>"), "classes")
+        _move(shared), "word long, cls int, seen boolean, listed array<int>, others array<long>"), "classes")
     assigned = rest.where("seen").select("word", "cls")
     # words that are not assigned moved first; those seen once stay in the rarest class
     now = own[symbols.symbol].astype(np.int32)
@@ -339,7 +337,7 @@ def move_rest(training: DataFrame, listed: DataFrame, symbols: Symbols, own: np.
     sent = spark.sparkContext.broadcast((symbols, now, rare, size, once))
     links = training.mapInArrow(_count_classes(sent), "ac int, bc int, n long")
     if not once:
-        more = keep(rest.where("size(others) > 0").select("cls", "others", "times").mapInArrow(
+        more = keep(rest.where("size(listed) + size(others) > 0").select("cls", "listed", "others").mapInArrow(
             _count_others(sent), "ac int, bw long, bc int, n long"), "links")
         # rows without a word stay out of the join, where they would all meet
         links = (links.unionByName(more.where("bw IS NULL").drop("bw"))
